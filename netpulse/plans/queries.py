@@ -87,8 +87,9 @@ def q_avg_tolerant(spark, sf_dir):
 
 
 def q_csv_typed_roundtrip(spark, sf_dir):
-    path = sinks.write_csv(_logs(spark, sf_dir), scratch_path(spark, "csv"))
     schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("event_id", T.LongType())])
+    logs = _logs(spark, sf_dir).select(*schema.fieldNames())  # header order = schema order
+    path = sinks.write_csv(logs, scratch_path(spark, "csv"))
     return read_typed_csv(spark, path, schema).select(*LOG_COLS)
 
 

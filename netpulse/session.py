@@ -14,7 +14,6 @@ temporary folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -82,7 +81,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the checkpoint root for one run."""
-    path = "/".join([checkpoint_root(spark), "netpulse", *parts, uuid.uuid4().hex])
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return "/".join([checkpoint_root(spark), "netpulse", *parts, uuid.uuid4().hex])
