@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefmt import add_hours, epoch_hours
+from ..session import checkpoint_root
 from .reshape import grid_with_history
 
 # Fixed value: two-sided 95 % quantile of the standard normal distribution.
@@ -182,23 +183,41 @@ def business_hours_roll(grid: DataFrame, key: str = "ip", interval: int = 8, sta
     return grid.where(~F.col("is_future")).unionByName(rolled)
 
 
-def predict(grid: DataFrame, trend: DataFrame, seasonal: DataFrame | None = None, order: int = 4,
-            z: float = Z95, key: str = "ip", sigma: DataFrame | None = None) -> DataFrame:
-    """``yhat`` and the band on every grid row of keys with a fitted trend."""
-    p = trend.where(F.col("status") == "ok").select(key, "mean_t", "mean_y", "slope", "sigma")
-    if sigma is not None:
-        p = p.drop("sigma").join(sigma, key, "left")
+def fit(train: DataFrame, seasonality: bool = True, order: int = 4, ridge: float = 1.0,
+        key: str = "ip") -> DataFrame:
+    """Model table: one row per key with the trend, the Fourier weights
+    (``beta_i``, zero without seasonality), ``sigma`` and ``status``.
+
+    The table is the stored form of the model (see ``save_model``).
+    """
+    trend = trend_params(trend_stats(train, key))
+    m = 2 * order
+    if not seasonality:
+        return trend.select("*", *[F.lit(0.0).alias(f"beta_{i}") for i in range(m)],
+                            F.lit(order).alias("order"))
+    seas = seasonal_params(train, trend, order, ridge, key=key)
+    model = trend.drop("sigma").join(seas, key, "left") \
+        .select(*[c for c in trend.columns if c != "sigma"],
+                *[F.coalesce(F.col(f"beta_{i}"), F.lit(0.0)).alias(f"beta_{i}") for i in range(m)],
+                F.lit(order).alias("order"))
+    hist = train.where(F.col("y").isNotNull()).select(key, "ds", "y", F.lit(False).alias("is_future"))
+    sig = residual_sigma(predict(hist, model.withColumn("sigma", F.lit(None).cast("double")), order, key=key), key)
+    return model.join(sig, key, "left")
+
+
+def predict(grid: DataFrame, model: DataFrame, order: int = 4, z: float = Z95, key: str = "ip") -> DataFrame:
+    """``yhat`` and the band on every grid row of keys with a fitted model."""
+    m = 2 * order
+    p = model.where(F.col("status") == "ok") \
+        .select(key, "mean_t", "mean_y", "slope", "sigma", *[f"beta_{i}" for i in range(m)])
     j = grid.join(p, key)
-    g = trend_value(epoch_hours("ds").cast("double"))
-    if seasonal is not None:
-        j = j.join(seasonal, key, "left")
+    yhat = trend_value(epoch_hours("ds").cast("double"))
+    if order > 0:
         xb = None
         for i, c in enumerate(fourier_terms(F.col("ds"), order)):
-            term = c * F.coalesce(F.col(f"beta_{i}"), F.lit(0.0))
+            term = c * F.col(f"beta_{i}")
             xb = term if xb is None else xb + term
-        yhat = g * (F.lit(1.0) + xb)
-    else:
-        yhat = g
+        yhat = yhat * (F.lit(1.0) + xb)
     band = F.lit(z) * F.col("sigma")
     out = j.withColumn("yhat", yhat)
     return out.select(*grid.columns, "yhat",
@@ -206,48 +225,62 @@ def predict(grid: DataFrame, trend: DataFrame, seasonal: DataFrame | None = None
                       (F.col("yhat") - band).alias("yhat_lower"))
 
 
-def residual_sigma(train: DataFrame, predicted: DataFrame, key: str = "ip") -> DataFrame:
+def residual_sigma(fitted: DataFrame, key: str = "ip") -> DataFrame:
     """Residual standard deviation of fitted values (n - 2 degrees of freedom)."""
-    r = predicted.where(~F.col("is_future") & F.col("y").isNotNull()) \
-        .select(key, (F.col("y") - F.col("yhat")).alias("e"))
+    r = fitted.where(F.col("y").isNotNull()).select(key, (F.col("y") - F.col("yhat")).alias("e"))
     return r.groupBy(key).agg(
         F.when(F.count(F.lit(1)) > 2, F.sqrt(F.sum(F.col("e") * F.col("e")) / (F.count(F.lit(1)) - 2)))
         .alias("sigma"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it from there.
+
+    Used for the hourly training frame and the model table, which several
+    later steps read: the raw events are scanned once, and a lost executor
+    re-reads the checkpoint instead of recomputing from the events.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", seasonality: bool = True,
              order: int = 4, ridge: float = 1.0, training_date: Column | str | None = None,
-             key: str = "ip") -> DataFrame:
+             key: str = "ip", model: DataFrame | None = None) -> DataFrame:
     """Forecast table ``(ds, ip, y, yhat, yhat_upper, yhat_lower, training_date)``.
 
     ``roll_mode``: ``"repredict"`` moves the future grid into business hours and
     predicts there; ``"relabel"`` predicts at the plain next hours and then moves
     only the labels (the values stay those of the unmoved hours); ``"none"``
-    leaves the grid as is.
+    leaves the grid as is.  A stored ``model`` skips the fit.
     """
-    stats = trend_stats(train, key)
-    trend = trend_params(stats)
+    if horizon > MAX_INTERVAL and roll_mode != "none":
+        return _empty_forecast(train)
+    train = materialize(train)
+    if model is None:
+        model = materialize(fit(train, seasonality, order, ridge, key))
     grid = grid_with_history(train, horizon, key)
     if roll_mode == "repredict":
         grid = business_hours_roll(grid, key, horizon)
-        if grid is None:
-            return _empty_forecast(train)
-    seas = seasonal_params(train, trend, order, ridge, key=key) if seasonality else None
-    if seas is not None:
-        fitted = predict(grid.where(~F.col("is_future")), trend, seas, order, key=key)
-        sig = residual_sigma(train, fitted, key)
-        out = predict(grid, trend, seas, order, key=key, sigma=sig)
-    else:
-        out = predict(grid, trend, None, order, key=key)
+    out = predict(grid, model, order, key=key)
     if roll_mode == "relabel":
         out = business_hours_roll(out, key, horizon)
-        if out is None:
-            return _empty_forecast(train)
     td = training_date if training_date is not None else F.current_date()
     td = F.to_date(F.lit(td)) if isinstance(td, str) else td
     return out.select("ds", key, "y", "yhat", "yhat_upper", "yhat_lower", td.alias("training_date"))
 
 
+def save_model(model: DataFrame, path: str, data_type: str) -> str:
+    """Store a model table under ``path``, partition ``data_type`` (replaced as a whole)."""
+    (model.withColumn("data_type", F.lit(data_type)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("data_type").parquet(path))
+    return path
+
+
+def load_model(spark, path: str, data_type: str) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("data_type") == data_type).drop("data_type")
+
+
 def _empty_forecast(train: DataFrame) -> DataFrame:
     from ..schema import FORECAST_SCHEMA
     return train.sparkSession.createDataFrame([], FORECAST_SCHEMA)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import dense_index
+from ..session import checkpoint_root
 from .windows import lag_by_key
 
 # Numeric inputs of the feature vector, after the one-hot key.
@@ -68,7 +69,10 @@ def complete_feature_rows(logs_with_lag: DataFrame, prev_col: str = "prev_unq_ds
 
 def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None, seed: int = 42,
                     max_iter: int = 20) -> tuple[PipelineModel, DataFrame]:
-    feats = add_lag_feature(logs)
+    # every estimator stage and boosting round re-reads the features: write
+    # them once to the checkpoint folder instead of recomputing the lag window
+    checkpoint_root(logs.sparkSession)
+    feats = add_lag_feature(logs).checkpoint(eager=True)
     train, test = time_split(feats, cutoff)
     model = regression_pipeline(seed=seed, max_iter=max_iter).fit(train)
     if model_path:
