@@ -21,12 +21,15 @@ def series_labels(data_type: str | Column, ip: str | Column) -> Column:
     return F.create_map(F.lit("srcIP"), k, F.lit("dataType"), dt)
 
 
-def pseudo_ip(key: str | Column, salt: str, round_: int | Column = 0) -> Column:
-    """Deterministic pseudo-IPv4 of a key: four octets from a salted SHA-256."""
+def pseudo_ip(key: str | Column, salt: str, round_: int | Column = 0, octets: int = 4) -> Column:
+    """Deterministic pseudo-IPv4 of a key: four octets from a salted SHA-256.
+
+    ``octets`` below 4 shrinks the code space (tests use it to force collisions).
+    """
     k = F.col(key) if isinstance(key, str) else key
     r = round_ if isinstance(round_, Column) else F.lit(round_)
     h = F.sha2(F.concat_ws("|", F.lit(salt), r.cast("string"), k), 256)
-    octets = [F.conv(F.substring(h, 1 + 2 * i, 2), 16, 10) for i in range(4)]
+    octets = [F.conv(F.substring(h, 1 + 2 * i, 2), 16, 10) for i in range(octets)]
     return F.concat_ws(".", *octets)
 
 

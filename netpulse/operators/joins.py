@@ -65,7 +65,7 @@ def registered_only(df: DataFrame, registry: DataFrame, df_key: str = "ip", reg_
 
 
 def pseudonym_map(df: DataFrame, key: str = "src_ip", salt: str = "netpulse",
-                  max_rounds: int = 16) -> DataFrame:
+                  max_rounds: int = 64, octets: int = 4) -> DataFrame:
     """Distinct key -> unique pseudo-IP.
 
     Round 0 hashes every key.  Keys that share a pseudo-IP with a smaller key
@@ -73,7 +73,7 @@ def pseudonym_map(df: DataFrame, key: str = "src_ip", salt: str = "netpulse",
     round checkpoints the map so its lineage stays short.  Only counts reach
     the driver.
     """
-    m = df.select(key).distinct().withColumn("pseudo", pseudo_ip(key, salt, 0)) \
+    m = df.select(key).distinct().withColumn("pseudo", pseudo_ip(key, salt, 0, octets)) \
         .withColumn("_round", F.lit(0))
     for r in range(1, max_rounds + 1):
         owner = m.groupBy("pseudo").agg(F.min(key).alias("_owner"))
@@ -81,7 +81,7 @@ def pseudonym_map(df: DataFrame, key: str = "src_ip", salt: str = "netpulse",
         if losers.limit(1).count() == 0:
             return m.select(key, "pseudo")
         redo = m.join(losers, key, "left_semi") \
-            .withColumn("pseudo", pseudo_ip(key, salt, r)).withColumn("_round", F.lit(r))
+            .withColumn("pseudo", pseudo_ip(key, salt, r, octets)).withColumn("_round", F.lit(r))
         m = m.join(losers, key, "left_anti").unionByName(redo).checkpoint(eager=True)
     raise RuntimeError("pseudonym collisions left after max_rounds")
 
