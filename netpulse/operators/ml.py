@@ -71,8 +71,10 @@ def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None,
                     max_iter: int = 20) -> tuple[PipelineModel, DataFrame]:
     # every estimator stage and boosting round re-reads the features: write
     # them once to the checkpoint folder instead of recomputing the lag window
-    checkpoint_root(logs.sparkSession)
-    feats = add_lag_feature(logs).checkpoint(eager=True)
+    spark = logs.sparkSession
+    checkpoint_root(spark)
+    # spread the table over all cores: each boosting round is a pass over it
+    feats = add_lag_feature(logs).repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
     train, test = time_split(feats, cutoff)
     model = regression_pipeline(seed=seed, max_iter=max_iter).fit(train)
     if model_path:

@@ -23,12 +23,17 @@ def to_series(logs: DataFrame, metrics: list[str] | None = None, arrival: str =
     """Long series table ``(ip, data_type, ds, value, arrival)`` at hourly samples.
 
     A second write to the same (ip, data_type, hour) is rejected: the first
-    arrival wins, as in a time-series store with the block policy.
+    arrival wins, as in a time-series store with the block policy.  A log
+    record writes all its metrics at one time, so the first arrival is the
+    same record for every metric: it is chosen once per (ip, hour) and the
+    metrics are unpivoted after, which aggregates 1/len(metrics) of the rows.
     """
-    long = unpivot_metrics(logs, ["event_id", "src_ip", "timestamp"], metrics)
-    samples = long.select(F.col("src_ip").alias("ip"), "data_type", hour_floor("timestamp").alias("ds"),
-                          "value", F.col("event_id").alias("arrival"))
-    return first_write_wins(samples, ["ip", "data_type", "ds"], "arrival")
+    metrics = metrics or METRICS
+    hourly = logs.select(F.col("src_ip").alias("ip"), hour_floor("timestamp").alias("ds"),
+                         F.col(arrival).alias("arrival"), *[F.col(m).cast("double").alias(m) for m in metrics])
+    first = first_write_wins(hourly, ["ip", "ds"], "arrival")
+    return first.unpivot(["ip", "ds", "arrival"], metrics, "data_type", "value") \
+        .select("ip", "data_type", "ds", "value", "arrival")
 
 
 def series_collect(series: DataFrame, chunk: str = "day") -> DataFrame:

@@ -96,7 +96,7 @@ def test_assembler_skips_first_row_of_each_key(spark):
     assert kept.count() == logs.count() - logs.select("src_ip").distinct().count()
 
 
-PY_OK = {"forecast_job", "per_key_apply"}
+PY_OK = {"forecast_job", "per_key_apply", "stream_dedup"}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"gbt_predict"}))
