@@ -55,28 +55,43 @@ def trend_stats(train: DataFrame, key: str = "ip") -> DataFrame:
                  F.sum(F.col("y") * F.col("y")).alias("syy")))
 
 
-def trend_params(stats: DataFrame) -> DataFrame:
+def trend_params(stats: DataFrame, trend: str = "auto") -> DataFrame:
     """Slope, means and residual scale from the sums.
 
-    ``yhat(t) = mean_y + slope * (t - mean_t)``; ``sigma`` is the residual
-    standard deviation (n - 2 degrees of freedom).  Fewer than two points give
-    ``status = 'insufficient_history'`` and no slope.
+    ``yhat(t) = mean_y + slope * (t - mean_t)``.  ``trend``: ``"linear"``
+    keeps the least-squares slope; ``"flat"`` uses the mean; ``"auto"`` keeps
+    the slope only where it pays for its parameter by the Bayesian information
+    criterion, ``n * ln(SSE_flat / SSE_line) > ln(n)`` - a slope fitted to
+    noise and extrapolated adds error.  ``sigma`` is the residual standard
+    deviation of the chosen line.  Fewer than two points give
+    ``status = 'insufficient_history'``.
     """
     n, st, stt, sy, sty, syy = (F.col(c) for c in ("n", "st", "stt", "sy", "sty", "syy"))
     den = (_dec(n) * _dec(stt) - _dec(st) * _dec(st)).cast("double")
     num = n * sty - st * sy
-    slope = F.when(den > 0, num / den).otherwise(F.lit(0.0))
-    return stats.select(
-        "*",
-        (st / n).alias("mean_t"),
-        (sy / n).alias("mean_y"),
-        slope.alias("slope"),
-    ).withColumn(
-        "sse", (n * syy - sy * sy) / n - F.col("slope") * num / n
-    ).withColumn(
-        "sigma", F.when(n > 2, F.sqrt(F.greatest(F.col("sse"), F.lit(0.0)) / (n - 2)))
-    ).withColumn(
-        "status", F.when(n < 2, F.lit("insufficient_history")).otherwise(F.lit("ok"))
+    ols = F.when(den > 0, num / den).otherwise(F.lit(0.0))
+    base = stats.select("*", (st / n).alias("mean_t"), (sy / n).alias("mean_y"), ols.alias("ols_slope")) \
+        .withColumn("sse_flat", (n * syy - sy * sy) / n) \
+        .withColumn("sse_line", F.col("sse_flat") - F.col("ols_slope") * num / n)
+    if trend == "linear":
+        keep = n >= 2
+    elif trend == "flat":
+        keep = F.lit(False)
+    else:
+        keep = F.when(n <= 2, F.lit(False)).when(F.col("sse_line") <= 0, F.lit(True)) \
+            .otherwise(n * F.log(F.col("sse_flat") / F.col("sse_line")) > F.log(n))
+    out = base.withColumn("trend_kept", keep)
+    kept = F.col("trend_kept")
+    sse = F.when(kept, F.col("sse_line")).otherwise(F.col("sse_flat"))
+    dof = F.when(kept, n - 2).otherwise(n - 1)
+    sums = ("n", "st", "stt", "sy", "sty", "syy")
+    return out.select(
+        *[c for c in stats.columns if c not in sums],
+        *sums, "mean_t", "mean_y", "ols_slope", "trend_kept",
+        F.when(kept, F.col("ols_slope")).otherwise(F.lit(0.0)).alias("slope"),
+        sse.alias("sse"),
+        F.when(dof > 0, F.sqrt(F.greatest(sse, F.lit(0.0)) / dof)).alias("sigma"),
+        F.when(n < 2, F.lit("insufficient_history")).otherwise(F.lit("ok")).alias("status"),
     )
 
 
@@ -109,7 +124,7 @@ def fourier_terms(ds: Column, order: int, period_days: float = 1.0) -> list[Colu
     return out
 
 
-def _solve_batch(order: int, ridge: float):
+def _solve_batch(order: int, ridge: float, select: bool):
     m = 2 * order
     pairs = [(i, j) for i in range(m) for j in range(i, m)]
     beta_cols = [f"beta_{i}" for i in range(m)]
@@ -117,7 +132,8 @@ def _solve_batch(order: int, ridge: float):
     def solve(batches):
         for pdf in batches:
             if pdf.empty:
-                yield pd.DataFrame({"ip": pd.Series(dtype=str), **{c: pd.Series(dtype=float) for c in beta_cols}})
+                yield pd.DataFrame({"ip": pd.Series(dtype=str), **{c: pd.Series(dtype=float) for c in beta_cols},
+                                    "season_kept": pd.Series(dtype=bool)})
                 continue
             k = len(pdf)
             a = np.zeros((k, m, m))
@@ -126,26 +142,37 @@ def _solve_batch(order: int, ridge: float):
                 a[:, i, j] = v
                 a[:, j, i] = v
             b = np.stack([pdf[f"xr_{i}"].to_numpy(dtype=float) for i in range(m)], axis=1)
-            a += ridge * np.eye(m)[None, :, :]
-            beta = np.linalg.solve(a, b[:, :, None])[:, :, 0]
+            beta = np.linalg.solve(a + ridge * np.eye(m)[None, :, :], b[:, :, None])[:, :, 0]
+            kept = np.ones(k, dtype=bool)
+            if select:
+                # keep the terms only where they pay for their m parameters (BIC)
+                rr = pdf["rr"].to_numpy(dtype=float)
+                nr = pdf["nr"].to_numpy(dtype=float)
+                sse = rr - 2 * np.einsum("ki,ki->k", beta, b) + np.einsum("ki,kij,kj->k", beta, a, beta)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    gain = nr * np.log(rr / sse)
+                kept = (nr > m + 2) & ((sse <= 0) | (gain > m * np.log(np.maximum(nr, 1.0))))
+                beta = np.where(kept[:, None], beta, 0.0)
             out = pd.DataFrame(beta, columns=beta_cols)
             out.insert(0, "ip", pdf["ip"].to_numpy())
+            out["season_kept"] = kept
             yield out
 
     schema = T.StructType([T.StructField("ip", T.StringType())]
-                          + [T.StructField(c, T.DoubleType()) for c in beta_cols])
+                          + [T.StructField(c, T.DoubleType()) for c in beta_cols]
+                          + [T.StructField("season_kept", T.BooleanType())])
     return solve, schema, pairs
 
 
 def seasonal_params(train: DataFrame, trend: DataFrame, order: int = 4, ridge: float = 1.0,
-                    min_trend: float = 1e-9, key: str = "ip") -> DataFrame:
+                    min_trend: float = 1e-9, key: str = "ip", select: bool = True) -> DataFrame:
     """Ridge fit of ``y/g - 1`` on the Fourier terms, per key.
 
     The normal equations are per-key sums (``xx_i_j``, ``xr_i``); the table
     handed to numpy has one row per key.
     """
     m = 2 * order
-    solve, schema, pairs = _solve_batch(order, ridge)
+    solve, schema, pairs = _solve_batch(order, ridge, select)
     g = trend_value(epoch_hours("ds").cast("double"))
     joined = train.where(F.col("y").isNotNull()).join(
         trend.where(F.col("status") == "ok").select(key, "mean_t", "mean_y", "slope"), key)
@@ -155,6 +182,7 @@ def seasonal_params(train: DataFrame, trend: DataFrame, order: int = 4, ridge: f
         .withColumn("r", F.col("y") / F.col("g") - 1)
     aggs = [F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"xx_{i}_{j}") for (i, j) in pairs]
     aggs += [F.sum(F.col(f"x_{i}") * F.col("r")).alias(f"xr_{i}") for i in range(m)]
+    aggs += [F.sum(F.col("r") * F.col("r")).alias("rr"), F.count(F.lit(1)).alias("nr")]
     sums = rows.groupBy(key).agg(*aggs)
     return sums.mapInPandas(solve, schema)
 
@@ -183,26 +211,33 @@ def business_hours_roll(grid: DataFrame, key: str = "ip", interval: int = 8, sta
     return grid.where(~F.col("is_future")).unionByName(rolled)
 
 
-def fit(train: DataFrame, seasonality: bool = True, order: int = 4, ridge: float = 1.0,
-        key: str = "ip") -> DataFrame:
+def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = 4, ridge: float = 1.0,
+        key: str = "ip", trend: str = "auto") -> DataFrame:
     """Model table: one row per key with the trend, the Fourier weights
     (``beta_i``, zero without seasonality), ``sigma`` and ``status``.
 
-    The table is the stored form of the model (see ``save_model``).
+    ``seasonality``: ``True`` always fits the daily terms, ``False`` never,
+    ``"auto"`` keeps them per key only where they pass the information
+    criterion.  ``trend``: see ``trend_params``.  The table is the stored form
+    of the model (see ``save_model``).
     """
-    trend = trend_params(trend_stats(train, key))
+    tp = trend_params(trend_stats(train, key), trend)
     m = 2 * order
-    if not seasonality:
-        return trend.select("*", *[F.lit(0.0).alias(f"beta_{i}") for i in range(m)],
-                            F.lit(order).alias("order"))
-    seas = seasonal_params(train, trend, order, ridge, key=key)
-    model = trend.drop("sigma").join(seas, key, "left") \
-        .select(*[c for c in trend.columns if c != "sigma"],
+    if seasonality is False:
+        return tp.select("*", *[F.lit(0.0).alias(f"beta_{i}") for i in range(m)],
+                         F.lit(False).alias("season_kept"), F.lit(order).alias("order"))
+    seas = seasonal_params(train, tp, order, ridge, key=key, select=(seasonality == "auto"))
+    model = tp.drop("sigma").join(seas, key, "left") \
+        .select(*[c for c in tp.columns if c != "sigma"],
                 *[F.coalesce(F.col(f"beta_{i}"), F.lit(0.0)).alias(f"beta_{i}") for i in range(m)],
+                F.coalesce(F.col("season_kept"), F.lit(False)).alias("season_kept"),
                 F.lit(order).alias("order"))
     hist = train.where(F.col("y").isNotNull()).select(key, "ds", "y", F.lit(False).alias("is_future"))
-    sig = residual_sigma(predict(hist, model.withColumn("sigma", F.lit(None).cast("double")), order, key=key), key)
-    return model.join(sig, key, "left")
+    fitted = predict(hist, model.withColumn("sigma", F.lit(None).cast("double")), order, key=key)
+    dof = F.lit(1) + F.col("trend_kept").cast("int") + F.when(F.col("season_kept"), F.lit(m)).otherwise(0)
+    sig = residual_sigma(fitted.join(model.select(key, dof.alias("_dof")), key), key)
+    return model.join(sig, key, "left").withColumn(
+        "sigma", F.coalesce(F.col("sigma"), F.lit(None).cast("double")))
 
 
 def predict(grid: DataFrame, model: DataFrame, order: int = 4, z: float = Z95, key: str = "ip") -> DataFrame:
@@ -226,11 +261,13 @@ def predict(grid: DataFrame, model: DataFrame, order: int = 4, z: float = Z95, k
 
 
 def residual_sigma(fitted: DataFrame, key: str = "ip") -> DataFrame:
-    """Residual standard deviation of fitted values (n - 2 degrees of freedom)."""
-    r = fitted.where(F.col("y").isNotNull()).select(key, (F.col("y") - F.col("yhat")).alias("e"))
+    """Residual standard deviation of fitted values; ``_dof`` (if present) is
+    the number of fitted parameters per key, else 2."""
+    p = F.col("_dof") if "_dof" in fitted.columns else F.lit(2)
+    r = fitted.where(F.col("y").isNotNull()).select(key, (F.col("y") - F.col("yhat")).alias("e"), p.alias("_p"))
+    n = F.count(F.lit(1))
     return r.groupBy(key).agg(
-        F.when(F.count(F.lit(1)) > 2, F.sqrt(F.sum(F.col("e") * F.col("e")) / (F.count(F.lit(1)) - 2)))
-        .alias("sigma"))
+        F.when(n > F.max("_p"), F.sqrt(F.sum(F.col("e") * F.col("e")) / (n - F.max("_p")))).alias("sigma"))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -244,9 +281,9 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", seasonality: bool = True,
+def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", seasonality: bool | str = "auto",
              order: int = 4, ridge: float = 1.0, training_date: Column | str | None = None,
-             key: str = "ip", model: DataFrame | None = None) -> DataFrame:
+             key: str = "ip", model: DataFrame | None = None, trend: str = "auto") -> DataFrame:
     """Forecast table ``(ds, ip, y, yhat, yhat_upper, yhat_lower, training_date)``.
 
     ``roll_mode``: ``"repredict"`` moves the future grid into business hours and
@@ -258,7 +295,7 @@ def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", s
         return _empty_forecast(train)
     train = materialize(train)
     if model is None:
-        model = materialize(fit(train, seasonality, order, ridge, key))
+        model = materialize(fit(train, seasonality, order, ridge, key, trend))
     grid = grid_with_history(train, horizon, key)
     if roll_mode == "repredict":
         grid = business_hours_roll(grid, key, horizon)

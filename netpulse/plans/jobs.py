@@ -21,14 +21,15 @@ from ..sinks.files import write_table
 
 
 def forecast_job(logs: DataFrame, metric: str = "unq_dst_ip", horizon: int = 8, roll_mode: str = "repredict",
-                 seasonality: bool = True, training_date=None, order: int = 4, ridge: float = 1.0) -> DataFrame:
+                 seasonality: bool | str = "auto", training_date=None, order: int = 4, ridge: float = 1.0,
+                 trend: str = "auto") -> DataFrame:
     """Forecast table of every source for ``metric``.
 
     Empty input gives an empty table of the forecast schema (no error).
     """
     train = sum_by_key_hour(logs, metric)
     return forecast(train, horizon=horizon, roll_mode=roll_mode, seasonality=seasonality,
-                    order=order, ridge=ridge, training_date=training_date)
+                    order=order, ridge=ridge, training_date=training_date, trend=trend)
 
 
 def regression_job(logs: DataFrame, cutoff: str, model_path: str | None = None, seed: int = 42,

@@ -69,14 +69,24 @@ def _trend(train: str = "train", p: str = "") -> str:
          n * sty - st * sy AS num
   FROM {p}stats),
 {p}p1 AS (
-  SELECT *, st / n AS mean_t, sy / n AS mean_y, CASE WHEN den > 0 THEN num / den ELSE 0.0 END AS slope
+  SELECT *, st / n AS mean_t, sy / n AS mean_y, CASE WHEN den > 0 THEN num / den ELSE 0.0 END AS ols_slope
   FROM {p}p0),
-{p}p2 AS (SELECT *, (n * syy - sy * sy) / n - slope * num / n AS sse FROM {p}p1),
+{p}p2 AS (SELECT *, (n * syy - sy * sy) / n AS sse_flat FROM {p}p1),
+{p}p3 AS (SELECT *, sse_flat - ols_slope * num / n AS sse_line FROM {p}p2),
+{p}p4 AS (
+  SELECT *, CASE WHEN n <= 2 THEN false WHEN sse_line <= 0 THEN true
+                 ELSE n * ln(sse_flat / sse_line) > ln(n) END AS trend_kept
+  FROM {p}p3),
+{p}p5 AS (
+  SELECT *, CASE WHEN trend_kept THEN sse_line ELSE sse_flat END AS sse,
+         CASE WHEN trend_kept THEN n - 2 ELSE n - 1 END AS dof
+  FROM {p}p4),
 {p}params AS (
-  SELECT ip, n, st, stt, sy, sty, syy, mean_t, mean_y, slope, sse,
-         CASE WHEN n > 2 THEN sqrt(greatest(sse, 0.0) / (n - 2)) END AS sigma,
+  SELECT ip, n, st, stt, sy, sty, syy, mean_t, mean_y, ols_slope, trend_kept,
+         CASE WHEN trend_kept THEN ols_slope ELSE 0.0 END AS slope, sse,
+         CASE WHEN dof > 0 THEN sqrt(greatest(sse, 0.0) / dof) END AS sigma,
          CASE WHEN n < 2 THEN 'insufficient_history' ELSE 'ok' END AS status
-  FROM {p}p2)"""
+  FROM {p}p5)"""
 
 
 def _grid(train: str = "train", p: str = "") -> str:

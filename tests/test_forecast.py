@@ -179,3 +179,12 @@ def test_relabel_moves_labels_only(spark):
     # rows moved to 08:00 end by 18:00: no future row is left after hours
     assert moved.where("y IS NULL AND hour(ds) > 18").count() == 0
     assert plain.where("y IS NULL AND hour(ds) > 18").count() > 0
+
+
+def test_auto_selection_keeps_real_structure_and_drops_noise(spark):
+    seasonal = _synthetic(spark, n_keys=10, days=10).checkpoint()
+    m = fc.fit(seasonal, "auto", trend="auto").collect()
+    assert all(r.season_kept and r.trend_kept for r in m)
+    noise = seasonal.select("ip", "ds", (F.randn(11) * 5 + 50).alias("y"))
+    m = fc.fit(noise, "auto", trend="auto").collect()
+    assert sum(r.season_kept for r in m) <= 2 and sum(r.trend_kept for r in m) <= 2
