@@ -14,13 +14,17 @@ def forecast_merge(old: DataFrame, new: DataFrame) -> DataFrame:
       ``(ip, ds)``; a non-null ``y`` is never changed; no match stays null;
     * the new table's rows with null ``y`` (its pending forecasts) are added.
 
-    The new table holds one row per ``(ip, ds)``; ``max`` makes the look-up
-    side unique even if it did not.
+    Only the old table's pending rows (a horizon per source and run) enter
+    the join; its observed rows, the bulk of a growing table, pass through
+    without a shuffle.  The new table holds one row per ``(ip, ds)``; ``max``
+    makes the look-up side unique even if it did not.
     """
     observed = new.where(F.col("y").isNotNull()).groupBy("ip", "ds").agg(F.max("y").alias("_new_y"))
-    updated = old.join(observed, ["ip", "ds"], "left") \
-        .withColumn("y", F.coalesce(F.col("y"), F.col("_new_y"))).drop("_new_y")
-    return updated.select(*old.columns).unionByName(new.where(F.col("y").isNull()).select(*old.columns))
+    pending = old.where(F.col("y").isNull())
+    filled = pending.join(observed, ["ip", "ds"], "left") \
+        .withColumn("y", F.col("_new_y")).drop("_new_y").select(*old.columns)
+    return old.where(F.col("y").isNotNull()).unionByName(filled) \
+        .unionByName(new.where(F.col("y").isNull()).select(*old.columns))
 
 
 def forecast_pending(fc: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Ordered, per-key operators: lag, last-n, first-write-wins, top rows.
 
 A window partitioned by the key alone puts a hot key (a third of all rows, say)
-in one task.  ``lag_by_key`` therefore windows over (key, time bucket) and
-patches the first row of each bucket with the last value of the key's previous
-bucket, taken from a per-bucket aggregate.  ``tail_n_per_key`` is a ranking
+in one task.  ``lag_by_key`` therefore windows over (key, time bucket), with
+finer buckets where a bucket is hot, and patches the first row of each bucket
+with the last value of the key's previous bucket, taken from a per-bucket
+aggregate.  ``tail_n_per_key`` is a ranking
 filter, which Spark plans with a partial group limit before the shuffle, so at
 most n rows per key and input partition travel.
 """
@@ -15,15 +16,31 @@ from pyspark.sql import functions as F
 
 
 def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
-               bucket_seconds: int = 86400, time_col: str | None = None) -> DataFrame:
+               bucket_seconds: int = 86400, fine_seconds: int = 60, max_bucket_rows: int | None = 2_000_000,
+               time_col: str | None = None) -> DataFrame:
     """Previous ``value`` per key in ``order`` (first row of a key: null).
 
     ``order`` must be a total order within a key, its first column a time.
-    Rows are windowed per (key, bucket of ``bucket_seconds``).
+    Rows are windowed per (key, time bucket).  Buckets are ``bucket_seconds``
+    long; a (key, bucket) with more than ``max_bucket_rows`` rows is cut into
+    ``fine_seconds`` buckets instead, so a hot key is spread over many tasks.
+    The list of such hot buckets has at most rows / ``max_bucket_rows``
+    entries, which bounds its broadcast.  Bucket ids are bucket start times,
+    so coarse and fine buckets of one key stay in time order.
     """
-    t = F.col(time_col or order[0])
-    bucket = F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
-    b = df.withColumn("_b", bucket)
+    t = F.unix_micros(F.col(time_col or order[0]).cast("timestamp"))
+    coarse_us, fine_us = bucket_seconds * 1_000_000, fine_seconds * 1_000_000
+    coarse = (F.floor(t / F.lit(coarse_us)) * F.lit(coarse_us)).cast("bigint")
+    fine = (F.floor(t / F.lit(fine_us)) * F.lit(fine_us)).cast("bigint")
+    b = df.withColumn("_cb", coarse)
+    if max_bucket_rows:
+        hot = b.groupBy(key, "_cb").agg(F.count(F.lit(1)).alias("_n")) \
+            .where(F.col("_n") > max_bucket_rows).select(key, "_cb", F.lit(True).alias("_hot"))
+        b = b.join(F.broadcast(hot), [key, "_cb"], "left") \
+            .withColumn("_b", F.when(F.col("_hot"), fine).otherwise(F.col("_cb"))).drop("_hot")
+    else:
+        b = b.withColumn("_b", F.col("_cb"))
+    b = b.drop("_cb")
     w = Window.partitionBy(key, "_b").orderBy(*order)
     inner = b.withColumn(out, F.lag(value).over(w)) \
              .withColumn("_first", F.row_number().over(w) == 1)

@@ -32,9 +32,12 @@ def json_records(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def write_history(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Append history rows, each file sorted by (ip, ds)."""
-    w = df.repartition(*[F.col(c) for c in (partition_by or ["ip"])]) \
-          .sortWithinPartitions("ip", "ds").write.mode("append")
+    """Append history rows; files hold contiguous (ip, ds) ranges, sorted.
+
+    Range partitioning on (ip, ds) splits a hot source over several files
+    instead of hashing all of it to one writer task.
+    """
+    w = df.repartitionByRange("ip", "ds").sortWithinPartitions("ip", "ds").write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -80,3 +80,14 @@ def test_bounded_broadcast_respects_bound(spark):
         assert "BroadcastHashJoin" not in plan_text(over)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_buckets_split_finer_and_stay_exact(spark):
+    logs = read_logs(spark, SF_MID).select("event_id", "src_ip", "timestamp", "unq_dst_ip")
+    # one source holds a third of all rows
+    hot = logs.withColumn("src_ip", F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("src_ip")))
+    got = windows.lag_by_key(hot, "src_ip", ["timestamp", "event_id"], "unq_dst_ip", "prev",
+                             bucket_seconds=86400, fine_seconds=600, max_bucket_rows=20)
+    w = Window.partitionBy("src_ip").orderBy("timestamp", "event_id")
+    want = hot.withColumn("prev", F.lag("unq_dst_ip").over(w))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
