@@ -48,3 +48,15 @@ def type_payload(decoded: DataFrame) -> DataFrame:
             out.append(tolerant_number(f.name, f.dataType.simpleString()).alias(f.name))
     rest = [c for c in decoded.columns if c not in LOG_FIELDS]
     return decoded.select(*rest, *out)
+
+
+def split_malformed(records: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(decoded, quarantine)``: records whose text is not a JSON object go to
+    the quarantine frame with their raw value, the rest are decoded.  The
+    check is a parse into a string map, with no shuffle and no driver step."""
+    parsed = records.withColumn("_doc", F.from_json(F.col(value_col).cast("string"),
+                                                    T.MapType(T.StringType(), T.StringType()),
+                                                    {"mode": "PERMISSIVE"}))
+    good = decode_payload(parsed.where(F.col("_doc").isNotNull()).drop("_doc"), value_col)
+    bad = parsed.where(F.col("_doc").isNull()).drop("_doc")
+    return good, bad

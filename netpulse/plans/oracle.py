@@ -197,7 +197,7 @@ SELECT event_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS ts_text,
     "add_hours": _with(LOGS) + f"""SELECT event_id, "timestamp" + INTERVAL {HORIZON} HOUR AS ds FROM logs""",
     "run_stamp": _with(LOGS) + """SELECT event_id, strftime("timestamp", '%y%m%d_%H%M') AS stamp FROM logs""",
     "future_grid": _with(LOGS, _train(), _grid()) + "SELECT ip, ds FROM fut",
-    "business_hours_roll": _with(LOGS, _train(), _grid()) + "SELECT ip, base_ds, ds, hour(ds) AS hour FROM rolled",
+    "business_hours_roll": _with(LOGS, _train(), _grid()) + "SELECT ip, base_ds, ds, CAST(hour(ds) AS INTEGER) AS hour FROM rolled",
     # aggregates
     "avg_by_key": _with(LOGS) + "SELECT src_ip, avg(unq_dst_ip) AS avg_unq_dst_ip FROM logs GROUP BY src_ip",
     "sum_by_key_hour": _with(LOGS, _train()) + "SELECT ip, ds, y FROM train ORDER BY ip, ds",
@@ -211,7 +211,7 @@ SELECT ip, count(*) AS n, sqrt(sum((y - y_prev) * (y - y_prev)) / count(*)) AS r
 FROM lagged WHERE y IS NOT NULL AND y_prev IS NOT NULL GROUP BY ROLLUP (ip)""",
     "trend_fit": _with(LOGS, _train(), _trend()) + "SELECT * FROM params",
     "seasonal_index": _with(LOGS, _train()) + """
-, by_hour AS (SELECT ip, hour(ds) AS hour, sum(y) AS sy_h, count(*) AS n_h FROM train GROUP BY 1, 2),
+, by_hour AS (SELECT ip, CAST(hour(ds) AS INTEGER) AS hour, sum(y) AS sy_h, count(*) AS n_h FROM train GROUP BY 1, 2),
 overall AS (SELECT ip, sum(y) AS sy, count(*) AS n FROM train GROUP BY 1)
 SELECT b.ip, b.hour, b.n_h, CASE WHEN o.sy <> 0 THEN (b.sy_h / b.n_h) / (o.sy / o.n) - 1 END AS "index"
 FROM by_hour b JOIN overall o ON b.ip = o.ip""",

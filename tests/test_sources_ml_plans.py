@@ -129,3 +129,29 @@ def test_routing_broadcasts_bounded_map(spark):
 def test_top_n_limits_before_shuffle(spark):
     plan = plan_text(entry.queries()["tail_n_per_key"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_quarantine_splits_malformed_records(spark):
+    from netpulse.functions.payload import split_malformed
+    logs = read_logs(spark, SF_SMALL)
+    records = payload_from_logs(logs, malformed_every=50)
+    good, bad = split_malformed(records)
+    n_bad = logs.where("event_id % 50 = 0").count()
+    assert bad.count() == n_bad and good.count() == logs.count() - n_bad
+    assert good.where("src_ip IS NULL").count() == 0
+    assert set(r.value for r in bad.collect()) == {"not json"}
+
+
+def test_prior_forecast_csv_roundtrip(spark):
+    from netpulse.operators.aggregates import sum_by_key_hour
+    from netpulse.operators.forecast import forecast
+    from netpulse.schema import FORECAST_SCHEMA
+    from netpulse.sinks.files import write_csv
+    fc = forecast(sum_by_key_hour(read_logs(spark, SF_SMALL)), seasonality=False, training_date="2024-01-31")
+    path = write_csv(fc.select(*FORECAST_SCHEMA.fieldNames()), scratch_path(spark, "fc_csv"))
+    back = read_typed_csv(spark, path, FORECAST_SCHEMA)
+    assert back.count() == fc.count()
+    assert back.where("y IS NULL").count() == fc.where("y IS NULL").count()
+    a = sorted((r.ip, r.ds, r.training_date) for r in back.collect())
+    b = sorted((r.ip, r.ds, r.training_date) for r in fc.collect())
+    assert a == b
