@@ -25,11 +25,18 @@ def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 
 
 def partition_map(logs: DataFrame, key: str = "src_ip", arrival: str = "event_id",
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, method: str = "ordinal") -> DataFrame:
     """Key -> partition ordinal, numbered 0..n-1 by first appearance.
 
     With ``num_partitions`` the ordinal is folded onto that many partitions.
+    ``method="hash"`` skips the numbering and uses ``pmod(xxhash64(key), n)``:
+    no ordering pass, stable for a key whatever else arrives.
     """
+    if method == "hash":
+        if not num_partitions:
+            raise ValueError("method='hash' needs num_partitions")
+        return logs.select(key).distinct().select(
+            key, F.pmod(F.xxhash64(F.col(key)), F.lit(num_partitions)).cast("int").alias("partition"))
     first = logs.groupBy(key).agg(F.min(arrival).alias("_first"))
     m = dense_index(first, [F.col("_first"), F.col(key)], "partition").select(key, "partition")
     if num_partitions:

@@ -23,6 +23,7 @@ from ..schema import LOG_SCHEMA, LOG_STREAM_SCHEMA, TIMESTAMP_FORMAT
 from ..session import configure, scratch_path
 from ..sinks import files as sinks
 from ..sources.files import read_json_lines, read_typed_csv
+from ..sources.series import range_scan, write_series
 from ..sources.stream import RECORD_SCHEMA, read_log_stream
 from ..sources.tables import (customer_allowlist, customer_registry, payload_from_logs, read_logs)
 from ..streaming import jobs as sj
@@ -103,10 +104,8 @@ def q_rows_to_json(spark, sf_dir):
 
 
 def q_series_range(spark, sf_dir):
-    path = sinks.write_table(_series(spark, sf_dir).drop("arrival"), scratch_path(spark, "series"), ["data_type"])
-    s = spark.read.parquet(path)
-    return s.where((F.col("data_type") == "unq_dst_ip")
-                   & F.col("ds").between(_ts(RANGE_START), _ts(RANGE_END))).select("ip", "data_type", "ds", "value")
+    path = write_series(_series(spark, sf_dir), scratch_path(spark, "series"))
+    return range_scan(spark, path, "unq_dst_ip", RANGE_START, RANGE_END)
 
 
 # ------------------------------------------------------------------ sinks

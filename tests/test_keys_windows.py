@@ -91,3 +91,10 @@ def test_hot_buckets_split_finer_and_stay_exact(spark):
     w = Window.partitionBy("src_ip").orderBy("timestamp", "event_id")
     want = hot.withColumn("prev", F.lag("unq_dst_ip").over(w))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_hash_partition_map(spark):
+    logs = read_logs(spark, SF_MID)
+    m = joins.partition_map(logs, method="hash", num_partitions=7)
+    parts = [r.partition for r in m.collect()]
+    assert m.count() == 150 and set(parts) <= set(range(7)) and len(set(parts)) == 7
