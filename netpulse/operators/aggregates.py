@@ -10,7 +10,14 @@ from ..functions.timefmt import hour_floor
 
 
 def avg_by_key(df: DataFrame, key: str = "src_ip", metric: str | Column = "unq_dst_ip",
-               out: str = "avg_unq_dst_ip") -> DataFrame:
+               out: str = "avg_unq_dst_ip", dedup_on: list[str] | None = None,
+               arrival: str = "event_id") -> DataFrame:
+    """Mean of ``metric`` per key.  ``dedup_on`` first keeps one record per
+    those columns (the earliest ``arrival``), so a repeated record is counted
+    once, as the series store counts it."""
+    if dedup_on:
+        from .windows import first_write_wins
+        df = first_write_wins(df, dedup_on, arrival)
     m = F.col(metric) if isinstance(metric, str) else metric
     return df.groupBy(key).agg(F.avg(m).alias(out))
 

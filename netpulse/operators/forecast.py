@@ -124,8 +124,12 @@ def fourier_terms(ds: Column, order: int, period_days: float = 1.0) -> list[Colu
     return out
 
 
-def _solve_batch(order: int, ridge: float, select: bool):
-    m = 2 * order
+def seasonal_terms(ds: Column, order: int, weekly_order: int = 0) -> list[Column]:
+    """Daily terms (period 1 day) then weekly terms (period 7 days)."""
+    return fourier_terms(ds, order, 1.0) + fourier_terms(ds, weekly_order, 7.0)
+
+
+def _solve_batch(m: int, ridge: float, select: bool):
     pairs = [(i, j) for i in range(m) for j in range(i, m)]
     beta_cols = [f"beta_{i}" for i in range(m)]
 
@@ -165,18 +169,19 @@ def _solve_batch(order: int, ridge: float, select: bool):
 
 
 def seasonal_params(train: DataFrame, trend: DataFrame, order: int = 4, ridge: float = 1.0,
-                    min_trend: float = 1e-9, key: str = "ip", select: bool = True) -> DataFrame:
+                    min_trend: float = 1e-9, key: str = "ip", select: bool = True,
+                    weekly_order: int = 0) -> DataFrame:
     """Ridge fit of ``y/g - 1`` on the Fourier terms, per key.
 
     The normal equations are per-key sums (``xx_i_j``, ``xr_i``); the table
     handed to numpy has one row per key.
     """
-    m = 2 * order
-    solve, schema, pairs = _solve_batch(order, ridge, select)
+    m = 2 * (order + weekly_order)
+    solve, schema, pairs = _solve_batch(m, ridge, select)
     g = trend_value(epoch_hours("ds").cast("double"))
     joined = train.where(F.col("y").isNotNull()).join(
         trend.where(F.col("status") == "ok").select(key, "mean_t", "mean_y", "slope"), key)
-    x = fourier_terms(F.col("ds"), order)
+    x = seasonal_terms(F.col("ds"), order, weekly_order)
     rows = joined.select(key, g.alias("g"), F.col("y"), *[c.alias(f"x_{i}") for i, c in enumerate(x)]) \
         .where(F.abs(F.col("g")) > min_trend) \
         .withColumn("r", F.col("y") / F.col("g") - 1)
@@ -211,45 +216,77 @@ def business_hours_roll(grid: DataFrame, key: str = "ip", interval: int = 8, sta
     return grid.where(~F.col("is_future")).unionByName(rolled)
 
 
+def _season_factor(order: int, weekly_order: int) -> Column:
+    """``1 + X beta`` at ``ds`` from joined ``beta_i`` columns."""
+    xb = F.lit(0.0)
+    for i, c in enumerate(seasonal_terms(F.col("ds"), order, weekly_order)):
+        xb = xb + c * F.col(f"beta_{i}")
+    return F.lit(1.0) + xb
+
+
 def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = 4, ridge: float = 1.0,
-        key: str = "ip", trend: str = "auto") -> DataFrame:
+        key: str = "ip", trend: str = "auto", weekly_order: int = 0, refine: int = 2) -> DataFrame:
     """Model table: one row per key with the trend, the Fourier weights
     (``beta_i``, zero without seasonality), ``sigma`` and ``status``.
 
     ``seasonality``: ``True`` always fits the daily terms, ``False`` never,
     ``"auto"`` keeps them per key only where they pass the information
-    criterion.  ``trend``: see ``trend_params``.  The table is the stored form
+    criterion.  ``order`` and ``weekly_order`` are the Fourier orders of the
+    daily and weekly terms (weekly off by default; two weeks of history are
+    needed to identify it).  ``trend``: see ``trend_params``.
+
+    The multiplicative model is fitted by back-fitting: trend, then the
+    seasonal ratio, then ``refine`` more rounds of the trend on the
+    de-seasonalised ``y`` and the ratio on the new trend.  Every round is two
+    per-key aggregations over the hourly frame; the model table between
+    rounds is checkpointed (one row per key).  The table is the stored form
     of the model (see ``save_model``).
     """
     tp = trend_params(trend_stats(train, key), trend)
-    m = 2 * order
+    m = 2 * (order + weekly_order)
+    orders = [F.lit(order).alias("order"), F.lit(weekly_order).alias("weekly_order")]
     if seasonality is False:
         return tp.select("*", *[F.lit(0.0).alias(f"beta_{i}") for i in range(m)],
-                         F.lit(False).alias("season_kept"), F.lit(order).alias("order"))
-    seas = seasonal_params(train, tp, order, ridge, key=key, select=(seasonality == "auto"))
-    model = tp.drop("sigma").join(seas, key, "left") \
-        .select(*[c for c in tp.columns if c != "sigma"],
-                *[F.coalesce(F.col(f"beta_{i}"), F.lit(0.0)).alias(f"beta_{i}") for i in range(m)],
-                F.coalesce(F.col("season_kept"), F.lit(False)).alias("season_kept"),
-                F.lit(order).alias("order"))
+                         F.lit(False).alias("season_kept"), *orders)
+
+    def combine(tp_):
+        seas = seasonal_params(train, tp_, order, ridge, key=key, select=(seasonality == "auto"),
+                               weekly_order=weekly_order)
+        return tp_.drop("sigma").join(seas, key, "left") \
+            .select(*[c for c in tp_.columns if c != "sigma"],
+                    *[F.coalesce(F.col(f"beta_{i}"), F.lit(0.0)).alias(f"beta_{i}") for i in range(m)],
+                    F.coalesce(F.col("season_kept"), F.lit(False)).alias("season_kept"), *orders)
+
+    model = combine(tp)
+    for _ in range(refine):
+        model = materialize(model)
+        if model.where(F.col("season_kept")).limit(1).count() == 0:
+            break  # no source kept seasonal terms: the trend is already final
+        betas = model.select(key, *[f"beta_{i}" for i in range(m)])
+        factor = _season_factor(order, weekly_order)
+        adjusted = train.where(F.col("y").isNotNull()).join(betas, key) \
+            .select(key, "ds", F.when(F.abs(factor) > 1e-9, F.col("y") / factor).alias("y"))
+        model = combine(trend_params(trend_stats(adjusted, key), trend))
     hist = train.where(F.col("y").isNotNull()).select(key, "ds", "y", F.lit(False).alias("is_future"))
-    fitted = predict(hist, model.withColumn("sigma", F.lit(None).cast("double")), order, key=key)
+    fitted = predict(hist, model.withColumn("sigma", F.lit(None).cast("double")), order, key=key,
+                     weekly_order=weekly_order)
     dof = F.lit(1) + F.col("trend_kept").cast("int") + F.when(F.col("season_kept"), F.lit(m)).otherwise(0)
     sig = residual_sigma(fitted.join(model.select(key, dof.alias("_dof")), key), key)
     return model.join(sig, key, "left").withColumn(
         "sigma", F.coalesce(F.col("sigma"), F.lit(None).cast("double")))
 
 
-def predict(grid: DataFrame, model: DataFrame, order: int = 4, z: float = Z95, key: str = "ip") -> DataFrame:
+def predict(grid: DataFrame, model: DataFrame, order: int = 4, z: float = Z95, key: str = "ip",
+            weekly_order: int = 0) -> DataFrame:
     """``yhat`` and the band on every grid row of keys with a fitted model."""
-    m = 2 * order
+    m = 2 * (order + weekly_order)
     p = model.where(F.col("status") == "ok") \
         .select(key, "mean_t", "mean_y", "slope", "sigma", *[f"beta_{i}" for i in range(m)])
     j = grid.join(p, key)
     yhat = trend_value(epoch_hours("ds").cast("double"))
-    if order > 0:
+    if m > 0:
         xb = None
-        for i, c in enumerate(fourier_terms(F.col("ds"), order)):
+        for i, c in enumerate(seasonal_terms(F.col("ds"), order, weekly_order)):
             term = c * F.col(f"beta_{i}")
             xb = term if xb is None else xb + term
         yhat = yhat * (F.lit(1.0) + xb)
@@ -283,7 +320,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", seasonality: bool | str = "auto",
              order: int = 4, ridge: float = 1.0, training_date: Column | str | None = None,
-             key: str = "ip", model: DataFrame | None = None, trend: str = "auto") -> DataFrame:
+             key: str = "ip", model: DataFrame | None = None, trend: str = "auto",
+             weekly_order: int = 0) -> DataFrame:
     """Forecast table ``(ds, ip, y, yhat, yhat_upper, yhat_lower, training_date)``.
 
     ``roll_mode``: ``"repredict"`` moves the future grid into business hours and
@@ -295,11 +333,11 @@ def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", s
         return _empty_forecast(train)
     train = materialize(train)
     if model is None:
-        model = materialize(fit(train, seasonality, order, ridge, key, trend))
+        model = materialize(fit(train, seasonality, order, ridge, key, trend, weekly_order))
     grid = grid_with_history(train, horizon, key)
     if roll_mode == "repredict":
         grid = business_hours_roll(grid, key, horizon)
-    out = predict(grid, model, order, key=key)
+    out = predict(grid, model, order, key=key, weekly_order=weekly_order)
     if roll_mode == "relabel":
         out = business_hours_roll(out, key, horizon)
     td = training_date if training_date is not None else F.current_date()

@@ -72,3 +72,12 @@ def kafka_records(df: DataFrame, key: str, partition: str | None = None) -> Data
 def write_kafka(records: DataFrame, servers: str, topic: str) -> None:
     """Batch write of ``key``/``value``[/``partition``] records (needs the Kafka connector)."""
     records.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
+def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
+                num_partitions: int | None = None) -> None:
+    """Append rows to a relational table (run ``append_new_only`` first to
+    make a retried dump harmless).  ``num_partitions`` caps concurrent
+    connections to the database."""
+    out = df.coalesce(num_partitions) if num_partitions else df
+    out.write.mode("append").jdbc(url, table, properties=properties or {})

@@ -188,3 +188,31 @@ def test_auto_selection_keeps_real_structure_and_drops_noise(spark):
     noise = seasonal.select("ip", "ds", (F.randn(11) * 5 + 50).alias("y"))
     m = fc.fit(noise, "auto", trend="auto").collect()
     assert sum(r.season_kept for r in m) <= 2 and sum(r.trend_kept for r in m) <= 2
+
+
+def test_weekly_terms_recover_weekly_pattern(spark):
+    hours = 28 * 24
+    base = spark.range(6 * hours).select((F.col("id") % 6).cast("string").alias("ip"),
+                                         (F.col("id") / 6).cast("long").alias("h"))
+    ds = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("h"))
+    wk = 1.0 + 0.4 * F.sin(2 * 3.141592653589793 * F.col("h") / (24.0 * 7))
+    train = base.select("ip", ds.alias("ds"), (100.0 * wk + F.randn(5)).alias("y")).checkpoint()
+    hist = train.select("ip", "ds", "y", F.lit(False).alias("is_future"))
+
+    def rmse(weekly):
+        model = fc.fit(train, True, order=4, weekly_order=weekly)
+        pred = fc.predict(hist, model, 4, weekly_order=weekly)
+        return pred.select(F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2))).first()[0]
+
+    assert rmse(3) < 1.2 < rmse(0)
+
+
+def test_avg_with_dedup_counts_repeats_once(spark):
+    from netpulse.operators.aggregates import avg_by_key
+    logs = read_logs(spark, SF_SMALL)
+    late_copies = logs.where("event_id % 2 = 0").withColumn("unq_dst_ip", F.lit(10_000)) \
+        .withColumn("event_id", F.col("event_id") + 1_000_000)  # repeats arrive after the originals
+    twice = logs.unionByName(late_copies)
+    a = {r.src_ip: r.avg_unq_dst_ip for r in avg_by_key(logs).collect()}
+    b = {r.src_ip: r.avg_unq_dst_ip for r in avg_by_key(twice, dedup_on=["src_ip", "timestamp"]).collect()}
+    assert a == b
