@@ -32,8 +32,25 @@ def running_average_typed(logs: DataFrame, metric: str = "unq_dst_ip", key: str
     return logs.groupBy(key).agg(F.avg(metric).alias(out))
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None):
+    """Start a query with ``state_partitions`` shuffle partitions.
+
+    A stateful query keeps the partition count of its first start in its
+    checkpoint for good, so it is chosen here explicitly (default: the
+    cluster's cores) instead of inheriting whatever the session holds.
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def start_changelog(agg: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
-                    query_name: str | None = None):
+                    query_name: str | None = None, state_partitions: int | None = None):
     """Run an aggregate in update mode; each trigger appends the changed keys
     to ``table`` under its ``batch_id``."""
     w = (agg.writeStream.outputMode("update")
@@ -42,7 +59,7 @@ def start_changelog(agg: DataFrame, table: str, checkpoint: str, trigger: dict |
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    return _start(w, agg.sparkSession, state_partitions)
 
 
 def latest_by_key(changelog: DataFrame, key: str = "src_ip", value: str = "avg_unq_dst_ip") -> DataFrame:
@@ -84,11 +101,13 @@ def dedup_within_watermark(logs: DataFrame, keys: list[str] | None = None, ts: s
             .drop("event_time"))
 
 
-def run_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+def run_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                 state_partitions: int | None = None):
     """Append-mode stream into a Parquet folder (exactly-once file sink)."""
-    return (stream.writeStream.outputMode("append").format("parquet")
-            .option("path", path).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+    w = (stream.writeStream.outputMode("append").format("parquet")
+         .option("path", path).option("checkpointLocation", checkpoint)
+         .trigger(**(trigger or {"availableNow": True})))
+    return _start(w, stream.sparkSession, state_partitions)
 
 
 def await_done(query, timeout_s: int = 600) -> None:
