@@ -98,7 +98,8 @@ def replace_keys(df: DataFrame, mapping: DataFrame, key: str = "src_ip", new: st
     """Replace ``key`` by its mapped value; a key missing from the map is an error."""
     m = bounded_broadcast(mapping.select(key, new), max_rows)
     if check:
-        missing = df.select(key).join(m, key, "left_anti").limit(1).count()
+        # distinct keys first (combined map-side), not an anti-join over every row
+        missing = df.select(key).distinct().join(m, key, "left_anti").limit(1).count()
         if missing:
             raise KeyError(f"keys of {key} missing from the value map")
     cols = [F.col(new).alias(key) if c == key else F.col(c) for c in df.columns]

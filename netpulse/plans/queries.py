@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import series_key, series_labels
 from ..functions.payload import decode_payload, tolerant_number, type_payload
-from ..functions.timefmt import add_hours, from_epoch, hour_floor, parse_ts, run_stamp, to_epoch
+from ..functions.timefmt import add_hours, from_epoch, run_stamp, to_epoch
 from ..operators import aggregates as agg
 from ..operators import forecast as fc
 from ..operators import joins, merge, ml, reshape, windows

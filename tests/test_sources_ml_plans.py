@@ -5,12 +5,11 @@ import os
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from netpulse.functions.payload import decode_payload, tolerant_number
 from netpulse.operators import ml
-from netpulse.schema import LOG_STREAM_SCHEMA, TIMESTAMP_FORMAT
+from netpulse.schema import LOG_STREAM_SCHEMA
 from netpulse.session import scratch_path
 from netpulse.sources.files import read_json_documents, read_typed_csv
 from netpulse.sources.stream import read_log_stream
