@@ -59,3 +59,30 @@ def processor_run(spark: SparkSession, series: DataFrame, snapshot_end: str, met
     # retention runs only after the dump above has been written
     paths["series"] = write_table(series_retain(series, end), f"{root}/series", ["data_type"])
     return paths
+
+
+def stream_average_job(spark: SparkSession, checkpoint: str, *, source: str = "kafka", servers: str | None = None,
+                       topic: str | None = None, path: str | None = None, out_topic: str | None = None,
+                       out_table: str | None = None, trigger: dict | None = None,
+                       state_partitions: int | None = None, metric: str = "unq_dst_ip"):
+    """The streaming job: records -> decoded fields -> all-time mean per source,
+    emitted in update mode (changed sources only) every trigger.
+
+    With ``out_topic`` the changes go to Kafka as ``key`` (source) /
+    ``value`` (mean as text) records; with ``out_table`` they are appended to a
+    Parquet changelog keyed by micro-batch.  Returns the running query.
+    """
+    from ..sources.stream import RECORD_SCHEMA, read_log_stream
+    from ..streaming.jobs import _start, changelog_kv, running_average, start_changelog
+
+    trigger = trigger or {"processingTime": "10 minutes"}
+    records = read_log_stream(spark, source, servers=servers, topic=topic, path=path, schema=RECORD_SCHEMA)
+    agg = running_average(records, metric)
+    if out_topic:
+        w = (changelog_kv(agg).writeStream.format("kafka").outputMode("update")
+             .option("kafka.bootstrap.servers", servers).option("topic", out_topic)
+             .option("checkpointLocation", checkpoint).trigger(**trigger))
+        return _start(w, spark, state_partitions)
+    if not out_table:
+        raise ValueError("give out_topic or out_table")
+    return start_changelog(agg, out_table, checkpoint, trigger, state_partitions=state_partitions)

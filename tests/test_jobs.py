@@ -38,3 +38,20 @@ def test_kafka_records_carry_partition_and_json(spark):
     row = recs.first()
     doc = json.loads(row.value)
     assert set(doc) == {"event_id", "src_ip", "unq_dst_ip"} and row.partition == 2 and row.key == doc["src_ip"]
+
+
+def test_stream_average_job_on_files(spark):
+    from netpulse.operators.aggregates import avg_by_key
+    from netpulse.plans.jobs import stream_average_job
+    from netpulse.session import scratch_path
+    from netpulse.streaming.jobs import await_done, latest_by_key
+    from netpulse.sources.tables import payload_from_logs
+    logs = read_logs(spark, SF_SMALL)
+    folder = scratch_path(spark, "topic")
+    payload_from_logs(logs).repartition(3).write.parquet(folder)
+    table = scratch_path(spark, "out")
+    q = stream_average_job(spark, scratch_path(spark, "ckpt"), source="parquet", path=folder, out_table=table,
+                           trigger={"availableNow": True})
+    await_done(q)
+    got = {r.src_ip: r.avg_unq_dst_ip for r in latest_by_key(spark.read.parquet(table)).collect()}
+    assert got == {r.src_ip: r.avg_unq_dst_ip for r in avg_by_key(logs).collect()}
