@@ -15,6 +15,7 @@ Time axis: whole hours since the epoch, so the trend sums are exact integers
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
@@ -27,6 +28,8 @@ from ..functions.timefmt import add_hours, epoch_hours
 from ..session import checkpoint_root
 from .reshape import grid_with_history
 
+log = logging.getLogger(__name__)
+
 # Fixed value: two-sided 95 % quantile of the standard normal distribution.
 Z95 = 1.959963984540054
 
@@ -330,8 +333,12 @@ def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", s
     leaves the grid as is.  A stored ``model`` skips the fit.
     """
     if horizon > MAX_INTERVAL and roll_mode != "none":
+        log.warning("horizon %d is longer than the business day (%d hours): no forecast", horizon, MAX_INTERVAL)
         return _empty_forecast(train)
     train = materialize(train)
+    if train.isEmpty():  # reads one row of the checkpoint
+        log.warning("no training rows: empty forecast")
+        return _empty_forecast(train)
     if model is None:
         model = materialize(fit(train, seasonality, order, ridge, key, trend, weekly_order))
     grid = grid_with_history(train, horizon, key)

@@ -25,9 +25,10 @@ def write_series(series: DataFrame, path: str, mode: str = "errorifexists") -> s
 
 
 def range_scan(spark: SparkSession, path: str, data_type: str, start: str | None = None,
-               end: str | None = None) -> DataFrame:
-    """Samples of one metric with ``start <= ds <= end``, earliest to latest
-    order left to the consumer (``ORDER BY`` only where it is needed)."""
+               end: str | None = None, ordered: bool = False) -> DataFrame:
+    """Samples of one metric with ``start <= ds <= end``.  ``ordered`` sorts
+    them by (ip, ds), earliest to latest per series - a range-partitioned
+    sort, so only ask for it where a consumer needs the order."""
     df = spark.read.parquet(path).where(F.col("data_type") == data_type)
     if start is not None:
         s = F.lit(start).cast("timestamp_ntz")
@@ -35,4 +36,5 @@ def range_scan(spark: SparkSession, path: str, data_type: str, start: str | None
     if end is not None:
         e = F.lit(end).cast("timestamp_ntz")
         df = df.where((F.col("ds") <= e) & (F.col("day") <= F.to_date(e)))
-    return df.select(*[f.name for f in SERIES_SCHEMA.fields])
+    df = df.select(*[f.name for f in SERIES_SCHEMA.fields])
+    return df.orderBy("ip", "ds") if ordered else df
