@@ -60,12 +60,17 @@ def tail_n_per_key(df: DataFrame, key: str, order: list[str], n: int) -> DataFra
 def first_write_wins(df: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     """One row per ``keys``: the earliest arrival (later writes are rejected).
 
-    An aggregate (``min_by``), so it combines map-side and a duplicate-heavy
-    key never gathers in one task.  Column order is kept.
+    An aggregate, so it combines map-side and a duplicate-heavy key never
+    gathers in one task.  ``arrival`` must be unique within a key group (an
+    arrival sequence number).  Each column is taken with its own
+    ``min_by(column, arrival)``: with fixed-width columns every buffer is
+    fixed-width and Spark plans a hash aggregate, where one ``min_by`` over a
+    struct of all columns would force a sort of every input partition.
+    Column order is kept.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(arrival)).alias("_w")
-    return df.groupBy(*keys).agg(best).select(*[F.col(k) for k in keys], "_w.*").select(*df.columns)
+    rest = [c for c in df.columns if c not in keys and c != arrival]
+    aggs = [F.min(arrival).alias(arrival)] + [F.min_by(F.col(c), F.col(arrival)).alias(c) for c in rest]
+    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
 def preview_top(df: DataFrame, order: list[str], n: int = 50) -> DataFrame:
