@@ -39,6 +39,9 @@ def build_session(master: str | None = None, app: str = "netpulse",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # checkpoint files of DataFrames that are gone are deleted, so repeated
+    # jobs do not fill the shared checkpoint folder
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in RUNTIME_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
