@@ -42,11 +42,19 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
         b = b.withColumn("_b", F.col("_cb"))
     b = b.drop("_cb")
     w = Window.partitionBy(key, "_b").orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one Window operator: the lag, the row's rank and the bucket's last value
     inner = b.withColumn(out, F.lag(value).over(w)) \
-             .withColumn("_first", F.row_number().over(w) == 1)
-    last = b.groupBy(key, "_b").agg(F.max_by(F.col(value), F.struct(*order)).alias("_last"))
-    prev = last.select(key, "_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_prev"))
-    res = inner.join(prev, [key, "_b"], "left") \
+             .withColumn("_first", F.row_number().over(w) == 1) \
+             .withColumn("_last", F.last(value).over(whole))
+    # one row per bucket, taken from the same windowed rows (their shuffle is reused)
+    prev = inner.where(F.col("_first")).select(
+        F.col(key).alias("_pk"), F.col("_b").alias("_pb"),
+        F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_prev"))
+    # null-safe keys: a null key is its own window partition, and no inferred
+    # not-null filter makes the two branches differ (which would block the reuse)
+    cond = F.col(key).eqNullSafe(F.col("_pk")) & F.col("_b").eqNullSafe(F.col("_pb"))
+    res = inner.join(prev, cond, "left") \
         .withColumn(out, F.when(F.col("_first"), F.col("_prev")).otherwise(F.col(out)))
     return res.select(*df.columns, out)
 

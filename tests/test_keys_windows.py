@@ -98,3 +98,12 @@ def test_hash_partition_map(spark):
     m = joins.partition_map(logs, method="hash", num_partitions=7)
     parts = [r.partition for r in m.collect()]
     assert m.count() == 150 and set(parts) <= set(range(7)) and len(set(parts)) == 7
+
+
+def test_lag_null_key_spans_buckets(spark):
+    logs = read_logs(spark, SF_SMALL).select("event_id", "src_ip", "timestamp", "unq_dst_ip")
+    nulls = logs.withColumn("src_ip", F.when(F.col("event_id") % 4 == 0, F.lit(None)).otherwise(F.col("src_ip")))
+    got = windows.lag_by_key(nulls, "src_ip", ["timestamp", "event_id"], "unq_dst_ip", "prev")
+    w = Window.partitionBy("src_ip").orderBy("timestamp", "event_id")
+    want = nulls.withColumn("prev", F.lag("unq_dst_ip").over(w))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
