@@ -230,6 +230,16 @@ SELECT event_id, src_ip, "timestamp", unq_dst_ip FROM logs ORDER BY src_ip, "tim
 SELECT ip, data_type, ds, value FROM series WHERE ip IN (SELECT src_ip FROM registry)""",
     # forecast
     "forecast_table": _with(LOGS, _train(), _forecast("train", NEW_TRAINING_DATE)) + "SELECT * FROM fc",
+    "forecast_relabel": _with(LOGS, _train(), _trend(), _grid()) + f"""
+, rgrid AS (SELECT ip, ds, y, ds AS at_ds FROM train
+            UNION ALL SELECT ip, ds, CAST(NULL AS DOUBLE) AS y, base_ds AS at_ds FROM rolled),
+rpred AS (
+  SELECT g.ds, g.ip, g.y,
+         q.mean_y + q.slope * (CAST(floor(epoch(g.at_ds) / 3600) AS BIGINT) - q.mean_t) AS yhat, q.sigma
+  FROM rgrid g JOIN params q ON g.ip = q.ip WHERE q.status = 'ok')
+SELECT ds, ip, y, yhat, yhat + ({Z95} * sigma) AS yhat_upper, yhat - ({Z95} * sigma) AS yhat_lower,
+       DATE '{NEW_TRAINING_DATE}' AS training_date
+FROM rpred""",
     "forecast_pending": _with(LOGS, _train(), _forecast("train", NEW_TRAINING_DATE)) +
     "SELECT * FROM fc WHERE y IS NULL OR isnan(y)",
     "forecast_merge": _with(LOGS, _train(CUTOFF, "train_old"), _train(None, "train_new"),

@@ -274,6 +274,11 @@ def q_forecast_table(spark, sf_dir):
     return _trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE)
 
 
+def q_forecast_relabel(spark, sf_dir):
+    """Parity roll: values of the plain next hours under business-hour labels."""
+    return _trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE, roll_mode="relabel")
+
+
 def q_forecast_pending(spark, sf_dir):
     return merge.forecast_pending(_trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE))
 
