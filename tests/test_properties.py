@@ -37,7 +37,7 @@ def _df(spark, d):
 @given(old=rows, new=rows)
 def test_merge_matches_rule(spark, old, new):
     got = forecast_merge(_df(spark, old), _df(spark, new)).collect()
-    got = sorted((int((r.ds - T0) / H), None if r.y is None else int(r.y), int(r.yhat)) for r in got)
+    got = [(int((r.ds - T0) / H), None if r.y is None else int(r.y), int(r.yhat)) for r in got]
     assert sorted(got, key=repr) == merge_rule(old, new)
 
 
