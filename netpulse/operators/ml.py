@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,14 +50,54 @@ def index_by_frequency(df: DataFrame, col: str, out: str = "index") -> DataFrame
     return dense_index(counts, [F.col("frequency").desc(), F.col(col).asc()], out)
 
 
-def regression_pipeline(key: str = "src_ip", prev_col: str = "prev_unq_dst_ip", label: str = "unq_dst_ip",
+def regression_pipeline(prev_col: str = "prev_unq_dst_ip", label: str = "unq_dst_ip",
                         seed: int = 42, max_iter: int = 20) -> Pipeline:
-    indexer = StringIndexer(inputCol=key, outputCol="ip_num", handleInvalid="keep")
-    encoder = OneHotEncoder(inputCol="ip_num", outputCol="ip_vec")
+    """One-hot key (unseen keys: all zeros), assembler that skips incomplete
+    rows, gradient-boosted trees with MLlib defaults."""
+    encoder = OneHotEncoder(inputCol="ip_num", outputCol="ip_vec", handleInvalid="keep")
     assembler = VectorAssembler(inputCols=["ip_vec", prev_col, *NUMERIC_FEATURES], outputCol="features",
                                 handleInvalid="skip")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, seed=seed, maxIter=max_iter)
-    return Pipeline(stages=[indexer, encoder, assembler, gbt])
+    return Pipeline(stages=[encoder, assembler, gbt])
+
+
+class KeyedRegressionModel:
+    """Key index table + fitted pipeline.
+
+    The key index plays the part of a frequency-ordered string indexer with
+    unseen keys kept (index ``n``), but it stays a distributed table joined
+    onto the rows: no list of all keys is gathered on the driver.
+    """
+
+    def __init__(self, index: DataFrame, n_keys: int, pipeline: PipelineModel, key: str = "src_ip"):
+        self.index, self.n_keys, self.pipeline, self.key = index, n_keys, pipeline, key
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        return encode_key(df, self.index, self.n_keys, self.key)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(self.encode(df))
+
+    def save(self, path: str) -> None:
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        self.index.write.mode("overwrite").parquet(f"{path}/key_index")
+
+    @classmethod
+    def load(cls, spark, path: str, key: str = "src_ip") -> "KeyedRegressionModel":
+        index = spark.read.parquet(f"{path}/key_index")
+        return cls(index, index.count(), PipelineModel.load(f"{path}/pipeline"), key)
+
+
+def fit_key_index(df: DataFrame, key: str = "src_ip") -> DataFrame:
+    """``(key, ip_num)``: index by descending frequency, ties alphabetical."""
+    return index_by_frequency(df, key, "ip_num").select(key, "ip_num")
+
+
+def encode_key(df: DataFrame, index: DataFrame, n_keys: int, key: str = "src_ip") -> DataFrame:
+    """Attach ``ip_num`` (a double, as MLlib encoders expect); unseen keys get ``n_keys``."""
+    from .joins import bounded_broadcast
+    return df.join(bounded_broadcast(index.select(key, "ip_num")), key, "left") \
+        .withColumn("ip_num", F.coalesce(F.col("ip_num"), F.lit(n_keys)).cast("double"))
 
 
 def complete_feature_rows(logs_with_lag: DataFrame, prev_col: str = "prev_unq_dst_ip") -> DataFrame:
@@ -68,7 +108,7 @@ def complete_feature_rows(logs_with_lag: DataFrame, prev_col: str = "prev_unq_ds
 
 
 def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None, seed: int = 42,
-                    max_iter: int = 20) -> tuple[PipelineModel, DataFrame]:
+                    max_iter: int = 20) -> tuple[KeyedRegressionModel, DataFrame]:
     # every estimator stage and boosting round re-reads the features: write
     # them once to the checkpoint folder instead of recomputing the lag window
     spark = logs.sparkSession
@@ -76,9 +116,12 @@ def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None,
     # spread the table over all cores: each boosting round is a pass over it
     feats = add_lag_feature(logs).repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
     train, test = time_split(feats, cutoff)
-    model = regression_pipeline(seed=seed, max_iter=max_iter).fit(train)
+    index = fit_key_index(train)  # checkpointed by the dense numbering
+    n_keys = index.count()
+    pipeline = regression_pipeline(seed=seed, max_iter=max_iter).fit(encode_key(train, index, n_keys))
+    model = KeyedRegressionModel(index, n_keys, pipeline)
     if model_path:
-        model.write().overwrite().save(model_path)
+        model.save(model_path)
     return model, model.transform(test)
 
 

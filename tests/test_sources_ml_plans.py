@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from netpulse.functions.payload import decode_payload, tolerant_number
@@ -73,11 +73,29 @@ def test_index_by_frequency_matches_string_indexer(spark):
     assert got == list(labels)
 
 
+def test_key_encoding_matches_string_indexer_one_hot(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    logs = read_logs(spark, SF_MID)
+    train = logs.where("timestamp < TIMESTAMP_NTZ'2024-01-15 00:00:00'")
+    test = logs.where("timestamp >= TIMESTAMP_NTZ'2024-01-15 00:00:00'").unionByName(
+        logs.limit(5).withColumn("src_ip", F.lit("never-seen")))
+    ref = Pipeline(stages=[StringIndexer(inputCol="src_ip", outputCol="ip_num", handleInvalid="keep"),
+                           OneHotEncoder(inputCol="ip_num", outputCol="v")]).fit(train).transform(test)
+    index = ml.fit_key_index(train)
+    n = index.count()
+    enc = OneHotEncoder(inputCol="ip_num", outputCol="v", handleInvalid="keep").fit(ml.encode_key(train, index, n))
+    ours = enc.transform(ml.encode_key(test, index, n))
+    a = sorted((r.event_id, r.src_ip, tuple(r.v.toArray())) for r in ref.select("event_id", "src_ip", "v").collect())
+    b = sorted((r.event_id, r.src_ip, tuple(r.v.toArray())) for r in ours.select("event_id", "src_ip", "v").collect())
+    assert a == b
+
+
 def test_pipeline_save_load_and_one_hot(spark):
     logs = read_logs(spark, SF_SMALL)
     path = scratch_path(spark, "model")
     model, pred = ml.fit_and_predict(logs, "2024-01-23 00:00:00", model_path=path, max_iter=3)
-    loaded = PipelineModel.load(path)
+    loaded = ml.KeyedRegressionModel.load(spark, path)
     _, test = ml.time_split(ml.add_lag_feature(logs), "2024-01-23 00:00:00")
     a = sorted((r.event_id, r.prediction) for r in model.transform(test).collect())
     b = sorted((r.event_id, r.prediction) for r in loaded.transform(test).collect())
