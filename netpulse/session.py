@@ -31,6 +31,25 @@ RUNTIME_CONF = {
 }
 
 
+# Settings for a large cluster (1000 executors, ~100 TB input): many shuffle
+# partitions that adaptive execution coalesces to ~128 MB each, skewed
+# partitions split above 256 MB, scan splits of 256 MB, Kryo serialisation
+# and off-heap-friendly RocksDB state.  Pass as ``extra`` to ``build_session``
+# (or set in the cluster's defaults); static settings only take effect when
+# the session is created.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "netpulse",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

@@ -81,3 +81,20 @@ def test_malformed_record_lands_in_null_group(spark):
                                   ("3", '{"src_ip": "a", "unq_dst_ip": "x"}')], RECORD_SCHEMA)
     got = {r.src_ip: r.avg_unq_dst_ip for r in sj.running_average(recs).collect()}
     assert got == {"a": 4.0, None: None}
+
+
+def test_dedup_across_micro_batches(spark):
+    logs = read_logs(spark, SF_SMALL).select("event_id", "src_ip", "timestamp", "unq_dst_ip")
+    first = logs.where("event_id < 500")
+    folder = scratch_path(spark, "dups")
+    first.repartition(2).write.parquet(folder + "/a")
+    # the second batch repeats part of the first and brings the rest
+    first.where("event_id >= 400").unionByName(logs.where("event_id >= 500")).repartition(2) \
+        .write.parquet(folder + "/b")
+    stream = read_log_stream(spark, "parquet", path=folder + "/*", schema=logs.schema, max_files_per_trigger=2)
+    out = scratch_path(spark, "dedup")
+    q = sj.run_to_files(sj.dedup_within_watermark(stream, delay="2 days"), out, scratch_path(spark, "ckpt"))
+    sj.await_done(q)
+    assert len(q.recentProgress) >= 2
+    got = spark.read.schema(logs.schema).parquet(out)
+    assert got.count() == logs.count() and got.exceptAll(logs).count() == 0
