@@ -55,3 +55,13 @@ def test_stream_average_job_on_files(spark):
     await_done(q)
     got = {r.src_ip: r.avg_unq_dst_ip for r in latest_by_key(spark.read.parquet(table)).collect()}
     assert got == {r.src_ip: r.avg_unq_dst_ip for r in avg_by_key(logs).collect()}
+
+
+def test_per_key_refuses_oversized_groups(spark):
+    import pytest
+    from netpulse.operators.per_key import SUMMARY_SCHEMA, per_key, series_summary
+    from netpulse.operators.aggregates import sum_by_key_hour
+    train = sum_by_key_hour(read_logs(spark, SF_SMALL))
+    assert per_key(train, ["ip"], series_summary, SUMMARY_SCHEMA).count() == train.select("ip").distinct().count()
+    with pytest.raises(ValueError):
+        per_key(train, ["ip"], series_summary, SUMMARY_SCHEMA, max_group_rows=3)
