@@ -29,24 +29,49 @@ def to_series(logs: DataFrame, metrics: list[str] | None = None, arrival: str =
     metrics are unpivoted after, which aggregates 1/len(metrics) of the rows.
     """
     metrics = metrics or METRICS
-    hourly = logs.select(F.col("src_ip").alias("ip"), hour_floor("timestamp").alias("ds"),
-                         F.col(arrival).alias("arrival"), *[F.col(m).cast("double").alias(m) for m in metrics])
-    first = first_write_wins(hourly, ["ip", "ds"], "arrival")
+    first = hourly_samples(logs, metrics, arrival)
     return first.unpivot(["ip", "ds", "arrival"], metrics, "data_type", "value") \
         .select("ip", "data_type", "ds", "value", "arrival")
 
 
-def series_collect(series: DataFrame, chunk: str = "day") -> DataFrame:
+def series_collect(series: DataFrame) -> DataFrame:
     """Nested shape ``(ip, data_type, chunk_start, samples: array<struct<ds,value>>)``.
 
-    One array per series and chunk (a day of hourly samples holds at most 24),
-    time-ordered, so no array grows with the length of the series.
+    One array per series and day; samples are hourly, so a day has at most 24
+    and no array grows with the length of the series.  ``collect_list`` runs
+    as an object-hash aggregate that falls back to a spilling sort once a task
+    holds many groups.
     """
-    start = day_floor("ds") if chunk == "day" else hour_floor("ds")
-    return (series.groupBy("ip", "data_type", start.alias("chunk_start"))
+    return (series.groupBy("ip", "data_type", day_floor("ds").alias("chunk_start"))
             .agg(F.array_sort(F.collect_list(F.struct("ds", "value"))).alias("samples")))
 
 
+def hourly_samples(logs: DataFrame, metrics: list[str] | None = None, arrival: str = "event_id") -> DataFrame:
+    """Wide first-write-wins samples: one row per (ip, hour) with every metric."""
+    metrics = metrics or METRICS
+    hourly = logs.select(F.col("src_ip").alias("ip"), hour_floor("timestamp").alias("ds"),
+                         F.col(arrival).alias("arrival"), *[F.col(m).cast("double").alias(m) for m in metrics])
+    return first_write_wins(hourly, ["ip", "ds"], "arrival")
+
+
+def series_collect_wide(samples: DataFrame, metrics: list[str] | None = None) -> DataFrame:
+    """``series_collect`` of every metric from wide hourly samples.
+
+    The day's samples are collected once per (ip, day) with all metrics - a
+    ninth of the rows and groups of collecting each metric's series - and the
+    array is then split into one nested series per metric.
+    """
+    metrics = metrics or METRICS
+    days = samples.groupBy("ip", day_floor("ds").alias("chunk_start")).agg(
+        F.array_sort(F.collect_list(F.struct("ds", *metrics))).alias("_day"))
+    def pick(m):
+        return lambda x: F.struct(x["ds"].alias("ds"), x[m].alias("value"))
+
+    per_metric = days.select("ip", "chunk_start", *[F.transform("_day", pick(m)).alias(m) for m in metrics])
+    return per_metric.unpivot(["ip", "chunk_start"], metrics, "data_type", "samples") \
+        .select("ip", "data_type", "chunk_start", "samples")
+
+
 def series_explode(nested: DataFrame) -> DataFrame:
     """Flatten the nested shape back to rows; empty arrays give no rows."""
     return nested.select("ip", "data_type", F.inline("samples"))

@@ -168,7 +168,7 @@ def q_unpivot_metrics(spark, sf_dir):
 
 
 def q_series_collect(spark, sf_dir):
-    nested = reshape.series_collect(_series(spark, sf_dir))
+    nested = reshape.series_collect_wide(reshape.hourly_samples(_logs(spark, sf_dir)))
     return nested.select("ip", "data_type", "chunk_start",
                          F.size("samples").cast("bigint").alias("n_samples"),
                          F.col("samples")[0]["ds"].alias("first_ds"),
@@ -176,7 +176,7 @@ def q_series_collect(spark, sf_dir):
 
 
 def q_series_explode(spark, sf_dir):
-    return reshape.series_explode(reshape.series_collect(_series(spark, sf_dir)))
+    return reshape.series_explode(reshape.series_collect_wide(reshape.hourly_samples(_logs(spark, sf_dir))))
 
 
 def q_to_epoch(spark, sf_dir):

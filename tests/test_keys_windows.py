@@ -107,3 +107,11 @@ def test_lag_null_key_spans_buckets(spark):
     w = Window.partitionBy("src_ip").orderBy("timestamp", "event_id")
     want = nulls.withColumn("prev", F.lag("unq_dst_ip").over(w))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_wide_collect_equals_per_metric_collect(spark):
+    from netpulse.operators import reshape
+    logs = read_logs(spark, SF_SMALL)
+    a = reshape.series_collect(reshape.to_series(logs))
+    b = reshape.series_collect_wide(reshape.hourly_samples(logs))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
