@@ -22,7 +22,8 @@ from netpulse.session import build_session, scratch_path  # noqa: E402
 
 SRC = "/root/testdata/sf0.1"
 PROBE = ["avg_by_key", "sum_by_key_hour", "first_write_wins", "lag_feature", "tail_n_per_key", "trend_fit",
-         "series_collect", "forecast_table", "forecast_job", "forecast_merge", "stream_avg_by_key"]
+         "series_collect", "series_explode", "forecast_table", "forecast_job", "forecast_merge", "stream_avg_by_key",
+         "pseudonymize", "index_by_frequency"]
 
 
 def stacked(spark, n: int) -> str:
