@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import dense_index, pseudo_ip
+from ..session import checkpoint_root
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -77,11 +78,14 @@ def pseudonym_map(df: DataFrame, key: str = "src_ip", salt: str = "netpulse",
 
     Round 0 hashes every key.  Keys that share a pseudo-IP with a smaller key
     are re-hashed with the next round number until no collision is left; each
-    round checkpoints the map so its lineage stays short.  Only counts reach
-    the driver.
+    round checkpoints the map so its lineage stays short and the source is
+    read once.  Only counts reach the driver.
     """
+    checkpoint_root(df.sparkSession)
+    # one row per distinct key, written once: the collision checks, the
+    # broadcast bound and the join read it instead of re-deriving it
     m = df.select(key).distinct().withColumn("pseudo", pseudo_ip(key, salt, 0, octets)) \
-        .withColumn("_round", F.lit(0))
+        .withColumn("_round", F.lit(0)).checkpoint(eager=True)
     for r in range(1, max_rounds + 1):
         owner = m.groupBy("pseudo").agg(F.min(key).alias("_owner"))
         losers = m.join(owner, "pseudo").where(F.col(key) != F.col("_owner")).select(key)
