@@ -174,3 +174,13 @@ def test_prior_forecast_csv_roundtrip(spark):
     a = sorted((r.ip, r.ds, r.training_date) for r in back.collect())
     b = sorted((r.ip, r.ds, r.training_date) for r in fc.collect())
     assert a == b
+
+
+def test_hash_split_is_stable(spark):
+    logs = read_logs(spark, SF_SMALL)
+    a_train, a_test = ml.hash_split(logs, "event_id")
+    b_train, b_test = ml.hash_split(logs.repartition(7), "event_id")
+    ids = lambda df: sorted(r.event_id for r in df.select("event_id").collect())
+    assert ids(a_train) == ids(b_train) and ids(a_test) == ids(b_test)
+    n = logs.count()
+    assert len(ids(a_train)) + len(ids(a_test)) == n and 0.65 < len(ids(a_train)) / n < 0.85
