@@ -111,7 +111,8 @@ def q_series_range(spark, sf_dir):
 # ------------------------------------------------------------------ sinks
 
 def q_append_new_only(spark, sf_dir):
-    s = _series(spark, sf_dir).where(F.col("data_type") == "unq_dst_ip")
+    # only the dumped metric is built, so the scan reads only its columns
+    s = reshape.to_series(_logs(spark, sf_dir), metrics=["unq_dst_ip"])
     dump = s.select("ip", F.unix_seconds(F.col("ds").cast("timestamp")).alias("ds"),
                     F.col("value").cast("int").alias("unq_dst_ip"))
     existing = dump.where(F.col("ds") < F.unix_seconds(_ts(CUTOFF).cast("timestamp")))
