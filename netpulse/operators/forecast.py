@@ -1,4 +1,4 @@
-"""Per-source forecast: linear trend x (1 + daily seasonality), 95 % band.
+"""Per-source forecast: linear trend x (1 + daily / weekly seasonality), 95 % band.
 
 The fit never gathers a source's rows in one place.  The trend comes from
 per-key sufficient statistics (n, sum t, sum t^2, sum y, sum t*y, sum y^2) -
@@ -6,7 +6,9 @@ one decomposable aggregation, so a hot source costs one partial row per input
 partition.  The multiplicative seasonality is a ridge regression of the trend
 ratio ``y/g - 1`` on Fourier terms of the time of day; its normal equations
 are again per-key sums, and only the one-row-per-key table of sums reaches
-numpy, in a batched solve inside ``mapInPandas``.  Prediction is a join of the
+numpy, in a batched solve inside ``mapInPandas``.  Back-fitting rounds refine
+trend and ratio in turn, and an information criterion decides per key whether
+the slope and the seasonal terms are kept.  Prediction is a join of the
 per-key parameters onto the time grid plus column arithmetic.
 
 Time axis: whole hours since the epoch, so the trend sums are exact integers

@@ -1,4 +1,8 @@
-"""Regression path on MLlib: lag feature, split, index/one-hot, assemble, GBT."""
+"""Regression path on MLlib: lag feature, split, key index + one-hot, assemble, GBT.
+
+The key index is a distributed table (frequency order, unseen keys kept), not
+a string indexer whose label list lives on the driver.
+"""
 
 from __future__ import annotations
 
