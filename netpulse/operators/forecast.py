@@ -111,7 +111,8 @@ def seasonal_index(train: DataFrame, key: str = "ip") -> DataFrame:
     """
     by_hour = train.groupBy(key, F.hour("ds").alias("hour")) \
         .agg(F.sum("y").alias("sy_h"), F.count(F.lit(1)).alias("n_h"))
-    overall = train.groupBy(key).agg(F.sum("y").alias("sy"), F.count(F.lit(1)).alias("n"))
+    # the key totals come from the 24 hour rows, not from another pass over the input
+    overall = by_hour.groupBy(key).agg(F.sum("sy_h").alias("sy"), F.sum("n_h").alias("n"))
     j = by_hour.join(overall, key)
     idx = F.when(F.col("sy") != 0, (F.col("sy_h") / F.col("n_h")) / (F.col("sy") / F.col("n")) - 1)
     return j.select(key, "hour", "n_h", idx.alias("index"))

@@ -228,7 +228,8 @@ def q_forecast_count_by_key(spark, sf_dir):
 
 
 def q_regression_metrics(spark, sf_dir):
-    lagged = windows.lag_by_key(_train(spark, sf_dir), "ip", ["ds"], "y", "y_prev")
+    # the hourly frame is written once; the lag's branches read it, not the events
+    lagged = windows.lag_by_key(fc.materialize(_train(spark, sf_dir)), "ip", ["ds"], "y", "y_prev")
     return agg.regression_metrics(lagged, "y", "y_prev", by="ip")
 
 
