@@ -242,10 +242,11 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = 4, ridg
     needed to identify it).  ``trend``: see ``trend_params``.
 
     The multiplicative model is fitted by back-fitting: trend, then the
-    seasonal ratio, then ``refine`` more rounds of the trend on the
-    de-seasonalised ``y`` and the ratio on the new trend.  Every round is two
-    per-key aggregations over the hourly frame; the model table between
-    rounds is checkpointed (one row per key).  The table is the stored form
+    seasonal ratio, then up to ``refine`` more rounds of the trend on the
+    de-seasonalised ``y`` and the ratio on the new trend, for the sources
+    that keep seasonal terms only.  Every round is two per-key aggregations
+    over those sources' hourly rows; the model table between rounds is
+    checkpointed (one row per key).  The table is the stored form
     of the model (see ``save_model``).
     """
     tp = trend_params(trend_stats(train, key), trend)
@@ -255,24 +256,28 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = 4, ridg
         return tp.select("*", *[F.lit(0.0).alias(f"beta_{i}") for i in range(m)],
                          F.lit(False).alias("season_kept"), *orders)
 
-    def combine(tp_):
-        seas = seasonal_params(train, tp_, order, ridge, key=key, select=(seasonality == "auto"),
+    def combine(tp_, rows):
+        seas = seasonal_params(rows, tp_, order, ridge, key=key, select=(seasonality == "auto"),
                                weekly_order=weekly_order)
         return tp_.drop("sigma").join(seas, key, "left") \
             .select(*[c for c in tp_.columns if c != "sigma"],
                     *[F.coalesce(F.col(f"beta_{i}"), F.lit(0.0)).alias(f"beta_{i}") for i in range(m)],
                     F.coalesce(F.col("season_kept"), F.lit(False)).alias("season_kept"), *orders)
 
-    model = combine(tp)
+    model = combine(tp, train)
     for _ in range(refine):
         model = materialize(model)
-        if model.where(F.col("season_kept")).limit(1).count() == 0:
-            break  # no source kept seasonal terms: the trend is already final
-        betas = model.select(key, *[f"beta_{i}" for i in range(m)])
+        kept = model.where(F.col("season_kept")).select(key)
+        if kept.limit(1).count() == 0:
+            break  # no source kept seasonal terms: every trend is already final
+        # only sources with seasonal terms are refitted; the others carry over unchanged
+        rows = train.join(kept, key, "left_semi")
+        betas = model.join(kept, key, "left_semi").select(key, *[f"beta_{i}" for i in range(m)])
         factor = _season_factor(order, weekly_order)
-        adjusted = train.where(F.col("y").isNotNull()).join(betas, key) \
+        adjusted = rows.where(F.col("y").isNotNull()).join(betas, key) \
             .select(key, "ds", F.when(F.abs(factor) > 1e-9, F.col("y") / factor).alias("y"))
-        model = combine(trend_params(trend_stats(adjusted, key), trend))
+        refitted = combine(trend_params(trend_stats(adjusted, key), trend), rows)
+        model = model.join(kept, key, "left_anti").unionByName(refitted)
     hist = train.where(F.col("y").isNotNull()).select(key, "ds", "y", F.lit(False).alias("is_future"))
     fitted = predict(hist, model.withColumn("sigma", F.lit(None).cast("double")), order, key=key,
                      weekly_order=weekly_order)
