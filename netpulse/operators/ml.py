@@ -55,14 +55,27 @@ def index_by_frequency(df: DataFrame, col: str, out: str = "index") -> DataFrame
 
 
 def regression_pipeline(prev_col: str = "prev_unq_dst_ip", label: str = "unq_dst_ip",
-                        seed: int = 42, max_iter: int = 20) -> Pipeline:
-    """One-hot key (unseen keys: all zeros), assembler that skips incomplete
-    rows, gradient-boosted trees with MLlib defaults."""
-    encoder = OneHotEncoder(inputCol="ip_num", outputCol="ip_vec", handleInvalid="keep")
-    assembler = VectorAssembler(inputCols=["ip_vec", prev_col, *NUMERIC_FEATURES], outputCol="features",
-                                handleInvalid="skip")
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, seed=seed, maxIter=max_iter)
-    return Pipeline(stages=[encoder, assembler, gbt])
+                        seed: int = 42, max_iter: int = 20, key_encoding: str = "onehot") -> Pipeline:
+    """Key encoding, assembler that skips incomplete rows, gradient-boosted
+    trees with MLlib defaults.
+
+    ``key_encoding="onehot"`` (the reference's model) gives one feature per
+    source (unseen sources: all zeros); the trees bin every row over all of
+    them, so the cost grows with the number of sources.  ``"index"`` passes the
+    frequency index as one numeric feature - for millions of sources.
+    """
+    assembler_in = [prev_col, *NUMERIC_FEATURES]
+    stages = []
+    if key_encoding == "onehot":
+        stages.append(OneHotEncoder(inputCol="ip_num", outputCol="ip_vec", handleInvalid="keep"))
+        assembler_in = ["ip_vec", *assembler_in]
+    elif key_encoding == "index":
+        assembler_in = ["ip_num", *assembler_in]
+    else:
+        raise ValueError(f"unknown key_encoding {key_encoding!r}")
+    stages.append(VectorAssembler(inputCols=assembler_in, outputCol="features", handleInvalid="skip"))
+    stages.append(GBTRegressor(featuresCol="features", labelCol=label, seed=seed, maxIter=max_iter))
+    return Pipeline(stages=stages)
 
 
 class KeyedRegressionModel:
@@ -112,7 +125,7 @@ def complete_feature_rows(logs_with_lag: DataFrame, prev_col: str = "prev_unq_ds
 
 
 def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None, seed: int = 42,
-                    max_iter: int = 20) -> tuple[KeyedRegressionModel, DataFrame]:
+                    max_iter: int = 20, key_encoding: str = "onehot") -> tuple[KeyedRegressionModel, DataFrame]:
     # every estimator stage and boosting round re-reads the features: write
     # them once to the checkpoint folder instead of recomputing the lag window
     spark = logs.sparkSession
@@ -122,7 +135,8 @@ def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None,
     train, test = time_split(feats, cutoff)
     index = fit_key_index(train)  # checkpointed by the dense numbering
     n_keys = index.count()
-    pipeline = regression_pipeline(seed=seed, max_iter=max_iter).fit(encode_key(train, index, n_keys))
+    pipeline = regression_pipeline(seed=seed, max_iter=max_iter, key_encoding=key_encoding) \
+        .fit(encode_key(train, index, n_keys))
     model = KeyedRegressionModel(index, n_keys, pipeline)
     if model_path:
         model.save(model_path)

@@ -184,3 +184,10 @@ def test_hash_split_is_stable(spark):
     assert ids(a_train) == ids(b_train) and ids(a_test) == ids(b_test)
     n = logs.count()
     assert len(ids(a_train)) + len(ids(a_test)) == n and 0.65 < len(ids(a_train)) / n < 0.85
+
+
+def test_index_key_encoding_has_fixed_width(spark):
+    logs = read_logs(spark, SF_SMALL)
+    model, pred = ml.fit_and_predict(logs, "2024-01-23 00:00:00", max_iter=3, key_encoding="index")
+    assert pred.select("features").first().features.size == 1 + 1 + len(ml.NUMERIC_FEATURES)
+    assert pred.count() > 0
