@@ -288,8 +288,12 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = 4, ridg
 
 
 def predict(grid: DataFrame, model: DataFrame, order: int = 4, z: float = Z95, key: str = "ip",
-            weekly_order: int = 0) -> DataFrame:
-    """``yhat`` and the band on every grid row of keys with a fitted model."""
+            weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
+    """``yhat`` and the band on every grid row of keys with a fitted model.
+
+    ``clamp_min`` floors ``yhat`` and both band edges (0 for counts, which a
+    multiplicative seasonal term can push below zero outside the observed hours).
+    """
     m = 2 * (order + weekly_order)
     p = model.where(F.col("status") == "ok") \
         .select(key, "mean_t", "mean_y", "slope", "sigma", *[f"beta_{i}" for i in range(m)])
@@ -303,9 +307,11 @@ def predict(grid: DataFrame, model: DataFrame, order: int = 4, z: float = Z95, k
         yhat = yhat * (F.lit(1.0) + xb)
     band = F.lit(z) * F.col("sigma")
     out = j.withColumn("yhat", yhat)
-    return out.select(*grid.columns, "yhat",
-                      (F.col("yhat") + band).alias("yhat_upper"),
-                      (F.col("yhat") - band).alias("yhat_lower"))
+    cols = [F.col("yhat"), F.col("yhat") + band, F.col("yhat") - band]
+    if clamp_min is not None:
+        cols = [F.greatest(c, F.lit(float(clamp_min))) for c in cols]
+    return out.select(*grid.columns, cols[0].alias("yhat"), cols[1].alias("yhat_upper"),
+                      cols[2].alias("yhat_lower"))
 
 
 def residual_sigma(fitted: DataFrame, key: str = "ip") -> DataFrame:
@@ -332,7 +338,7 @@ def materialize(df: DataFrame) -> DataFrame:
 def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", seasonality: bool | str = "auto",
              order: int = 4, ridge: float = 1.0, training_date: Column | str | None = None,
              key: str = "ip", model: DataFrame | None = None, trend: str = "auto",
-             weekly_order: int = 0) -> DataFrame:
+             weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
     """Forecast table ``(ds, ip, y, yhat, yhat_upper, yhat_lower, training_date)``.
 
     ``roll_mode``: ``"repredict"`` moves the future grid into business hours and
@@ -352,7 +358,7 @@ def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", s
     grid = grid_with_history(train, horizon, key)
     if roll_mode == "repredict":
         grid = business_hours_roll(grid, key, horizon)
-    out = predict(grid, model, order, key=key, weekly_order=weekly_order)
+    out = predict(grid, model, order, key=key, weekly_order=weekly_order, clamp_min=clamp_min)
     if roll_mode == "relabel":
         out = business_hours_roll(out, key, horizon)
     td = training_date if training_date is not None else F.current_date()

@@ -22,7 +22,7 @@ from ..sinks.files import write_table
 
 def forecast_job(logs: DataFrame, metric: str = "unq_dst_ip", horizon: int = 8, roll_mode: str = "repredict",
                  seasonality: bool | str = "auto", training_date=None, order: int = 4, ridge: float = 1.0,
-                 trend: str = "auto", weekly_order: int = 0) -> DataFrame:
+                 trend: str = "auto", weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
     """Forecast table of every source for ``metric``.
 
     Empty input gives an empty table of the forecast schema (no error).
@@ -30,7 +30,7 @@ def forecast_job(logs: DataFrame, metric: str = "unq_dst_ip", horizon: int = 8,
     train = sum_by_key_hour(logs, metric)
     return forecast(train, horizon=horizon, roll_mode=roll_mode, seasonality=seasonality,
                     order=order, ridge=ridge, training_date=training_date, trend=trend,
-                    weekly_order=weekly_order)
+                    weekly_order=weekly_order, clamp_min=clamp_min)
 
 
 def regression_job(logs: DataFrame, cutoff: str, model_path: str | None = None, seed: int = 42,

@@ -216,3 +216,12 @@ def test_avg_with_dedup_counts_repeats_once(spark):
     a = {r.src_ip: r.avg_unq_dst_ip for r in avg_by_key(logs).collect()}
     b = {r.src_ip: r.avg_unq_dst_ip for r in avg_by_key(twice, dedup_on=["src_ip", "timestamp"]).collect()}
     assert a == b
+
+
+def test_clamp_floors_prediction_and_band(spark):
+    rows = [("a", _t(i), float(50 - 6 * i)) for i in range(10)]  # falling to negative values
+    train = spark.createDataFrame(rows, "ip string, ds timestamp_ntz, y double")
+    out = fc.forecast(train, seasonality=False, trend="linear", roll_mode="none", clamp_min=0.0,
+                      training_date="2024-01-31")
+    low = out.agg(F.min("yhat"), F.min("yhat_lower")).first()
+    assert low[0] == 0.0 and low[1] == 0.0
