@@ -179,10 +179,9 @@ SELECT ip, data_type, ds, value FROM series WHERE ds > TIMESTAMP '{CUTOFF}'""",
 SELECT event_id, src_ip, unq_dst_ip FROM logs
 WHERE src_ip IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING')""",
     "pseudonymize": _with(LOGS) + _pseudo_select(),
-    "series_key": _with(LOGS) + """
-SELECT DISTINCT m.data_type || '_' || l.src_ip AS series_key, l.src_ip AS label_srcIP, m.data_type AS label_dataType
-FROM logs l, (VALUES ('unq_dst_ip'), ('allow'), ('drop'), ('frequency'), ('pkts_sent'), ('pkts_received'),
-                     ('bytesin'), ('bytesout'), ('unq_dst_port')) AS m(data_type)""",
+    "series_key": _with(LOGS, LONG) + """
+SELECT DISTINCT data_type || '_' || src_ip AS series_key, src_ip AS label_srcIP, data_type AS label_dataType
+FROM long""",
     "unpivot_metrics": _with(LOGS, LONG) + "SELECT event_id, src_ip, \"timestamp\", data_type, value FROM long",
     "first_write_wins": _with(LOGS, LONG) + "SELECT ip, data_type, ds, value, arrival FROM series",
     "series_collect": _with(LOGS, LONG) + """
