@@ -98,3 +98,14 @@ def test_dedup_across_micro_batches(spark):
     assert len(q.recentProgress) >= 2
     got = spark.read.schema(logs.schema).parquet(out)
     assert got.count() == logs.count() and got.exceptAll(logs).count() == 0
+
+
+def test_text_stream_of_json_lines(spark):
+    logs = read_logs(spark, SF_SMALL)
+    folder = scratch_path(spark, "lines")
+    payload_from_logs(logs).select("value").repartition(3).write.text(folder)
+    table = scratch_path(spark, "changelog")
+    stream = read_log_stream(spark, "text", path=folder, max_files_per_trigger=1)
+    sj.await_done(sj.start_changelog(sj.running_average(stream), table, scratch_path(spark, "ckpt")))
+    got = _as_dict(sj.latest_by_key(spark.read.parquet(table)), "src_ip", "avg_unq_dst_ip")
+    assert got == _as_dict(avg_by_key(logs), "src_ip", "avg_unq_dst_ip")
