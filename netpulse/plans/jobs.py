@@ -3,8 +3,9 @@
 * ``forecast_job``: hourly sums -> per-source fit -> forecast table.
 * ``regression_job``: lag feature -> time split -> MLlib pipeline -> metrics.
 * ``processor_run``: one batch cycle of the series store: snapshot, forecast,
-  merge into the earlier forecast, idempotent dump, then retention - each
-  output written to a new version path, retention only after the dump.
+  merge into the earlier forecast, anomaly flags, idempotent dump, then
+  retention - each output written to a new version path, retention only
+  after the dump.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import sum_by_key_hour
-from ..operators.forecast import forecast
+from ..operators.forecast import anomaly_flags, forecast
 from ..operators.merge import append_new_only, forecast_merge, series_retain
 from ..operators.ml import evaluate, fit_and_predict
 from ..session import scratch_path
@@ -51,6 +52,8 @@ def processor_run(spark: SparkSession, series: DataFrame, snapshot_end: str, met
     if prior_forecast is not None:
         fc = forecast_merge(prior_forecast, fc)
     paths = {"forecast": write_table(fc, f"{root}/forecast")}
+    # observations outside the band, read back from the written forecast
+    paths["anomalies"] = write_table(anomaly_flags(spark.read.parquet(paths["forecast"])), f"{root}/anomalies")
     dump = snap.select("ip", F.unix_seconds(F.col("ds").cast("timestamp")).alias("ds"),
                        F.col("value").cast("int").alias(metric))
     if prior_dump is not None:

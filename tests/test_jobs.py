@@ -27,6 +27,9 @@ def test_processor_cycle_is_idempotent_and_retains_after_dump(spark):
     nxt = processor_run(spark, retained, "2024-02-01 00:00:00",
                         prior_forecast=spark.read.parquet(first["forecast"]), training_date="2024-01-31")
     fc = spark.read.parquet(nxt["forecast"])
+    flags = spark.read.parquet(nxt["anomalies"])
+    assert flags.where("side NOT IN ('high', 'low')").count() == 0
+    assert flags.count() == fc.where("y > yhat_upper OR y < yhat_lower").count()
     assert set(fc.select("training_date").distinct().toPandas()["training_date"].astype(str)) == \
         {"2024-01-20", "2024-01-31"}
 
