@@ -191,3 +191,10 @@ def test_index_key_encoding_has_fixed_width(spark):
     model, pred = ml.fit_and_predict(logs, "2024-01-23 00:00:00", max_iter=3, key_encoding="index")
     assert pred.select("features").first().features.size == 1 + 1 + len(ml.NUMERIC_FEATURES)
     assert pred.count() > 0
+
+
+def test_lag_reuses_its_shuffle(spark):
+    df = entry.queries()["lag_feature"](spark, SF_SMALL)
+    df.collect()  # the adaptive plan is final after execution
+    plan = plan_text(df)
+    assert "isFinalPlan=true" in plan and "ReusedExchange" in plan
