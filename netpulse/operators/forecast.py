@@ -382,6 +382,21 @@ def _empty_forecast(train: DataFrame) -> DataFrame:
     return train.sparkSession.createDataFrame([], FORECAST_SCHEMA)
 
 
+def evaluate_forecast(model: DataFrame, holdout: DataFrame, order: int = 4, weekly_order: int = 0,
+                      key: str = "ip") -> DataFrame:
+    """Score a fitted model on observed ``(ip, ds, y)`` rows it was not fitted on.
+
+    Per key and overall (``ip`` null on the rollup row): rows, RMSE, MAE and
+    the share of observations inside the band.  One join and one aggregate.
+    """
+    grid = holdout.where(F.col("y").isNotNull()).select(key, "ds", "y", F.lit(False).alias("is_future"))
+    pred = predict(grid, model, order, key=key, weekly_order=weekly_order)
+    e = F.col("y") - F.col("yhat")
+    inside = ((F.col("y") >= F.col("yhat_lower")) & (F.col("y") <= F.col("yhat_upper"))).cast("double")
+    return pred.rollup(key).agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"),
+                                F.avg(F.abs(e)).alias("mae"), F.avg(inside).alias("coverage"))
+
+
 def anomaly_flags(fc: DataFrame) -> DataFrame:
     """Observed rows outside the band: side and distance beyond the band."""
     obs = fc.where(F.col("y").isNotNull() & F.col("yhat_upper").isNotNull())

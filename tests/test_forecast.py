@@ -225,3 +225,14 @@ def test_clamp_floors_prediction_and_band(spark):
                       training_date="2024-01-31")
     low = out.agg(F.min("yhat"), F.min("yhat_lower")).first()
     assert low[0] == 0.0 and low[1] == 0.0
+
+
+def test_holdout_evaluation(spark):
+    data = _synthetic(spark, n_keys=8, days=20).checkpoint()
+    cut = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    model = fc.fit(data.where(F.col("ds") < cut), True)
+    scores = fc.evaluate_forecast(model, data.where(F.col("ds") >= cut))
+    overall = scores.where(F.col("ip").isNull()).first()
+    assert overall.n == 8 * 5 * 24  # 16-20 January
+    assert overall.rmse < 2.0 and 0.85 < overall.coverage <= 1.0
+    assert scores.where(F.col("ip").isNotNull()).count() == 8
