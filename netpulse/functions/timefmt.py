@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..schema import TIMESTAMP_FORMAT
 
+# Fixed value: the run label format (two-digit year, month, day, hour, minute).
+RUN_STAMP_FORMAT = "yyMMdd_HHmm"
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -47,5 +50,5 @@ def epoch_hours(ts: str | Column) -> Column:
 
 
 def run_stamp(ts: str | Column) -> Column:
-    """Run label ``yyMMdd_HHmm``."""
-    return F.date_format(_c(ts), "yyMMdd_HHmm")
+    """Run label in ``RUN_STAMP_FORMAT``."""
+    return F.date_format(_c(ts), RUN_STAMP_FORMAT)

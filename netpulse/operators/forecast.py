@@ -40,6 +40,10 @@ START_HOUR = 8
 LAST_HOUR = 18
 MAX_INTERVAL = 11
 
+# Seasonal Fourier orders (daily order 4; weekly order 3, off unless asked for).
+DAILY_ORDER = 4
+WEEKLY_ORDER = 3
+
 
 def _dec(c: Column) -> Column:
     return c.cast("decimal(38,0)")
@@ -174,7 +178,7 @@ def _solve_batch(m: int, ridge: float, select: bool):
     return solve, schema, pairs
 
 
-def seasonal_params(train: DataFrame, trend: DataFrame, order: int = 4, ridge: float = 1.0,
+def seasonal_params(train: DataFrame, trend: DataFrame, order: int = DAILY_ORDER, ridge: float = 1.0,
                     min_trend: float = 1e-9, key: str = "ip", select: bool = True,
                     weekly_order: int = 0) -> DataFrame:
     """Ridge fit of ``y/g - 1`` on the Fourier terms, per key.
@@ -230,7 +234,7 @@ def _season_factor(order: int, weekly_order: int) -> Column:
     return F.lit(1.0) + xb
 
 
-def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = 4, ridge: float = 1.0,
+def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = DAILY_ORDER, ridge: float = 1.0,
         key: str = "ip", trend: str = "auto", weekly_order: int = 0, refine: int = 2) -> DataFrame:
     """Model table: one row per key with the trend, the Fourier weights
     (``beta_i``, zero without seasonality), ``sigma`` and ``status``.
@@ -287,7 +291,7 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = 4, ridg
         "sigma", F.coalesce(F.col("sigma"), F.lit(None).cast("double")))
 
 
-def predict(grid: DataFrame, model: DataFrame, order: int = 4, z: float = Z95, key: str = "ip",
+def predict(grid: DataFrame, model: DataFrame, order: int = DAILY_ORDER, z: float = Z95, key: str = "ip",
             weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
     """``yhat`` and the band on every grid row of keys with a fitted model.
 
@@ -336,7 +340,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", seasonality: bool | str = "auto",
-             order: int = 4, ridge: float = 1.0, training_date: Column | str | None = None,
+             order: int = DAILY_ORDER, ridge: float = 1.0, training_date: Column | str | None = None,
              key: str = "ip", model: DataFrame | None = None, trend: str = "auto",
              weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
     """Forecast table ``(ds, ip, y, yhat, yhat_upper, yhat_lower, training_date)``.
@@ -382,7 +386,7 @@ def _empty_forecast(train: DataFrame) -> DataFrame:
     return train.sparkSession.createDataFrame([], FORECAST_SCHEMA)
 
 
-def evaluate_forecast(model: DataFrame, holdout: DataFrame, order: int = 4, weekly_order: int = 0,
+def evaluate_forecast(model: DataFrame, holdout: DataFrame, order: int = DAILY_ORDER, weekly_order: int = 0,
                       key: str = "ip") -> DataFrame:
     """Score a fitted model on observed ``(ip, ds, y)`` rows it was not fitted on.
 

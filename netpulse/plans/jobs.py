@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import sum_by_key_hour
-from ..operators.forecast import anomaly_flags, forecast
+from ..operators.forecast import DAILY_ORDER, anomaly_flags, forecast
 from ..operators.merge import append_new_only, forecast_merge, series_retain
 from ..operators.ml import evaluate, fit_and_predict
 from ..session import scratch_path
@@ -22,7 +22,7 @@ from ..sinks.files import write_table
 
 
 def forecast_job(logs: DataFrame, metric: str = "unq_dst_ip", horizon: int = 8, roll_mode: str = "repredict",
-                 seasonality: bool | str = "auto", training_date=None, order: int = 4, ridge: float = 1.0,
+                 seasonality: bool | str = "auto", training_date=None, order: int = DAILY_ORDER, ridge: float = 1.0,
                  trend: str = "auto", weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
     """Forecast table of every source for ``metric``.
 
