@@ -377,6 +377,33 @@ def save_model(model: DataFrame, path: str, data_type: str) -> str:
     return path
 
 
+def import_scaled_model(spark, rows: list[dict], order: int = DAILY_ORDER, weekly_order: int = 0) -> DataFrame:
+    """Model table from externally fitted scaled parameters, one dict per key.
+
+    Each dict holds ``ip``, ``start`` (epoch seconds), ``t_scale`` (seconds),
+    ``y_scale``, ``k``, ``m``, ``beta`` (Fourier weights, sin/cos per order)
+    and optionally ``sigma_obs`` - a linear trend ``y_scale * (k * (t - start) /
+    t_scale + m)`` times ``1 + X beta``.  Changepoint shifts are not
+    represented.  The parameters map exactly onto the model table: slope per
+    hour ``y_scale * k * 3600 / t_scale``, ``mean_t`` the start in hours,
+    ``mean_y = y_scale * m``, ``sigma = sigma_obs * y_scale``.  Parameter
+    tables are small (one row per key); they are created from the driver.
+    """
+    m = 2 * (order + weekly_order)
+    out = []
+    for r in rows:
+        beta = list(r["beta"]) + [0.0] * (m - len(r["beta"]))
+        out.append((r["ip"], r["start"] / 3600.0, r["y_scale"] * r["m"], r["y_scale"] * r["k"] * 3600.0 / r["t_scale"],
+                    (r.get("sigma_obs") or 0.0) * r["y_scale"], *[float(b) for b in beta[:m]]))
+    schema = T.StructType([T.StructField("ip", T.StringType()), T.StructField("mean_t", T.DoubleType()),
+                           T.StructField("mean_y", T.DoubleType()), T.StructField("slope", T.DoubleType()),
+                           T.StructField("sigma", T.DoubleType())]
+                          + [T.StructField(f"beta_{i}", T.DoubleType()) for i in range(m)])
+    return spark.createDataFrame(out, schema).select(
+        "*", F.lit("ok").alias("status"), F.lit(True).alias("trend_kept"), F.lit(True).alias("season_kept"),
+        F.lit(order).alias("order"), F.lit(weekly_order).alias("weekly_order"))
+
+
 def load_model(spark, path: str, data_type: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("data_type") == data_type).drop("data_type")
 
