@@ -236,3 +236,26 @@ def test_holdout_evaluation(spark):
     assert overall.n == 8 * 5 * 24  # 16-20 January
     assert overall.rmse < 2.0 and 0.85 < overall.coverage <= 1.0
     assert scores.where(F.col("ip").isNotNull()).count() == 8
+
+
+def test_repredict_beats_relabel_on_business_hours_data(spark):
+    # hourly series observed 08:00-18:00 only, level 50 with a daily shape
+    days, rows = 14, []
+    import math as _m
+    import random as _r
+    rnd = _r.Random(3)
+    for d in range(days):
+        for h in range(8, 19):
+            shape = 1 + 0.4 * _m.sin(2 * _m.pi * (h - 8) / 24)
+            rows.append(("a", dt.datetime(2024, 1, 1 + d, h), 50 * shape + rnd.gauss(0, 1)))
+    train = spark.createDataFrame(rows, "ip string, ds timestamp_ntz, y double")
+
+    def truth(ts):
+        return 50 * (1 + 0.4 * _m.sin(2 * _m.pi * (ts.hour - 8) / 24))
+
+    def err(mode):
+        out = fc.forecast(train, seasonality=True, roll_mode=mode, training_date="2024-01-15").where("y IS NULL")
+        return max(abs(r.yhat - truth(r.ds)) for r in out.collect())
+
+    # the last observation is 18:00, so every future hour is rolled to the next morning
+    assert err("repredict") < 5 < err("relabel")
