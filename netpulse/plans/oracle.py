@@ -279,5 +279,8 @@ SELECT CASE WHEN event_id % {MALFORMED_EVERY} = 0 THEN NULL ELSE src_ip END AS k
        CAST(avg(CASE WHEN event_id % {MALFORMED_EVERY} = 0 THEN NULL ELSE CAST(unq_dst_ip AS DOUBLE) END)
             AS VARCHAR) AS value
 FROM logs GROUP BY 1""",
+    "stream_route_to_partition": _with(LOGS, PMAP) + f"""
+SELECT l.event_id, l.src_ip, p."partition" FROM logs l JOIN pmap p ON l.src_ip = p.src_ip
+WHERE l.event_id % {MALFORMED_EVERY} <> 0""",
     "stream_dedup": _with(LOGS) + """SELECT DISTINCT event_id, src_ip, "timestamp", unq_dst_ip FROM logs""",
 }

@@ -361,6 +361,17 @@ def q_stream_changelog_kv(spark, sf_dir):
     return sj.changelog_kv(sj.latest_by_key(_run_changelog(spark, sj.running_average(stream))))
 
 
+def q_stream_route_to_partition(spark, sf_dir):
+    """Records routed as they arrive: stream-static join with the partition map."""
+    pmap = _pmap(spark, sf_dir)
+    path = _staged_records(spark, sf_dir)
+    stream = read_log_stream(spark, "parquet", path=path, schema=RECORD_SCHEMA, max_files_per_trigger=4)
+    out = scratch_path(spark, "routed")
+    sj.await_done(sj.run_to_files(sj.route_records(stream, pmap), out, scratch_path(spark, "checkpoint")))
+    routed = spark.read.parquet(out)
+    return routed.select(F.col("record_key").cast("bigint").alias("event_id"), "src_ip", "partition")
+
+
 def q_stream_dedup(spark, sf_dir):
     logs = _logs(spark, sf_dir).select("event_id", "src_ip", "timestamp", "unq_dst_ip")
     path = scratch_path(spark, "logs2")

@@ -129,3 +129,19 @@ def stage_files(df: DataFrame, path: str, n_files: int, order: str | None = None
 
 def read_changelog(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table)
+
+
+def route_records(records: DataFrame, pmap: DataFrame, key: str = "src_ip") -> DataFrame:
+    """Stream routing: decode each record's key and attach its partition from
+    a static key map (a stream-static join; the map is broadcast behind the
+    row bound).  Records with an unknown or unreadable key are dropped, as
+    the batch routing drops them."""
+    from ..operators.joins import bounded_broadcast
+    from ..session import checkpoint_root
+    checkpoint_root(records.sparkSession)
+    # the static side is written once: its lineage (ordinal numbering) holds
+    # expressions a streaming plan refuses, and every trigger would recompute it
+    static = pmap.select(key, "partition").checkpoint(eager=True)
+    decoded = decode_payload(records, fields=[key], keep=["key", "value"])
+    return decoded.join(bounded_broadcast(static), key, "inner") \
+        .select(F.col("key").alias("record_key"), key, "partition", "value")
