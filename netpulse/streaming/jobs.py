@@ -1,5 +1,5 @@
-"""Structured Streaming jobs: running average per key, its changelog, and
-de-duplication of repeated records.
+"""Structured Streaming jobs: running average per key, its changelog,
+per-record routing to a partition, and de-duplication of repeated records.
 
 Results leave a stream through ``foreachBatch`` into a Parquet changelog keyed
 by ``batch_id`` (a replayed batch rewrites only its own partition), or through
