@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from .bpe import encode_documents
 from .common import read_table
 from .exact_dedup import exact_duplicates
+from .packing import pack_documents
 from .simhash import near_duplicates
+from .token_counts import count_tokens
 
 
 def op2_simhash_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_bpe_codec(spark, sf_dir):
+    coded = encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_token_counts(spark, sf_dir):
+    return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_best_fit_packing(spark, sf_dir):
+    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
