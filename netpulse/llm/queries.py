@@ -9,6 +9,7 @@ from .bpe import encode_documents
 from .common import read_table
 from .exact_dedup import exact_duplicates
 from .packing import pack_documents
+from .rules import quality_rules
 from .simhash import near_duplicates
 from .token_counts import count_tokens
 
@@ -27,6 +28,10 @@ def op4_token_counts(spark, sf_dir):
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_quality_rules(spark, sf_dir):
+    return quality_rules(read_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
