@@ -12,6 +12,7 @@ from .packing import pack_documents
 from .rules import quality_rules
 from .simhash import near_duplicates
 from .token_counts import count_tokens
+from .url_filter import filter_urls, labelled_urls, train_url_model
 
 
 def op2_simhash_dedup(spark, sf_dir):
@@ -36,6 +37,11 @@ def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_url_filter(spark, sf_dir):
+    model = train_url_model(labelled_urls(spark))
+    return filter_urls(read_table(spark, sf_dir, "pages"), model).drop("model_blocks")
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
