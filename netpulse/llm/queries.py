@@ -13,6 +13,7 @@ from .rules import quality_rules
 from .simhash import near_duplicates
 from .token_counts import count_tokens
 from .url_filter import filter_urls, labelled_urls, train_url_model
+from .warc import archive_round_trip
 
 
 def op2_simhash_dedup(spark, sf_dir):
@@ -37,6 +38,11 @@ def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_warc_archives(spark, sf_dir):
+    return archive_round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_url_filter(spark, sf_dir):
     model = train_url_model(labelled_urls(spark))
     return filter_urls(read_table(spark, sf_dir, "pages"), model).drop("model_blocks")
