@@ -12,4 +12,29 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY norm)
 """
 
-ORACLE_SQL = {"op9_exact_dedup": OP9}
+#: op10: trigram stupid backoff, all counts from the documents themselves.
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS w3, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT *, lag(w3) OVER o AS w2, lag(w3, 2) OVER o AS w1 FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+uni AS (SELECT w3 AS b, count(*) AS n FROM g GROUP BY 1),
+bi AS (SELECT w2 AS a, w3 AS b, count(*) AS n FROM g WHERE w2 IS NOT NULL GROUP BY 1, 2),
+tri AS (SELECT w1 AS a, w2 AS b, w3 AS c, count(*) AS n FROM g WHERE w1 IS NOT NULL GROUP BY 1, 2, 3),
+s AS (
+  SELECT g.doc_id, g.i,
+    CASE WHEN tri.n >= 2 THEN 2 WHEN b23.n >= 2 THEN 1 ELSE 0 END AS context,
+    CASE WHEN tri.n >= 2 THEN ln(tri.n / b12.n)
+         WHEN b23.n >= 2 THEN ln(b23.n / u2.n) + CASE WHEN g.i > 2 THEN ln(0.4::DOUBLE) ELSE 0 END
+         ELSE ln(u3.n / (SELECT count(*) FROM t)) + least(g.i - 1, 2) * ln(0.4::DOUBLE) END AS ls
+  FROM g JOIN uni u3 ON u3.b = g.w3 LEFT JOIN uni u2 ON u2.b = g.w2
+  LEFT JOIN bi b23 ON b23.a = g.w2 AND b23.b = g.w3 LEFT JOIN bi b12 ON b12.a = g.w1 AND b12.b = g.w2
+  LEFT JOIN tri ON tri.a = g.w1 AND tri.b = g.w2 AND tri.c = g.w3)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words,
+       count(s.i) FILTER (WHERE context < least(s.i - 1, 2)) AS n_backed_off, round(sum(ls) / len(d.ws), 6) AS log_score
+FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, len(d.ws)
+"""
+
+ORACLE_SQL = {"op10_lm_scoring": OP10, "op9_exact_dedup": OP9}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_documents
 from .common import read_table
 from .exact_dedup import exact_duplicates
+from .lm import stupid_backoff
 from .packing import pack_documents
 from .rules import quality_rules
 from .simhash import near_duplicates
@@ -16,6 +17,10 @@ from .url_filter import filter_urls, labelled_urls, train_url_model
 from .warc import archive_round_trip
 
 
+def op10_lm_scoring(spark, sf_dir):
+    return stupid_backoff(read_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
