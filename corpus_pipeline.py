@@ -7,13 +7,27 @@ exact and near duplicates keep one document of each group, and the rest is packe
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from netpulse.llm.common import read_table, written
 from netpulse.llm.exact_dedup import drop_exact_duplicates
+from netpulse.llm.packing import pack_documents
+from netpulse.llm.quality import drop_low_quality
+from netpulse.llm.rules import drop_rejected
 from netpulse.llm.simhash import drop_near_duplicates
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose posterior quality, by text and site, is one half or more stay."""
+    return drop_low_quality(docs, read_table(spark, sf_dir, "labels"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the counting rules and lie near their language stay."""
+    return drop_rejected(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the document with the largest id stays."""
     return drop_exact_duplicates(docs)
@@ -24,7 +38,13 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_near_duplicates(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("simhash_dedup", simhash_dedup)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every remaining document's pieces with their places in sequences of at most 2048 tokens."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality_classifier", quality_classifier), ("quality_rules", quality_rules), ("exact_dedup", exact_dedup),
+          ("simhash_dedup", simhash_dedup), ("packing", packing)]
 
 #: Trained models and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

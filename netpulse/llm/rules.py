@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, written
+from .common import keep_ids, pick, written
 
 SPACE = "[\\x20\\x09-\\x0D]"
 NO_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -144,3 +144,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         ((F.col("n_words") >= MIN_WORD_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance")
+
+
+def drop_rejected(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    return keep_ids(docs, quality_rules(docs).where("kept").select("doc_id"))
