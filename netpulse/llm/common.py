@@ -14,6 +14,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def position(df: DataFrame, name: str) -> int:
+    """Place of a column: its exact name, else the first that differs in case only."""
+    if name in df.columns:
+        return df.columns.index(name)
+    return [c.lower() for c in df.columns].index(name.lower())
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under new names: ``pick(df, doc_id="doc_id", text="body")``.
 
@@ -21,7 +28,7 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     name, also names that differ in case only, do no harm.
     """
     plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
-    return plain.select(*[plain[f"_c{df.columns.index(src)}"].alias(dst) for dst, src in columns.items()])
+    return plain.select(*[plain[f"_c{position(df, src)}"].alias(dst) for dst, src in columns.items()])
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -39,7 +46,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` is among ``ids.doc_id``; null equals null."""
     wanted = ids.select(F.col("doc_id").alias("__wanted_id"))
-    pos = docs.columns.index("doc_id")
+    pos = position(docs, "doc_id")
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     kept = plain.join(wanted, plain[f"_c{pos}"].eqNullSafe(wanted["__wanted_id"]), "left_semi")
     return kept.toDF(*docs.columns)
