@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import rules
+
 #: op9: equal after lower-casing A-Z; the largest id of a group stays.
 OP9 = """
 WITH t AS (
@@ -37,4 +39,52 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words,
 FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, len(d.ws)
 """
 
-ORACLE_SQL = {"op10_lm_scoring": OP10, "op9_exact_dedup": OP9}
+
+
+def _divergence_sql() -> str:
+    """op5: counting rules, histograms in long form, references taken twice, limits."""
+    commons = " ".join(f"WHEN lang = '{k}' THEN {v.split()}" for k, v in rules.COMMON_WORDS.items())
+    part = "CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
+    pq = part.format(a="p", b="q") + " + " + part.format(a="q", b="p")
+    counted = "length(regexp_replace(text, '{}', '', 'g'))"
+    refs = """SELECT kind, lang, pos, sum(v) / nullif(sum(sum(v)) OVER (PARTITION BY kind, lang), 0) AS q
+        FROM h JOIN {docs} USING (doc_id) GROUP BY kind, lang, pos HAVING count(*) >= %d""" % rules.REFERENCE_DOCS
+    distance = f"""SELECT doc_id, coalesce(sum({pq}) FILTER (WHERE kind = 'c'), 0) / 2 AS c,
+        coalesce(sum({pq}) FILTER (WHERE kind = 'w'), 0) / 2 AS w FROM h LEFT JOIN {{refs}} USING (kind, lang, pos)
+        WHERE p IS NOT NULL AND q IS NOT NULL GROUP BY doc_id"""
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 4], ' ')) AS n
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+rep AS (SELECT doc_id, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n_repeat_words
+    FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM win WHERE n > 1) GROUP BY doc_id),
+b AS (SELECT w.*, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    {counted.format('[^#*$%&|<>]')}::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    list_transform(ws, lambda x: rtrim(lower(x), '.,')) AS plain, CASE {commons} END AS cw
+    FROM w LEFT JOIN rep USING (doc_id)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    [{counted.format('[^A-Z]')}, {counted.format('[\x00-\x7F]')}, length(text) - word_chars,
+     {counted.format('[^.,;:!?]')}, n_symbols] AS c5,
+    coalesce(list_transform(cw, lambda c: len(list_filter(plain, lambda x: x = c))), [0 for _ in range({rules.N_COMMON})]) AS w20
+    FROM b),
+g AS (SELECT *, list_append(c5, length(text) - list_sum(c5)) AS cs, list_append(w20, n_words - list_sum(w20)) AS wv FROM f),
+long AS (SELECT doc_id, lang, 'c' AS kind, unnest(cs) AS v, generate_subscripts(cs, 1) AS pos FROM g
+    UNION ALL SELECT doc_id, lang, 'w', unnest(wv), generate_subscripts(wv, 1) FROM g),
+h AS (SELECT *, v / nullif(sum(v) OVER (PARTITION BY doc_id, kind), 0) AS p FROM long),
+sound AS (SELECT doc_id FROM g WHERE NOT base_failed AND n_words >= {rules.REFERENCE_WORDS}),
+r1 AS ({refs.format(docs="sound")}),
+d1 AS (SELECT doc_id, coalesce(c, 0) AS c, coalesce(w, 0) AS w FROM sound LEFT JOIN ({distance.format(refs="r1")}) USING (doc_id)),
+near AS (SELECT doc_id FROM d1 WHERE c <= (SELECT avg(c) FROM d1) AND w <= (SELECT avg(w) FROM d1)),
+r2 AS ({refs.format(docs="near")}),
+d2 AS ({distance.format(refs="r2")})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT (n_words >= {rules.MIN_CLASS_WORDS} AND coalesce(c, 0) > {rules.MAX_CLASS_DISTANCE})
+    AND NOT (n_words >= {rules.MIN_WORD_WORDS} AND coalesce(w, 0) > {rules.MAX_WORD_DISTANCE}) AS kept
+FROM g LEFT JOIN d2 USING (doc_id)
+"""
+
+
+ORACLE_SQL = {"op5_quality_rules": _divergence_sql(), "op10_lm_scoring": OP10, "op9_exact_dedup": OP9}
