@@ -11,6 +11,7 @@ numbered by many tasks.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -18,11 +19,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import loaded, portions, tokenizer_file
+from .bpe import PATTERN, ByteBpe, tokenizer_file
 from .common import pick, written
 
 CAPACITY = 2048
@@ -82,6 +84,26 @@ def best_fit_plan(histogram: dict[int, int], capacity: int) -> list[Slots]:
     return plan
 
 
+_LOADED: dict[bytes, tiktoken.Encoding] = {}
+
+
+def encoder(file: bytes) -> tiktoken.Encoding:
+    """A compiled encoder with the vocabulary of a byte-level BPE tokenizer file, built once per Python worker.
+
+    It merges by id, which is the file's order of merges only if ids follow that order.
+    """
+    key = hashlib.sha256(file).digest()
+    if key not in _LOADED:
+        model = ByteBpe(file)
+        if (np.diff(model.table.result) <= 0).any():
+            raise ValueError("the tokenizer's ids are not in the order of its merges")
+        special = set(model.special.values())
+        ranks = {b: i for i, b in enumerate(model.id_bytes) if i not in special}
+        _LOADED.clear()
+        _LOADED[key] = tiktoken.Encoding(key.hex(), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=model.special)
+    return _LOADED[key]
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: each text's ids and ``end_id``, cut to ``capacity``."""
     file = tokenizer_file(tokenizer)
@@ -91,23 +113,23 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = loaded(file)
+        model = encoder(file)
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for lo, hi in portions(texts):
-                owner, rows = [], []
-                for i, ids in enumerate(model.encode(texts[lo:hi]), lo):
-                    ids += end
-                    total = len(ids) // 4
-                    edges = [0, *range((total - 1) % capacity + 1, total + 1, capacity)]
-                    for k, (s, e) in enumerate(zip(edges, edges[1:])):
-                        part = ids[4 * s:4 * e]
-                        owner.append(i)
-                        rows.append((k, s, e - s, zlib.crc32(part), part))
-                k, s, n, crc, part = zip(*rows)
-                columns = [b.column(0).take(pa.array(owner)), pa.array(k, pa.int32()), pa.array(s, pa.int64()),
-                           pa.array(n, pa.int64()), pa.array(crc, pa.int64())] + [pa.array(part, pa.binary())] * with_ids
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+            owner, rows = [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                ids = model.encode_to_numpy(text or "", allowed_special="all").astype("<u4").tobytes() + end
+                total = len(ids) // 4
+                edges = [0, *range((total - 1) % capacity + 1, total + 1, capacity)]
+                for k, (s, e) in enumerate(zip(edges, edges[1:])):
+                    part = ids[4 * s:4 * e]
+                    owner.append(i)
+                    rows.append((k, s, e - s, zlib.crc32(part), part if with_ids else None))
+            if not rows:
+                continue
+            k, s, n, crc, part = zip(*rows)
+            columns = [b.column(0).take(pa.array(owner)), pa.array(k, pa.int32()), pa.array(s, pa.int64()),
+                       pa.array(n, pa.int64()), pa.array(crc, pa.int64())] + [pa.array(part, pa.binary())] * with_ids
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
     return docs.mapInArrow(run, T.StructType(fields))
 
