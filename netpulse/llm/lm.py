@@ -4,8 +4,10 @@ Documents are gathered once into blocks of word ids.  Every block explodes its
 n-grams, counts its own distinct ones and deals them to the hash range they belong
 to; so an n-gram that occurs everywhere crosses the shuffle once per block and not
 once per use.  Each hash range adds up its part of the count table and joins the
-totals back to the n-grams that asked, block by block; the block then has the total
-of every n-gram it holds, scores each word and sums the logarithms per document.
+totals back to the n-grams that asked, block by block.  Words and pairs come first;
+a longer n-gram is asked for only if the counts of its parts leave it a chance to
+reach the least count, which spares most of them the way.  The block then has every
+total it needs, scores each word and sums the logarithms per document.
 
 N-grams are told apart by 64-bit hashes of their words.  The rows that cross a
 shuffle hold sorted, difference-coded arrays, a few bytes per n-gram.
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick, text_bytes, written
+from .common import pick, text_bytes
 
 ORDER = 3
 BACKOFF = 0.4
@@ -73,6 +75,16 @@ def ngram_hashes(words: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np
     return h ^ (h >> np.uint64(27)), at
 
 
+def count_words(docs: DataFrame) -> int:
+    """Words of all documents; one number per partition is added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = sum(len(t.split()) for b in batches for t in text_bytes(b.column(0)))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    return docs.select("text").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(block, n_words, doc_ids, lengths, vocabulary, words)``: documents as word ids of their block."""
     id_type = docs.schema["doc_id"].dataType
@@ -112,30 +124,88 @@ def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def count_requests(gathered: DataFrame, order: int, bits: int) -> DataFrame:
-    """``(n, range, block, hashes, counts)``: each block's distinct n-grams by hash range, with its own counts."""
+def ngram_level(flat: np.ndarray, lengths: np.ndarray, n: int, shorter: np.ndarray | None, min_count: int):
+    """The block's n-grams that are worth asking for: sorted hashes, own counts, positions, entry of each position.
+
+    An n-gram is never more frequent than the two shorter ones it holds, so from three
+    words on only those are asked for whose parts are both frequent enough.
+    """
+    hashes, at = ngram_hashes(flat, lengths, n)
+    if n > 2:
+        worth = (shorter[at] >= min_count) & (shorter[at + 1] >= min_count)
+        hashes, at = hashes[worth], at[worth]
+    found, entry, own = np.unique(hashes, return_inverse=True, return_counts=True)
+    return found, own, at, entry
+
+
+def counts_by_position(flat: np.ndarray, lengths: np.ndarray, totals: list[np.ndarray], min_count: int) -> list[np.ndarray]:
+    """For each order, the corpus count of the n-gram that starts at each position; 0 where it was not asked for."""
+    levels: list[np.ndarray] = []
+    for n, total in enumerate(totals, 1):
+        _, _, at, entry = ngram_level(flat, lengths, n, levels[-1] if levels else None, min_count)
+        seen = np.zeros(len(flat))
+        seen[at] = total[entry]
+        levels.append(seen)
+    return levels
+
+
+def _open(block: pa.Table | pa.RecordBatch, row: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and document lengths of a block."""
+    lengths, vocabulary, words = (block.column(c)[row].as_py() for c in ("lengths", "vocabulary", "words"))
+    return unpack(vocabulary, np.uint64)[unpack(words, np.uint32)], unpack(lengths, np.uint64).astype(np.int64)
+
+
+def _by_order(replies: pa.Table, orders: int) -> list[np.ndarray]:
+    """The totals that came back to a block, per order in hash order."""
+    replies = replies.sort_by([("n", "ascending"), ("range", "ascending")])
+    parts: dict[int, list[np.ndarray]] = defaultdict(list)
+    for n, data in zip(replies.column("n").to_pylist(), replies.column("totals").to_pylist()):
+        parts[n].append(unpack(data, np.uint64))
+    return [np.concatenate(parts[n]) if n in parts else np.empty(0, np.uint64) for n in range(1, orders + 1)]
+
+
+REQUEST = "n int, range long, block long, hashes binary, counts binary"
+_REQUEST_FIELDS = pa.schema([("n", pa.int32()), ("range", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()),
+                             ("counts", pa.binary())])
+
+
+def _requests(block: int, n: int, found: np.ndarray, own: np.ndarray, bits: int) -> pa.Table:
+    """Distinct n-grams of a block cut at the borders of the hash ranges (their top ``bits``)."""
+    part = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(cuts[1:], len(part))
+    return pa.table([pa.array([n] * len(cuts), pa.int32()), pa.array(part[cuts]), pa.array([block] * len(cuts), pa.int64()),
+                     pa.array([pack_sorted(found[lo:hi]) for lo, hi in zip(cuts, ends)], pa.binary()),
+                     pa.array([pack(own[lo:hi].astype(np.uint64)) for lo, hi in zip(cuts, ends)], pa.binary())],
+                    schema=_REQUEST_FIELDS)
+
+
+def first_requests(placed: DataFrame, orders: int, bits: int) -> DataFrame:
+    """Requests for all words and word pairs (of up to ``orders``) of every block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, lengths, vocabulary, words in zip(*[b.column(c).to_pylist() for c in
-                                                           ("block", "lengths", "vocabulary", "words")]):
-                lengths = unpack(lengths, np.uint64).astype(np.int64)
-                flat = unpack(vocabulary, np.uint64)[unpack(words, np.uint32)]
-                for n in range(1, order + 1):
-                    found, own = np.unique(ngram_hashes(flat, lengths, n)[0], return_counts=True)
-                    if not len(found):
-                        continue
-                    part = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
-                    cuts = np.flatnonzero(np.diff(part, prepend=-1))
-                    ends = np.append(cuts[1:], len(part))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([n] * len(cuts), pa.int32()), pa.array(part[cuts]), pa.array([block] * len(cuts), pa.int64()),
-                         pa.array([pack_sorted(found[lo:hi]) for lo, hi in zip(cuts, ends)], pa.binary()),
-                         pa.array([pack(own[lo:hi].astype(np.uint64)) for lo, hi in zip(cuts, ends)], pa.binary())],
-                        names=["n", "range", "block", "hashes", "counts"])
-
-    return gathered.select("block", "lengths", "vocabulary", "words").mapInArrow(
-        run, "n int, range long, block long, hashes binary, counts binary")
+            for row, block in enumerate(b.column("block").to_pylist()):
+                flat, lengths = _open(b, row)
+                for n in range(1, orders + 1):
+                    found, own, _, _ = ngram_level(flat, lengths, n, None, 0)
+                    yield from _requests(block, n, found, own, bits).to_batches()
+
+    return placed.mapInArrow(run, REQUEST)
+
+
+def longer_requests(placed: DataFrame, totals: DataFrame, n: int, bits: int, min_count: int) -> DataFrame:
+    """Requests for the n-grams whose shorter parts, by the ``totals`` so far, are frequent enough."""
+
+    def run(block: pa.Table, replies: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return _REQUEST_FIELDS.empty_table()
+        flat, lengths = _open(block)
+        shorter = counts_by_position(flat, lengths, _by_order(replies, n - 1), min_count)[-1]
+        found, own, _, _ = ngram_level(flat, lengths, n, shorter, min_count)
+        return _requests(block.column("block")[0].as_py(), n, found, own, bits)
+
+    return placed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, REQUEST)
 
 
 def _join_totals(table: pa.Table) -> pa.Table:
@@ -150,27 +220,18 @@ def _join_totals(table: pa.Table) -> pa.Table:
                      "totals": pa.array(totals, pa.binary())})
 
 
-def backoff_scores(flat: np.ndarray, lengths: np.ndarray, totals: list[np.ndarray], n_corpus: int,
-                   backoff: float, min_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """``ln S`` of every word of a block, and how many words of context its n-gram had.
-
-    ``totals[n - 1]`` are the corpus counts of the block's distinct n-grams in hash order.
-    """
-    log_s = np.zeros(len(flat))
-    context = np.zeros(len(flat), np.int64)
-    shorter = None
-    for n, total in enumerate(totals, 1):
-        hashes, at = ngram_hashes(flat, lengths, n)
-        seen = np.zeros(len(flat), np.float64)
-        seen[at] = total[np.unique(hashes, return_inverse=True)[1]]
-        last = at + n - 1
-        if n == 1:
-            log_s = np.log(seen / n_corpus)
-        else:
-            found = seen[at] >= min_count
-            log_s[last] = np.where(found, np.log(np.maximum(seen[at], 1) / shorter[at]), np.log(backoff) + log_s[last])
-            context[last[found]] = n - 1
-        shorter = seen
+def backoff_scores(levels: list[np.ndarray], lengths: np.ndarray, n_corpus: int, backoff: float,
+                   min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """``ln S`` of every word of a block, and how many words of context its n-gram had."""
+    log_s = np.log(np.maximum(levels[0], 1) / n_corpus) if n_corpus else np.zeros(0)
+    context = np.zeros(len(log_s), np.int64)
+    ends = np.repeat(np.cumsum(lengths), lengths)
+    for n in range(2, len(levels) + 1):
+        at = np.flatnonzero(np.arange(len(log_s)) + n <= ends)
+        seen, before, last = levels[n - 1][at], levels[n - 2][at], at + n - 1
+        found = seen >= min_count
+        log_s[last] = np.where(found, np.log(np.maximum(seen, 1) / np.maximum(before, 1)), np.log(backoff) + log_s[last])
+        context[last[found]] = n - 1
     return log_s, context
 
 
@@ -189,36 +250,33 @@ def stupid_backoff(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     occur; an empty table gives an empty result.
     """
     source = pick(docs, doc_id=id_col, text=text_col)
-    gathered = written(blocks(source, block_words), "blocks")
-    n_corpus = gathered.agg(F.sum("n_words")).first()[0] or 0
+    n_corpus = count_words(source)
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(n_corpus // range_ngrams, width // order).bit_length()
-    requests = count_requests(gathered, order, bits)
-    totals = requests.groupBy("n", "range").applyInArrow(_join_totals, "block long, n int, range long, totals binary")
+    # one exchange deals the blocks; every later step of this one plan reuses it
+    placed = blocks(source, block_words).repartition("block")
+    joined = "block long, n int, range long, totals binary"
+    totals = first_requests(placed, min(order, 2), bits).groupBy("n", "range").applyInArrow(_join_totals, joined)
+    for n in range(3, order + 1):
+        asked = longer_requests(placed, totals, n, bits, min_count)
+        totals = totals.unionByName(asked.groupBy("n", "range").applyInArrow(_join_totals, joined))
     schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()),
                            T.StructField("n_backed_off", T.LongType()), T.StructField("log_score", T.DoubleType())])
 
-    def score(block: pa.Table, found: pa.Table) -> pa.Table:
-        lengths = unpack(block.column("lengths")[0].as_py(), np.uint64).astype(np.int64)
-        flat = unpack(block.column("vocabulary")[0].as_py(), np.uint64)[unpack(block.column("words")[0].as_py(), np.uint32)]
-        found = found.sort_by([("n", "ascending"), ("range", "ascending")])
-        of = defaultdict(list)
-        for n, data in zip(found.column("n").to_pylist(), found.column("totals").to_pylist()):
-            of[n].append(unpack(data, np.uint64))
-        by_order = [np.concatenate(of[n]) if n in of else np.empty(0, np.uint64) for n in range(1, order + 1)]
-        log_s, context = backoff_scores(flat, lengths, by_order, n_corpus, backoff, min_count)
+    def score(block: pa.Table, replies: pa.Table) -> pa.Table:
+        flat, lengths = _open(block)
+        levels = counts_by_position(flat, lengths, _by_order(replies, order), min_count)
+        log_s, context = backoff_scores(levels, lengths, n_corpus, backoff, min_count)
         starts = np.cumsum(lengths) - lengths
         place = np.arange(len(flat)) - np.repeat(starts, lengths)
-        short = context < np.minimum(place, order - 1)
-        running = np.concatenate(([0], np.cumsum(short)))
+        running = np.concatenate(([0], np.cumsum(context < np.minimum(place, order - 1))))
         filled = lengths > 0
         sums = np.zeros(len(lengths))
         if filled.any():  # empty documents have no segment of their own
             sums[filled] = np.add.reduceat(log_s, starts[filled])
         mean = np.round(sums / np.maximum(lengths, 1), 6)
-        return pa.table({"doc_id": block.column("doc_ids").chunk(0).flatten(), "n_words": pa.array(lengths),
+        return pa.table({"doc_id": block.column("doc_ids").combine_chunks().flatten(), "n_words": pa.array(lengths),
                          "n_backed_off": pa.array(running[starts + lengths] - running[starts]),
                          "log_score": pa.array(mean, mask=~filled)})
 
-    return gathered.select("block", "doc_ids", "lengths", "vocabulary", "words").groupBy("block") \
-        .cogroup(totals.groupBy("block")).applyInArrow(score, schema)
+    return placed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, schema)
