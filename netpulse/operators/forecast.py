@@ -11,8 +11,9 @@ trend and ratio in turn, and an information criterion decides per key whether
 the slope and the seasonal terms are kept.  Prediction is a join of the
 per-key parameters onto the time grid plus column arithmetic.
 
-Time axis: whole hours since the epoch, so the trend sums are exact integers
-(kept in DECIMAL(38,0) where they are multiplied).
+Time axis: whole hours since the epoch.  The sums are taken around a fixed recent
+hour and around each key's own level (a whole number near its mean), so they stay
+small: integer values sum exactly, and a large mean does not cancel the spread.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 
 from ..functions.timefmt import add_hours, epoch_hours
 from ..session import checkpoint_root
+from .merge import is_missing
 from .reshape import grid_with_history
 
 log = logging.getLogger(__name__)
@@ -38,7 +40,14 @@ Z95 = 1.959963984540054
 # Business-hours roll defaults (start hour, last hour, largest interval).
 START_HOUR = 8
 LAST_HOUR = 18
-MAX_INTERVAL = 11
+
+# Fixed value: the hour the time axis is centred on, 2024-01-01 00:00 UTC in hours since the epoch.
+ORIGIN_HOUR = 473352
+
+# A sum of squared residuals is rounding, not spread, below this share of the squares it is the difference of,
+# and where its root mean square is below this share of the mean.
+ROUNDING, MEAN_ROUNDING = 1e-12, 1e-15
+BAND_ROUNDING = 1e-9
 
 # Seasonal Fourier orders (daily order 4; weekly order 3, off unless asked for).
 DAILY_ORDER = 4
@@ -50,13 +59,19 @@ def _dec(c: Column) -> Column:
 
 
 def trend_stats(train: DataFrame, key: str = "ip") -> DataFrame:
-    """Per-key sufficient statistics of the trend regression of ``y`` on hours."""
-    t = epoch_hours("ds")
-    y = F.col("y")
-    return (train.where(y.isNotNull())
-            .select(key, t.alias("t"), y.alias("y"))
+    """Per-key sufficient statistics of the trend regression of ``y`` on hours.
+
+    ``t`` counts from ``ORIGIN_HOUR`` and ``y`` from the key's ``level``, the whole
+    number below its mean.  ``train`` is read twice, for the levels and the sums.
+    """
+    t = epoch_hours("ds") - ORIGIN_HOUR
+    observed = train.where(~is_missing("y")).select(key, t.alias("t"), "y")
+    levels = observed.groupBy(key).agg(F.floor(F.avg("y")).cast("double").alias("level"))
+    return (observed.join(levels, key)
+            .select(key, "level", "t", (F.col("y") - F.col("level")).alias("y"))
             .groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n"),
+            .agg(F.first("level").alias("level"),
+                 F.count(F.lit(1)).alias("n"),
                  F.sum("t").alias("st"),
                  F.sum(F.col("t") * F.col("t")).alias("stt"),
                  F.sum("y").alias("sy"),
@@ -71,7 +86,8 @@ def trend_params(stats: DataFrame, trend: str = "auto") -> DataFrame:
     keeps the least-squares slope; ``"flat"`` uses the mean; ``"auto"`` keeps
     the slope only where it pays for its parameter by the Bayesian information
     criterion, ``n * ln(SSE_flat / SSE_line) > ln(n)`` - a slope fitted to
-    noise and extrapolated adds error.  ``sigma`` is the residual standard
+    noise and extrapolated adds error, and on a tie the mean is enough.  A spread
+    within rounding of the level counts as none.  ``sigma`` is the residual standard
     deviation of the chosen line.  Fewer than two points give
     ``status = 'insufficient_history'``.
     """
@@ -79,21 +95,25 @@ def trend_params(stats: DataFrame, trend: str = "auto") -> DataFrame:
     den = (_dec(n) * _dec(stt) - _dec(st) * _dec(st)).cast("double")
     num = n * sty - st * sy
     ols = F.when(den > 0, num / den).otherwise(F.lit(0.0))
-    base = stats.select("*", (st / n).alias("mean_t"), (sy / n).alias("mean_y"), ols.alias("ols_slope")) \
+    base = stats.select("*", (F.lit(ORIGIN_HOUR) + st / n).alias("mean_t"), (F.col("level") + sy / n).alias("mean_y"),
+                        ols.alias("ols_slope")) \
+        .withColumn("_none", F.lit(ROUNDING) * syy + n * F.pow(F.lit(MEAN_ROUNDING) * F.col("mean_y"), 2)) \
         .withColumn("sse_flat", (n * syy - sy * sy) / n) \
-        .withColumn("sse_line", F.col("sse_flat") - F.col("ols_slope") * num / n)
+        .withColumn("sse_line", F.col("sse_flat") - F.col("ols_slope") * num / n) \
+        .withColumn("sse_flat", F.when(F.col("sse_flat") <= F.col("_none"), F.lit(0.0)).otherwise(F.col("sse_flat"))) \
+        .withColumn("sse_line", F.when(F.col("sse_line") <= F.col("_none"), F.lit(0.0)).otherwise(F.col("sse_line")))
     if trend == "linear":
         keep = n >= 2
     elif trend == "flat":
         keep = F.lit(False)
     else:
-        keep = F.when(n <= 2, F.lit(False)).when(F.col("sse_line") <= 0, F.lit(True)) \
+        keep = F.when((n <= 2) | (F.col("sse_flat") <= 0), F.lit(False)).when(F.col("sse_line") <= 0, F.lit(True)) \
             .otherwise(n * F.log(F.col("sse_flat") / F.col("sse_line")) > F.log(n))
     out = base.withColumn("trend_kept", keep)
     kept = F.col("trend_kept")
     sse = F.when(kept, F.col("sse_line")).otherwise(F.col("sse_flat"))
     dof = F.when(kept, n - 2).otherwise(n - 1)
-    sums = ("n", "st", "stt", "sy", "sty", "syy")
+    sums = ("level", "n", "st", "stt", "sy", "sty", "syy")
     return out.select(
         *[c for c in stats.columns if c not in sums],
         *sums, "mean_t", "mean_y", "ols_slope", "trend_kept",
@@ -186,10 +206,17 @@ def seasonal_params(train: DataFrame, trend: DataFrame, order: int = DAILY_ORDER
     The normal equations are per-key sums (``xx_i_j``, ``xr_i``); the table
     handed to numpy has one row per key.
     """
+    solve, schema, _ = _solve_batch(2 * (order + weekly_order), ridge, select)
+    return seasonal_sums(train, trend, order, min_trend, key, weekly_order).mapInPandas(solve, schema)
+
+
+def seasonal_sums(train: DataFrame, trend: DataFrame, order: int = DAILY_ORDER, min_trend: float = 1e-9,
+                  key: str = "ip", weekly_order: int = 0) -> DataFrame:
+    """Normal equations of the seasonal ratio, one row per key: ``xx_i_j``, ``xr_i``, ``rr``, ``nr``."""
     m = 2 * (order + weekly_order)
-    solve, schema, pairs = _solve_batch(m, ridge, select)
+    pairs = [(i, j) for i in range(m) for j in range(i, m)]
     g = trend_value(epoch_hours("ds").cast("double"))
-    joined = train.where(F.col("y").isNotNull()).join(
+    joined = train.where(~is_missing("y")).join(
         trend.where(F.col("status") == "ok").select(key, "mean_t", "mean_y", "slope"), key)
     x = seasonal_terms(F.col("ds"), order, weekly_order)
     rows = joined.select(key, g.alias("g"), F.col("y"), *[c.alias(f"x_{i}") for i, c in enumerate(x)]) \
@@ -198,28 +225,29 @@ def seasonal_params(train: DataFrame, trend: DataFrame, order: int = DAILY_ORDER
     aggs = [F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"xx_{i}_{j}") for (i, j) in pairs]
     aggs += [F.sum(F.col(f"x_{i}") * F.col("r")).alias(f"xr_{i}") for i in range(m)]
     aggs += [F.sum(F.col("r") * F.col("r")).alias("rr"), F.count(F.lit(1)).alias("nr")]
-    sums = rows.groupBy(key).agg(*aggs)
-    return sums.mapInPandas(solve, schema)
+    return rows.groupBy(key).agg(*aggs)
 
 
 # ---------------------------------------------------------------- prediction
 
 def business_hours_roll(grid: DataFrame, key: str = "ip", interval: int = 8, start_hour: int = START_HOUR,
-                        last_hour: int = LAST_HOUR, max_interval: int = MAX_INTERVAL) -> DataFrame | None:
-    """Move future rows past the last business hour to the next morning.
+                        last_hour: int = LAST_HOUR) -> DataFrame:
+    """Move future rows past the last business hour to the next mornings.
 
     Over the ``interval`` future rows of a key: the first row whose hour is
     after ``last_hour`` goes to ``start_hour`` of the next day and every later
-    row follows it hour by hour; earlier rows stay.  For consecutive hourly rows
-    this is one shift, ``24 - hour(first) + start_hour`` hours, for every row
-    at or after the first breach.  ``interval > max_interval`` gives None.
+    row follows it hour by hour; earlier rows stay.  A business day has
+    ``last_hour - start_hour + 1`` rows; beyond them the rows go on at
+    ``start_hour`` of the day after, so any horizon fits.  For consecutive hourly
+    rows this is a shift in closed form: the k-th row from the first breach gets
+    the breach's shift, and the hours of the night for each full business day in k.
     Only the future rows (``interval`` per key) enter the window.
     """
-    if interval > max_interval:
-        return None
+    day = last_hour - start_hour + 1
     fut = grid.where(F.col("is_future"))
     breach = F.min(F.when(F.hour("ds") > last_hour, F.col("ds"))).over(Window.partitionBy(key))
-    shift = F.lit(24 + start_hour) - F.hour("_fb")
+    k = ((F.unix_seconds(F.col("ds").cast("timestamp")) - F.unix_seconds(F.col("_fb").cast("timestamp"))) / 3600).cast("int")
+    shift = F.lit(24 + start_hour) - F.hour("_fb") + (24 - day) * F.floor(k / day).cast("int")
     rolled = fut.withColumn("_fb", breach) \
         .withColumn("ds", F.when(F.col("ds") >= F.col("_fb"), add_hours("ds", shift)).otherwise(F.col("ds"))) \
         .drop("_fb")
@@ -278,11 +306,11 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = DAILY_O
         rows = train.join(kept, key, "left_semi")
         betas = model.join(kept, key, "left_semi").select(key, *[f"beta_{i}" for i in range(m)])
         factor = _season_factor(order, weekly_order)
-        adjusted = rows.where(F.col("y").isNotNull()).join(betas, key) \
+        adjusted = rows.where(~is_missing("y")).join(betas, key) \
             .select(key, "ds", F.when(F.abs(factor) > 1e-9, F.col("y") / factor).alias("y"))
         refitted = combine(trend_params(trend_stats(adjusted, key), trend), rows)
         model = model.join(kept, key, "left_anti").unionByName(refitted)
-    hist = train.where(F.col("y").isNotNull()).select(key, "ds", "y", F.lit(False).alias("is_future"))
+    hist = train.where(~is_missing("y")).select(key, "ds", "y", F.lit(False).alias("is_future"))
     fitted = predict(hist, model.withColumn("sigma", F.lit(None).cast("double")), order, key=key,
                      weekly_order=weekly_order)
     dof = F.lit(1) + F.col("trend_kept").cast("int") + F.when(F.col("season_kept"), F.lit(m)).otherwise(0)
@@ -293,7 +321,7 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = DAILY_O
 
 def predict(grid: DataFrame, model: DataFrame, order: int = DAILY_ORDER, z: float = Z95, key: str = "ip",
             weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
-    """``yhat`` and the band on every grid row of keys with a fitted model.
+    """``yhat`` and the band on every grid row; null where the key has no fitted model.
 
     ``clamp_min`` floors ``yhat`` and both band edges (0 for counts, which a
     multiplicative seasonal term can push below zero outside the observed hours).
@@ -301,7 +329,7 @@ def predict(grid: DataFrame, model: DataFrame, order: int = DAILY_ORDER, z: floa
     m = 2 * (order + weekly_order)
     p = model.where(F.col("status") == "ok") \
         .select(key, "mean_t", "mean_y", "slope", "sigma", *[f"beta_{i}" for i in range(m)])
-    j = grid.join(p, key)
+    j = grid.join(p, key, "left")
     yhat = trend_value(epoch_hours("ds").cast("double"))
     if m > 0:
         xb = None
@@ -322,7 +350,7 @@ def residual_sigma(fitted: DataFrame, key: str = "ip") -> DataFrame:
     """Residual standard deviation of fitted values; ``_dof`` (if present) is
     the number of fitted parameters per key, else 2."""
     p = F.col("_dof") if "_dof" in fitted.columns else F.lit(2)
-    r = fitted.where(F.col("y").isNotNull()).select(key, (F.col("y") - F.col("yhat")).alias("e"), p.alias("_p"))
+    r = fitted.where(~is_missing("y") & F.col("yhat").isNotNull()).select(key, (F.col("y") - F.col("yhat")).alias("e"), p.alias("_p"))
     n = F.count(F.lit(1))
     return r.groupBy(key).agg(
         F.when(n > F.max("_p"), F.sqrt(F.sum(F.col("e") * F.col("e")) / (n - F.max("_p")))).alias("sigma"))
@@ -348,11 +376,9 @@ def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", s
     ``roll_mode``: ``"repredict"`` moves the future grid into business hours and
     predicts there; ``"relabel"`` predicts at the plain next hours and then moves
     only the labels (the values stay those of the unmoved hours); ``"none"``
-    leaves the grid as is.  A stored ``model`` skips the fit.
+    leaves the grid as is.  A stored ``model`` skips the fit.  A source with too
+    little history keeps its rows, with null ``yhat``.
     """
-    if horizon > MAX_INTERVAL and roll_mode != "none":
-        log.warning("horizon %d is longer than the business day (%d hours): no forecast", horizon, MAX_INTERVAL)
-        return _empty_forecast(train)
     train = materialize(train)
     if train.isEmpty():  # reads one row of the checkpoint
         log.warning("no training rows: empty forecast")
@@ -383,8 +409,8 @@ def import_scaled_model(spark, rows: list[dict], order: int = DAILY_ORDER, weekl
     Each dict holds ``ip``, ``start`` (epoch seconds), ``t_scale`` (seconds),
     ``y_scale``, ``k``, ``m``, ``beta`` (Fourier weights, sin/cos per order)
     and optionally ``sigma_obs`` - a linear trend ``y_scale * (k * (t - start) /
-    t_scale + m)`` times ``1 + X beta``.  Changepoint shifts are not
-    represented.  The parameters map exactly onto the model table: slope per
+    t_scale + m)`` times ``1 + X beta``.  Changepoint shifts (``delta``) cannot be
+    represented: a parameter set with a shift above 1e-6 is refused.  The parameters map exactly onto the model table: slope per
     hour ``y_scale * k * 3600 / t_scale``, ``mean_t`` the start in hours,
     ``mean_y = y_scale * m``, ``sigma = sigma_obs * y_scale``.  Parameter
     tables are small (one row per key); they are created from the driver.
@@ -392,6 +418,8 @@ def import_scaled_model(spark, rows: list[dict], order: int = DAILY_ORDER, weekl
     m = 2 * (order + weekly_order)
     out = []
     for r in rows:
+        if any(abs(d) > 1e-6 for d in r.get("delta") or []):
+            raise ValueError(f"{r['ip']}: the trend bends at changepoints, which the model table cannot hold")
         beta = list(r["beta"]) + [0.0] * (m - len(r["beta"]))
         out.append((r["ip"], r["start"] / 3600.0, r["y_scale"] * r["m"], r["y_scale"] * r["k"] * 3600.0 / r["t_scale"],
                     (r.get("sigma_obs") or 0.0) * r["y_scale"], *[float(b) for b in beta[:m]]))
@@ -420,7 +448,7 @@ def evaluate_forecast(model: DataFrame, holdout: DataFrame, order: int = DAILY_O
     Per key and overall (``ip`` null on the rollup row): rows, RMSE, MAE and
     the share of observations inside the band.  One join and one aggregate.
     """
-    grid = holdout.where(F.col("y").isNotNull()).select(key, "ds", "y", F.lit(False).alias("is_future"))
+    grid = holdout.where(~is_missing("y")).select(key, "ds", "y", F.lit(False).alias("is_future"))
     pred = predict(grid, model, order, key=key, weekly_order=weekly_order)
     e = F.col("y") - F.col("yhat")
     inside = ((F.col("y") >= F.col("yhat_lower")) & (F.col("y") <= F.col("yhat_upper"))).cast("double")
@@ -429,10 +457,15 @@ def evaluate_forecast(model: DataFrame, holdout: DataFrame, order: int = DAILY_O
 
 
 def anomaly_flags(fc: DataFrame) -> DataFrame:
-    """Observed rows outside the band: side and distance beyond the band."""
-    obs = fc.where(F.col("y").isNotNull() & F.col("yhat_upper").isNotNull())
-    side = F.when(F.col("y") > F.col("yhat_upper"), F.lit("high")) \
-        .when(F.col("y") < F.col("yhat_lower"), F.lit("low"))
+    """Observed rows outside the band: side and distance beyond the band.
+
+    A distance within rounding of the forecast is none, so a constant series, whose
+    band has no width, is not flagged.
+    """
+    obs = fc.where(~is_missing("y") & F.col("yhat_upper").isNotNull())
+    slack = F.lit(BAND_ROUNDING) * F.greatest(F.abs("yhat"), F.lit(1.0))
+    side = F.when(F.col("y") - F.col("yhat_upper") > slack, F.lit("high")) \
+        .when(F.col("yhat_lower") - F.col("y") > slack, F.lit("low"))
     excess = F.when(F.col("y") > F.col("yhat_upper"), F.col("y") - F.col("yhat_upper")) \
         .when(F.col("y") < F.col("yhat_lower"), F.col("yhat_lower") - F.col("y"))
     return obs.select("ip", "ds", "y", "yhat_lower", "yhat_upper",

@@ -19,10 +19,10 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mark ``small`` for broadcast only if it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows of the small side.
+    The check is a plain count: one number per partition meets in the last task,
+    where a limit would gather up to ``max_rows`` rows of every partition.
     """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    return F.broadcast(small) if small.count() <= max_rows else small
 
 
 def partition_map(logs: DataFrame, key: str = "src_ip", arrival: str = "event_id",
@@ -72,10 +72,11 @@ def registered_only(df: DataFrame, registry: DataFrame, df_key: str = "ip", reg_
     return df.join(bounded_broadcast(reg, max_rows), df_key, "left_semi")
 
 
-def pseudonym_map(df: DataFrame, key: str = "src_ip", salt: str = "netpulse",
-                  max_rounds: int = 64, octets: int = 4) -> DataFrame:
+def pseudonym_map(df: DataFrame, key: str, salt: str, max_rounds: int = 64, octets: int = 4) -> DataFrame:
     """Distinct key -> unique pseudo-IP.
 
+    ``salt`` has no default: with a known salt the few billion addresses could be
+    tried one by one, so the caller keeps it secret.
     Round 0 hashes every key.  Keys that share a pseudo-IP with a smaller key
     are re-hashed with the next round number until no collision is left; each
     round checkpoints the map so its lineage stays short and the source is

@@ -1,44 +1,45 @@
-"""Merging new results into earlier ones: forecast back-fill, history append,
-idempotent dump, retention.  Each is one join or union, never a row loop."""
+"""Merging new results into earlier ones: forecast back-fill, idempotent dump,
+retention.  Each is one join or union, never a row loop."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def is_missing(column: str) -> Column:
+    """Null or NaN: a value that is still to come."""
+    return F.col(column).isNull() | F.isnan(column)
+
+
 def forecast_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     """Merge a new forecast table into the old one.
 
-    * an old row with null ``y`` takes ``y`` of the new table at the same
-      ``(ip, ds)``; a non-null ``y`` is never changed; no match stays null;
-    * the new table's rows with null ``y`` (its pending forecasts) are added.
+    * an old row with missing ``y`` (null or NaN) takes ``y`` of the new table at
+      the same ``(ip, ds)``; an observed ``y`` is never changed; no match stays null;
+    * the new table's rows with missing ``y`` (its pending forecasts) are added,
+      unless the old table holds their ``(ip, ds, training_date)`` already: merging
+      the same run again changes nothing.
 
     Only the old table's pending rows (a horizon per source and run) enter
     the join; its observed rows, the bulk of a growing table, pass through
     without a shuffle.  The new table holds one row per ``(ip, ds)``; ``max``
     makes the look-up side unique even if it did not.
     """
-    observed = new.where(F.col("y").isNotNull()).groupBy("ip", "ds").agg(F.max("y").alias("_new_y"))
-    pending = old.where(F.col("y").isNull())
+    observed = new.where(~is_missing("y")).groupBy("ip", "ds").agg(F.max("y").alias("_new_y"))
+    pending = old.where(is_missing("y"))
     filled = pending.join(observed, ["ip", "ds"], "left") \
         .withColumn("y", F.col("_new_y")).drop("_new_y").select(*old.columns)
-    return old.where(F.col("y").isNotNull()).unionByName(filled) \
-        .unionByName(new.where(F.col("y").isNull()).select(*old.columns))
+    added = new.where(is_missing("y")).select(*old.columns).withColumn("y", F.lit(None).cast("double"))
+    if "training_date" in old.columns:
+        run = ["ip", "ds", "training_date"]
+        added = added.join(old.select(*run), run, "left_anti").select(*old.columns)
+    return old.where(~is_missing("y")).unionByName(filled).unionByName(added)
 
 
 def forecast_pending(fc: DataFrame) -> DataFrame:
     """Rows still waiting for an observation."""
-    return fc.where(F.col("y").isNull() | F.isnan("y"))
-
-
-def history_append(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Old history plus the new rows, aligned by name; no de-duplication.
-
-    Sorting by ``ds`` within each key happens in the writer
-    (``sortWithinPartitions``), not as a global sort.
-    """
-    return old.unionByName(new, allowMissingColumns=True)
+    return fc.where(is_missing("y"))
 
 
 def append_new_only(existing: DataFrame, snapshot: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -48,7 +49,14 @@ def append_new_only(existing: DataFrame, snapshot: DataFrame, keys: list[str] |
     return snapshot.join(existing.select(*keys), keys, "left_anti")
 
 
-def series_retain(series: DataFrame, cutoff) -> DataFrame:
-    """Retention after a dump: keep samples newer than the dumped snapshot's end."""
+def series_retain(series: DataFrame, cutoff, metrics: list[str] | None = None) -> DataFrame:
+    """Retention after a dump: keep samples newer than the dumped snapshot's end.
+
+    ``metrics`` names the metrics that the dump holds; samples of any other metric
+    were not dumped and stay, whatever their age.
+    """
     c = F.lit(cutoff).cast("timestamp_ntz") if not hasattr(cutoff, "_jc") else cutoff
-    return series.where(F.col("ds") > c)
+    stays = F.col("ds") > c
+    if metrics is not None:
+        stays = stays | ~F.coalesce(F.col("data_type").isin(metrics), F.lit(False))
+    return series.where(stays)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import dense_index
-from ..session import checkpoint_root
+from ..session import scratch_path
 from .windows import lag_by_key
 
 # Numeric inputs of the feature vector, after the one-hot key.
@@ -126,12 +126,14 @@ def complete_feature_rows(logs_with_lag: DataFrame, prev_col: str = "prev_unq_ds
 
 def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None, seed: int = 42,
                     max_iter: int = 20, key_encoding: str = "onehot") -> tuple[KeyedRegressionModel, DataFrame]:
-    # every estimator stage and boosting round re-reads the features: write
-    # them once to the checkpoint folder instead of recomputing the lag window
+    # every estimator stage and boosting round re-reads the features: write the
+    # model's columns once, as they leave the lag window, instead of recomputing it
     spark = logs.sparkSession
-    checkpoint_root(spark)
-    # spread the table over all cores: each boosting round is a pass over it
-    feats = add_lag_feature(logs).repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+    path = scratch_path(spark, "features")
+    used = ["event_id", "src_ip", "timestamp", "unq_dst_ip", "prev_unq_dst_ip", *NUMERIC_FEATURES]
+    lagged = add_lag_feature(logs)
+    lagged.select(*[c for c in used if c in lagged.columns]).write.parquet(path)
+    feats = spark.read.parquet(path)
     train, test = time_split(feats, cutoff)
     index = fit_key_index(train)  # checkpointed by the dense numbering
     n_keys = index.count()

@@ -12,24 +12,16 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def per_key(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame],
-            schema: T.StructType | str, max_group_rows: int | None = 1_000_000) -> DataFrame:
-    """``groupBy(keys).applyInPandas(fn, schema)``, refused when a group is too big.
+            schema: T.StructType | str) -> DataFrame:
+    """``groupBy(keys).applyInPandas(fn, schema)``.
 
-    A grouped map holds a whole group in one Python worker.  With
-    ``max_group_rows`` the largest group is measured first (one aggregation;
-    only that number reaches the driver) and a larger group raises instead of
-    exhausting a worker.
+    A grouped map holds a whole group in one Python worker, so ``df`` must bound its
+    groups by construction; an hourly series has one row per hour and source.
     """
-    if max_group_rows:
-        largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        if largest is not None and largest > max_group_rows:
-            raise ValueError(f"largest group has {largest} rows > max_group_rows={max_group_rows}; "
-                             "aggregate first (e.g. to an hourly series) or split the key")
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 

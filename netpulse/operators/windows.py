@@ -21,7 +21,8 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     """Previous ``value`` per key in ``order`` (first row of a key: null).
 
     ``order`` must be a total order within a key, its first column a time.
-    Rows are windowed per (key, time bucket).  Buckets are ``bucket_seconds``
+    A null key or time is a key or bucket of its own, held under a stand-in value so
+    that all joins are plain equalities.  Rows are windowed per (key, time bucket).  Buckets are ``bucket_seconds``
     long; a (key, bucket) with more than ``max_bucket_rows`` rows is cut into
     ``fine_seconds`` buckets instead, so a hot key is spread over many tasks.
     The list of such hot buckets has at most rows / ``max_bucket_rows``
@@ -32,29 +33,24 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     coarse_us, fine_us = bucket_seconds * 1_000_000, fine_seconds * 1_000_000
     coarse = (F.floor(t / F.lit(coarse_us)) * F.lit(coarse_us)).cast("bigint")
     fine = (F.floor(t / F.lit(fine_us)) * F.lit(fine_us)).cast("bigint")
-    b = df.withColumn("_cb", coarse)
+    never = F.lit(-(1 << 62))
+    b = df.withColumn("_k", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))) \
+        .withColumn("_cb", F.coalesce(coarse, never))
     if max_bucket_rows:
-        hot = b.groupBy(key, "_cb").agg(F.count(F.lit(1)).alias("_n")) \
-            .where(F.col("_n") > max_bucket_rows).select(key, "_cb", F.lit(True).alias("_hot"))
-        b = b.join(F.broadcast(hot), [key, "_cb"], "left") \
-            .withColumn("_b", F.when(F.col("_hot"), fine).otherwise(F.col("_cb"))).drop("_hot")
+        hot = b.groupBy("_k", "_cb").agg(F.count(F.lit(1)).alias("_n")) \
+            .where(F.col("_n") > max_bucket_rows).select("_k", "_cb", F.lit(True).alias("_hot"))
+        b = b.join(F.broadcast(hot), ["_k", "_cb"], "left") \
+            .withColumn("_b", F.when(F.col("_hot"), F.coalesce(fine, never)).otherwise(F.col("_cb"))).drop("_hot")
     else:
         b = b.withColumn("_b", F.col("_cb"))
     b = b.drop("_cb")
-    w = Window.partitionBy(key, "_b").orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # one Window operator: the lag, the row's rank and the bucket's last value
-    inner = b.withColumn(out, F.lag(value).over(w)) \
-             .withColumn("_first", F.row_number().over(w) == 1) \
-             .withColumn("_last", F.last(value).over(whole))
-    # one row per bucket, taken from the same windowed rows (their shuffle is reused)
-    prev = inner.where(F.col("_first")).select(
-        F.col(key).alias("_pk"), F.col("_b").alias("_pb"),
-        F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_prev"))
-    # null-safe keys: a null key is its own window partition, and no inferred
-    # not-null filter makes the two branches differ (which would block the reuse)
-    cond = F.col(key).eqNullSafe(F.col("_pk")) & F.col("_b").eqNullSafe(F.col("_pb"))
-    res = inner.join(prev, cond, "left") \
+    w = Window.partitionBy("_k", "_b").orderBy(*order)
+    inner = b.withColumn(out, F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    # the last value of each bucket comes from an aggregate, so only a row per bucket and input partition travels for it
+    last = b.groupBy("_k", "_b").agg(F.max_by(F.col(value), F.struct(*order)).alias("_last"))
+    prev = last.select("_k", "_b", F.lag("_last").over(Window.partitionBy("_k").orderBy("_b")).alias("_prev"))
+    # plain equality on the window's own, never-null columns: the rows are already dealt by them
+    res = inner.join(prev, ["_k", "_b"], "left") \
         .withColumn(out, F.when(F.col("_first"), F.col("_prev")).otherwise(F.col(out)))
     return res.select(*df.columns, out)
 

@@ -2,10 +2,10 @@
 
 * ``forecast_job``: hourly sums -> per-source fit -> forecast table.
 * ``regression_job``: lag feature -> time split -> MLlib pipeline -> metrics.
-* ``processor_run``: one batch cycle of the series store: snapshot, forecast,
-  merge into the earlier forecast, anomaly flags, idempotent dump, then
-  retention - each output written to a new version path, retention only
-  after the dump.
+* ``processor_run``: one batch cycle of the series store: snapshot, fit (the
+  model is saved), forecast, merge into the earlier forecast, anomaly flags,
+  history append, idempotent dump, then retention of the dumped metric - each
+  output written to a new version path, retention only after the dump.
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import sum_by_key_hour
-from ..operators.forecast import DAILY_ORDER, anomaly_flags, forecast
+from ..operators.forecast import DAILY_ORDER, anomaly_flags, fit, forecast, load_model, materialize, save_model
 from ..operators.merge import append_new_only, forecast_merge, series_retain
 from ..operators.ml import evaluate, fit_and_predict
 from ..session import scratch_path
-from ..sinks.files import write_table
+from ..sinks.files import write_history, write_table
+from ..sources.series import write_series
 
 
 def forecast_job(logs: DataFrame, metric: str = "unq_dst_ip", horizon: int = 8, roll_mode: str = "repredict",
@@ -42,25 +43,35 @@ def regression_job(logs: DataFrame, cutoff: str, model_path: str | None = None,
 
 def processor_run(spark: SparkSession, series: DataFrame, snapshot_end: str, metric: str = "unq_dst_ip",
                   prior_forecast: DataFrame | None = None, prior_dump: DataFrame | None = None,
-                  training_date=None, root: str | None = None) -> dict[str, str]:
-    """One cycle over the long series table; returns the written paths."""
+                  training_date=None, root: str | None = None, history_path: str | None = None,
+                  seasonality: bool | str = "auto") -> dict[str, str]:
+    """One cycle over the long series table; returns the written paths.
+
+    ``history_path`` is the history table that all cycles append to.  Only ``metric``
+    is forecast and dumped, so only its samples are retained by age; the other
+    metrics go to the new series version whole.
+    """
     root = root or scratch_path(spark, "processor")
     end = F.lit(snapshot_end).cast("timestamp_ntz")
     snap = series.where((F.col("data_type") == metric) & (F.col("ds") <= end))
-    train = snap.select("ip", "ds", F.col("value").alias("y"))
-    fc = forecast(train, training_date=training_date)
+    train = materialize(snap.select("ip", "ds", F.col("value").alias("y")))
+    paths = {"model": save_model(fit(train, seasonality), f"{root}/model", metric)}
+    paths["history"] = write_history(train, history_path or f"{root}/history", metric)
+    fc = forecast(train, training_date=training_date, model=load_model(spark, paths["model"], metric))
     if prior_forecast is not None:
         fc = forecast_merge(prior_forecast, fc)
-    paths = {"forecast": write_table(fc, f"{root}/forecast")}
+    paths["forecast"] = write_table(fc, f"{root}/forecast")
     # observations outside the band, read back from the written forecast
     paths["anomalies"] = write_table(anomaly_flags(spark.read.parquet(paths["forecast"])), f"{root}/anomalies")
-    dump = snap.select("ip", F.unix_seconds(F.col("ds").cast("timestamp")).alias("ds"),
-                       F.col("value").cast("int").alias(metric))
+    dump = train.select("ip", F.unix_seconds(F.col("ds").cast("timestamp")).alias("ds"),
+                        F.col("y").cast("bigint").alias(metric))
     if prior_dump is not None:
-        dump = append_new_only(prior_dump, dump)
+        # only the part of the dump that the snapshot can meet enters the anti-join
+        first, last = dump.agg(F.min("ds"), F.max("ds")).first()
+        dump = append_new_only(prior_dump.where(F.col("ds").between(F.lit(first), F.lit(last))), dump)
     paths["dump"] = write_table(dump, f"{root}/dump")
     # retention runs only after the dump above has been written
-    paths["series"] = write_table(series_retain(series, end), f"{root}/series", ["data_type"])
+    paths["series"] = write_series(series_retain(series, end, [metric]), f"{root}/series")
     return paths
 
 

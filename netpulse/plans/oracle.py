@@ -6,7 +6,10 @@ SQL expression (``forecast_job``, ``gbt_predict``) have none.
 
 from __future__ import annotations
 
-from .queries import (CUTOFF, HORIZON, MALFORMED_EVERY, NEW_TRAINING_DATE, OLD_TRAINING_DATE, RANGE_END,
+import math
+
+from ..operators.forecast import MEAN_ROUNDING, ORIGIN_HOUR, ROUNDING
+from .queries import (CUTOFF, HORIZON, LONG_HORIZON, MALFORMED_EVERY, NEW_TRAINING_DATE, OLD_TRAINING_DATE, RANGE_END,
                       RANGE_START, SALT, SPLIT_CUTOFF, TAIL_N)
 
 Z95 = "1.959963984540054"
@@ -48,33 +51,38 @@ pmap AS (
         WHERE src_ip IN (SELECT src_ip FROM registry) GROUP BY src_ip))"""
 
 
-def _train(before: str | None = None, name: str = "train") -> str:
+def _train(before: str | None = None, name: str = "train", metric: str = "unq_dst_ip") -> str:
     where = f"""WHERE "timestamp" < TIMESTAMP '{before}'""" if before else ""
     return f"""
 {name} AS (
-  SELECT src_ip AS ip, date_trunc('hour', "timestamp") AS ds, CAST(sum(unq_dst_ip) AS DOUBLE) AS y
+  SELECT src_ip AS ip, date_trunc('hour', "timestamp") AS ds, CAST(sum({metric}) AS DOUBLE) AS y
   FROM logs {where} GROUP BY 1, 2)"""
 
 
 def _trend(train: str = "train", p: str = "") -> str:
     """Trend parameters ``{p}params`` from ``train``."""
     return f"""
+{p}levels AS (SELECT ip, floor(avg(y)) AS level FROM {train} WHERE y IS NOT NULL GROUP BY ip),
 {p}stats AS (
-  SELECT ip, count(*) AS n, CAST(sum(t) AS BIGINT) AS st, CAST(sum(t * t) AS BIGINT) AS stt,
+  SELECT ip, any_value(level) AS level, count(*) AS n, CAST(sum(t) AS BIGINT) AS st, CAST(sum(t * t) AS BIGINT) AS stt,
          sum(y) AS sy, sum(t * y) AS sty, sum(y * y) AS syy
-  FROM (SELECT ip, y, CAST(floor(epoch(ds) / 3600) AS BIGINT) AS t FROM {train} WHERE y IS NOT NULL)
+  FROM (SELECT ip, level, y - level AS y, CAST(floor(epoch(ds) / 3600) AS BIGINT) - {ORIGIN_HOUR} AS t
+        FROM {train} JOIN {p}levels USING (ip) WHERE y IS NOT NULL)
   GROUP BY ip),
 {p}p0 AS (
   SELECT *, CAST(CAST(n AS HUGEINT) * stt - CAST(st AS HUGEINT) * st AS DOUBLE) AS den,
          n * sty - st * sy AS num
   FROM {p}stats),
 {p}p1 AS (
-  SELECT *, st / n AS mean_t, sy / n AS mean_y, CASE WHEN den > 0 THEN num / den ELSE 0.0 END AS ols_slope
+  SELECT *, {ORIGIN_HOUR} + st / n AS mean_t, level + sy / n AS mean_y, CASE WHEN den > 0 THEN num / den ELSE 0.0 END AS ols_slope
   FROM {p}p0),
-{p}p2 AS (SELECT *, (n * syy - sy * sy) / n AS sse_flat FROM {p}p1),
-{p}p3 AS (SELECT *, sse_flat - ols_slope * num / n AS sse_line FROM {p}p2),
+{p}p2 AS (SELECT *, (n * syy - sy * sy) / n AS flat0, {ROUNDING} * syy + n * pow({MEAN_ROUNDING} * mean_y, 2) AS none FROM {p}p1),
+{p}p3 AS (
+  SELECT *, CASE WHEN flat0 <= none THEN 0.0 ELSE flat0 END AS sse_flat,
+         CASE WHEN flat0 - ols_slope * num / n <= none THEN 0.0 ELSE flat0 - ols_slope * num / n END AS sse_line
+  FROM {p}p2),
 {p}p4 AS (
-  SELECT *, CASE WHEN n <= 2 THEN false WHEN sse_line <= 0 THEN true
+  SELECT *, CASE WHEN n <= 2 OR sse_flat <= 0 THEN false WHEN sse_line <= 0 THEN true
                  ELSE n * ln(sse_flat / sse_line) > ln(n) END AS trend_kept
   FROM {p}p3),
 {p}p5 AS (
@@ -82,44 +90,71 @@ def _trend(train: str = "train", p: str = "") -> str:
          CASE WHEN trend_kept THEN n - 2 ELSE n - 1 END AS dof
   FROM {p}p4),
 {p}params AS (
-  SELECT ip, n, st, stt, sy, sty, syy, mean_t, mean_y, ols_slope, trend_kept,
+  SELECT ip, level, n, st, stt, sy, sty, syy, mean_t, mean_y, ols_slope, trend_kept,
          CASE WHEN trend_kept THEN ols_slope ELSE 0.0 END AS slope, sse,
          CASE WHEN dof > 0 THEN sqrt(greatest(sse, 0.0) / dof) END AS sigma,
          CASE WHEN n < 2 THEN 'insufficient_history' ELSE 'ok' END AS status
   FROM {p}p5)"""
 
 
-def _grid(train: str = "train", p: str = "") -> str:
+def _grid(train: str = "train", p: str = "", horizon: int = HORIZON) -> str:
     """History plus the business-hours-rolled future grid ``{p}grid``."""
     return f"""
 {p}last AS (SELECT ip, max(ds) AS last_ds FROM {train} GROUP BY ip),
 {p}fut AS (
-  SELECT ip, unnest(generate_series(last_ds + INTERVAL 1 HOUR, last_ds + INTERVAL {HORIZON} HOUR,
+  SELECT ip, unnest(generate_series(last_ds + INTERVAL 1 HOUR, last_ds + INTERVAL {horizon} HOUR,
                                     INTERVAL 1 HOUR)) AS ds
   FROM {p}last),
 {p}fb AS (SELECT ip, min(CASE WHEN hour(ds) > 18 THEN ds END) AS fb FROM {p}fut GROUP BY ip),
 {p}rolled AS (
   SELECT f.ip, f.ds AS base_ds,
-         CASE WHEN f.ds >= b.fb THEN f.ds + to_hours(CAST(24 + 8 - hour(b.fb) AS BIGINT)) ELSE f.ds END AS ds
+         CASE WHEN f.ds >= b.fb THEN date_trunc('day', b.fb) + (f.ds - date_trunc('hour', f.ds))
+                + to_days(CAST(1 + (date_diff('hour', b.fb, f.ds) // 11) AS INTEGER))
+                + to_hours(CAST(8 + date_diff('hour', b.fb, f.ds) % 11 AS BIGINT)) ELSE f.ds END AS ds
   FROM {p}fut f JOIN {p}fb b ON f.ip = b.ip),
 {p}grid AS (
   SELECT ip, ds, y FROM {train}
   UNION ALL SELECT ip, ds, CAST(NULL AS DOUBLE) AS y FROM {p}rolled)"""
 
 
-def _forecast(train: str, training_date: str, p: str = "") -> str:
+def _forecast(train: str, training_date: str, p: str = "", horizon: int = HORIZON) -> str:
     """Trend-only forecast table ``{p}fc``."""
-    return _trend(train, p) + "," + _grid(train, p) + f""",
+    return _trend(train, p) + "," + _grid(train, p, horizon) + f""",
 {p}pred AS (
   SELECT g.ds, g.ip, g.y,
          q.mean_y + q.slope * (CAST(floor(epoch(g.ds) / 3600) AS BIGINT) - q.mean_t) AS yhat, q.sigma
-  FROM {p}grid g JOIN {p}params q ON g.ip = q.ip WHERE q.status = 'ok'),
+  FROM {p}grid g LEFT JOIN {p}params q ON g.ip = q.ip AND q.status = 'ok'),
 {p}fc AS (
   SELECT ds, ip, y, yhat, yhat + ({Z95} * sigma) AS yhat_upper, yhat - ({Z95} * sigma) AS yhat_lower,
          DATE '{training_date}' AS training_date
   FROM {p}pred)"""
 
 
+def _harmonics(order: int) -> list[str]:
+    day = "(epoch(ds) / 86400.0)"
+    return [f"{f}({day} * {2.0 * math.pi * k!r})" for k in range(1, order + 1) for f in ("sin", "cos")]
+
+
+def _seasonal_sums(order: int) -> str:
+    m = 2 * order
+    sums = [f"round(sum(x_{i} * x_{j}), 6) AS xx_{i}_{j}" for i in range(m) for j in range(i, m)]
+    sums += [f"round(sum(x_{i} * r), 6) AS xr_{i}" for i in range(m)]
+    return f""",
+g AS (SELECT ip, ds, y, mean_y + slope * (CAST(floor(epoch(ds) / 3600) AS BIGINT) - mean_t) AS g
+      FROM train JOIN params USING (ip) WHERE status = 'ok'),
+x AS (SELECT ip, y / g - 1 AS r, {", ".join(f"{h} AS x_{i}" for i, h in enumerate(_harmonics(order)))} FROM g WHERE abs(g) > 1e-9)
+SELECT ip, count(*) AS nr, round(sum(r * r), 6) AS rr, {", ".join(sums)} FROM x GROUP BY ip"""
+
+
+def _seasonal_fixed() -> str:
+    k = "CAST(ip AS BIGINT)"
+    xb = " + ".join(f"{h} * (({k} % {i + 3} - 1) / {10.0 * (i + 1)}::DOUBLE)" for i, h in enumerate(_harmonics(4)))
+    return f""",
+f AS (SELECT ip, ds, y, (50 + {k} % 7 + ({k} % 5) / 100.0::DOUBLE * (CAST(floor(epoch(ds) / 3600) AS BIGINT) - {ORIGIN_HOUR})) * (1 + {xb}) AS v,
+      {Z95} * (1 + {k} % 3) AS band FROM grid)
+SELECT ip, ds, y, round(v, 6) AS yhat, round(v + band, 6) AS yhat_upper, round(v - band, 6) AS yhat_lower FROM f"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
@@ -165,8 +200,13 @@ SELECT ip, data_type, ds, value FROM series
 WHERE data_type = 'unq_dst_ip' AND ds BETWEEN TIMESTAMP '{RANGE_START}' AND TIMESTAMP '{RANGE_END}'""",
     # sinks
     "append_new_only": _with(LOGS, LONG) + f"""
-SELECT ip, CAST(epoch(ds) AS BIGINT) AS ds, CAST(value AS INTEGER) AS unq_dst_ip FROM series
+SELECT ip, CAST(epoch(ds) AS BIGINT) AS ds, CAST(value AS BIGINT) AS unq_dst_ip FROM series
 WHERE data_type = 'unq_dst_ip' AND ds >= TIMESTAMP '{CUTOFF}'""",
+    "history_cycle": _with(LOGS, _train()) + "SELECT ip, ds, y FROM train",
+    "processor_retained": _with(LOGS, LONG) + "SELECT ip, data_type, ds, value FROM series",
+    "series_range_after_retention": _with(LOGS, LONG) + f"""
+SELECT ip, data_type, ds, value FROM series WHERE ds BETWEEN TIMESTAMP '{RANGE_START}' AND TIMESTAMP '{RANGE_END}'
+  AND (data_type = 'bytesin' OR data_type = 'unq_dst_ip' AND ds > TIMESTAMP '{CUTOFF}')""",
     "history_append": _with(LOGS, _train()) + "SELECT ip, ds, y FROM train",
     "route_to_partition": _with(LOGS, PMAP) + """
 SELECT l.event_id, l.src_ip, p."partition" FROM logs l JOIN pmap p ON l.src_ip = p.src_ip""",
@@ -208,6 +248,21 @@ SELECT ip, count(*) AS n_rows FROM fc GROUP BY ip""",
 SELECT ip, count(*) AS n, sqrt(sum((y - y_prev) * (y - y_prev)) / count(*)) AS rmse,
        sum(abs(y - y_prev)) / count(*) AS mae
 FROM lagged WHERE y IS NOT NULL AND y_prev IS NOT NULL GROUP BY ROLLUP (ip)""",
+    "trend_fit_bytesout": _with(LOGS, _train(metric="bytesout"), _trend()) + """
+SELECT ip, n, round(mean_t, 6) AS mean_t, round(mean_y, 3) AS mean_y, round(ols_slope, 3) AS ols_slope, trend_kept,
+       round(sigma, 2) AS sigma, status FROM params""",
+    "anomaly_flags_bytesout": _with(LOGS, _train(metric="bytesout"), _forecast("train", NEW_TRAINING_DATE)) + """
+SELECT ip, ds, y, CASE WHEN y > yhat_upper THEN 'high' ELSE 'low' END AS side,
+       round(greatest(y - yhat_upper, yhat_lower - y), 2) AS excess
+FROM fc WHERE y IS NOT NULL AND greatest(y - yhat_upper, yhat_lower - y) > 1e-9 * greatest(abs(yhat), 1.0)""",
+    "seasonal_sums": _with(LOGS, _train(), _trend()) + _seasonal_sums(2),
+    "forecast_long_horizon": _with(LOGS, _train(), _forecast("train", NEW_TRAINING_DATE, horizon=LONG_HORIZON)) + "SELECT * FROM fc",
+    "forecast_from_stored_model": _with(LOGS, _train(), _forecast("train", NEW_TRAINING_DATE)) + "SELECT * FROM fc",
+    "forecast_seasonal_fixed": _with(LOGS, _train(), _grid()) + _seasonal_fixed(),
+    "encoded_features": _with(LOGS) + """
+, idx AS (SELECT src_ip, CAST(row_number() OVER (ORDER BY count(*) DESC, src_ip) - 1 AS DOUBLE) AS ip_num FROM logs GROUP BY src_ip),
+lagged AS (SELECT *, lag(unq_dst_ip) OVER (PARTITION BY src_ip ORDER BY "timestamp", event_id) AS prev_unq_dst_ip FROM logs)
+SELECT event_id, src_ip, ip_num, prev_unq_dst_ip FROM lagged JOIN idx USING (src_ip) WHERE prev_unq_dst_ip IS NOT NULL""",
     "trend_fit": _with(LOGS, _train(), _trend()) + "SELECT * FROM params",
     "seasonal_index": _with(LOGS, _train()) + """
 , by_hour AS (SELECT ip, CAST(hour(ds) AS INTEGER) AS hour, sum(y) AS sy_h, count(*) AS n_h FROM train GROUP BY 1, 2),
@@ -235,7 +290,7 @@ SELECT ip, data_type, ds, value FROM series WHERE ip IN (SELECT src_ip FROM regi
 rpred AS (
   SELECT g.ds, g.ip, g.y,
          q.mean_y + q.slope * (CAST(floor(epoch(g.at_ds) / 3600) AS BIGINT) - q.mean_t) AS yhat, q.sigma
-  FROM rgrid g JOIN params q ON g.ip = q.ip WHERE q.status = 'ok')
+  FROM rgrid g LEFT JOIN params q ON g.ip = q.ip AND q.status = 'ok')
 SELECT ds, ip, y, yhat, yhat + ({Z95} * sigma) AS yhat_upper, yhat - ({Z95} * sigma) AS yhat_lower,
        DATE '{NEW_TRAINING_DATE}' AS training_date
 FROM rpred""",
@@ -253,7 +308,8 @@ SELECT ds, ip, y, yhat, yhat_upper, yhat_lower, training_date FROM n_fc WHERE y
 SELECT ip, ds, y, yhat_lower, yhat_upper,
        CASE WHEN y > yhat_upper THEN 'high' WHEN y < yhat_lower THEN 'low' END AS side,
        CASE WHEN y > yhat_upper THEN y - yhat_upper WHEN y < yhat_lower THEN yhat_lower - y END AS excess
-FROM fc WHERE y IS NOT NULL AND yhat_upper IS NOT NULL AND (y > yhat_upper OR y < yhat_lower)""",
+FROM fc WHERE y IS NOT NULL AND yhat_upper IS NOT NULL
+  AND greatest(y - yhat_upper, yhat_lower - y) > 1e-9 * greatest(abs(yhat), 1.0)""",
     "per_key_apply": _with(LOGS, _train()) + """
 SELECT ip, count(*) AS n, sum(y) AS y_sum, max(y) AS y_max, min(ds) AS first_ds, max(ds) AS last_ds
 FROM train GROUP BY ip""",
@@ -270,17 +326,13 @@ SELECT event_id, CASE WHEN "timestamp" < TIMESTAMP '{SPLIT_CUTOFF}' THEN 'train'
 FROM logs""",
     # streaming
     "stream_avg_by_key": _with(LOGS) + "SELECT src_ip, avg(unq_dst_ip) AS avg_unq_dst_ip FROM logs GROUP BY src_ip",
-    "stream_latest_by_key": _with(LOGS) + f"""
-SELECT CASE WHEN event_id % {MALFORMED_EVERY} = 0 THEN NULL ELSE src_ip END AS src_ip,
-       avg(CASE WHEN event_id % {MALFORMED_EVERY} = 0 THEN NULL ELSE CAST(unq_dst_ip AS DOUBLE) END) AS avg_unq_dst_ip
-FROM logs GROUP BY 1""",
-    "stream_changelog_kv": _with(LOGS) + f"""
-SELECT CASE WHEN event_id % {MALFORMED_EVERY} = 0 THEN NULL ELSE src_ip END AS key,
-       CAST(avg(CASE WHEN event_id % {MALFORMED_EVERY} = 0 THEN NULL ELSE CAST(unq_dst_ip AS DOUBLE) END)
-            AS VARCHAR) AS value
-FROM logs GROUP BY 1""",
-    "stream_route_to_partition": _with(LOGS, PMAP) + f"""
-SELECT l.event_id, l.src_ip, p."partition" FROM logs l JOIN pmap p ON l.src_ip = p.src_ip
-WHERE l.event_id % {MALFORMED_EVERY} <> 0""",
+    "stream_latest_by_key": _with(LOGS) + "SELECT src_ip, avg(unq_dst_ip) AS avg_unq_dst_ip FROM logs GROUP BY src_ip",
+    "stream_restart_avg": _with(LOGS) + "SELECT src_ip, avg(unq_dst_ip) AS avg_unq_dst_ip FROM logs GROUP BY src_ip",
+    "stream_changelog_kv": _with(LOGS) + """
+SELECT src_ip AS key, CAST(avg(unq_dst_ip) AS VARCHAR) AS value FROM logs GROUP BY src_ip""",
+    "stream_route_to_partition": _with(LOGS, PMAP) + """
+SELECT l.event_id, l.src_ip, p."partition" FROM logs l JOIN pmap p ON l.src_ip = p.src_ip""",
     "stream_dedup": _with(LOGS) + """SELECT DISTINCT event_id, src_ip, "timestamp", unq_dst_ip FROM logs""",
 }
+# merging a run again, or from a CSV file, gives what merging it once gives
+ORACLE_SQL["forecast_merge_rerun"] = ORACLE_SQL["forecast_csv_merge"] = ORACLE_SQL["forecast_merge"]

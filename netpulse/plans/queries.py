@@ -6,9 +6,10 @@ Every query reads the driver's tables (``events`` through the log adapter,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,15 +20,16 @@ from ..operators import aggregates as agg
 from ..operators import forecast as fc
 from ..operators import joins, merge, ml, reshape, windows
 from ..operators.per_key import SUMMARY_SCHEMA, per_key, series_summary
-from ..schema import LOG_SCHEMA, LOG_STREAM_SCHEMA, TIMESTAMP_FORMAT
+from ..schema import FORECAST_SCHEMA, LOG_SCHEMA, LOG_STREAM_SCHEMA, TIMESTAMP_FORMAT
 from ..session import configure, scratch_path
 from ..sinks import files as sinks
 from ..sources.files import read_json_lines, read_typed_csv
 from ..sources.series import range_scan, write_series
 from ..sources.stream import RECORD_SCHEMA, read_log_stream
-from ..sources.tables import (customer_allowlist, customer_registry, payload_from_logs, read_logs)
+from ..sources.tables import (customer_allowlist, customer_registry, logs_from_events, payload_from_logs, read_logs,
+                              table_path)
 from ..streaming import jobs as sj
-from .jobs import forecast_job
+from .jobs import forecast_job, processor_run
 
 # Fixed query parameters.
 CUTOFF = "2024-01-20 00:00:00"          # old / new boundary (merge, dump, retention, history)
@@ -38,6 +40,7 @@ RANGE_START, RANGE_END = "2024-01-05 00:00:00", "2024-01-25 00:00:00"
 SALT = "netpulse"
 MALFORMED_EVERY = 50
 HORIZON = 8
+LONG_HORIZON = 24                       # more hours than a business day has
 TAIL_N = 8
 
 LOG_COLS = ["event_id", *[f.name for f in LOG_SCHEMA.fields]]
@@ -69,11 +72,16 @@ def _pmap(spark, sf_dir) -> DataFrame:
     return joins.partition_map(registered)
 
 
-def _trend_forecast(spark, sf_dir, before: str | None, training_date: str, roll_mode="repredict") -> DataFrame:
-    return fc.forecast(_train(spark, sf_dir, before), horizon=HORIZON, roll_mode=roll_mode,
+def _trend_forecast(spark, sf_dir, before: str | None, training_date: str, roll_mode="repredict",
+                    horizon: int = HORIZON) -> DataFrame:
+    return fc.forecast(_train(spark, sf_dir, before), horizon=horizon, roll_mode=roll_mode,
                        seasonality=False, training_date=training_date)
 
 
+def _train_of(spark, sf_dir, metric: str) -> DataFrame:
+    return agg.sum_by_key_hour(_logs(spark, sf_dir), metric)
+
+
 # ------------------------------------------------------------------ sources
 
 def q_decode_json_payload(spark, sf_dir):
@@ -114,7 +122,7 @@ def q_append_new_only(spark, sf_dir):
     # only the dumped metric is built, so the scan reads only its columns
     s = reshape.to_series(_logs(spark, sf_dir), metrics=["unq_dst_ip"])
     dump = s.select("ip", F.unix_seconds(F.col("ds").cast("timestamp")).alias("ds"),
-                    F.col("value").cast("int").alias("unq_dst_ip"))
+                    F.col("value").cast("bigint").alias("unq_dst_ip"))
     existing = dump.where(F.col("ds") < F.unix_seconds(_ts(CUTOFF).cast("timestamp")))
     return merge.append_new_only(existing, dump)
 
@@ -123,11 +131,40 @@ def q_history_append(spark, sf_dir):
     train = _train(spark, sf_dir)
     old = train.where(F.col("ds") < _ts(CUTOFF))
     new = train.where(F.col("ds") >= _ts(CUTOFF)).select("y", "ds", "ip")
-    old_path = sinks.write_history(old, scratch_path(spark, "history"))
-    # the appended version goes to a new path, never onto the one being read
-    new_path = sinks.write_history(merge.history_append(spark.read.parquet(old_path), new),
-                                   scratch_path(spark, "history"))
-    return spark.read.parquet(new_path).select("ip", "ds", "y")
+    path = sinks.write_history(old, scratch_path(spark, "history"), "unq_dst_ip")
+    sinks.write_history(new, path, "unq_dst_ip")
+    return spark.read.parquet(path).select("ip", "ds", "y")
+
+
+def q_history_cycle(spark, sf_dir):
+    """Three runs append their days; the table of another metric beside it stays apart."""
+    path = scratch_path(spark, "history")
+    train = _train(spark, sf_dir)
+    for lo, hi in ((None, RANGE_START), (RANGE_START, CUTOFF), (CUTOFF, None)):
+        part = train if lo is None else train.where(F.col("ds") >= _ts(lo))
+        sinks.write_history(part if hi is None else part.where(F.col("ds") < _ts(hi)), path, "unq_dst_ip")
+    sinks.write_history(_train_of(spark, sf_dir, "bytesin"), path, "bytesin")
+    return spark.read.parquet(path).where("data_type = 'unq_dst_ip'").select("ip", "ds", "y")
+
+
+def _processor(spark, sf_dir) -> dict[str, str]:
+    return processor_run(spark, _series(spark, sf_dir), CUTOFF, training_date=OLD_TRAINING_DATE, seasonality=False)
+
+
+def q_processor_retained(spark, sf_dir):
+    """What a cycle dumped together with what it retained: every sample of every metric."""
+    paths = _processor(spark, sf_dir)
+    dump = spark.read.parquet(paths["dump"]).select(
+        "ip", F.lit("unq_dst_ip").alias("data_type"), F.timestamp_seconds("ds").cast("timestamp_ntz").alias("ds"),
+        F.col("unq_dst_ip").cast("double").alias("value"))
+    return dump.unionByName(spark.read.parquet(paths["series"]).select("ip", "data_type", "ds", "value"))
+
+
+def q_series_range_after_retention(spark, sf_dir):
+    """Range scans of the store a cycle left: the dumped metric from the cutoff, another one whole."""
+    path = _processor(spark, sf_dir)["series"]
+    return range_scan(spark, path, "unq_dst_ip", RANGE_START, RANGE_END) \
+        .unionByName(range_scan(spark, path, "bytesin", RANGE_START, RANGE_END))
 
 
 def q_route_to_partition(spark, sf_dir):
@@ -228,13 +265,27 @@ def q_forecast_count_by_key(spark, sf_dir):
 
 
 def q_regression_metrics(spark, sf_dir):
-    # the hourly frame is written once; the lag's branches read it, not the events
-    lagged = windows.lag_by_key(fc.materialize(_train(spark, sf_dir)), "ip", ["ds"], "y", "y_prev")
+    # one row per source and hour: a plain window per source is bounded by the time grid
+    lagged = _train(spark, sf_dir).withColumn("y_prev", F.lag("y").over(Window.partitionBy("ip").orderBy("ds")))
     return agg.regression_metrics(lagged, "y", "y_prev", by="ip")
 
 
 def q_trend_fit(spark, sf_dir):
-    return fc.trend_params(fc.trend_stats(_train(spark, sf_dir)))
+    return fc.trend_params(fc.trend_stats(fc.materialize(_train(spark, sf_dir))))
+
+
+def q_trend_fit_bytesout(spark, sf_dir):
+    """The fit on sums of billions, to six significant places of each value."""
+    fitted = fc.trend_params(fc.trend_stats(fc.materialize(_train_of(spark, sf_dir, "bytesout"))))
+    return fitted.select("ip", "n", F.round("mean_t", 6).alias("mean_t"), F.round("mean_y", 3).alias("mean_y"),
+                         F.round("ols_slope", 3).alias("ols_slope"), "trend_kept", F.round("sigma", 2).alias("sigma"), "status")
+
+
+def q_seasonal_sums(spark, sf_dir):
+    """Normal equations of two daily harmonics on the trend's ratio, rounded to 6 places."""
+    train = fc.materialize(_train(spark, sf_dir))
+    sums = fc.seasonal_sums(train, fc.trend_params(fc.trend_stats(train)), order=2)
+    return sums.select("ip", "nr", *[F.round(c, 6).alias(c) for c in sums.columns if c not in ("ip", "nr")])
 
 
 def q_seasonal_index(spark, sf_dir):
@@ -281,6 +332,39 @@ def q_forecast_relabel(spark, sf_dir):
     return _trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE, roll_mode="relabel")
 
 
+def q_forecast_long_horizon(spark, sf_dir):
+    """A day ahead: the business hours of the next mornings."""
+    return _trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE, horizon=LONG_HORIZON)
+
+
+def q_forecast_from_stored_model(spark, sf_dir):
+    """Fit, save, load, predict: the same rows as a forecast in one go."""
+    train = fc.materialize(_train(spark, sf_dir))
+    path = fc.save_model(fc.fit(train, seasonality=False), scratch_path(spark, "model"), "unq_dst_ip")
+    return fc.forecast(train, HORIZON, training_date=NEW_TRAINING_DATE, model=fc.load_model(spark, path, "unq_dst_ip"))
+
+
+def q_forecast_seasonal_fixed(spark, sf_dir):
+    """Trend times daily harmonics from a stored parameter table, on the whole grid, rounded to 6 places."""
+    train = _train(spark, sf_dir)
+    k = F.col("ip").cast("bigint")
+    beta = [((k % (i + 3)) - 1) / F.lit(10.0 * (i + 1)) for i in range(2 * fc.DAILY_ORDER)]
+    model = train.select("ip").distinct().select(
+        "ip", F.lit(float(fc.ORIGIN_HOUR)).alias("mean_t"), (50 + k % 7).cast("double").alias("mean_y"),
+        ((k % 5) / F.lit(100.0)).alias("slope"), (1 + k % 3).cast("double").alias("sigma"),
+        *[b.alias(f"beta_{i}") for i, b in enumerate(beta)], F.lit("ok").alias("status"))
+    grid = fc.business_hours_roll(reshape.grid_with_history(train, HORIZON), "ip", HORIZON)
+    out = fc.predict(grid, model)
+    return out.select("ip", "ds", "y", *[F.round(c, 6).alias(c) for c in ("yhat", "yhat_upper", "yhat_lower")])
+
+
+def q_forecast_job_seasonal(spark, sf_dir):
+    """The whole job on a metric with a daily rhythm, so that sources keep seasonal terms."""
+    logs = _logs(spark, sf_dir)
+    rhythm = 1 + 0.5 * F.sin(F.lit(2 * math.pi / 24) * F.hour("timestamp"))
+    return forecast_job(logs.withColumn("unq_dst_ip", 1000 * rhythm + F.col("unq_dst_ip")), training_date=NEW_TRAINING_DATE)
+
+
 def q_forecast_pending(spark, sf_dir):
     return merge.forecast_pending(_trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE))
 
@@ -291,6 +375,28 @@ def q_forecast_merge(spark, sf_dir):
     return merge.forecast_merge(old, new)
 
 
+def q_forecast_merge_rerun(spark, sf_dir):
+    """The same run merged twice leaves the table as after once."""
+    old = _trend_forecast(spark, sf_dir, CUTOFF, OLD_TRAINING_DATE)
+    new = _trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE)
+    once = fc.materialize(merge.forecast_merge(old, new))
+    return merge.forecast_merge(once, new)
+
+
+def q_forecast_csv_merge(spark, sf_dir):
+    """The earlier forecast comes from a CSV file with a header."""
+    old = _trend_forecast(spark, sf_dir, CUTOFF, OLD_TRAINING_DATE).select(*FORECAST_SCHEMA.fieldNames())
+    path = sinks.write_csv(old, scratch_path(spark, "forecast_csv"))
+    new = _trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE)
+    return merge.forecast_merge(read_typed_csv(spark, path, FORECAST_SCHEMA), new)
+
+
+def q_anomaly_flags_bytesout(spark, sf_dir):
+    """Flags on sums of billions; distances rounded to hundredths."""
+    table = fc.forecast(_train_of(spark, sf_dir, "bytesout"), seasonality=False, training_date=NEW_TRAINING_DATE)
+    return fc.anomaly_flags(table).select("ip", "ds", "y", "side", F.round("excess", 2).alias("excess"))
+
+
 def q_anomaly_flags(spark, sf_dir):
     return fc.anomaly_flags(_trend_forecast(spark, sf_dir, None, NEW_TRAINING_DATE))
 
@@ -319,66 +425,83 @@ def q_gbt_predict(spark, sf_dir):
     return pred.select("event_id", "src_ip", "unq_dst_ip", "prediction")
 
 
+def q_encoded_features(spark, sf_dir):
+    """Complete feature rows with the position of the key in its one-hot vector."""
+    lagged = ml.add_lag_feature(_logs(spark, sf_dir))
+    index = ml.fit_key_index(lagged)
+    rows = ml.encode_key(ml.complete_feature_rows(lagged), index, index.count())
+    return rows.select("event_id", "src_ip", "ip_num", "prev_unq_dst_ip")
+
+
 def q_stable_split(spark, sf_dir):
     return _logs(spark, sf_dir).select("event_id", ml.split_label("timestamp", SPLIT_CUTOFF).alias("split"))
 
 
 # ------------------------------------------------------------------ streaming
 
-def _staged_records(spark, sf_dir, malformed_every=MALFORMED_EVERY, n_files=8) -> str:
-    records = payload_from_logs(_logs(spark, sf_dir), malformed_every) \
-        .withColumn("_order", F.col("key").cast("bigint"))
-    path = scratch_path(spark, "topic")
-    sj.stage_files(records, path, n_files, "_order")
-    return path
+def _log_stream(spark, sf_dir) -> DataFrame:
+    """The events table itself as a file stream of typed logs, on a session of its own."""
+    path = table_path(sf_dir, "events")
+    schema = spark.read.parquet(path).schema
+    # as a glob, since a plain path would have to be a folder and the table may be one file
+    stream = read_log_stream(sj.stream_session(spark), "parquet", path=f"{path[:-1]}[{path[-1]}]", schema=schema)
+    return logs_from_events(stream)
+
+
+def _record_stream(spark, sf_dir) -> DataFrame:
+    return payload_from_logs(_log_stream(spark, sf_dir))
 
 
 def _run_changelog(spark, agg_stream: DataFrame) -> DataFrame:
     table = scratch_path(spark, "changelog")
-    q = sj.start_changelog(agg_stream, table, scratch_path(spark, "checkpoint"))
-    sj.await_done(q)
+    sj.await_done(sj.start_changelog(agg_stream, table, scratch_path(spark, "checkpoint")))
     return spark.read.parquet(table)
 
 
 def q_stream_avg_by_key(spark, sf_dir):
-    logs = _logs(spark, sf_dir)
-    path = scratch_path(spark, "logs")
-    sj.stage_files(logs, path, 8, "event_id")
-    stream = read_log_stream(spark, "parquet", path=path, schema=logs.schema, max_files_per_trigger=2)
-    changelog = _run_changelog(spark, sj.running_average_typed(stream))
-    return sj.latest_by_key(changelog)
+    _logs(spark, sf_dir)
+    return sj.latest_by_key(_run_changelog(spark, sj.running_average_typed(_log_stream(spark, sf_dir))))
 
 
 def q_stream_latest_by_key(spark, sf_dir):
-    path = _staged_records(spark, sf_dir)
-    stream = read_log_stream(spark, "parquet", path=path, schema=RECORD_SCHEMA, max_files_per_trigger=2)
-    return sj.latest_by_key(_run_changelog(spark, sj.running_average(stream)))
+    _logs(spark, sf_dir)
+    return sj.latest_by_key(_run_changelog(spark, sj.running_average(_record_stream(spark, sf_dir))))
 
 
 def q_stream_changelog_kv(spark, sf_dir):
-    path = _staged_records(spark, sf_dir)
-    stream = read_log_stream(spark, "parquet", path=path, schema=RECORD_SCHEMA, max_files_per_trigger=3)
-    return sj.changelog_kv(sj.latest_by_key(_run_changelog(spark, sj.running_average(stream))))
+    return sj.changelog_kv(q_stream_latest_by_key(spark, sf_dir))
+
+
+def q_stream_restart_avg(spark, sf_dir):
+    """Half of the log arrives, the query ends; the rest arrives, the query goes on from its checkpoint."""
+    logs = _logs(spark, sf_dir)
+    folder, table, checkpoint = (scratch_path(spark, x) for x in ("arrived", "changelog", "checkpoint"))
+    for part in (F.col("timestamp") < _ts(CUTOFF), F.col("timestamp") >= _ts(CUTOFF)):
+        logs.where(part).write.mode("append").parquet(folder)
+        stream = read_log_stream(sj.stream_session(spark), "parquet", path=folder, schema=logs.schema)
+        sj.await_done(sj.start_changelog(sj.running_average_typed(stream), table, checkpoint))
+    latest = sj.compact_changelog(spark, table, scratch_path(spark, "compacted"))
+    return spark.read.parquet(latest).drop("batch_id")
 
 
 def q_stream_route_to_partition(spark, sf_dir):
     """Records routed as they arrive: stream-static join with the partition map."""
     pmap = _pmap(spark, sf_dir)
-    path = _staged_records(spark, sf_dir)
-    stream = read_log_stream(spark, "parquet", path=path, schema=RECORD_SCHEMA, max_files_per_trigger=4)
     out = scratch_path(spark, "routed")
-    sj.await_done(sj.run_to_files(sj.route_records(stream, pmap), out, scratch_path(spark, "checkpoint")))
-    routed = spark.read.parquet(out)
-    return routed.select(F.col("record_key").cast("bigint").alias("event_id"), "src_ip", "partition")
+    routed = sj.route_records(_record_stream(spark, sf_dir), pmap)
+    sj.await_done(sj.run_to_files(routed, out, scratch_path(spark, "checkpoint")))
+    return spark.read.parquet(out).select(F.col("record_key").cast("bigint").alias("event_id"), "src_ip", "partition")
 
 
 def q_stream_dedup(spark, sf_dir):
+    """Every record twice, the copies in two triggers with the late half last; each comes out once."""
     logs = _logs(spark, sf_dir).select("event_id", "src_ip", "timestamp", "unq_dst_ip")
-    path = scratch_path(spark, "logs2")
-    sj.stage_files(logs.unionByName(logs), path, 8)
-    stream = read_log_stream(spark, "parquet", path=path, schema=logs.schema)
-    out = scratch_path(spark, "dedup")
-    sj.await_done(sj.run_to_files(sj.dedup_within_watermark(stream), out, scratch_path(spark, "checkpoint")))
+    folder, out, checkpoint = (scratch_path(spark, x) for x in ("arrived", "dedup", "checkpoint"))
+    late = F.col("timestamp") < _ts(CUTOFF)
+    for part in (logs.where(~late), logs):
+        part.write.mode("append").parquet(folder)
+        stream = read_log_stream(sj.stream_session(spark), "parquet", path=folder, schema=logs.schema)
+        sj.await_done(sj.run_to_files(sj.drop_repeats(stream), out, checkpoint))
     return spark.read.schema(logs.schema).parquet(out)
 
 

@@ -68,5 +68,5 @@ HISTORY_SCHEMA = T.StructType([
 DUMP_SCHEMA = T.StructType([
     T.StructField("ip", T.StringType()),
     T.StructField("ds", T.LongType()),
-    T.StructField("unq_dst_ip", T.IntegerType()),
+    T.StructField("unq_dst_ip", T.LongType()),  # byte counters pass 2^31
 ])

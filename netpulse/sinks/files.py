@@ -31,16 +31,15 @@ def json_records(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(*cols)
 
 
-def write_history(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Append history rows; files hold contiguous (ip, ds) ranges, sorted.
+def write_history(df: DataFrame, path: str, data_type: str) -> str:
+    """Append the history rows ``(ip, ds, y)`` of one metric; what is there is not touched.
 
-    Range partitioning on (ip, ds) splits a hot source over several files
-    instead of hashing all of it to one writer task.
+    The table is partitioned by metric and day.  Range partitioning on (day, ip, ds)
+    splits a hot source over several files, each holding a sorted range.
     """
-    w = df.repartitionByRange("ip", "ds").sortWithinPartitions("ip", "ds").write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    rows = df.select("ip", "ds", "y", F.lit(data_type).alias("data_type"), F.to_date("ds").alias("day"))
+    (rows.repartitionByRange("day", "ip", "ds").sortWithinPartitions("day", "ip", "ds")
+     .write.mode("append").partitionBy("data_type", "day").parquet(path))
     return path
 
 

@@ -1,8 +1,8 @@
 """The long series table on Parquet: layout and range scans.
 
-Layout: partitioned by ``data_type`` and ``day`` (the date of ``ds``), one
-file per partition directory (rows are shuffled by the partition columns
-before the write, so tasks do not each open a file in every directory).  A
+Layout: partitioned by ``data_type`` and ``day`` (the date of ``ds``).  Rows are
+rebalanced by the two columns before the write: small directories share a task, and
+adaptive execution splits a day with many sources over several tasks by its size.  A
 range scan of one metric names both partition columns, so Spark lists and
 reads only the matching directories, and pushes the ``ds`` bounds into the
 Parquet reader for row-group skipping.
@@ -19,7 +19,7 @@ from ..schema import SERIES_SCHEMA
 def write_series(series: DataFrame, path: str, mode: str = "errorifexists") -> str:
     cols = [f.name for f in SERIES_SCHEMA.fields]
     (series.select(*cols).withColumn("day", F.to_date("ds"))
-     .repartition("data_type", "day")
+     .hint("rebalance", "data_type", "day")
      .write.mode(mode).partitionBy("data_type", "day").parquet(path))
     return path
 

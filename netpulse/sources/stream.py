@@ -34,7 +34,7 @@ def read_log_stream(spark: SparkSession, source: str = "kafka", *, path: str | N
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if source == "parquet":
-        return reader.schema(schema).parquet(path)
+        return reader.schema(schema).parquet(path)  # a folder, a glob, or one table's file
     if source == "text":
         return reader.text(path).select(F.lit(None).cast("string").alias("key"), F.col("value"))
     raise ValueError(f"unknown stream source {source!r}")

@@ -9,6 +9,8 @@ shared checkpoint folder, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,21 +34,26 @@ def running_average_typed(logs: DataFrame, metric: str = "unq_dst_ip", key: str
     return logs.groupBy(key).agg(F.avg(metric).alias(out))
 
 
+_STARTING = threading.Lock()
+
+
 def _start(writer, spark: SparkSession, state_partitions: int | None):
     """Start a query with ``state_partitions`` shuffle partitions.
 
     A stateful query keeps the partition count of its first start in its
     checkpoint for good, so it is chosen here explicitly (default: the
-    cluster's cores) instead of inheriting whatever the session holds.
+    cluster's cores) instead of inheriting whatever the session holds.  Streams
+    built on a session of their own (``stream_session``) leave the caller's alone.
     """
     n = state_partitions or spark.sparkContext.defaultParallelism
     key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, old)
+    with _STARTING:  # two starts never see each other's value
+        old = spark.conf.get(key)
+        spark.conf.set(key, str(n))
+        try:
+            return writer.start()
+        finally:
+            spark.conf.set(key, old)
 
 
 def start_changelog(agg: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
@@ -72,33 +79,28 @@ def changelog_kv(latest: DataFrame, key: str = "src_ip", value: str = "avg_unq_d
     return latest.select(F.col(key).alias("key"), F.col(value).cast("string").alias("value"))
 
 
-def drop_local_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop repeats of ``keys`` inside each Arrow batch of each partition.
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for a stream's frames, with settings of its own."""
+    from ..session import checkpoint_root, configure
+    checkpoint_root(spark)
+    return configure(spark.newSession())
 
-    A map-side step: copies of one record that arrive together leave the task
-    as one row, so a hot group of copies does not travel the shuffle whole.
-    Which copy is kept does not matter - the copies are equal on ``keys``.
-    """
-    def dedup(batches):
-        for pdf in batches:
-            yield pdf.drop_duplicates(subset=keys)
-
-    return df.mapInPandas(dedup, df.schema)
 
+def drop_repeats(logs: DataFrame, keys: list[str] | None = None, ts: str = "timestamp",
+                 delay: str | None = None) -> DataFrame:
+    """Drop repeats of ``keys`` from a stream.
 
-def dedup_within_watermark(logs: DataFrame, keys: list[str] | None = None, ts: str = "timestamp",
-                           delay: str = "1 hour", local_first: bool = True) -> DataFrame:
-    """Drop repeats of ``keys`` arriving within ``delay`` of event time; the
-    watermark bounds the state.  Event time must be ``timestamp``, so the
-    wall-clock column is cast.  ``local_first`` removes copies inside each
-    input partition before the shuffle."""
+    By default every key ever seen is remembered, so a late row is dropped only if
+    it is a repeat; the state grows with the number of distinct keys.  With ``delay``
+    the state is bounded by a watermark instead, at a price the caller must want:
+    rows later than ``delay`` are dropped, whether they are repeats or not.  Event
+    time must be ``timestamp``, so the wall-clock column is cast.
+    """
     keys = keys or ["src_ip", "event_time"]
     timed = logs.withColumn("event_time", F.col(ts).cast("timestamp"))
-    if local_first:
-        timed = drop_local_duplicates(timed, keys)
-    return (timed.withWatermark("event_time", delay)
-            .dropDuplicatesWithinWatermark(keys)
-            .drop("event_time"))
+    if delay is None:
+        return timed.dropDuplicates(keys).drop("event_time")
+    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(keys).drop("event_time")
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
@@ -110,25 +112,31 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
     return _start(w, stream.sparkSession, state_partitions)
 
 
-def await_done(query, timeout_s: int = 600) -> None:
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("stream did not finish")
+def await_done(query, timeout_s: int | None = None) -> None:
+    """Wait until a query ends, however long its input takes; raise what it raised.
+
+    With ``timeout_s`` the wait is cut short with ``TimeoutError``; the query goes on.
+    """
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        raise TimeoutError("the stream has not ended yet")
     exc = query.exception()
     if exc is not None:
         raise exc
 
 
-def stage_files(df: DataFrame, path: str, n_files: int, order: str | None = None) -> str:
-    """Write a table as ``n_files`` Parquet files, the input folder of a file stream."""
-    part = df.repartitionByRange(n_files, order) if order else df.repartition(n_files)
-    part.write.mode("errorifexists").parquet(path)
-    return path
-
+def compact_changelog(spark: SparkSession, table: str, path: str, key: str = "src_ip",
+                      value: str = "avg_unq_dst_ip") -> str:
+    """Write the latest value of each key as a new version, keyed by the last batch it covers.
 
-def read_changelog(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table)
+    A reader then needs this version and the later batches only; the batches it
+    covers may be deleted once no reader uses them.
+    """
+    log = spark.read.parquet(table)
+    last = log.agg(F.max("batch_id")).first()[0]
+    latest_by_key(log, key, value).withColumn("batch_id", F.lit(last).cast("bigint")).write.mode("errorifexists").parquet(path)
+    return path
 
 
 def route_records(records: DataFrame, pmap: DataFrame, key: str = "src_ip") -> DataFrame:

@@ -19,20 +19,20 @@ from conftest import SF_SMALL
 H = dt.timedelta(hours=1)
 
 
-def sequential_roll(ds, interval, start=8, last=18, max_interval=11):
-    """The roll as a row-by-row rule over the last ``interval`` rows."""
-    if interval > max_interval:
-        return None
-    out = list(ds)
-    prev = None
-    for i in range(len(out) - interval, len(out)):
-        if prev is not None:
-            out[i] = prev + H
-            prev = out[i]
-        elif out[i].hour > last:
-            out[i] = out[i] + dt.timedelta(hours=24 - out[i].hour + start)
-            prev = out[i]
-    return out
+def business_slots(minute):
+    """Every business hour of ten days in order: 08 to 18 o'clock at that minute."""
+    return [(day, dt.time(hour, minute)) for day in range(10) for hour in range(8, 19)]
+
+
+def expected_roll(future):
+    """Rows up to the last business hour stay; the others take the business hours of the following days, in order."""
+    stay = [d for d in future if all(e.hour <= 18 for e in future if e <= d)]
+    moved = len(future) - len(stay)
+    if not moved:
+        return stay
+    morning = future[len(stay)].date() + dt.timedelta(days=1)
+    slots = business_slots(future[0].minute)[:moved]
+    return stay + [dt.datetime.combine(morning + dt.timedelta(days=day), at) for day, at in slots]
 
 
 GRID_SCHEMA = T.StructType([T.StructField("ip", T.StringType()), T.StructField("ds", T.TimestampNTZType()),
@@ -48,28 +48,78 @@ def test_roll_golden(spark):
     assert [h.day for h in hours] == [7] * 5 + [8] * 3
 
 
-def test_roll_closed_form_equals_sequential_rule(spark):
+def test_roll_closed_form_equals_listed_slots(spark):
     rows, expected = [], {}
     case = 0
     for hour in range(24):
         for minute in (0, 17, 45):
-            for interval in range(1, 12):
+            for interval in (*range(1, 13), 24, 30):
                 key = f"c{case}"
                 case += 1
                 last = dt.datetime(2022, 1, 3, hour, minute)
                 fut = [last + k * H for k in range(1, interval + 1)]
                 rows.append((key, last, 1.0, False))
                 rows += [(key, d, None, True) for d in fut]
-                expected[key] = sequential_roll([last, *fut], interval)[1:]
+                expected[key] = expected_roll(fut)
     got = fc.business_hours_roll(spark.createDataFrame(rows, GRID_SCHEMA), "ip", 8).where("is_future").toPandas()
     for key, grp in got.groupby("ip"):
         assert sorted(list(grp["ds"])) == sorted(expected[key]), key
-    assert case == 792
+    assert case == 24 * 3 * 14
+
+
+def test_long_horizon_goes_over_several_mornings(spark):
+    base = dt.datetime(2022, 1, 7, 17, 30)
+    rows = [("a", base, 1.0, False)] + [("a", base + k * H, None, True) for k in range(1, 25)]
+    got = fc.business_hours_roll(spark.createDataFrame(rows, GRID_SCHEMA), "ip", 24)
+    at = [(r.ds.day, r.ds.hour, r.ds.minute) for r in got.where("is_future").orderBy("ds").collect()]
+    assert at == [(7, 18, 30)] + [(8, h, 30) for h in range(8, 19)] + [(9, h, 30) for h in range(8, 19)] + [(10, 8, 30)]
+
+
+@pytest.mark.parametrize("level", [123456.789, 3e12, 0.0, -5.5])
+def test_constant_series_is_flat_and_unflagged(spark, level):
+    rows = [("a", dt.datetime(2024, 1, 1) + k * H, level) for k in range(720)]
+    train = spark.createDataFrame(rows, "ip string, ds timestamp_ntz, y double")
+    p = fc.trend_params(fc.trend_stats(train)).first()
+    assert not p.trend_kept and p.slope == 0.0 and p.sse == 0.0 and abs(p.mean_y - level) <= 1e-12 * abs(level)
+    assert fc.anomaly_flags(fc.forecast(train, seasonality=False)).count() == 0
+
+
+def test_large_mean_does_not_cancel_the_spread(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    y = 4e11 + 3.0 * np.arange(720) + rng.normal(0, 50, 720)
+    rows = [("a", dt.datetime(2024, 1, 1) + k * H, float(v)) for k, v in enumerate(y)]
+    p = fc.trend_params(fc.trend_stats(spark.createDataFrame(rows, "ip string, ds timestamp_ntz, y double"))).first()
+    t = np.arange(720) - 359.5
+    slope = (t * (y - y.mean())).sum() / (t * t).sum()
+    rest = y - y.mean() - slope * t
+    assert p.trend_kept and abs(p.slope - slope) < 1e-6
+    assert abs(p.sigma - np.sqrt((rest ** 2).sum() / 718)) < 1e-3
+
+
+def test_source_with_one_point_keeps_its_rows(spark):
+    rows = [("a", dt.datetime(2024, 1, 1), 5.0)] + [("b", dt.datetime(2024, 1, 1) + k * H, float(k)) for k in range(30)]
+    out = fc.forecast(spark.createDataFrame(rows, "ip string, ds timestamp_ntz, y double"), seasonality=False)
+    a = out.where("ip = 'a'").collect()
+    assert len(a) == 9 and all(r.yhat is None for r in a) and [r.y for r in a if r.y is not None] == [5.0]
+
+
+def test_merge_fills_nan_and_a_rerun_adds_nothing(spark):
+    schema = "ip string, ds timestamp_ntz, y double, yhat double, training_date string"
+    old = spark.createDataFrame([("a", _t(1), float("nan"), 1.0, "r1"), ("a", _t(2), None, 2.0, "r1")], schema)
+    new = spark.createDataFrame([("a", _t(1), 9.0, 7.0, "r2"), ("a", _t(2), None, 8.0, "r2"), ("a", _t(3), float("nan"), 8.5, "r2")], schema)
+    once = forecast_merge(old, new)
+    assert sorted((r.ds, r.yhat) for r in once.where("y = 9.0").collect()) == [(_t(1), 1.0)]
+    assert once.count() == 4
+    twice = forecast_merge(once, new)
+    assert sorted((r.ds, r.yhat, str(r.y)) for r in twice.collect()) == sorted((r.ds, r.yhat, str(r.y)) for r in once.collect())
 
 
-def test_roll_refuses_long_interval(spark):
-    df = spark.createDataFrame([], GRID_SCHEMA)
-    assert fc.business_hours_roll(df, "ip", 12) is None
+def test_import_refuses_a_bent_trend(spark):
+    row = {"ip": "a", "start": 0, "t_scale": 1.0, "y_scale": 1.0, "k": 0.0, "m": 1.0, "beta": [], "delta": [0.0, 0.2]}
+    with pytest.raises(ValueError):
+        fc.import_scaled_model(spark, [row])
+    assert fc.import_scaled_model(spark, [{**row, "delta": [1e-9]}]).count() == 1
 
 
 MERGE_SCHEMA = T.StructType([T.StructField("ip", T.StringType()), T.StructField("ds", T.TimestampNTZType()),
@@ -145,7 +195,8 @@ def test_insufficient_history_gives_status_not_failure(spark):
     status = {r.ip: r.status for r in model.collect()}
     assert status == {"a": "ok", "lonely": "insufficient_history"}
     out = fc.forecast(train, seasonality=False, training_date="2024-01-31")
-    assert {r.ip for r in out.collect()} == {"a"}
+    assert {r.ip for r in out.where("yhat IS NOT NULL").collect()} == {"a"}
+    assert [r.y for r in out.where("ip = 'lonely' AND y IS NOT NULL").collect()] == [3.0]
 
 
 def test_empty_input_gives_empty_table(spark):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from netpulse.plans.queries import QUERIES
 from netpulse.functions.payload import decode_payload, tolerant_number
 from netpulse.operators import ml
 from netpulse.schema import LOG_STREAM_SCHEMA
@@ -113,18 +114,56 @@ def test_assembler_skips_first_row_of_each_key(spark):
     assert kept.count() == logs.count() - logs.select("src_ip").distinct().count()
 
 
-PY_OK = {"forecast_job", "per_key_apply", "stream_dedup"}
+PY_OK = {"forecast_job", "forecast_job_seasonal", "per_key_apply"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"gbt_predict"}))
-def test_no_row_at_a_time_python(spark, name):
-    if name.startswith("stream_") or name in {"csv_typed_roundtrip", "rows_to_json", "series_range",
-                                              "history_append"}:
-        pytest.skip("plan of a re-read output")
-    plan = plan_text(entry.queries()[name](spark, SF_SMALL))
-    assert "BatchEvalPython" not in plan
-    if name not in PY_OK:
-        assert "ArrowEvalPython" not in plan and "MapInPandas" not in plan and "FlatMapGroupsInPandas" not in plan
+@pytest.fixture
+def written_plans(monkeypatch):
+    """Plans of every frame that a query writes or checkpoints, also inside a stream's batches."""
+    from pyspark.sql import DataFrame, DataFrameWriter
+    plans = []
+
+    def noting(cls, name, frame):
+        plain = getattr(cls, name)
+
+        def wrapped(self, *args, **kw):
+            plans.append(plan_text(frame(self)))
+            return plain(self, *args, **kw)
+
+        monkeypatch.setattr(cls, name, wrapped)
+
+    import pyspark.sql.classic.dataframe as classic
+    for name in ("parquet", "csv", "json"):
+        noting(DataFrameWriter, name, lambda w: w._df)
+    noting(classic.DataFrame, "checkpoint", lambda df: df)
+    assert issubclass(classic.DataFrame, DataFrame)
+    return plans
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"gbt_predict"}))
+def test_no_row_at_a_time_python(spark, name, written_plans):
+    for plan in [plan_text(QUERIES[name](spark, SF_SMALL)), *written_plans]:
+        assert "BatchEvalPython" not in plan
+        if name not in PY_OK:
+            assert "ArrowEvalPython" not in plan and "MapInPandas" not in plan and "FlatMapGroupsInPandas" not in plan
+
+
+def test_stream_plans_have_no_python(spark):
+    from netpulse.plans import queries as q
+    from netpulse.streaming import jobs as sj
+    streams = [sj.running_average_typed(q._log_stream(spark, SF_SMALL)), sj.running_average(q._record_stream(spark, SF_SMALL)),
+               sj.drop_repeats(q._log_stream(spark, SF_SMALL)), sj.route_records(q._record_stream(spark, SF_SMALL), q._pmap(spark, SF_SMALL))]
+    for stream in streams:
+        plan = plan_text(stream)
+        assert "StreamingRelation" in plan or "StreamingExecutionRelation" in plan
+        assert "Python" not in plan and "MapInPandas" not in plan
+
+
+def test_size_check_gathers_no_rows_in_one_task(spark):
+    from netpulse.operators import joins
+    logs = read_logs(spark, SF_SMALL)
+    plan = plan_text(joins.bounded_broadcast(logs.select("src_ip").distinct()))
+    assert "SinglePartition" not in plan and "Limit" not in plan
 
 
 def test_scan_prunes_columns(spark):
@@ -193,8 +232,18 @@ def test_index_key_encoding_has_fixed_width(spark):
     assert pred.count() > 0
 
 
-def test_lag_reuses_its_shuffle(spark):
-    df = entry.queries()["lag_feature"](spark, SF_SMALL)
-    df.collect()  # the adaptive plan is final after execution
-    plan = plan_text(df)
-    assert "isFinalPlan=true" in plan and "ReusedExchange" in plan
+def test_lag_deals_raw_rows_once(spark):
+    """Without broadcasts, raw rows cross one exchange; every other one carries partial aggregates or bucket rows."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        logs = read_logs(spark, SF_SMALL).select("event_id", "src_ip", "timestamp", "unq_dst_ip")
+        df = ml.add_lag_feature(logs)
+        df.collect()  # the adaptive plan is final after execution
+        plan = plan_text(df, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = [ln.strip(" :+-") for ln in plan.split("== Initial Plan ==")[0].splitlines()]
+    below = [lines[i + 1] for i, ln in enumerate(lines) if ln.startswith("Exchange hashpartitioning")]
+    raw = [ln for ln in below if "Aggregate" not in ln and "_prev" not in ln and "_last" not in ln]
+    assert len(raw) == 1, below

@@ -39,11 +39,16 @@ def test_stream_restart_equals_batch(spark):
     assert got == want
 
 
+def stage_files(df, path, n_files, order=None):
+    """Write a table as several files, so that a stream takes several triggers."""
+    (df.repartitionByRange(n_files, order) if order else df.repartition(n_files)).write.parquet(path)
+
+
 def test_update_mode_emits_only_changed_keys(spark):
     logs = read_logs(spark, SF_SMALL)
     records = payload_from_logs(logs)
     folder = scratch_path(spark, "topic")
-    sj.stage_files(records.withColumn("_o", F.col("key").cast("bigint")), folder, 4, "_o")
+    stage_files(records.withColumn("_o", F.col("key").cast("bigint")), folder, 4, "_o")
     table = scratch_path(spark, "changelog")
     stream = read_log_stream(spark, "parquet", path=folder, schema=RECORD_SCHEMA, max_files_per_trigger=1)
     sj.await_done(sj.start_changelog(sj.running_average(stream), table, scratch_path(spark, "ckpt")))
@@ -67,15 +72,44 @@ def test_batch_replay_is_idempotent(spark):
 def test_dedup_stream_equals_distinct(spark):
     logs = read_logs(spark, SF_SMALL).select("event_id", "src_ip", "timestamp", "unq_dst_ip")
     folder = scratch_path(spark, "dups")
-    sj.stage_files(logs.unionByName(logs), folder, 4)
+    stage_files(logs.unionByName(logs), folder, 4)
     stream = read_log_stream(spark, "parquet", path=folder, schema=logs.schema)
     out = scratch_path(spark, "dedup")
-    sj.await_done(sj.run_to_files(sj.dedup_within_watermark(stream), out, scratch_path(spark, "ckpt")))
+    sj.await_done(sj.run_to_files(sj.drop_repeats(stream), out, scratch_path(spark, "ckpt")))
     got = spark.read.schema(logs.schema).parquet(out)
     assert got.count() == logs.count()
     assert got.exceptAll(logs).count() == 0
 
 
+def test_late_rows_stay_unless_they_are_repeats(spark):
+    import datetime as dt
+    day = dt.datetime(2024, 1, 1)
+    at = [12, 13, 14, 7, 15, 8, 13]  # hours in arrival order; 7 and 8 come late, the last is a repeat
+    folder = scratch_path(spark, "late")
+    schema = "event_id long, src_ip string, timestamp timestamp_ntz"
+    out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
+    for i, hour in enumerate(at):
+        spark.createDataFrame([(i, "a", day + dt.timedelta(hours=hour))], schema).write.mode("append").parquet(folder)
+        stream = read_log_stream(spark, "parquet", path=folder, schema=spark.read.parquet(folder).schema)
+        sj.await_done(sj.run_to_files(sj.drop_repeats(stream), out, ckpt))
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_compacted_changelog_holds_the_latest_values(spark):
+    table = scratch_path(spark, "changelog")
+    for batch, rows in enumerate([[("a", 1.0), ("b", 2.0)], [("a", 3.0)]]):
+        write_batch_idempotent(spark.createDataFrame(rows, "src_ip string, avg_unq_dst_ip double"), table, batch)
+    path = sj.compact_changelog(spark, table, scratch_path(spark, "compacted"))
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("src_ip", "avg_unq_dst_ip", "batch_id").collect()) == \
+        [("a", 3.0, 1), ("b", 2.0, 1)]
+
+
+def test_stream_session_leaves_the_caller_alone(spark):
+    own = sj.stream_session(spark)
+    own.conf.set("spark.sql.shuffle.partitions", "3")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
 def test_malformed_record_lands_in_null_group(spark):
     recs = spark.createDataFrame([("1", '{"src_ip": "a", "unq_dst_ip": "4"}'), ("2", "not json"),
                                   ("3", '{"src_ip": "a", "unq_dst_ip": "x"}')], RECORD_SCHEMA)
@@ -93,7 +127,7 @@ def test_dedup_across_micro_batches(spark):
         .write.parquet(folder + "/b")
     stream = read_log_stream(spark, "parquet", path=folder + "/*", schema=logs.schema, max_files_per_trigger=2)
     out = scratch_path(spark, "dedup")
-    q = sj.run_to_files(sj.dedup_within_watermark(stream, delay="2 days"), out, scratch_path(spark, "ckpt"))
+    q = sj.run_to_files(sj.drop_repeats(stream, delay="2 days"), out, scratch_path(spark, "ckpt"))
     sj.await_done(q)
     assert len(q.recentProgress) >= 2
     got = spark.read.schema(logs.schema).parquet(out)
