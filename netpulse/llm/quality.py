@@ -10,7 +10,7 @@ posterior joins its evidence with what the *other* documents of its site say.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import eq
 
 import numpy as np
@@ -135,22 +135,30 @@ def site_totals(evidence: DataFrame) -> DataFrame:
                                        "path_strength": F.lit(float(path_strength))})
 
 
-def classify_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, text_col: str = "text",
+def document_site(source: Column, lang: Column) -> tuple[Column, Column]:
+    """Host and path of ``documents``: the source up to its first ``/``, and what follows with the language."""
+    return F.substring_index(source, "/", 1), F.concat(
+        F.lit("/"), F.coalesce(lang, F.lit("")), F.regexp_extract(F.coalesce(source, F.lit("")), "/.*", 0))
+
+
+def classify_quality(docs: DataFrame, labels: DataFrame, site_cols: tuple[str, ...] = ("source", "lang"),
+                     site_of: Callable[..., tuple[Column, Column]] = document_site, text_col: str = "text",
                      id_col: str = "doc_id", label_col: str = "quality",
                      max_training_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
     """One row per document: ``doc_id, host, path, evidence, site, posterior, kept``.
 
-    ``host`` and ``path`` are expressions over the documents' columns; a null counts
-    as a site of its own.  ``site`` is the expected quality of the document's path
+    ``site_of`` turns the columns named by ``site_cols`` into host and path; a null
+    counts as a site of its own.  ``site`` is the expected quality of the document's path
     from the other documents there; alone on its host it is the global mean.
     A document is kept from a posterior of one half.  A null or empty text is judged
     by statistics of zero.  Labels without a document, or null, are left out; without
     any label every document's evidence is one half.  Repeated rows each count and
     get equal results; an empty table gives an empty result.
     """
-    plain = docs.select(*[docs[f"`{c}`"] for c in {id_col, text_col}], F.coalesce(host, F.lit("")).alias("__host"),
-                        F.coalesce(path, F.lit("")).alias("__path"))
-    source = pick(plain, doc_id=id_col, text=text_col, host="__host", path="__path")
+    named = {f"site_{i}": c for i, c in enumerate(site_cols)}
+    host, path = site_of(*[F.col(c) for c in named])
+    source = pick(docs, doc_id=id_col, text=text_col, **named).select(
+        "doc_id", "text", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
     stats = written(statistics(source), "statistics")
     weights = train_evidence(stats, pick(labels, doc_id=id_col, good=label_col), max_training_rows)
     score = F.lit(float(weights[-1]))
@@ -171,14 +179,6 @@ def classify_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Col
         (posterior >= MIN_POSTERIOR).alias("kept"))
 
 
-def document_site(docs: DataFrame) -> tuple[Column, Column]:
-    """Host and path of ``documents``: the source up to its first ``/``, and what follows with the language."""
-    source = docs["source"]
-    return F.substring_index(source, "/", 1), F.concat(
-        F.lit("/"), F.coalesce(docs["lang"], F.lit("")), F.regexp_extract(F.coalesce(source, F.lit("")), "/.*", 0))
-
-
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with all their columns."""
-    found = classify_quality(docs, labels, *document_site(docs))
-    return keep_ids(docs, found.where("kept").select("doc_id"))
+    return keep_ids(docs, classify_quality(docs, labels).where("kept").select("doc_id"))

@@ -10,7 +10,7 @@ from .common import read_table
 from .exact_dedup import exact_duplicates
 from .lm import stupid_backoff
 from .packing import pack_documents
-from .quality import classify_quality, document_site
+from .quality import classify_quality
 from .rules import quality_rules
 from .simhash import near_duplicates
 from .token_counts import count_tokens
@@ -19,8 +19,7 @@ from .warc import archive_round_trip
 
 
 def op1_quality_classifier(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
-    return classify_quality(docs, read_table(spark, sf_dir, "labels"), *document_site(docs))
+    return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op10_lm_scoring(spark, sf_dir):

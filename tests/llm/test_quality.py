@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from netpulse.llm import quality, rules
 from netpulse.llm.common import pick, read_table
-from netpulse.llm.quality import MAX_TRAINING_ROWS, classify_quality, document_site, drop_low_quality, fit_logistic
+from netpulse.llm.quality import MAX_TRAINING_ROWS, classify_quality, drop_low_quality, fit_logistic
 from netpulse.llm.rules import drop_rejected, quality_rules
 
 PROSE = "The house of the old man is in the north and it was built by his father for a family that lived there with him. "
@@ -152,9 +152,9 @@ def test_posteriors_match_brute_force(spark, tmp_path):
     docs = read_table(spark, "/root/testdata/sf0.001", "documents")
     # half of one host is junk, so sites matter
     docs = docs.withColumn("text", F.when((F.col("source") == "src0") & (F.col("doc_id") % 2 == 0), F.lit("BUY!! NOW!! BUY!! NOW!!"))
-                           .otherwise(F.col("text"))).select("*", F.lit("x").alias("host"), F.lit("y").alias("P"))
+                           .otherwise(F.col("text"))).select("*", F.lit("x").alias("host"), F.lit("y").alias("TEXT"), F.lit(1).alias("Source"))
     labels = read_table(spark, "/root/testdata/sf0.001", "labels")
-    got = classify_quality(docs, labels, *document_site(docs)).collect()
+    got = classify_quality(docs, labels).collect()
     assert len(got) == docs.count()
     want = brute_posteriors([(r.host, r.path, r.evidence) for r in got])
     for r, (site, posterior) in zip(got, want):
@@ -166,7 +166,7 @@ def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
     train, test = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
-    got = classify_quality(docs, train, *document_site(docs)).join(test, "doc_id").select("kept", "quality").collect()
+    got = classify_quality(docs, train).join(test, "doc_id").select("kept", "quality").collect()
     assert sum(r.kept == (r.quality == 1) for r in got) / len(got) > 0.97
     assert sum(r.kept for r in got if r.quality == 1) / sum(r.quality for r in got) > 0.98
 
@@ -174,13 +174,13 @@ def test_held_out_accuracy(spark):
 def test_classifier_edge_rows(spark):
     docs = documents(spark, ["some text here", None, "", "more text"], sources=["a/b", None, "a", "a/b/c"])
     labels = spark.createDataFrame([(0, 1), (0, 0), (None, 1), (1, None), (99, 1)], "doc_id long, quality int")
-    got = {r.doc_id: r for r in classify_quality(docs, labels, *document_site(docs)).collect()}
+    got = {r.doc_id: r for r in classify_quality(docs, labels).collect()}
     assert len(got) == 4 and (got[0].host, got[0].path) == ("a", "/en/b") and got[1].host == ""
-    none = classify_quality(docs, labels.limit(0), *document_site(docs)).collect()
+    none = classify_quality(docs, labels.limit(0)).collect()
     assert all(r.kept and abs(r.evidence - 0.5) < 1e-9 for r in none)
-    assert classify_quality(docs.limit(0), labels, *document_site(docs)).count() == 0
+    assert classify_quality(docs.limit(0), labels).count() == 0
     repeated = docs.unionByName(docs)
-    assert classify_quality(repeated, labels, *document_site(repeated)).count() == 8
+    assert classify_quality(repeated, labels).count() == 8
 
 
 def test_training_rows_are_bounded(spark):
