@@ -291,14 +291,17 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = DAILY_O
     def combine(tp_, rows):
         seas = seasonal_params(rows, tp_, order, ridge, key=key, select=(seasonality == "auto"),
                                weekly_order=weekly_order)
-        return tp_.drop("sigma").join(seas, key, "left") \
-            .select(*[c for c in tp_.columns if c != "sigma"],
+        return tp_.join(seas, key, "left") \
+            .select(*tp_.columns,
                     *[F.coalesce(F.col(f"beta_{i}"), F.lit(0.0)).alias(f"beta_{i}") for i in range(m)],
                     F.coalesce(F.col("season_kept"), F.lit(False)).alias("season_kept"), *orders)
 
-    model = combine(tp, train)
-    for _ in range(refine):
-        model = materialize(model)
+    model = materialize(combine(tp, train))
+    seasonal = model.where(F.col("season_kept")).select(key)
+    if seasonal.isEmpty():
+        return model  # every source is its trend alone, whose residual scale is known from the sums
+    for at in range(refine):
+        model = materialize(model) if at else model
         kept = model.where(F.col("season_kept")).select(key)
         if kept.limit(1).count() == 0:
             break  # no source kept seasonal terms: every trend is already final
@@ -310,13 +313,15 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = DAILY_O
             .select(key, "ds", F.when(F.abs(factor) > 1e-9, F.col("y") / factor).alias("y"))
         refitted = combine(trend_params(trend_stats(adjusted, key), trend), rows)
         model = model.join(kept, key, "left_anti").unionByName(refitted)
-    hist = train.where(~is_missing("y")).select(key, "ds", "y", F.lit(False).alias("is_future"))
+    # only sources that had seasonal terms need a pass over their hours for the residual scale
+    hist = train.join(seasonal, key, "left_semi").where(~is_missing("y")).select(key, "ds", "y", F.lit(False).alias("is_future"))
     fitted = predict(hist, model.withColumn("sigma", F.lit(None).cast("double")), order, key=key,
                      weekly_order=weekly_order)
     dof = F.lit(1) + F.col("trend_kept").cast("int") + F.when(F.col("season_kept"), F.lit(m)).otherwise(0)
     sig = residual_sigma(fitted.join(model.select(key, dof.alias("_dof")), key), key)
-    return model.join(sig, key, "left").withColumn(
-        "sigma", F.coalesce(F.col("sigma"), F.lit(None).cast("double")))
+    scale = seasonal.join(sig.withColumnRenamed("sigma", "_s"), key, "left").withColumn("_seasonal", F.lit(True))
+    return model.join(scale, key, "left").withColumn(
+        "sigma", F.when(F.col("_seasonal"), F.col("_s")).otherwise(F.col("sigma"))).drop("_s", "_seasonal")
 
 
 def predict(grid: DataFrame, model: DataFrame, order: int = DAILY_ORDER, z: float = Z95, key: str = "ip",
