@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import dense_index
+from ..schema import METRICS
 from ..session import scratch_path
 from .windows import lag_by_key
 
-# Numeric inputs of the feature vector, after the one-hot key.
-NUMERIC_FEATURES = ["allow", "drop", "frequency", "pkts_sent", "pkts_received",
-                    "bytesin", "bytesout", "unq_dst_port"]
+# Numeric inputs of the feature vector, after the one-hot key and the lag: every metric but the label, in field order.
+NUMERIC_FEATURES = [m for m in METRICS if m != "unq_dst_ip"]
 
 
 def add_lag_feature(logs: DataFrame, metric: str = "unq_dst_ip", key: str = "src_ip",

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 from ..operators.forecast import MEAN_ROUNDING, ORIGIN_HOUR, ROUNDING
+from ..schema import METRICS
 from .queries import (CUTOFF, HORIZON, LONG_HORIZON, MALFORMED_EVERY, NEW_TRAINING_DATE, OLD_TRAINING_DATE, RANGE_END,
                       RANGE_START, SALT, SPLIT_CUTOFF, TAIL_N)
 
@@ -26,8 +27,7 @@ logs AS (
          bin AS bytesin, bin * (k + 1) AS bytesout, k % 5 AS unq_dst_port, ts AS "timestamp"
   FROM ev)"""
 
-METRIC_COLS = ["unq_dst_ip", "allow", '"drop"', "frequency", "pkts_sent", "pkts_received",
-               "bytesin", "bytesout", "unq_dst_port"]
+METRIC_COLS = ['"drop"' if m == "drop" else m for m in METRICS]  # drop is a keyword
 
 LONG = """
 long AS (
@@ -159,8 +159,7 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
-DECODED_FIELDS = ["src_ip", "timestamp", "unq_dst_ip", "allow", "drop", "frequency", "pkts_sent",
-                  "pkts_received", "bytesin", "bytesout", "unq_dst_port"]
+DECODED_FIELDS = ["src_ip", "timestamp", *METRICS]
 
 
 def _decoded_select() -> str:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import TIMESTAMP_FORMAT
+from ..schema import METRICS, TIMESTAMP_FORMAT
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -65,9 +65,7 @@ def payload_from_logs(logs: DataFrame, malformed_every: int | None = None) -> Da
     fields = [
         F.col("src_ip"),
         F.date_format("timestamp", TIMESTAMP_FORMAT).alias("timestamp"),
-        *[F.col(m).cast("string").alias(m) for m in
-          ["unq_dst_ip", "allow", "drop", "frequency", "pkts_sent", "pkts_received",
-           "bytesin", "bytesout", "unq_dst_port"]],
+        *[F.col(m).cast("string").alias(m) for m in METRICS],
     ]
     value = F.to_json(F.struct(*fields))
     if malformed_every:
