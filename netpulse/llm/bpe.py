@@ -28,7 +28,7 @@ from .common import pick
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Words held per worker; beyond it the cache starts anew, which costs time only.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -240,7 +240,7 @@ def loaded(file: bytes) -> ByteBpe:
     return _LOADED[key]
 
 
-def portions(texts: list[str], chars: int = 1 << 24) -> Iterator[tuple[int, int]]:
+def portions(texts: list[str], chars: int = 1 << 22) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``chars`` characters; a longer text is a run of its own."""
     lo = size = 0
     for i, t in enumerate(texts):
