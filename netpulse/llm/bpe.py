@@ -224,6 +224,10 @@ class ByteBpe:
                 out.append(self._ids(t))
         return out
 
+    def forget(self) -> None:
+        """Empty the caches, which count words and not their length."""
+        self._pieces, self._words = {}, {}
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.id_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 

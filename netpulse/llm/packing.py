@@ -19,16 +19,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import PATTERN, ByteBpe, tokenizer_file
+from .bpe import PATTERN, ByteBpe, loaded, tokenizer_file
 from .common import pick, written
 
 CAPACITY = 2048
 
+#: White space in a row from which a text is not given to the compiled encoder, whose pattern matcher fails at a million.
+LONG_SPACE = 500_000
+_SPACES = regex.compile(r"\s{2,}")
+
 
 class Slots(NamedTuple):
     """Pieces ``first_rank ...`` of one length fill ``sequences`` sequences, ``each`` of them in a row from ``offset``."""
@@ -104,6 +109,20 @@ def encoder(file: bytes) -> tiktoken.Encoding:
     return _LOADED[key]
 
 
+def has_long_space(text: str) -> bool:
+    return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in _SPACES.finditer(text))
+
+
+def encode(compiled: tiktoken.Encoding, file: bytes, text: str) -> bytes:
+    """The ids of a text, little-endian unsigned 32-bit, whatever the length of its white space."""
+    if has_long_space(text):
+        model = loaded(file)
+        ids = model.encode([text])[0]
+        model.forget()
+        return ids
+    return compiled.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: each text's ids and ``end_id``, cut to ``capacity``."""
     file = tokenizer_file(tokenizer)
@@ -113,11 +132,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(file)
+        compiled = encoder(file)
         for b in batches:
             owner, rows = [], []
             for i, text in enumerate(b.column(1).to_pylist()):
-                ids = model.encode_to_numpy(text or "", allowed_special="all").astype("<u4").tobytes() + end
+                ids = encode(compiled, file, text or "") + end
                 total = len(ids) // 4
                 edges = [0, *range((total - 1) % capacity + 1, total + 1, capacity)]
                 for k, (s, e) in enumerate(zip(edges, edges[1:])):

@@ -147,3 +147,13 @@ def test_packing_repeated_rows_and_null_ids(spark):
     rows = pack_documents(docs, BYTE, 4).collect()
     assert sorted((r.doc_id or 0, r.length) for r in rows) == [(0, 1), (1, 3), (1, 3)]
     assert len({(r.sequence_id, r.offset) for r in rows}) == 3
+
+
+@pytest.mark.parametrize("space", [" ", "\n", " \n\t"])
+def test_packing_of_very_long_white_space(spark, space):
+    run = space * (1_200_000 // len(space))
+    texts = [run, "a" + run + "b c", run + "<|endoftext|>" + run + ".", "plain"]
+    rows = pack_documents(documents(spark, texts), BYTE, with_ids=True).collect()
+    for i, t in enumerate(texts):
+        parts = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.piece)
+        assert np.frombuffer(b"".join(r.ids for r in parts), "<u4").tolist() == ids_of(t) + [0]
