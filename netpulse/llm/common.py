@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,13 +45,33 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is among ``ids.doc_id``; null equals null."""
-    wanted = ids.select(F.col("doc_id").alias("__wanted_id"))
-    pos = position(docs, "doc_id")
-    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
-    kept = plain.join(wanted, plain[f"_c{pos}"].eqNullSafe(wanted["__wanted_id"]), "left_semi")
-    return kept.toDF(*docs.columns)
+def _is_file_scan(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a bare Parquet table, whose rows have a place in a file of their own."""
+    relation = docs._jdf.queryExecution().analyzed()
+    return relation.getClass().getSimpleName() == "LogicalRelation" and "parquet" in relation.simpleString(25) \
+        and "_metadata" not in map(str.lower, docs.columns)
+
+
+def keep_rows(docs: DataFrame, decide: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that ``decide`` keeps, each decided for itself, with all their columns.
+
+    ``decide`` takes the rows with their key in a further column, and that column's
+    name; it returns the keys that stay, in a single column.  The key of a table's row
+    is its place, file and index; the rows of any other frame are numbered and written
+    first.  So decisions and rows share the keys whatever is computed anew, and neither
+    repeated nor null ids bring another row back.
+    """
+    key = "__row"
+    while key in map(str.lower, docs.columns):
+        key += "_"
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    if _is_file_scan(docs):
+        rows = docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index")).toDF(*names, key)
+    else:
+        rows = written(docs.toDF(*names).withColumn(key, F.monotonically_increasing_id()), "rows")
+    wanted = decide(rows.toDF(*docs.columns, key), key).toDF("__wanted")
+    kept = rows.join(wanted, F.col(key) == F.col("__wanted"), "left_semi")
+    return kept.drop(key).toDF(*docs.columns)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

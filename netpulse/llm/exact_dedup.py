@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep_ids, pick, text_bytes, written
+from .common import keep_rows, pick, text_bytes, written
 
 #: A digest held by more than this share of all rows is answered map-side.
 HEAVY_SHARE = 0.001
@@ -100,9 +100,10 @@ def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc
 
 
 def drop_exact_duplicates(docs: DataFrame, text_col: str = "text", share: float = HEAVY_SHARE) -> DataFrame:
-    """The documents that stay, with all their columns.
+    """One row of each group of equal texts, the one with the largest id, with all its columns; of equal ids the last row."""
 
-    ``doc_id`` names a document: rows that repeat an id stay or go together.
-    """
-    kept = exact_duplicates(docs, text_col, share=share).where("kept").select("doc_id")
-    return keep_ids(docs, kept)
+    def decide(rows: DataFrame, number: str) -> DataFrame:
+        named = pick(rows, doc_id="doc_id", row=number, text=text_col).select(F.struct("doc_id", "row").alias("doc_id"), "text")
+        return exact_duplicates(named, share=share).where("kept").select("doc_id.row")
+
+    return keep_rows(docs, decide)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep_ids, pick, text_bytes, written
+from .common import keep_rows, pick, text_bytes, written
 
 #: At most so many labelled documents fit the evidence model (those with the smallest id hashes).
 MAX_TRAINING_ROWS = 20_000
@@ -56,18 +56,18 @@ def text_statistics(text: bytes) -> list[float]:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """``(doc_id, host, path, x)``: the statistics of every ``(doc_id, text, host, path)``."""
-    schema = T.StructType([*[docs.schema[c] for c in ("doc_id", "host", "path")],
-                           T.StructField("x", T.ArrayType(T.DoubleType()))])
+    """``(doc_id, host, path, x)``: the statistics of every ``(doc_id, text, host, path)``; further columns go along."""
+    carried = [c for c in docs.columns if c != "text"]
+    schema = T.StructType([*[docs.schema[c] for c in carried], T.StructField("x", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array([text_statistics(t) for t in text_bytes(b.column(3))], np.float64).reshape(-1, len(FEATURES))
+            x = np.array([text_statistics(t) for t in text_bytes(b.column(len(carried)))], np.float64).reshape(-1, len(FEATURES))
             offsets = np.arange(len(x) + 1, dtype=np.int32) * len(FEATURES)
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.ravel()))],
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.ravel()))],
                                              names=schema.fieldNames())
 
-    return docs.select("doc_id", "host", "path", "text").mapInArrow(run, schema)
+    return docs.select(*carried, "text").mapInArrow(run, schema)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
@@ -144,7 +144,7 @@ def document_site(source: Column, lang: Column) -> tuple[Column, Column]:
 def classify_quality(docs: DataFrame, labels: DataFrame, site_cols: tuple[str, ...] = ("source", "lang"),
                      site_of: Callable[..., tuple[Column, Column]] = document_site, text_col: str = "text",
                      id_col: str = "doc_id", label_col: str = "quality",
-                     max_training_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+                     max_training_rows: int = MAX_TRAINING_ROWS, row_col: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, host, path, evidence, site, posterior, kept``.
 
     ``site_of`` turns the columns named by ``site_cols`` into host and path; a null
@@ -153,19 +153,21 @@ def classify_quality(docs: DataFrame, labels: DataFrame, site_cols: tuple[str, .
     A document is kept from a posterior of one half.  A null or empty text is judged
     by statistics of zero.  Labels without a document, or null, are left out; without
     any label every document's evidence is one half.  Repeated rows each count and
-    get equal results; an empty table gives an empty result.
+    get equal results; an empty table gives an empty result.  The column ``row_col``,
+    if named, goes along as ``row``.
     """
+    row = {"row": row_col} if row_col else {}
     named = {f"site_{i}": c for i, c in enumerate(site_cols)}
     host, path = site_of(*[F.col(c) for c in named])
-    source = pick(docs, doc_id=id_col, text=text_col, **named).select(
-        "doc_id", "text", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
+    source = pick(docs, doc_id=id_col, text=text_col, **named, **row).select(
+        "doc_id", *row, "text", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
     stats = written(statistics(source), "statistics")
     weights = train_evidence(stats, pick(labels, doc_id=id_col, good=label_col), max_training_rows)
     score = F.lit(float(weights[-1]))
     for i, w in enumerate(weights[:-1]):
         score = score + F.col("x")[i] * float(w)
     p = F.least(F.greatest(1 / (1 + F.exp(-score)), F.lit(LEAST_EVIDENCE)), F.lit(1 - LEAST_EVIDENCE))
-    evidence = stats.select("doc_id", "host", "path", p.alias("p"))
+    evidence = stats.select("doc_id", *row, "host", "path", p.alias("p"))
     sites = written(site_totals(evidence), "sites")
     # what the others of the site say: the document's own evidence is taken out
     host_prior = (F.col("host_s") - F.col("p") + F.col("host_strength") * F.col("mean")) / \
@@ -175,10 +177,10 @@ def classify_quality(docs: DataFrame, labels: DataFrame, site_cols: tuple[str, .
     base = F.least(F.greatest(F.col("mean"), F.lit(LEAST_EVIDENCE)), F.lit(1 - LEAST_EVIDENCE))
     posterior = 1 / (1 + F.exp(-(logit(F.col("p")) + logit(bounded) - logit(base))))
     return evidence.join(sites, ["host", "path"]).select(
-        "doc_id", "host", "path", F.col("p").alias("evidence"), site.alias("site"), posterior.alias("posterior"),
+        "doc_id", *row, "host", "path", F.col("p").alias("evidence"), site.alias("site"), posterior.alias("posterior"),
         (posterior >= MIN_POSTERIOR).alias("kept"))
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with all their columns."""
-    return keep_ids(docs, classify_quality(docs, labels).where("kept").select("doc_id"))
+    return keep_rows(docs, lambda rows, number: classify_quality(rows, labels, row_col=number).where("kept").select("row"))

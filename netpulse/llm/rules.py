@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_ids, pick, written
+from .common import keep_rows, pick, written
 
 SPACE = "[\\x20\\x09-\\x0D]"
 NO_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -148,4 +148,4 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    return keep_ids(docs, quality_rules(docs).where("kept").select("doc_id"))
+    return keep_rows(docs, lambda rows, number: quality_rules(rows, id_col=number).where("kept").select("doc_id"))

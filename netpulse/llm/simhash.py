@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep_ids, pick, text_bytes, written
+from .common import keep_rows, pick, text_bytes, written
 from .components import connected_components
 
 SHINGLE_WORDS = 4
@@ -210,6 +210,15 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
 def drop_near_duplicates(docs: DataFrame, text_col: str = "text", words: int = SHINGLE_WORDS,
                          max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component, the one with the smallest id, with all its columns."""
-    found = near_duplicates(docs, text_col, words=words, max_bits=max_bits)
-    return keep_ids(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
+    """One row of each component, the one with the smallest id, with all its columns.
+
+    Of equal ids the first row stays; a null id only where the component has no other.
+    """
+
+    def decide(rows: DataFrame, number: str) -> DataFrame:
+        named = pick(rows, doc_id="doc_id", row=number, text=text_col).select(
+            F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row").alias("doc_id"), "text")
+        found = near_duplicates(named, words=words, max_bits=max_bits)
+        return found.where("doc_id.row = component_id.row").select("doc_id.row")
+
+    return keep_rows(docs, decide)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from netpulse.llm import quality, rules
-from netpulse.llm.common import pick, read_table
+from netpulse.llm.common import _is_file_scan, pick, read_table
+from netpulse.llm.exact_dedup import drop_exact_duplicates
 from netpulse.llm.quality import MAX_TRAINING_ROWS, classify_quality, drop_low_quality, fit_logistic
 from netpulse.llm.rules import drop_rejected, quality_rules
+from netpulse.llm.simhash import drop_near_duplicates
 
 PROSE = "The house of the old man is in the north and it was built by his father for a family that lived there with him. "
 
@@ -229,3 +231,57 @@ def test_low_quality_filter_keeps_columns(spark):
     docs = read_table(spark, sf, "documents")
     kept = drop_low_quality(docs, read_table(spark, sf, "labels"))
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
+def test_pipeline_decides_repeated_rows_and_null_ids_one_by_one(spark, tmp_path):
+    """A third of the rows without an id, and rows that come three times: every stage keeps just the rows it decided on."""
+    sf = "/root/testdata/sf0.001"
+    docs = read_table(spark, sf, "documents")
+    again = docs.where("doc_id % 5 = 1")
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))).unionByName(again).unionByName(again)
+    columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
+
+    def through(name, docs):
+        out = stages[name](spark, docs, sf)
+        assert out.columns == columns
+        rows = out.collect()
+        assert not Counter(map(tuple, rows)) - Counter(map(tuple, docs.collect()))
+        out.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}"), rows
+
+    verdicts = classify_quality(docs, read_table(spark, sf, "labels"))
+    judged = Counter((r.doc_id, r.host) for r in verdicts.where("kept").collect())
+    docs, rows = through("quality_classifier", docs)
+    assert Counter((r.doc_id, r.source.split("/")[0]) for r in rows) == judged
+    kept = brute_rules([(r.text, r.lang) for r in rows])[2]
+    want = Counter(r.text for r, k in zip(rows, kept) if k)
+    docs, rows = through("quality_rules", docs)
+    assert Counter(r.text for r in rows) == want
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+    best = {}
+    for r in rows:
+        best[lower(r.text)] = max(best.get(lower(r.text), -1), -1 if r.doc_id is None else r.doc_id)
+    docs, rows = through("exact_dedup", docs)
+    assert sorted((lower(r.text), -1 if r.doc_id is None else r.doc_id) for r in rows) == sorted(best.items())
+    from helpers_llm import near_classes, simhash
+    least = {}
+    for r, c in zip(rows, near_classes([simhash(r.text) for r in rows])):
+        least[c] = min(least.get(c, math.inf), math.inf if r.doc_id is None else r.doc_id)
+    docs, rows = through("simhash_dedup", docs)
+    assert sorted(math.inf if r.doc_id is None else r.doc_id for r in rows) == sorted(least.values())
+    packed = stages["packing"](spark, docs, sf).where("piece = 0")
+    assert packed.count() == len(rows)
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_filters_of_rows_without_any_id(spark, tmp_path, stored):
+    texts = ["Same Text"] * 3 + ["same text", "another one"]
+    docs = documents(spark, texts).withColumn("doc_id", F.lit(None).cast("long")).withColumn("__row", F.lit(7))
+    if stored:  # a bare table is not copied: its rows are told apart by their place
+        docs.repartition(3).write.parquet(f"{tmp_path}/docs")
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+        assert _is_file_scan(docs)
+    for drop in (drop_exact_duplicates, drop_near_duplicates):
+        got = drop(docs)
+        assert got.columns == docs.columns
+        assert sorted(r.text.lower() for r in got.collect()) == ["another one", "same text"]
