@@ -39,6 +39,40 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words,
 FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id, len(d.ws)
 """
 
+#: op12: integer BM25 of every document for every item.
+OP12 = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+l AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM l),
+m AS (SELECT doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM l, a),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM c, a GROUP BY term, docs),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN c USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+#: op13: lines whose key three documents share stay in the largest document alone.
+OP13 = r"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM s),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, max(doc_id) AS keep_id FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+d AS (SELECT k.*, coalesce(doc_id <> keep_id, false) AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""
 
 
 def _divergence_sql() -> str:
@@ -87,4 +121,5 @@ FROM g LEFT JOIN d2 USING (doc_id)
 """
 
 
-ORACLE_SQL = {"op5_quality_rules": _divergence_sql(), "op10_lm_scoring": OP10, "op9_exact_dedup": OP9}
+ORACLE_SQL = {"op5_quality_rules": _divergence_sql(), "op10_lm_scoring": OP10, "op12_ranked_search": OP12, "op13_line_dedup": OP13,
+              "op9_exact_dedup": OP9}

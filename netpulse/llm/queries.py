@@ -6,12 +6,15 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .bpe import encode_documents
-from .common import read_table
+from .common import pick, read_table
 from .exact_dedup import exact_duplicates
+from .line_dedup import dedup_lines
 from .lm import stupid_backoff
 from .packing import pack_documents
+from .periodic import periodic_runs, plant_runs
 from .quality import classify_quality
 from .rules import quality_rules
+from .search import ranked_search
 from .simhash import near_duplicates
 from .token_counts import count_tokens
 from .url_filter import filter_urls, labelled_urls, train_url_model
@@ -26,6 +29,28 @@ def op10_lm_scoring(spark, sf_dir):
     return stupid_backoff(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs(plant_runs(pick(read_table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")))
+    # runs compare by length / period; the quotients of equal fractions are equal doubles
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        (r["length"] / r["period"]).alias("exponent"), (-r["start"]).alias("start"), (-r["period"]).alias("period"), r["length"].alias("length"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_line_dedup(spark, sf_dir):
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_simhash_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
