@@ -324,25 +324,52 @@ def fit(train: DataFrame, seasonality: bool | str = "auto", order: int = DAILY_O
         "sigma", F.when(F.col("_seasonal"), F.col("_s")).otherwise(F.col("sigma"))).drop("_s", "_seasonal")
 
 
+def bends_value(t: Column) -> Column:
+    """What the bends before ``t`` add to the line: each changes the slope by ``cp_delta`` from ``cp_t`` on."""
+    parts = F.zip_with("cp_t", "cp_delta", lambda at, delta: delta * F.greatest(t - at, F.lit(0.0)))
+    return F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
+
+
+def future_bends_variance(t: Column) -> Column:
+    """Variance that unknown bends after the history add to the trend at ``t``.
+
+    Bends are taken to go on as they came: ``bend_rate`` an hour, each a change of
+    slope with Laplace scale ``bend_scale``.  A change at u adds its size times
+    ``t - u``; over a horizon of h hours the variances add up to
+    ``rate * 2 scale^2 * h^3 / 3``.
+    """
+    h = F.greatest(t - F.col("last_t"), F.lit(0.0))
+    return F.col("bend_rate") * 2 * F.col("bend_scale") * F.col("bend_scale") * h * h * h / 3
+
+
 def predict(grid: DataFrame, model: DataFrame, order: int = DAILY_ORDER, z: float = Z95, key: str = "ip",
             weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
     """``yhat`` and the band on every grid row; null where the key has no fitted model.
 
-    ``clamp_min`` floors ``yhat`` and both band edges (0 for counts, which a
+    A model table with bends (``cp_t``, see ``bends.fit``) bends the trend, and its band
+    widens with the horizon.  ``clamp_min`` floors ``yhat`` and both band edges (0 for counts, which a
     multiplicative seasonal term can push below zero outside the observed hours).
     """
     m = 2 * (order + weekly_order)
+    bent = ["cp_t", "cp_delta", "bend_rate", "bend_scale", "last_t"] if "cp_t" in model.columns else []
     p = model.where(F.col("status") == "ok") \
-        .select(key, "mean_t", "mean_y", "slope", "sigma", *[f"beta_{i}" for i in range(m)])
+        .select(key, "mean_t", "mean_y", "slope", "sigma", *bent, *[f"beta_{i}" for i in range(m)])
     j = grid.join(p, key, "left")
-    yhat = trend_value(epoch_hours("ds").cast("double"))
+    t = epoch_hours("ds").cast("double")
+    yhat = trend_value(t) + bends_value(t) if bent else trend_value(t)
+    factor = None
     if m > 0:
         xb = None
         for i, c in enumerate(seasonal_terms(F.col("ds"), order, weekly_order)):
             term = c * F.col(f"beta_{i}")
             xb = term if xb is None else xb + term
-        yhat = yhat * (F.lit(1.0) + xb)
-    band = F.lit(z) * F.col("sigma")
+        factor = F.lit(1.0) + xb
+        yhat = yhat * factor
+    if bent:
+        swing = future_bends_variance(t) if factor is None else future_bends_variance(t) * factor * factor
+        band = F.lit(z) * F.sqrt(F.col("sigma") * F.col("sigma") + swing)
+    else:
+        band = F.lit(z) * F.col("sigma")
     out = j.withColumn("yhat", yhat)
     cols = [F.col("yhat"), F.col("yhat") + band, F.col("yhat") - band]
     if clamp_min is not None:
@@ -375,21 +402,24 @@ def materialize(df: DataFrame) -> DataFrame:
 def forecast(train: DataFrame, horizon: int = 8, roll_mode: str = "repredict", seasonality: bool | str = "auto",
              order: int = DAILY_ORDER, ridge: float = 1.0, training_date: Column | str | None = None,
              key: str = "ip", model: DataFrame | None = None, trend: str = "auto",
-             weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
+             weekly_order: int = 0, clamp_min: float | None = None, method: str = "sums") -> DataFrame:
     """Forecast table ``(ds, ip, y, yhat, yhat_upper, yhat_lower, training_date)``.
 
     ``roll_mode``: ``"repredict"`` moves the future grid into business hours and
     predicts there; ``"relabel"`` predicts at the plain next hours and then moves
     only the labels (the values stay those of the unmoved hours); ``"none"``
-    leaves the grid as is.  A stored ``model`` skips the fit.  A source with too
-    little history keeps its rows, with null ``yhat``.
+    leaves the grid as is.  ``method``: ``"sums"`` fits by ``fit``, ``"moments"`` by
+    ``bends.fit`` (one pass, a trend that may bend, a band that widens).  A stored
+    ``model`` skips the fit.  A source with too little history keeps its rows, with null ``yhat``.
     """
     train = materialize(train)
     if train.isEmpty():  # reads one row of the checkpoint
         log.warning("no training rows: empty forecast")
         return _empty_forecast(train)
     if model is None:
-        model = materialize(fit(train, seasonality, order, ridge, key, trend, weekly_order))
+        from . import bends
+        fitted = bends.fit if method == "moments" else fit
+        model = materialize(fitted(train, seasonality, order, ridge, key, trend, weekly_order))
     grid = grid_with_history(train, horizon, key)
     if roll_mode == "repredict":
         grid = business_hours_roll(grid, key, horizon)
@@ -414,23 +444,36 @@ def import_scaled_model(spark, rows: list[dict], order: int = DAILY_ORDER, weekl
     Each dict holds ``ip``, ``start`` (epoch seconds), ``t_scale`` (seconds),
     ``y_scale``, ``k``, ``m``, ``beta`` (Fourier weights, sin/cos per order)
     and optionally ``sigma_obs`` - a linear trend ``y_scale * (k * (t - start) /
-    t_scale + m)`` times ``1 + X beta``.  Changepoint shifts (``delta``) cannot be
-    represented: a parameter set with a shift above 1e-6 is refused.  The parameters map exactly onto the model table: slope per
+    t_scale + m)`` times ``1 + X beta`` - and the changes of slope ``delta`` at the
+    scaled times ``changepoints_t`` (as many of both; ``ValueError`` if not).  Shifts
+    of 1e-6 and less in size are rounding of the solver that wrote them and are left
+    out unless the times are given.  The parameters map exactly onto the model table: slope per
     hour ``y_scale * k * 3600 / t_scale``, ``mean_t`` the start in hours,
-    ``mean_y = y_scale * m``, ``sigma = sigma_obs * y_scale``.  Parameter
+    ``mean_y = y_scale * m``, ``sigma = sigma_obs * y_scale``, a change of slope like
+    the slope, at the start plus its scaled time; bends to come are as many per hour and
+    as large as the given ones, from the scaled time 1 on.  Parameter
     tables are small (one row per key); they are created from the driver.
     """
     m = 2 * (order + weekly_order)
     out = []
     for r in rows:
-        if any(abs(d) > 1e-6 for d in r.get("delta") or []):
-            raise ValueError(f"{r['ip']}: the trend bends at changepoints, which the model table cannot hold")
+        per_hour = 3600.0 / r["t_scale"]
+        delta, at = list(r.get("delta") or []), list(r.get("changepoints_t") or [])
+        if not at and all(abs(d) <= 1e-6 for d in delta):
+            delta = []
+        if len(delta) != len(at):
+            raise ValueError(f"{r['ip']}: {len(delta)} changes of slope at {len(at)} times")
+        start = r["start"] / 3600.0
         beta = list(r["beta"]) + [0.0] * (m - len(r["beta"]))
-        out.append((r["ip"], r["start"] / 3600.0, r["y_scale"] * r["m"], r["y_scale"] * r["k"] * 3600.0 / r["t_scale"],
-                    (r.get("sigma_obs") or 0.0) * r["y_scale"], *[float(b) for b in beta[:m]]))
-    schema = T.StructType([T.StructField("ip", T.StringType()), T.StructField("mean_t", T.DoubleType()),
-                           T.StructField("mean_y", T.DoubleType()), T.StructField("slope", T.DoubleType()),
-                           T.StructField("sigma", T.DoubleType())]
+        size = sum(map(abs, delta)) / len(delta) if delta else 0.0
+        out.append((r["ip"], start, r["y_scale"] * r["m"], r["y_scale"] * r["k"] * per_hour,
+                    (r.get("sigma_obs") or 0.0) * r["y_scale"], [start + s / per_hour for s in at],
+                    [r["y_scale"] * d * per_hour for d in delta], len(delta) * per_hour, r["y_scale"] * size * per_hour,
+                    start + 1 / per_hour, *[float(b) for b in beta[:m]]))
+    schema = T.StructType([T.StructField("ip", T.StringType())]
+                          + [T.StructField(c, T.DoubleType()) for c in ("mean_t", "mean_y", "slope", "sigma")]
+                          + [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("cp_t", "cp_delta")]
+                          + [T.StructField(c, T.DoubleType()) for c in ("bend_rate", "bend_scale", "last_t")]
                           + [T.StructField(f"beta_{i}", T.DoubleType()) for i in range(m)])
     return spark.createDataFrame(out, schema).select(
         "*", F.lit("ok").alias("status"), F.lit(True).alias("trend_kept"), F.lit(True).alias("season_kept"),

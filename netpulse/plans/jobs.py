@@ -24,15 +24,18 @@ from ..sources.series import write_series
 
 def forecast_job(logs: DataFrame, metric: str = "unq_dst_ip", horizon: int = 8, roll_mode: str = "repredict",
                  seasonality: bool | str = "auto", training_date=None, order: int = DAILY_ORDER, ridge: float = 1.0,
-                 trend: str = "auto", weekly_order: int = 0, clamp_min: float | None = None) -> DataFrame:
+                 trend: str = "auto", weekly_order: int = 0, clamp_min: float | None = None,
+                 method: str = "moments") -> DataFrame:
     """Forecast table of every source for ``metric``.
 
-    Empty input gives an empty table of the forecast schema (no error).
+    The trend may bend and the fit reads the hourly rows once (``method="moments"``, see
+    ``operators.bends``); ``"sums"`` fits straight trends.  Empty input gives an empty
+    table of the forecast schema (no error).
     """
     train = sum_by_key_hour(logs, metric)
     return forecast(train, horizon=horizon, roll_mode=roll_mode, seasonality=seasonality,
                     order=order, ridge=ridge, training_date=training_date, trend=trend,
-                    weekly_order=weekly_order, clamp_min=clamp_min)
+                    weekly_order=weekly_order, clamp_min=clamp_min, method=method)
 
 
 def regression_job(logs: DataFrame, cutoff: str, model_path: str | None = None, seed: int = 42,

@@ -155,6 +155,34 @@ f AS (SELECT ip, ds, y, (50 + {k} % 7 + ({k} % 5) / 100.0::DOUBLE * (CAST(floor(
 SELECT ip, ds, y, round(v, 6) AS yhat, round(v + band, 6) AS yhat_upper, round(v - band, 6) AS yhat_lower FROM f"""
 
 
+def _moments() -> str:
+    """Order 1: harmonics 1, cos and sin of one and two cycles a day; terms 1, sin, cos of one cycle."""
+    angle = "(CAST(epoch(ds) AS BIGINT) % 604800) * (2 * pi() * {f} / 604800)"
+    waves = ["1"] + [f"{w}({angle.format(f=f)})" for f in (7, 14) for w in ("cos", "sin")]
+    hs = ", ".join(f"{w} AS h_{i}" for i, w in enumerate(waves))
+    sums = [f"round(sum({'t * ' * p}h_{i}), 6) + 0.0 AS s{p}_{i}" for p in range(3) for i in range(5)]
+    sums += [f"round(sum({'t * ' * p}h_{h} * y), 6) + 0.0 AS r{p}_{i}" for p in range(2) for i, h in enumerate((0, 2, 1))]
+    return f""",
+h AS (SELECT ip, y, hour, floor((hour - {ORIGIN_HOUR}) / 24)::BIGINT AS segment,
+             (((hour - {ORIGIN_HOUR}) % 24 + 24) % 24)::DOUBLE AS t, {hs}
+      FROM (SELECT *, CAST(floor(epoch(ds) / 3600) AS BIGINT) AS hour FROM train) WHERE y IS NOT NULL)
+SELECT ip, segment, {", ".join(sums)}, round(var_pop(y) * count(*), 6) + 0.0 AS spread, max(abs(y)) + 0.0 AS top,
+       min(hour) AS first_t, max(hour) AS last_t FROM h GROUP BY ip, segment"""
+
+
+def _changepoint_fixed() -> str:
+    k = "CAST(ip AS BIGINT)"
+    h = _harmonics(1)
+    return f""",
+p AS (SELECT *, {k} AS k, CAST(floor(epoch(ds) / 3600) AS BIGINT) - {ORIGIN_HOUR} AS t FROM grid),
+f AS (SELECT *, 50 + k % 7 + (k % 5) / 100.0::DOUBLE * t + ((k % 3) - 1) / 20.0::DOUBLE * greatest(t - 24 * (5 + k % 4), 0)
+             + ((k % 4) - 2) / 25.0::DOUBLE * greatest(t - 24 * (15 + k % 5), 0) AS g,
+             1 + {h[0]} * ((k % 4) / 20.0::DOUBLE) + {h[1]} * ((k % 3) / -10.0::DOUBLE) AS f,
+             greatest(t - 600, 0)::DOUBLE AS ahead, (k % 6) / 200.0::DOUBLE AS scale FROM p),
+b AS (SELECT *, {Z95} * sqrt((1 + k % 3) * (1 + k % 3) + 25 / 744.0::DOUBLE * 2 * scale * scale * ahead * ahead * ahead / 3 * f * f) AS band FROM f)
+SELECT ip, ds, y, round(g * f, 6) AS yhat, round(g * f + band, 6) AS yhat_upper, round(g * f - band, 6) AS yhat_lower FROM b"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
@@ -257,6 +285,8 @@ FROM fc WHERE y IS NOT NULL AND greatest(y - yhat_upper, yhat_lower - y) > 1e-9
     "seasonal_sums": _with(LOGS, _train(), _trend()) + _seasonal_sums(2),
     "forecast_long_horizon": _with(LOGS, _train(), _forecast("train", NEW_TRAINING_DATE, horizon=LONG_HORIZON)) + "SELECT * FROM fc",
     "forecast_from_stored_model": _with(LOGS, _train(), _forecast("train", NEW_TRAINING_DATE)) + "SELECT * FROM fc",
+    "forecast_moments": _with(LOGS, _train()) + _moments(),
+    "forecast_changepoint_fixed": _with(LOGS, _train(), _grid()) + _changepoint_fixed(),
     "forecast_seasonal_fixed": _with(LOGS, _train(), _grid()) + _seasonal_fixed(),
     "encoded_features": _with(LOGS) + """
 , idx AS (SELECT src_ip, CAST(row_number() OVER (ORDER BY count(*) DESC, src_ip) - 1 AS DOUBLE) AS ip_num FROM logs GROUP BY src_ip),

@@ -17,6 +17,7 @@ from ..functions.keys import series_key, series_labels
 from ..functions.payload import decode_payload, tolerant_number, type_payload
 from ..functions.timefmt import add_hours, from_epoch, run_stamp, to_epoch
 from ..operators import aggregates as agg
+from ..operators import bends
 from ..operators import forecast as fc
 from ..operators import joins, merge, ml, reshape, windows
 from ..operators.per_key import SUMMARY_SCHEMA, per_key, series_summary
@@ -358,6 +359,30 @@ def q_forecast_seasonal_fixed(spark, sf_dir):
     return out.select("ip", "ds", "y", *[F.round(c, 6).alias(c) for c in ("yhat", "yhat_upper", "yhat_lower")])
 
 
+def q_forecast_moments(spark, sf_dir):
+    """Moments of the one-pass fit with one daily harmonic, per source and day, rounded to 6 places."""
+    moments = bends.segment_moments(_train(spark, sf_dir), order=1)
+    exact = ("ip", "segment", "first_t", "last_t")
+    return moments.select(*exact, *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in moments.columns if c not in exact])
+
+
+def q_forecast_changepoint_fixed(spark, sf_dir):
+    """A trend with two bends times a daily harmonic from a stored parameter table; the band widens from day 25 on."""
+    train = _train(spark, sf_dir)
+    k = F.col("ip").cast("bigint")
+    origin = float(fc.ORIGIN_HOUR)
+    model = train.select("ip").distinct().select(
+        "ip", F.lit(origin).alias("mean_t"), (50 + k % 7).cast("double").alias("mean_y"),
+        ((k % 5) / F.lit(100.0)).alias("slope"), (1 + k % 3).cast("double").alias("sigma"),
+        F.array(origin + 24 * (5 + k % 4), origin + 24 * (15 + k % 5)).alias("cp_t"),
+        F.array((k % 3 - 1) / F.lit(20.0), (k % 4 - 2) / F.lit(25.0)).alias("cp_delta"),
+        F.lit(25 / 744.0).alias("bend_rate"), ((k % 6) / F.lit(200.0)).alias("bend_scale"), F.lit(origin + 600).alias("last_t"),
+        ((k % 4) / F.lit(20.0)).alias("beta_0"), ((k % 3) / F.lit(-10.0)).alias("beta_1"), F.lit("ok").alias("status"))
+    grid = fc.business_hours_roll(reshape.grid_with_history(train, HORIZON), "ip", HORIZON)
+    out = fc.predict(grid, model, order=1)
+    return out.select("ip", "ds", "y", *[F.round(c, 6).alias(c) for c in ("yhat", "yhat_upper", "yhat_lower")])
+
+
 def q_forecast_job_seasonal(spark, sf_dir):
     """The whole job on a metric with a daily rhythm, so that sources keep seasonal terms."""
     logs = _logs(spark, sf_dir)
