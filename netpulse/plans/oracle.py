@@ -365,3 +365,7 @@ SELECT l.event_id, l.src_ip, p."partition" FROM logs l JOIN pmap p ON l.src_ip =
 }
 # merging a run again, or from a CSV file, gives what merging it once gives
 ORACLE_SQL["forecast_merge_rerun"] = ORACLE_SQL["forecast_csv_merge"] = ORACLE_SQL["forecast_merge"]
+# streams give what the batch operators give
+ORACLE_SQL["stream_lag_feature"] = ORACLE_SQL["lag_feature"]
+ORACLE_SQL["stream_first_write_wins"] = ORACLE_SQL["first_write_wins"]
+ORACLE_SQL["stream_state_audit"] = ORACLE_SQL["stream_rekeyed_avg"] = ORACLE_SQL["avg_by_key"]

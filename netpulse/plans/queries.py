@@ -21,7 +21,7 @@ from ..operators import bends
 from ..operators import forecast as fc
 from ..operators import joins, merge, ml, reshape, windows
 from ..operators.per_key import SUMMARY_SCHEMA, per_key, series_summary
-from ..schema import FORECAST_SCHEMA, LOG_SCHEMA, LOG_STREAM_SCHEMA, TIMESTAMP_FORMAT
+from ..schema import FORECAST_SCHEMA, LOG_SCHEMA, LOG_STREAM_SCHEMA, METRICS, TIMESTAMP_FORMAT
 from ..session import configure, scratch_path
 from ..sinks import files as sinks
 from ..sources.files import read_json_lines, read_typed_csv
@@ -30,6 +30,7 @@ from ..sources.stream import RECORD_SCHEMA, read_log_stream
 from ..sources.tables import (customer_allowlist, customer_registry, logs_from_events, payload_from_logs, read_logs,
                               table_path)
 from ..streaming import jobs as sj
+from ..streaming import stateful as sf
 from .jobs import forecast_job, processor_run
 
 # Fixed query parameters.
@@ -530,6 +531,65 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.schema(logs.schema).parquet(out)
 
 
+def _arriving(spark, logs: DataFrame, parts: list, query: Callable[[DataFrame, int], None]) -> None:
+    """The rows of each part arrive in a folder; a stream over the folder runs until it has read them."""
+    folder = scratch_path(spark, "arrived")
+    for at, part in enumerate(parts):
+        part.select(*logs.columns).write.mode("append").parquet(folder)
+        query(read_log_stream(sj.stream_session(spark), "parquet", path=folder, schema=logs.schema), at)
+
+
+def q_stream_lag_feature(spark, sf_dir):
+    """The lag feature on a stream that is stopped and restarted; a last record of no source lets the rest pass."""
+    logs = _logs(spark, sf_dir).select("event_id", "src_ip", "timestamp", "unq_dst_ip")
+    closing = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(None).cast("string").alias("src_ip"),
+                                    _ts("2100-01-01 00:00:00").alias("timestamp"), F.lit(None).cast("int").alias("unq_dst_ip"))
+    early = F.col("timestamp") < _ts(CUTOFF)
+    out, checkpoint = scratch_path(spark, "lagged"), scratch_path(spark, "checkpoint")
+    _arriving(spark, logs, [logs.where(early), logs.where(~early).unionByName(closing)],
+              lambda stream, at: sj.await_done(sj.run_to_files(sf.lag_stream(stream), out, checkpoint)))
+    return spark.read.schema(T.StructType([*logs.schema.fields, T.StructField("prev_unq_dst_ip", logs.schema["unq_dst_ip"].dataType)])) \
+        .parquet(out).where(F.col("event_id") != -1)
+
+
+def q_stream_first_write_wins(spark, sf_dir):
+    """Every record arrives twice, the late half of the log first; one sample per source and hour comes out."""
+    logs = _logs(spark, sf_dir)
+    late = F.col("timestamp") < _ts(CUTOFF)
+    out, checkpoint = scratch_path(spark, "first"), scratch_path(spark, "checkpoint")
+    _arriving(spark, logs, [logs.where(~late), logs],
+              lambda stream, at: sj.await_done(sj.run_to_files(sf.first_write_stream(stream), out, checkpoint)))
+    samples = spark.read.parquet(out)
+    return samples.unpivot(["ip", "ds", "arrival"], METRICS, "data_type", "value").select("ip", "data_type", "ds", "value", "arrival")
+
+
+def q_stream_state_audit(spark, sf_dir):
+    """The means of a stopped stream, read from the state it left."""
+    _logs(spark, sf_dir)
+    checkpoint = scratch_path(spark, "checkpoint")
+    sj.await_done(sj.start_changelog(sj.running_average_typed(_log_stream(spark, sf_dir)), scratch_path(spark, "changelog"), checkpoint))
+    return sf.read_state(spark, checkpoint).select("src_ip", (F.col("total") / F.col("n")).alias("avg_unq_dst_ip"))
+
+
+def q_stream_rekeyed_avg(spark, sf_dir):
+    """Half of the log through 4 state partitions, the rest through 16 of a new query that starts from their sums."""
+    logs = _logs(spark, sf_dir)
+    table, first, second = scratch_path(spark, "changelog"), scratch_path(spark, "checkpoint"), scratch_path(spark, "checkpoint")
+    early = F.col("timestamp") < _ts(CUTOFF)
+    for at, part in enumerate((logs.where(early), logs.where(~early))):
+        folder = scratch_path(spark, "arrived")
+        part.write.parquet(folder)
+        stream = read_log_stream(sj.stream_session(spark), "parquet", path=folder, schema=logs.schema)
+        if at:
+            agg_stream = sf.running_average_from(stream, sf.read_state(stream.sparkSession, first))
+            sj.await_done(sj.start_changelog(agg_stream, f"{table}/after", second, state_partitions=16))
+        else:
+            sj.await_done(sj.start_changelog(sj.running_average_typed(stream), f"{table}/before", first, state_partitions=4))
+    # batches of the second query come after those of the first
+    later = spark.read.parquet(f"{table}/after").withColumn("batch_id", F.col("batch_id") + (1 << 40))
+    return sj.latest_by_key(spark.read.parquet(f"{table}/before").unionByName(later))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
