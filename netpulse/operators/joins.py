@@ -1,8 +1,9 @@
 """Key look-ups with join semantics: routing, allow-lists, registries, key maps.
 
 Small key tables are broadcast only behind a counted bound
-(``bounded_broadcast``); above the bound the plan stays a shuffle join, which
-adaptive execution may still turn into a broadcast from measured sizes.
+(``bounded_broadcast``).  Above the bound a Bloom filter of bounded size drops the rows
+without a partner first (``lookup_join``), and the rest meets its keys in a shuffle
+join, which adaptive execution may still turn into a broadcast from measured sizes.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import dense_index, pseudo_ip
 from ..session import checkpoint_root
+from .bloom import bloom_filter
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -25,6 +27,20 @@ def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(small) if small.count() <= max_rows else small
 
 
+def lookup_join(df: DataFrame, small: DataFrame, key: str, how: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Inner or left-semi join of many rows with a key table, ``key`` unique in it.
+
+    Up to ``max_rows`` keys the table is broadcast and the rows stay where they are;
+    beyond, only the rows that pass the keys' Bloom filter are shuffled.
+    """
+    n = small.count()
+    if n <= max_rows:
+        return df.join(F.broadcast(small), key, how)
+    if how == "left_semi":  # as an inner join with unique keys, since a semi-join would be moved below the filter
+        return bloom_filter(df, small, key, n).join(small.select(key), key)
+    return bloom_filter(df, small, key, n).join(small, key, how)
+
+
 def partition_map(logs: DataFrame, key: str = "src_ip", arrival: str = "event_id",
                   num_partitions: int | None = None, method: str = "ordinal") -> DataFrame:
     """Key -> partition ordinal, numbered 0..n-1 by first appearance.
@@ -48,7 +64,7 @@ def partition_map(logs: DataFrame, key: str = "src_ip", arrival: str = "event_id
 def route_to_partition(logs: DataFrame, pmap: DataFrame, key: str = "src_ip",
                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Attach the partition of each record's key; unknown keys are dropped."""
-    return logs.join(bounded_broadcast(pmap, max_rows), key, "inner")
+    return lookup_join(logs, pmap, key, "inner", max_rows)
 
 
 def unrouted_rows(logs: DataFrame, pmap: DataFrame, key: str = "src_ip",
@@ -62,14 +78,14 @@ def filter_allowlist(df: DataFrame, allow: DataFrame | list[str], key: str = "sr
     """Keep rows whose key is in the allow-list (a list literal or a key table)."""
     if isinstance(allow, list):
         return df.where(F.col(key).isin(allow))
-    return df.join(bounded_broadcast(allow.select(key).distinct(), max_rows), key, "left_semi")
+    return lookup_join(df, allow.select(key).distinct(), key, "left_semi", max_rows)
 
 
 def registered_only(df: DataFrame, registry: DataFrame, df_key: str = "ip", reg_key: str = "src_ip",
                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of registered keys only (what a label-filtered range scan sees)."""
     reg = registry.select(F.col(reg_key).alias(df_key)).distinct()
-    return df.join(bounded_broadcast(reg, max_rows), df_key, "left_semi")
+    return lookup_join(df, reg, df_key, "left_semi", max_rows)
 
 
 def pseudonym_map(df: DataFrame, key: str, salt: str, max_rounds: int = 64, octets: int = 4) -> DataFrame:

@@ -23,8 +23,11 @@ def forecast_merge(old: DataFrame, new: DataFrame) -> DataFrame:
 
     Only the old table's pending rows (a horizon per source and run) enter
     the join; its observed rows, the bulk of a growing table, pass through
-    without a shuffle.  The new table holds one row per ``(ip, ds)``; ``max``
-    makes the look-up side unique even if it did not.
+    without a shuffle.  Whether a pending forecast is there already is asked of the old
+    rows of the same run alone, from the first pending hour on: one small aggregate of
+    ``new`` names its training dates (one per run) and that hour, so a table stored by
+    ``training_date`` is pruned to those partitions.  The new table holds one row per
+    ``(ip, ds)``; ``max`` makes the look-up side unique even if it did not.
     """
     observed = new.where(~is_missing("y")).groupBy("ip", "ds").agg(F.max("y").alias("_new_y"))
     pending = old.where(is_missing("y"))
@@ -33,7 +36,10 @@ def forecast_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     added = new.where(is_missing("y")).select(*old.columns).withColumn("y", F.lit(None).cast("double"))
     if "training_date" in old.columns:
         run = ["ip", "ds", "training_date"]
-        added = added.join(old.select(*run), run, "left_anti").select(*old.columns)
+        first, dates = added.agg(F.min("ds"), F.collect_set("training_date")).first()
+        if first is not None and dates:
+            there = old.where(F.col("training_date").isin(dates) & (F.col("ds") >= F.lit(first))).select(*run)
+            added = added.join(there, run, "left_anti").select(*old.columns)
     return old.where(~is_missing("y")).unionByName(filled).unionByName(added)
 
 
@@ -44,9 +50,17 @@ def forecast_pending(fc: DataFrame) -> DataFrame:
 
 def append_new_only(existing: DataFrame, snapshot: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Rows of ``snapshot`` not yet in ``existing`` by ``keys``: appending them
-    twice adds nothing, so a retried dump is harmless."""
+    twice adds nothing, so a retried dump is harmless.
+
+    The last key is a time or another order: only the part of ``existing`` between the
+    snapshot's first and last value is read and joined, not the whole sink.
+    """
     keys = keys or ["ip", "ds"]
-    return snapshot.join(existing.select(*keys), keys, "left_anti")
+    first, last = snapshot.agg(F.min(keys[-1]), F.max(keys[-1])).first()
+    if first is None:
+        return snapshot
+    there = existing.where(F.col(keys[-1]).between(F.lit(first), F.lit(last))).select(*keys)
+    return snapshot.join(there, keys, "left_anti")
 
 
 def series_retain(series: DataFrame, cutoff, metrics: list[str] | None = None) -> DataFrame:

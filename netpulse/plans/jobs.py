@@ -63,15 +63,13 @@ def processor_run(spark: SparkSession, series: DataFrame, snapshot_end: str, met
     fc = forecast(train, training_date=training_date, model=load_model(spark, paths["model"], metric))
     if prior_forecast is not None:
         fc = forecast_merge(prior_forecast, fc)
-    paths["forecast"] = write_table(fc, f"{root}/forecast")
+    paths["forecast"] = write_table(fc, f"{root}/forecast", ["training_date"])  # by run, so that a merge reads one
     # observations outside the band, read back from the written forecast
     paths["anomalies"] = write_table(anomaly_flags(spark.read.parquet(paths["forecast"])), f"{root}/anomalies")
     dump = train.select("ip", F.unix_seconds(F.col("ds").cast("timestamp")).alias("ds"),
                         F.col("y").cast("bigint").alias(metric))
     if prior_dump is not None:
-        # only the part of the dump that the snapshot can meet enters the anti-join
-        first, last = dump.agg(F.min("ds"), F.max("ds")).first()
-        dump = append_new_only(prior_dump.where(F.col("ds").between(F.lit(first), F.lit(last))), dump)
+        dump = append_new_only(prior_dump, dump)
     paths["dump"] = write_table(dump, f"{root}/dump")
     # retention runs only after the dump above has been written
     paths["series"] = write_series(series_retain(series, end, [metric]), f"{root}/series")

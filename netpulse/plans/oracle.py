@@ -368,4 +368,5 @@ ORACLE_SQL["forecast_merge_rerun"] = ORACLE_SQL["forecast_csv_merge"] = ORACLE_S
 # streams give what the batch operators give
 ORACLE_SQL["stream_lag_feature"] = ORACLE_SQL["lag_feature"]
 ORACLE_SQL["stream_first_write_wins"] = ORACLE_SQL["first_write_wins"]
-ORACLE_SQL["stream_state_audit"] = ORACLE_SQL["stream_rekeyed_avg"] = ORACLE_SQL["avg_by_key"]
+ORACLE_SQL["stream_state_audit"] = ORACLE_SQL["stream_rekeyed_avg"] = ORACLE_SQL["stream_upsert_latest"] = ORACLE_SQL["avg_by_key"]
+ORACLE_SQL["filter_allowlist_bloom"] = ORACLE_SQL["filter_allowlist"]

@@ -24,6 +24,7 @@ from ..operators.per_key import SUMMARY_SCHEMA, per_key, series_summary
 from ..schema import FORECAST_SCHEMA, LOG_SCHEMA, LOG_STREAM_SCHEMA, METRICS, TIMESTAMP_FORMAT
 from ..session import configure, scratch_path
 from ..sinks import files as sinks
+from ..sinks import keyed
 from ..sources.files import read_json_lines, read_typed_csv
 from ..sources.series import range_scan, write_series
 from ..sources.stream import RECORD_SCHEMA, read_log_stream
@@ -563,6 +564,23 @@ def q_stream_first_write_wins(spark, sf_dir):
     return samples.unpivot(["ip", "ds", "arrival"], METRICS, "data_type", "value").select("ip", "data_type", "ds", "value", "arrival")
 
 
+def q_stream_upsert_latest(spark, sf_dir):
+    """The running average kept as a table of current values, through a restart and an expired history."""
+    logs = _logs(spark, sf_dir)
+    root, checkpoint = scratch_path(spark, "current"), scratch_path(spark, "checkpoint")
+    early = F.col("timestamp") < _ts(CUTOFF)
+    _arriving(spark, logs, [logs.where(early), logs.where(~early)],
+              lambda stream, at: sj.await_done(keyed.start_upsert(sj.running_average_typed(stream), root, checkpoint, "src_ip")))
+    keyed.expire(spark, root)
+    return keyed.read_current(spark, root)
+
+
+def q_filter_allowlist_bloom(spark, sf_dir):
+    """The allow-list as a list too long to broadcast: a Bloom filter first, then a shuffle join of what passes."""
+    kept = joins.filter_allowlist(_logs(spark, sf_dir), customer_allowlist(spark, sf_dir), max_rows=0)
+    return kept.select("event_id", "src_ip", "unq_dst_ip")
+
+
 def q_stream_state_audit(spark, sf_dir):
     """The means of a stopped stream, read from the state it left."""
     _logs(spark, sf_dir)

@@ -1,0 +1,145 @@
+"""Bloom pre-filter, merges that read a part of the old table, and the keyed upsert sink."""
+
+import datetime as dt
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from netpulse.operators import bloom, joins
+from netpulse.operators import forecast as fc
+from netpulse.operators.merge import append_new_only, forecast_merge
+from netpulse.session import scratch_path
+from netpulse.sinks import keyed
+from netpulse.sinks.files import write_table
+from helpers import plan_text
+
+DAY = dt.date(2024, 1, 1)
+
+
+def test_bloom_keeps_every_key_and_few_others(spark):
+    keys = spark.range(0, 200_000, 7).select(F.concat(F.lit("k"), "id").alias("k"))
+    rows = spark.range(200_000).select("id", F.when(F.col("id") % 100 != 3, F.concat(F.lit("k"), "id")).alias("k"))
+    kept = bloom.bloom_filter(rows, keys, "k", keys.count())
+    assert kept.columns == ["id", "k"]
+    true = rows.where((F.col("id") % 7 == 0) & F.col("k").isNotNull())
+    assert true.join(kept, "id", "left_anti").count() == 0
+    others = kept.where(F.col("id") % 7 != 0).count()
+    assert others < 0.03 * rows.count() and kept.where("k IS NULL").count() == 0
+
+
+def test_bitmap_is_bounded(spark):
+    assert bloom.bitmap_bits(10**12) == 8 * bloom.MAX_BYTES and bloom.bitmap_bits(1) == bloom.SLICE_BITS
+    table = bloom.bloom_bitmap(spark.range(50_000), "id", bloom.bitmap_bits(50_000))
+    assert table.count() <= bloom.bitmap_bits(50_000) // bloom.SLICE_BITS
+    assert table.agg(F.max(F.octet_length("bitmap"))).first()[0] == 4096
+
+
+def test_only_survivors_cross_the_exchange(spark, tmp_path):
+    spark.range(100_000).select("id", F.concat(F.lit("s"), F.col("id") % 5000).alias("src_ip"), F.lit("x" * 20).alias("pad")).write.parquet(f"{tmp_path}/logs")
+    spark.range(50).select(F.concat(F.lit("s"), F.col("id") * 100).alias("src_ip")).write.parquet(f"{tmp_path}/allow")
+    logs, allow = spark.read.parquet(f"{tmp_path}/logs"), spark.read.parquet(f"{tmp_path}/allow")
+    got = joins.filter_allowlist(logs, allow, max_rows=0)
+    assert sorted(got.collect()) == sorted(joins.filter_allowlist(logs, allow).collect()) and got.count() == 1000
+    passed = bloom.bloom_filter(logs, allow, "src_ip", 50)
+    assert 1000 <= passed.count() < 1300  # what the shuffle join gets of 100,000 rows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(joins.filter_allowlist(logs, allow, max_rows=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = plan.split("\n\n")[0]
+    # read upwards: both probes lie between the scan of the rows and the exchange of the join
+    assert tree.index("SortMergeJoin") < tree.index("Exchange") < tree.index("BroadcastHashJoin")
+    assert tree.count("BroadcastHashJoin") == 2 and not __import__("re").search("PythonUDF|ArrowEval|MapIn", plan)
+
+
+def _forecast(day, hours, y=None, first=0, ips=("a", "b")):
+    start = dt.datetime(2024, 1, 1)
+    return [(start + dt.timedelta(hours=first + h), ip, y, 1.0 * h, 2.0, 0.0, day) for ip in ips for h in range(hours)]
+
+
+def test_merge_reads_the_run_alone(spark, tmp_path):
+    schema = "ds timestamp_ntz, ip string, y double, yhat double, yhat_upper double, yhat_lower double, training_date date"
+    old_rows = [r for d in range(6) for r in _forecast(DAY + dt.timedelta(days=d), 30, 1.0, 24 * d)] + _forecast(DAY + dt.timedelta(days=6), 8, None, 200)
+    old = spark.read.parquet(write_table(spark.createDataFrame(old_rows, schema), f"{tmp_path}/old", ["training_date"]))
+    new = spark.createDataFrame(_forecast(DAY + dt.timedelta(days=7), 4, 5.0, 200) + _forecast(DAY + dt.timedelta(days=7), 8, None, 208), schema)
+    merged = forecast_merge(old, new)
+    assert merged.count() == len(old_rows) + 16
+    once = fc.materialize(merged)
+    assert sorted(map(str, forecast_merge(once, new).collect())) == sorted(map(str, once.collect()))
+    # the look for rows of the same run names its partition
+    plan = plan_text(merged)
+    scans = [x for x in plan.split("\n\n") if "Scan parquet" in x and "PartitionFilters" in x and "2024-01-08" in x]
+    assert len(scans) == 1
+
+
+def test_append_reads_the_span_of_the_snapshot(spark, tmp_path):
+    old = spark.read.parquet(write_table(spark.range(1000).selectExpr("string(id % 3) AS ip", "id AS ds", "id AS v"), f"{tmp_path}/old"))
+    snap = spark.range(990, 1010).selectExpr("string(id % 3) AS ip", "id AS ds", "id AS v")
+    got = append_new_only(old, snap)
+    assert sorted(r.ds for r in got.collect()) == list(range(1000, 1010))
+    assert "GreaterThanOrEqual(ds,990)" in plan_text(got) and append_new_only(old, snap.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- keyed sink
+
+SCHEMA = "k string, v long, w double"
+
+
+def _table(spark, root, version=None):
+    return {r.k: (r.v, r.w) for r in keyed.read_current(spark, root, version).collect()}
+
+
+def test_upserts_equal_a_dictionary(spark):
+    rnd, root, want = random.Random(1), scratch_path(spark, "keyed"), {}
+    for batch in range(5):
+        rows = {rnd.choice([None, *[f"k{i}" for i in range(30)]]): (rnd.randrange(99), rnd.choice([None, 1.5])) for _ in range(12)}
+        assert keyed.upsert_batch(spark.createDataFrame([(k, *v) for k, v in rows.items()], SCHEMA), root, batch, "k", buckets=8)
+        want.update(rows)
+        assert _table(spark, root) == want
+    with pytest.raises(ValueError):
+        keyed.upsert_batch(spark.createDataFrame([("a",)], "k string"), root, 9, "k")
+
+
+def test_replay_and_repeated_keys(spark):
+    root = scratch_path(spark, "keyed")
+    keyed.upsert_batch(spark.createDataFrame([("a", 1, 1.0), ("a", 3, 3.0), ("a", 2, 2.0)], SCHEMA), root, 0, "k", order="v")
+    assert _table(spark, root) == {"a": (3, 3.0)}
+    assert not keyed.upsert_batch(spark.createDataFrame([("a", 9, 9.0)], SCHEMA), root, 0, "k")
+    assert _table(spark, root) == {"a": (3, 3.0)} and keyed.versions(spark, root) == [0]
+    assert keyed.upsert_batch(spark.createDataFrame([], SCHEMA), root, 1, "k") and _table(spark, root) == {"a": (3, 3.0)}
+
+
+def test_crash_between_data_and_manifest(spark, monkeypatch):
+    root = scratch_path(spark, "keyed")
+    keyed.upsert_batch(spark.createDataFrame([(f"k{i}", i, 0.0) for i in range(40)], SCHEMA), root, 0, "k", buckets=4)
+    before = _table(spark, root)
+    batch = spark.createDataFrame([("k1", 100, 1.0), ("new", 5, 1.0)], SCHEMA)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "_write_manifest", lost)
+        with pytest.raises(RuntimeError):
+            keyed.upsert_batch(batch, root, 1, "k")
+    assert _table(spark, root) == before
+    assert keyed.upsert_batch(batch, root, 1, "k")
+    assert _table(spark, root) == before | {"k1": (100, 1.0), "new": (5, 1.0)}
+    # a reader of the old version is undisturbed until it expires; the crashed batch's folders go too
+    assert _table(spark, root, 0) == before
+    assert keyed.expire(spark, root) >= 2
+    assert _table(spark, root) == before | {"k1": (100, 1.0), "new": (5, 1.0)} and keyed.versions(spark, root) == [1]
+    named = set(keyed.read_manifest(spark, root).folders.values())
+    assert len(named) == 4 and json.dumps(sorted(named))
+
+
+def test_a_batch_rewrites_the_buckets_it_touches(spark):
+    root = scratch_path(spark, "keyed")
+    keyed.upsert_batch(spark.createDataFrame([(f"k{i}", i, 0.0) for i in range(200)], SCHEMA), root, 0, "k", buckets=16)
+    first = keyed.read_manifest(spark, root).folders
+    keyed.upsert_batch(spark.createDataFrame([("k7", 1, 0.0)], SCHEMA), root, 1, "k")
+    second = keyed.read_manifest(spark, root).folders
+    assert sum(first[b] != second[b] for b in first) == 1 and len(first) == 16
