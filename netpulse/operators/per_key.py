@@ -1,19 +1,30 @@
-"""Public per-key hook: a pandas function applied to each key's frame.
+"""Public per-key hooks: user code applied to each key's rows, in three forms.
 
-Use it on per-key frames whose size is bounded by a time grid (the hourly
-series of a source), never on raw events: a grouped map holds a whole group
-in one Python worker.  The built-in forecast does not use it; it fits from
-per-key sums.
+* ``per_key``: a pandas function of the key's whole frame, for groups that are bounded
+  by construction (an hourly series has one row per hour and source).
+* ``per_key_batches``: a function of the key's rows as a stream of Arrow batches; a group
+  of any size, in one task, in the memory of a batch.
+* ``per_key_fold``: a mergeable summary.  Every partition folds its own rows of a key into
+  a state, and only states travel, so a key that holds a third of all rows is spread over
+  all tasks that hold its rows.
+
+The built-in forecast does not use them; it fits from per-key sums.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import pickle
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import Any, Tuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+#: States a task folds side by side before it sends them on and starts anew.
+MAX_STATES = 100_000
+
 
 def per_key(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame],
             schema: T.StructType | str) -> DataFrame:
@@ -25,6 +36,76 @@ def per_key(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.Data
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 
+def per_key_batches(df: DataFrame, keys: list[str], fn: Callable[[tuple, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+                    schema: T.StructType | str) -> DataFrame:
+    """``fn(key, batches)`` of each key: its rows as frames of at most one Arrow batch, in no particular order.
+
+    ``fn`` yields frames of ``schema`` and must read the batches to the end.  The worker holds a
+    batch at a time, however large the group; the group still is one task.
+    """
+    def body(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from fn(key, batches)
+
+    body.__annotations__ = {"key": Tuple[Any, ...], "batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    return df.groupBy(*keys).applyInPandas(body, schema)
+
+
+@dataclass(frozen=True)
+class Fold:
+    """A mergeable summary of a key's rows.
+
+    ``start()`` gives an empty state, ``add(state, frame)`` a state with the frame's rows,
+    ``merge(a, b)`` one state of two, ``finish(key, state)`` the frame of the key.  States are
+    pickled between tasks and should stay small; rows and states come in any order.
+    """
+
+    start: Callable[[], Any]
+    add: Callable[[Any, pd.DataFrame], Any]
+    merge: Callable[[Any, Any], Any]
+    finish: Callable[[tuple, Any], pd.DataFrame]
+
+
+def _key_value(v, kind: T.DataType):
+    if v is None or v != v or v is pd.NaT:
+        return None
+    return int(v) if isinstance(kind, T.IntegralType) else v
+
+
+def per_key_fold(df: DataFrame, keys: list[str], fold: Fold, schema: T.StructType | str) -> DataFrame:
+    """One ``fold.finish`` frame per key, folded where the rows are and merged per key.
+
+    What crosses the shuffle is a state per key and input partition (and per
+    ``MAX_STATES`` keys that a partition meets at once).  A null key is a key.
+    """
+    kinds = [df.schema[k].dataType for k in keys]
+    partial = T.StructType([*[T.StructField(f"key{i}", kind) for i, kind in enumerate(kinds)], T.StructField("state", T.BinaryType())])
+
+    def send(states: dict) -> pd.DataFrame:
+        rows = [(*k, pickle.dumps(s)) for k, s in states.items()]
+        return pd.DataFrame({name: pd.Series([r[i] for r in rows], dtype=object) for i, name in enumerate(partial.names)})
+
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        states: dict = {}
+        for pdf in batches:
+            for key, part in pdf.groupby(keys, dropna=False, sort=False):
+                at = tuple(_key_value(v, kind) for v, kind in zip(key, kinds, strict=True))
+                states[at] = fold.add(states[at] if at in states else fold.start(), part)
+            if len(states) > MAX_STATES:
+                yield send(states)
+                states = {}
+        if states:
+            yield send(states)
+
+    def combine(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state, empty = None, True
+        for pdf in batches:
+            for s in map(pickle.loads, pdf["state"]):
+                state, empty = (s if empty else fold.merge(state, s)), False
+        yield fold.finish(tuple(_key_value(v, kind) for v, kind in zip(key, kinds, strict=True)), state)
+
+    return per_key_batches(df.mapInPandas(summarise, partial), partial.names[:-1], combine, schema)
+
+
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("ip", T.StringType()),
     T.StructField("n", T.LongType()),
@@ -45,3 +126,21 @@ def series_summary(pdf: pd.DataFrame) -> pd.DataFrame:
         "first_ds": [pdf["ds"].min()],
         "last_ds": [pdf["ds"].max()],
     })
+
+
+#: The same summary as a fold: states of five numbers instead of whole series.
+SUMMARY_FOLD = Fold(
+    start=lambda: (0, 0.0, None, None, None),
+    add=lambda s, pdf: _merged(s, (len(pdf), float(pdf["y"].sum()), pdf["y"].max(), pdf["ds"].min(), pdf["ds"].max())),
+    merge=lambda a, b: _merged(a, b),
+    finish=lambda key, s: pd.DataFrame({"ip": pd.Series([key[0]], dtype=object), "n": [s[0]], "y_sum": [s[1]],
+                                        "y_max": pd.Series([s[2]], dtype="float64"), "first_ds": pd.Series([s[3]], dtype="datetime64[us]"),
+                                        "last_ds": pd.Series([s[4]], dtype="datetime64[us]")}))
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    def best(pick, x, y):
+        there = [v for v in (x, y) if v is not None and v == v]
+        return pick(there) if there else None
+
+    return a[0] + b[0], a[1] + b[1], best(max, a[2], b[2]), best(min, a[3], b[3]), best(max, a[4], b[4])

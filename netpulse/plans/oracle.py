@@ -369,4 +369,5 @@ ORACLE_SQL["forecast_merge_rerun"] = ORACLE_SQL["forecast_csv_merge"] = ORACLE_S
 ORACLE_SQL["stream_lag_feature"] = ORACLE_SQL["lag_feature"]
 ORACLE_SQL["stream_first_write_wins"] = ORACLE_SQL["first_write_wins"]
 ORACLE_SQL["stream_state_audit"] = ORACLE_SQL["stream_rekeyed_avg"] = ORACLE_SQL["stream_upsert_latest"] = ORACLE_SQL["avg_by_key"]
+ORACLE_SQL["per_key_fold"], ORACLE_SQL["history_compacted"] = ORACLE_SQL["per_key_apply"], ORACLE_SQL["history_cycle"]
 ORACLE_SQL["filter_allowlist_bloom"] = ORACLE_SQL["filter_allowlist"]

@@ -20,11 +20,11 @@ from ..operators import aggregates as agg
 from ..operators import bends
 from ..operators import forecast as fc
 from ..operators import joins, merge, ml, reshape, windows
-from ..operators.per_key import SUMMARY_SCHEMA, per_key, series_summary
+from ..operators.per_key import SUMMARY_FOLD, SUMMARY_SCHEMA, per_key, per_key_fold, series_summary
 from ..schema import FORECAST_SCHEMA, LOG_SCHEMA, LOG_STREAM_SCHEMA, METRICS, TIMESTAMP_FORMAT
 from ..session import configure, scratch_path
 from ..sinks import files as sinks
-from ..sinks import keyed
+from ..sinks import history, keyed
 from ..sources.files import read_json_lines, read_typed_csv
 from ..sources.series import range_scan, write_series
 from ..sources.stream import RECORD_SCHEMA, read_log_stream
@@ -150,6 +150,19 @@ def q_history_cycle(spark, sf_dir):
     return spark.read.parquet(path).where("data_type = 'unq_dst_ip'").select("ip", "ds", "y")
 
 
+def q_history_compacted(spark, sf_dir):
+    """Three runs append their days to the history, which is then packed into files of a target size."""
+    root = scratch_path(spark, "history")
+    train = _train(spark, sf_dir)
+    for lo, hi in ((None, RANGE_START), (RANGE_START, CUTOFF), (CUTOFF, None)):
+        part = train if lo is None else train.where(F.col("ds") >= _ts(lo))
+        history.append(part if hi is None else part.where(F.col("ds") < _ts(hi)), root, "unq_dst_ip")
+    history.append(_train_of(spark, sf_dir, "bytesin"), root, "bytesin")
+    history.compact(spark, root)
+    history.expire(spark, root)
+    return history.read(spark, root, "unq_dst_ip").select("ip", "ds", "y")
+
+
 def _processor(spark, sf_dir) -> dict[str, str]:
     return processor_run(spark, _series(spark, sf_dir), CUTOFF, training_date=OLD_TRAINING_DATE, seasonality=False)
 
@@ -436,6 +449,11 @@ def q_per_key_apply(spark, sf_dir):
     return per_key(_train(spark, sf_dir), ["ip"], series_summary, SUMMARY_SCHEMA)
 
 
+def q_per_key_fold(spark, sf_dir):
+    """The same summaries folded where the rows are: only states meet per source."""
+    return per_key_fold(_train(spark, sf_dir), ["ip"], SUMMARY_FOLD, SUMMARY_SCHEMA)
+
+
 # ------------------------------------------------------------------ MLlib
 
 def q_index_by_frequency(spark, sf_dir):

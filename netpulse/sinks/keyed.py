@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .versions import commit, drop_versions, entries, folder, versions
+
 #: Buckets of a new table: about one for every 128 MB the table will hold.
 BUCKETS = 64
 
@@ -35,23 +37,7 @@ class Manifest:
 
 
 def _write_manifest(spark: SparkSession, root: str, m: Manifest) -> None:
-    line = json.dumps({**vars(m), "folders": {str(b): f for b, f in m.folders.items()}})
-    # a single file in a folder of its own: it appears by one rename
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("errorifexists").text(f"{root}/manifest/version={m.version:012d}")
-
-
-def _folder(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions, oldest first."""
-    fs, path = _folder(spark, f"{root}/manifest")
-    if not fs.exists(path):
-        return []
-    done = [s.getPath() for s in fs.listStatus(path) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return sorted(int(p.getName().split("=")[1]) for p in done)
+    commit(spark, root, m.version, [{**vars(m), "folders": {str(b): f for b, f in m.folders.items()}}])
 
 
 def read_manifest(spark: SparkSession, root: str, version: int | None = None) -> Manifest | None:
@@ -61,7 +47,7 @@ def read_manifest(spark: SparkSession, root: str, version: int | None = None) ->
         if not known:
             return None
         version = known[-1]
-    m = json.loads(spark.read.text(f"{root}/manifest/version={version:012d}").first()[0])
+    m = entries(spark, root, version)[0]
     return Manifest(**{**m, "folders": {int(b): f for b, f in m["folders"].items()}})
 
 
@@ -129,10 +115,9 @@ def expire(spark: SparkSession, root: str, keep: int = 1) -> int:
     Folders of a crashed batch are among them.  Run it when no batch is being written
     and no reader holds an older version.
     """
-    known = versions(spark, root)
-    named = {f for v in known[-keep:] for f in read_manifest(spark, root, v).folders.values()}
+    named = {f for v in drop_versions(spark, root, keep) for f in read_manifest(spark, root, v).folders.values()}
     gone = 0
-    fs, data = _folder(spark, f"{root}/data")
+    fs, data = folder(spark, f"{root}/data")
     for attempt in fs.listStatus(data) if fs.exists(data) else []:
         name = attempt.getPath().getName()
         held = [s.getPath() for s in fs.listStatus(attempt.getPath()) if s.isDirectory()]
@@ -142,6 +127,4 @@ def expire(spark: SparkSession, root: str, keep: int = 1) -> int:
         gone += len(loose)
         if len(loose) == len(held):
             fs.delete(attempt.getPath(), True)
-    for v in known[:-keep]:
-        fs.delete(_folder(spark, f"{root}/manifest/version={v:012d}")[1], True)
     return gone
