@@ -76,16 +76,12 @@ FROM d GROUP BY doc_id
 
 
 def _divergence_sql() -> str:
-    """op5: counting rules, histograms in long form, references taken twice, limits."""
+    """op5: counting rules, histograms in long form, medians of permille shares as references, limits."""
     commons = " ".join(f"WHEN lang = '{k}' THEN {v.split()}" for k, v in rules.COMMON_WORDS.items())
+    listed = ", ".join(f"'{k}'" for k in rules.COMMON_WORDS)
     part = "CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
     pq = part.format(a="p", b="q") + " + " + part.format(a="q", b="p")
     counted = "length(regexp_replace(text, '{}', '', 'g'))"
-    refs = """SELECT kind, lang, pos, sum(v) / nullif(sum(sum(v)) OVER (PARTITION BY kind, lang), 0) AS q
-        FROM h JOIN {docs} USING (doc_id) GROUP BY kind, lang, pos HAVING count(*) >= %d""" % rules.REFERENCE_DOCS
-    distance = f"""SELECT doc_id, coalesce(sum({pq}) FILTER (WHERE kind = 'c'), 0) / 2 AS c,
-        coalesce(sum({pq}) FILTER (WHERE kind = 'w'), 0) / 2 AS w FROM h LEFT JOIN {{refs}} USING (kind, lang, pos)
-        WHERE p IS NOT NULL AND q IS NOT NULL GROUP BY doc_id"""
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang FROM documents),
 w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
@@ -108,12 +104,15 @@ g AS (SELECT *, list_append(c5, length(text) - list_sum(c5)) AS cs, list_append(
 long AS (SELECT doc_id, lang, 'c' AS kind, unnest(cs) AS v, generate_subscripts(cs, 1) AS pos FROM g
     UNION ALL SELECT doc_id, lang, 'w', unnest(wv), generate_subscripts(wv, 1) FROM g),
 h AS (SELECT *, v / nullif(sum(v) OVER (PARTITION BY doc_id, kind), 0) AS p FROM long),
-sound AS (SELECT doc_id FROM g WHERE NOT base_failed AND n_words >= {rules.REFERENCE_WORDS}),
-r1 AS ({refs.format(docs="sound")}),
-d1 AS (SELECT doc_id, coalesce(c, 0) AS c, coalesce(w, 0) AS w FROM sound LEFT JOIN ({distance.format(refs="r1")}) USING (doc_id)),
-near AS (SELECT doc_id FROM d1 WHERE c <= (SELECT avg(c) FROM d1) AND w <= (SELECT avg(w) FROM d1)),
-r2 AS ({refs.format(docs="near")}),
-d2 AS ({distance.format(refs="r2")})
+sound AS (SELECT min(doc_id) AS doc_id FROM g WHERE NOT base_failed AND n_words >= {rules.REFERENCE_WORDS} GROUP BY lang, text),
+s AS (SELECT lang, kind, pos, (1000 * v) // (sum(v) OVER (PARTITION BY doc_id, kind))::BIGINT AS s FROM long JOIN sound USING (doc_id)),
+m1 AS (SELECT lang, kind, pos, quantile_disc(s, 0.5) AS m FROM s GROUP BY lang, kind, pos HAVING count(*) >= {rules.REFERENCE_TEXTS}),
+m0 AS (SELECT kind, pos, quantile_disc(s, 0.5) AS m FROM s WHERE kind = 'c' OR lang IN ({listed}) GROUP BY kind, pos),
+r AS (SELECT lang, kind, pos, coalesce(m1.m, m0.m) AS m FROM (SELECT DISTINCT lang FROM g) CROSS JOIN m0 LEFT JOIN m1 USING (lang, kind, pos)
+    WHERE kind = 'c' OR lang IN ({listed})),
+q AS (SELECT lang, kind, pos, m / sum(m) OVER (PARTITION BY lang, kind) AS q FROM r),
+d2 AS (SELECT doc_id, sqrt(greatest(sum({pq}) FILTER (WHERE kind = 'c'), 0) / 2) AS c, sqrt(greatest(sum({pq}) FILTER (WHERE kind = 'w'), 0) / 2) AS w
+    FROM h JOIN q USING (lang, kind, pos) WHERE p IS NOT NULL GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND NOT (n_words >= {rules.MIN_CLASS_WORDS} AND coalesce(c, 0) > {rules.MAX_CLASS_DISTANCE})
     AND NOT (n_words >= {rules.MIN_WORD_WORDS} AND coalesce(w, 0) > {rules.MAX_WORD_DISTANCE}) AS kept

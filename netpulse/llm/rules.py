@@ -2,12 +2,14 @@
 
 Everything is column arithmetic on built-in functions.  One pass turns each text
 into counts: words, symbols, repeated lines and windows, a histogram of character
-classes and one of the common words of its language.  The references are the summed
-histograms of each language's documents, taken twice: first over all documents that
-pass the counting rules, then over those of them that lie no further from the first
-reference than the average, so that junk does not blur what it is measured against.
-A document whose Jensen-Shannon distance (in bits) from its language exceeds a limit
-is rejected, provided it is long enough for its histogram to mean something.
+classes and one of the common words of its language.  A language's reference is, bin by
+bin, the median share over its different texts that pass the counting rules, in
+permille: every text has one vote whatever its length and however often it is copied, so
+what a language's texts are measured against moves only if half of them are junk.  A
+language with too few such texts is measured against the medians over all languages.
+A document whose Jensen-Shannon distance from the reference (the root of the divergence
+in bits) exceeds a limit is rejected, provided it is long enough for its histogram to
+mean something.
 """
 
 from __future__ import annotations
@@ -38,10 +40,10 @@ N_COMMON = 20
 N_BINS = {"classes": 6, "commons": N_COMMON + 1}
 
 #: Limits of the distances, and the words a text needs for each to count.
-MAX_CLASS_DISTANCE, MIN_CLASS_WORDS = 0.03, 30
-MAX_WORD_DISTANCE, MIN_WORD_WORDS = 0.12, 100
-#: A reference document has this many words; a language with fewer of them is not judged.
-REFERENCE_WORDS, REFERENCE_DOCS = 50, 5
+MAX_CLASS_DISTANCE, MIN_CLASS_WORDS = 0.18, 30
+MAX_WORD_DISTANCE, MIN_WORD_WORDS = 0.35, 100
+#: A reference text has this many words; a language with fewer of them is measured against all languages.
+REFERENCE_WORDS, REFERENCE_TEXTS = 50, 20
 
 
 def _repeated_words(hashes: Column) -> Column:
@@ -67,7 +69,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
     """The counts of every ``(doc_id, text, lang)``; each step is a projection of its own so that arrays are built once."""
     words = F.array_remove(F.split("text", SPACE + "+"), "")
     step = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang")) \
-        .select("*", words.alias("words"))
+        .select("*", F.xxhash64("text").alias("text_key"), words.alias("words"))
     known = sorted({w for words in COMMON_WORDS.values() for w in words.split()})
     plain = F.transform("words", lambda w: F.rtrim(F.lower(w), F.lit(".,")))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(NO_SPACE))
@@ -80,7 +82,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
                     COMMON_WORDS, F.when(F.lit(False), F.array().cast("array<string>")))
     per_word = F.transform(ranked, lambda c: F.size(F.filter("common", lambda w: w == c)))
     step = step.select(
-        "doc_id", "lang", F.size("words").cast("long").alias("n_words"),
+        "doc_id", "lang", "text_key", F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.char_length("text").cast("long").alias("n_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
@@ -92,7 +94,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
     classes = [F.col("marks")[0], F.col("marks")[1], F.col("n_chars") - F.col("word_chars"), F.col("marks")[2], F.col("n_symbols")]
     classes.append(F.col("n_chars") - reduce(lambda a, b: a + b, classes))
     others = F.col("n_words") - F.aggregate("ranked", F.lit(0).cast("long"), lambda a, x: a + x)
-    return step.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return step.select("doc_id", "lang", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"), F.array(*[c.cast("long") for c in classes]).alias("classes"),
                        F.concat(F.col("ranked").cast("array<bigint>"), F.array(others)).alias("commons"))
 
@@ -102,44 +104,58 @@ def _shares(counts: Column) -> Column:
     return F.when(total > 0, F.transform(counts, lambda x: x / total))
 
 
-def divergence(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance in bits between two arrays of shares; 0 where one is missing."""
+def distance(p: Column, q: Column) -> Column:
+    """Jensen-Shannon distance (root of the divergence in bits) between two arrays of shares; 0 where one is missing."""
 
     def part(a: Column, b: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
 
     terms = F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a))
-    return F.coalesce(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0))
+    total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    return F.coalesce(F.sqrt(F.greatest(total, F.lit(0.0)) / 2), F.lit(0.0))
 
 
-def references(counts: DataFrame) -> DataFrame:
-    """``(lang, ref_classes, ref_commons)``: shares of the summed histograms of languages with enough documents."""
-    sums = counts.groupBy("lang").agg(
-        *[F.array(*[F.sum(F.col(h)[i]) for i in range(n)]).alias(h) for h, n in N_BINS.items()], F.count(F.lit(1)).alias("n"))
-    return sums.where(F.col("n") >= REFERENCE_DOCS).select("lang", *[_shares(F.col(h)).alias("ref_" + h) for h in N_BINS])
+def _medians(h: str) -> list[Column]:
+    """The lower median of each bin of a histogram; the aggregate counts the permille values, 1,001 at most."""
+    return [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {h}[{i}])").cast("long") for i in range(N_BINS[h])]
 
 
-def with_distances(counts: DataFrame, refs: DataFrame) -> DataFrame:
+def references(counts: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``(lang, ref_classes, ref_commons)``, shares per language, and the two arrays for a language without a reference.
+
+    Of a text that several documents of a language share one counts.
+    """
+    sound = counts.where(~F.col("base_failed") & (F.col("n_words") >= REFERENCE_WORDS)).dropDuplicates(["lang", "text_key"])
+    total = "aggregate({0}, 0L, (a, x) -> a + x)"
+    permille = sound.select("lang", *[F.expr(f"transform({h}, x -> 1000 * x div {total.format(h)})").alias(h) for h in N_BINS])
+    votes = written(permille, "votes")
+    by_lang = votes.groupBy("lang").agg(*[F.array(*_medians(h)).alias(h) for h in N_BINS], F.count(F.lit(1)).alias("n")) \
+        .where(F.col("n") >= REFERENCE_TEXTS).select("lang", *[_shares(F.col(h)).alias("ref_" + h) for h in N_BINS])
+    listed = F.col("lang").isin(list(COMMON_WORDS))
+    whole = [votes.agg(F.array(*_medians("classes"))).first()[0], votes.where(listed).agg(F.array(*_medians("commons"))).first()[0]]
+    return by_lang, [_shares(F.array(*[F.lit(x).cast("long") for x in m])) for m in whole]
+
+
+def with_distances(counts: DataFrame, refs: DataFrame, whole: list[Column]) -> DataFrame:
+    """The counts with both distances; the common words of a language without a list have none."""
     joined = counts.join(refs, "lang", "left")
-    return joined.select(*counts.columns,
-                         divergence(_shares(F.col("classes")), F.col("ref_classes")).alias("class_distance"),
-                         divergence(_shares(F.col("commons")), F.col("ref_commons")).alias("word_distance"))
+    classes, commons = (F.coalesce(F.col("ref_" + h), w) for h, w in zip(N_BINS, whole, strict=True))
+    return joined.select(
+        *counts.columns, distance(_shares(F.col("classes")), classes).alias("class_distance"),
+        F.when(F.col("lang").isin(list(COMMON_WORDS)), distance(_shares(F.col("commons")), commons)).otherwise(0.0).alias("word_distance"))
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
     """One row per document: the counts, ``base_failed``, both distances and ``kept``.
 
     A null text has no words and fails the base rules, as an empty one does.  A null
-    language is a language of its own.  A language without listed common words, or
-    with too few reference documents, is judged by the rules that remain.  Repeated
-    rows give repeated results; an empty table gives an empty result.
+    language is a language of its own.  A language without listed common words is judged
+    by its character classes alone, one with too few reference texts against all
+    languages; a table without any reference text is judged by the counting rules.
+    Repeated rows give repeated results; an empty table gives an empty result.
     """
     counts = written(text_counts(pick(docs, doc_id=id_col, text=text_col, lang=lang_col)), "counts")
-    sound = counts.where(~F.col("base_failed") & (F.col("n_words") >= REFERENCE_WORDS))
-    first = written(with_distances(sound, references(sound)), "distances")
-    mean = first.agg(F.avg("class_distance").alias("c"), F.avg("word_distance").alias("w")).first()
-    near = first.where((F.col("class_distance") <= F.lit(mean["c"])) & (F.col("word_distance") <= F.lit(mean["w"])))
-    judged = with_distances(counts, references(near))
+    judged = with_distances(counts, *references(counts))
     far = ((F.col("n_words") >= MIN_CLASS_WORDS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)) | \
         ((F.col("n_words") >= MIN_WORD_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -42,20 +42,23 @@ def brute_rules(rows):
         com = [plain[w] for w in rules.COMMON_WORDS[g].split()] if g in rules.COMMON_WORDS else [0] * rules.N_COMMON
         hist.append((cls + [len(t) - sum(cls)], com + [c[0] - sum(com)]))
 
-    def distances(members):
-        out = []
-        for i, (_, g) in enumerate(rows):
-            of = [j for j in members if rows[j][1] == g]
-            if len(of) < rules.REFERENCE_DOCS:
-                out.append((0.0, 0.0))
-                continue
-            out.append(tuple(jensen_shannon(shares(hist[i][k]), shares(np.sum([hist[j][k] for j in of], axis=0).tolist())) for k in (0, 1)))
-        return out
+    def medians(members, k):
+        if not members:
+            return None
+        permille = sorted({rows[j]: [1000 * v // sum(hist[j][k]) for v in hist[j][k]] for j in members}.values())
+        return shares([sorted(column)[(len(permille) - 1) // 2] for column in zip(*permille)])
 
     sound = [i for i, c in enumerate(counts) if not failed[i] and c[0] >= rules.REFERENCE_WORDS]
-    d = distances(sound)
-    mean = [sum(d[i][k] for i in sound) / max(len(sound), 1) for k in (0, 1)]
-    d = distances([i for i in sound if d[i][0] <= mean[0] and d[i][1] <= mean[1]])
+    whole = [medians(sound, 0), medians([i for i in sound if rows[i][1] in rules.COMMON_WORDS], 1)]
+    refs = {}
+    for g in {g for _, g in rows}:
+        of = [i for i in sound if rows[i][1] == g]
+        enough = len({rows[i] for i in of}) >= rules.REFERENCE_TEXTS
+        refs[g] = [medians(of, k) if enough else whole[k] for k in (0, 1)]
+        if g not in rules.COMMON_WORDS:
+            refs[g][1] = None
+    d = [[math.sqrt(max(jensen_shannon(shares(hist[i][k]), refs[g][k]), 0)) if refs[g][k] and sum(hist[i][k]) else 0.0 for k in (0, 1)]
+         for i, (_, g) in enumerate(rows)]
     kept = [not f and not (c[0] >= rules.MIN_CLASS_WORDS and x > rules.MAX_CLASS_DISTANCE)
             and not (c[0] >= rules.MIN_WORD_WORDS and w > rules.MAX_WORD_DISTANCE) for f, c, (x, w) in zip(failed, counts, d)]
     return counts, failed, kept
@@ -86,11 +89,44 @@ def test_rules_match_brute_force(spark):
     assert 0 < sum(kept) < sum(not f for f in failed)
 
 
+def _texts(n, seed, words=160):
+    rng = random.Random(seed)
+    return [" ".join(rng.choice(PROSE.split()) for _ in range(words)) for _ in range(n)]
+
+
+def _junk(n, words=160, seed=9):
+    rng = random.Random(seed)
+    return [" ".join(rng.choice(["%%", "##", "1234", "<x>", "$9|", "&&&"]) for _ in range(words)) + f" {i}" for i in range(n)]
+
+
+def _kept(spark, texts, langs):
+    kept = quality_rules(documents(spark, texts, langs)).collect()
+    assert [r.kept for r in sorted(kept, key=lambda r: r.doc_id)] == brute_rules(list(zip(texts, langs)))[2]
+    return {r.doc_id for r in kept if r.kept}
+
+
+def test_a_junk_source_of_a_third_sets_no_reference(spark):
+    sound, junk = _texts(60, 1), _junk(30)
+    # and copies of junk, which have one vote together
+    texts = sound + junk + junk[:1] * 80
+    assert _kept(spark, texts, ["en"] * len(texts)) == set(range(60))
+
+
+def test_a_rare_language_is_measured_against_all(spark):
+    texts = _texts(40, 2) + _junk(3) + _texts(3, 3)
+    langs = ["en"] * 40 + ["xx"] * 3 + ["yy"] * 3
+    assert _kept(spark, texts, langs) == set(range(40)) | {43, 44, 45}
+    texts = _texts(40, 2) + _junk(3, seed=8)
+    assert _kept(spark, texts, ["en"] * 40 + ["de"] * 3) == set(range(40))
+
+
 def test_rules_stay_on_the_jvm(spark):
     from helpers import plan_text
     docs = read_table(spark, "/root/testdata/sf0.001", "documents")
     counts = rules.text_counts(pick(docs, doc_id="doc_id", text="text", lang="lang"))
     assert "Python" not in plan_text(counts) and "Arrow" not in plan_text(counts)
+    judged = plan_text(quality_rules(docs))
+    assert "Python" not in judged and "Arrow" not in judged
 
 
 def test_rules_empty_table_and_filter(spark):
