@@ -114,7 +114,7 @@ def test_assembler_skips_first_row_of_each_key(spark):
     assert kept.count() == logs.count() - logs.select("src_ip").distinct().count()
 
 
-PY_OK = {"forecast_job", "forecast_job_seasonal", "per_key_apply"}
+PY_OK = {"forecast_job", "forecast_job_seasonal", "per_key_apply", "per_key_fold"}
 
 
 @pytest.fixture
