@@ -1,16 +1,14 @@
 """Stupid-backoff scores from n-gram count tables that are partitioned by hash.
 
-Documents are gathered once into blocks of word ids.  Every block explodes its
-n-grams, counts its own distinct ones and deals them to the hash range they belong
-to; so an n-gram that occurs everywhere crosses the shuffle once per block and not
-once per use.  Each hash range adds up its part of the count table and joins the
-totals back to the n-grams that asked, block by block.  Words and pairs come first;
-a longer n-gram is asked for only if the counts of its parts leave it a chance to
-reach the least count, which spares most of them the way.  The block then has every
-total it needs, scores each word and sums the logarithms per document.
-
-N-grams are told apart by 64-bit hashes of their words.  The rows that cross a
-shuffle hold sorted, difference-coded arrays, a few bytes per n-gram.
+Documents are gathered once into blocks of word ids, written as a table.  Every block
+explodes into its distinct n-grams, a row each with the count inside the block, so an
+n-gram that occurs everywhere crosses the shuffle once per block and not once per use.
+The rows are dealt by hash; the sum per hash is the count table, and it is joined back
+to the n-gram rows.  An n-gram that no other block holds needs no answer, its own count
+is the total; the others return to their block, which scores each word and sums the
+logarithms per document.
+
+N-grams are told apart by 64-bit hashes of their words.
 """
 
 from __future__ import annotations
@@ -28,15 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick, text_bytes
+from .common import pick, text_bytes, written
 
 ORDER = 3
 BACKOFF = 0.4
 #: An n-gram of two words or more counts as seen from so many occurrences in the corpus.
-MIN_COUNT = 2
-#: Words per block (a longer document is a block of its own) and distinct n-grams per hash range, about.
+MIN_COUNT = 1
+#: Words per block (a longer document is a block of its own) and n-gram rows per hash partition, about.
 BLOCK_WORDS = 1 << 21
-RANGE_NGRAMS = 1 << 21
+PART_NGRAMS = 1 << 21
+ROWS_PER_BATCH = 1 << 16
 SEED = 42
 
 
@@ -53,14 +52,6 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, -1).T).view(dtype).ravel()
 
 
-def pack_sorted(a: np.ndarray) -> bytes:
-    return pack(np.diff(a, prepend=np.uint64(0)))
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
-
-
 def ngram_hashes(words: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the n-grams that lie inside a document, and the positions of their first words."""
     if order > 1:
@@ -75,16 +66,6 @@ def ngram_hashes(words: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np
     return h ^ (h >> np.uint64(27)), at
 
 
-def count_words(docs: DataFrame) -> int:
-    """Words of all documents; one number per partition is added up."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(len(t.split()) for b in batches for t in text_bytes(b.column(0)))
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
-
-    return docs.select("text").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
-
-
 def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(block, n_words, doc_ids, lengths, vocabulary, words)``: documents as word ids of their block."""
     id_type = docs.schema["doc_id"].dataType
@@ -124,29 +105,12 @@ def blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def ngram_level(flat: np.ndarray, lengths: np.ndarray, n: int, shorter: np.ndarray | None, min_count: int):
-    """The block's n-grams that are worth asking for: sorted hashes, own counts, positions, entry of each position.
-
-    An n-gram is never more frequent than the two shorter ones it holds, so from three
-    words on only those are asked for whose parts are both frequent enough.
-    """
-    hashes, at = ngram_hashes(flat, lengths, n)
-    if n > 2:
-        worth = (shorter[at] >= min_count) & (shorter[at + 1] >= min_count)
-        hashes, at = hashes[worth], at[worth]
-    found, entry, own = np.unique(hashes, return_inverse=True, return_counts=True)
-    return found, own, at, entry
-
-
-def counts_by_position(flat: np.ndarray, lengths: np.ndarray, totals: list[np.ndarray], min_count: int) -> list[np.ndarray]:
-    """For each order, the corpus count of the n-gram that starts at each position; 0 where it was not asked for."""
-    levels: list[np.ndarray] = []
-    for n, total in enumerate(totals, 1):
-        _, _, at, entry = ngram_level(flat, lengths, n, levels[-1] if levels else None, min_count)
-        seen = np.zeros(len(flat))
-        seen[at] = total[entry]
-        levels.append(seen)
-    return levels
+def block_ngrams(flat: np.ndarray, lengths: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each order the block's distinct n-grams: sorted hashes, own counts, positions, entry of each position."""
+    for n in range(1, order + 1):
+        hashes, at = ngram_hashes(flat, lengths, n)
+        found, entry, own = np.unique(hashes, return_inverse=True, return_counts=True)
+        yield found, own, at, entry
 
 
 def _open(block: pa.Table | pa.RecordBatch, row: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -155,69 +119,47 @@ def _open(block: pa.Table | pa.RecordBatch, row: int = 0) -> tuple[np.ndarray, n
     return unpack(vocabulary, np.uint64)[unpack(words, np.uint32)], unpack(lengths, np.uint64).astype(np.int64)
 
 
-def _by_order(replies: pa.Table, orders: int) -> list[np.ndarray]:
-    """The totals that came back to a block, per order in hash order."""
-    replies = replies.sort_by([("n", "ascending"), ("range", "ascending")])
-    parts: dict[int, list[np.ndarray]] = defaultdict(list)
-    for n, data in zip(replies.column("n").to_pylist(), replies.column("totals").to_pylist()):
-        parts[n].append(unpack(data, np.uint64))
-    return [np.concatenate(parts[n]) if n in parts else np.empty(0, np.uint64) for n in range(1, orders + 1)]
-
-
-REQUEST = "n int, range long, block long, hashes binary, counts binary"
-_REQUEST_FIELDS = pa.schema([("n", pa.int32()), ("range", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()),
-                             ("counts", pa.binary())])
-
-
-def _requests(block: int, n: int, found: np.ndarray, own: np.ndarray, bits: int) -> pa.Table:
-    """Distinct n-grams of a block cut at the borders of the hash ranges (their top ``bits``)."""
-    part = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
-    cuts = np.flatnonzero(np.diff(part, prepend=-1))
-    ends = np.append(cuts[1:], len(part))
-    return pa.table([pa.array([n] * len(cuts), pa.int32()), pa.array(part[cuts]), pa.array([block] * len(cuts), pa.int64()),
-                     pa.array([pack_sorted(found[lo:hi]) for lo, hi in zip(cuts, ends)], pa.binary()),
-                     pa.array([pack(own[lo:hi].astype(np.uint64)) for lo, hi in zip(cuts, ends)], pa.binary())],
-                    schema=_REQUEST_FIELDS)
-
-
-def first_requests(placed: DataFrame, orders: int, bits: int) -> DataFrame:
-    """Requests for all words and word pairs (of up to ``orders``) of every block."""
+def ngram_rows(placed: DataFrame, order: int) -> DataFrame:
+    """``(hash, block, own)``: a row per distinct n-gram of a block with its count there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row, block in enumerate(b.column("block").to_pylist()):
-                flat, lengths = _open(b, row)
-                for n in range(1, orders + 1):
-                    found, own, _, _ = ngram_level(flat, lengths, n, None, 0)
-                    yield from _requests(block, n, found, own, bits).to_batches()
+                for found, own, _, _ in block_ngrams(*_open(b, row), order):
+                    for lo in range(0, len(found), ROWS_PER_BATCH):
+                        some = found[lo:lo + ROWS_PER_BATCH].view(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(some), pa.array(np.full(len(some), block)), pa.array(own[lo:lo + ROWS_PER_BATCH])],
+                            names=["hash", "block", "own"])
 
-    return placed.mapInArrow(run, REQUEST)
+    return placed.mapInArrow(run, "hash long, block long, own long")
 
 
-def longer_requests(placed: DataFrame, totals: DataFrame, n: int, bits: int, min_count: int) -> DataFrame:
-    """Requests for the n-grams whose shorter parts, by the ``totals`` so far, are frequent enough."""
-
-    def run(block: pa.Table, replies: pa.Table) -> pa.Table:
-        if not block.num_rows:
-            return _REQUEST_FIELDS.empty_table()
-        flat, lengths = _open(block)
-        shorter = counts_by_position(flat, lengths, _by_order(replies, n - 1), min_count)[-1]
-        found, own, _, _ = ngram_level(flat, lengths, n, shorter, min_count)
-        return _requests(block.column("block")[0].as_py(), n, found, own, bits)
+def counts_elsewhere(ngrams: DataFrame, parts: int) -> DataFrame:
+    """``(block, hash, others)``: how often an n-gram of a block occurs in all other blocks, where it does.
 
-    return placed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, REQUEST)
-
-
-def _join_totals(table: pa.Table) -> pa.Table:
-    """One hash range: add up the count table, and give every block the totals of its n-grams, in its order."""
-    asked = [unpack_sorted(h) for h in table.column("hashes").to_pylist()]
-    own = np.concatenate([unpack(c, np.uint64) for c in table.column("counts").to_pylist()])
-    _, entry = np.unique(np.concatenate(asked), return_inverse=True)
-    total = np.bincount(entry, weights=own).astype(np.uint64)[entry]
-    ends = np.cumsum([len(a) for a in asked])
-    totals = [pack(total[hi - len(a):hi]) for a, hi in zip(asked, ends)]
-    return pa.table({"block": table.column("block"), "n": table.column("n"), "range": table.column("range"),
-                     "totals": pa.array(totals, pa.binary())})
+    The rows are dealt by hash once; the count table and its join back use that one exchange.
+    """
+    dealt = ngrams.repartition(parts, "hash")
+    table = dealt.groupBy("hash").agg(F.sum("own").alias("total"), F.min("block").alias("first"), F.max("block").alias("last"))
+    shared = table.where("first < last").select("hash", "total")
+    return dealt.join(shared.hint("shuffle_hash"), "hash").select("block", "hash", (F.col("total") - F.col("own")).alias("others"))
+
+
+def counts_by_position(flat: np.ndarray, lengths: np.ndarray, order: int, hashes: np.ndarray,
+                       others: np.ndarray) -> list[np.ndarray]:
+    """For each order, the corpus count of the n-gram that starts at each position; 0 where none does."""
+    levels = []
+    for found, own, at, entry in block_ngrams(flat, lengths, order):
+        total = own.copy()
+        if len(found):
+            place = np.minimum(np.searchsorted(found, hashes), len(found) - 1)
+            here = found[place] == hashes
+            total[place[here]] += others[here]
+        seen = np.zeros(len(flat))
+        seen[at] = total[entry]
+        levels.append(seen)
+    return levels
 
 
 def backoff_scores(levels: list[np.ndarray], lengths: np.ndarray, n_corpus: int, backoff: float,
@@ -237,7 +179,7 @@ def backoff_scores(levels: list[np.ndarray], lengths: np.ndarray, n_corpus: int,
 
 def stupid_backoff(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", order: int = ORDER,
                    backoff: float = BACKOFF, min_count: int = MIN_COUNT, block_words: int = BLOCK_WORDS,
-                   range_ngrams: int = RANGE_NGRAMS) -> DataFrame:
+                   part_ngrams: int = PART_NGRAMS) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_backed_off, log_score``.
 
     Words are the runs between ASCII white space, A-Z lower-cased.  Counts come from
@@ -246,26 +188,22 @@ def stupid_backoff(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     each word of context given up; a single word has its share of all words.
     ``log_score`` is the mean of ``ln S`` over the words, rounded to 6 digits, and
     null without words; ``n_backed_off`` counts the words that gave up some context
-    that was there.  Null counts as empty.  Repeated rows count as often as they
-    occur; an empty table gives an empty result.
+    that was there (none at a ``min_count`` of 1, as the documents are the corpus).
+    Null counts as empty.  Repeated rows count as often as they occur; an empty table
+    gives an empty result.
     """
     source = pick(docs, doc_id=id_col, text=text_col)
-    n_corpus = count_words(source)
+    placed = written(blocks(source, block_words), "blocks")
+    n_corpus = placed.agg(F.sum("n_words")).first()[0] or 0
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(n_corpus // range_ngrams, width // order).bit_length()
-    # one exchange deals the blocks; every later step of this one plan reuses it
-    placed = blocks(source, block_words).repartition("block")
-    joined = "block long, n int, range long, totals binary"
-    totals = first_requests(placed, min(order, 2), bits).groupBy("n", "range").applyInArrow(_join_totals, joined)
-    for n in range(3, order + 1):
-        asked = longer_requests(placed, totals, n, bits, min_count)
-        totals = totals.unionByName(asked.groupBy("n", "range").applyInArrow(_join_totals, joined))
+    others = counts_elsewhere(ngram_rows(placed, order), max(n_corpus * order // part_ngrams, width))
     schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()),
                            T.StructField("n_backed_off", T.LongType()), T.StructField("log_score", T.DoubleType())])
 
     def score(block: pa.Table, replies: pa.Table) -> pa.Table:
         flat, lengths = _open(block)
-        levels = counts_by_position(flat, lengths, _by_order(replies, order), min_count)
+        levels = counts_by_position(flat, lengths, order, replies.column("hash").to_numpy().view(np.uint64),
+                                    replies.column("others").to_numpy())
         log_s, context = backoff_scores(levels, lengths, n_corpus, backoff, min_count)
         starts = np.cumsum(lengths) - lengths
         place = np.arange(len(flat)) - np.repeat(starts, lengths)
@@ -279,4 +217,4 @@ def stupid_backoff(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
                          "n_backed_off": pa.array(running[starts + lengths] - running[starts]),
                          "log_score": pa.array(mean, mask=~filled)})
 
-    return placed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, schema)
+    return placed.groupBy("block").cogroup(others.groupBy("block")).applyInArrow(score, schema)

@@ -27,9 +27,9 @@ bi AS (SELECT w2 AS a, w3 AS b, count(*) AS n FROM g WHERE w2 IS NOT NULL GROUP
 tri AS (SELECT w1 AS a, w2 AS b, w3 AS c, count(*) AS n FROM g WHERE w1 IS NOT NULL GROUP BY 1, 2, 3),
 s AS (
   SELECT g.doc_id, g.i,
-    CASE WHEN tri.n >= 2 THEN 2 WHEN b23.n >= 2 THEN 1 ELSE 0 END AS context,
-    CASE WHEN tri.n >= 2 THEN ln(tri.n / b12.n)
-         WHEN b23.n >= 2 THEN ln(b23.n / u2.n) + CASE WHEN g.i > 2 THEN ln(0.4::DOUBLE) ELSE 0 END
+    CASE WHEN tri.n >= 1 THEN 2 WHEN b23.n >= 1 THEN 1 ELSE 0 END AS context,
+    CASE WHEN tri.n >= 1 THEN ln(tri.n / b12.n)
+         WHEN b23.n >= 1 THEN ln(b23.n / u2.n) + CASE WHEN g.i > 2 THEN ln(0.4::DOUBLE) ELSE 0 END
          ELSE ln(u3.n / (SELECT count(*) FROM t)) + least(g.i - 1, 2) * ln(0.4::DOUBLE) END AS ls
   FROM g JOIN uni u3 ON u3.b = g.w3 LEFT JOIN uni u2 ON u2.b = g.w2
   LEFT JOIN bi b23 ON b23.a = g.w2 AND b23.b = g.w3 LEFT JOIN bi b12 ON b12.a = g.w1 AND b12.b = g.w2

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from netpulse.llm import warc
 from netpulse.llm.common import read_table
-from netpulse.llm.lm import pack_sorted, stupid_backoff, unpack_sorted
+from netpulse.llm.lm import blocks, counts_elsewhere, ngram_rows, pack, stupid_backoff, unpack
 from netpulse.llm.url_filter import RULES, filter_urls, labelled_urls, train_url_model
 from netpulse.session import scratch_path
 
@@ -134,7 +134,7 @@ def test_url_filter_stays_on_the_jvm(spark):
 
 # ---------------------------------------------------------------- language model
 
-def brute_scores(texts, order=3, backoff=0.4, min_count=2):
+def brute_scores(texts, order=3, backoff=0.4, min_count=1):
     docs = [lower(t).encode().split() for t in texts]
     counts = Counter(tuple(d[i:i + n]) for d in docs for n in range(1, order + 1) for i in range(len(d) - n + 1))
     total = sum(len(d) for d in docs)
@@ -154,16 +154,27 @@ def brute_scores(texts, order=3, backoff=0.4, min_count=2):
 TEXTS = ODD_TEXTS + ["the cat sat on the mat", "The Cat sat on a mat", "a mat on the cat", "hot pair " * 500] + ["common line of words"] * 30
 
 
-@pytest.mark.parametrize("order,block_words,range_ngrams", [(3, 1 << 21, 1 << 21), (3, 40, 16), (1, 100, 1000), (4, 7, 64)])
-def test_scores_match_brute_force(spark, order, block_words, range_ngrams):
-    docs = documents(spark, TEXTS).repartition(3).select("*", F.lit(1).alias("block"), F.lit(2).alias("n_words"))
-    got = {r.doc_id: r for r in stupid_backoff(docs, order=order, block_words=block_words, range_ngrams=range_ngrams).collect()}
+@pytest.mark.parametrize("order,block_words,part_ngrams,min_count", [
+    (3, 1 << 21, 1 << 21, 1), (3, 40, 16, 1), (2, 40, 100, 1), (1, 100, 1000, 1), (4, 7, 64, 1), (3, 40, 1000, 2), (4, 100, 64, 3)])
+def test_scores_match_brute_force(spark, order, block_words, part_ngrams, min_count):
+    docs = documents(spark, TEXTS).repartition(3).select("*", F.lit(1).alias("block"), F.lit(2).alias("TEXT"))
+    found = stupid_backoff(docs, order=order, block_words=block_words, part_ngrams=part_ngrams, min_count=min_count)
+    got = {r.doc_id: r for r in found.collect()}
     assert len(got) == len(TEXTS)
-    for i, (n, given_up, mean) in enumerate(brute_scores(TEXTS, order)):
+    for i, (n, given_up, mean) in enumerate(brute_scores(TEXTS, order, min_count=min_count)):
         assert (got[i].n_words, got[i].n_backed_off) == (n, given_up)
         assert got[i].log_score is None if mean is None else math.isclose(got[i].log_score, mean, abs_tol=2e-6)
 
 
+def test_ngram_rows_cross_one_exchange(spark):
+    from helpers import plan_text
+    placed = blocks(documents(spark, TEXTS).select("doc_id", "text"), 40)
+    shared = counts_elsewhere(ngram_rows(placed, 3), 8)
+    shared.collect()  # adaptive execution finds the equal exchange as it goes
+    plan = plan_text(shared)
+    assert "ReusedExchange" in plan and "ShuffledHashJoin" in plan
+
+
 def test_scores_of_empty_repeated_and_null_rows(spark):
     assert stupid_backoff(documents(spark, [])).count() == 0
     rows = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
@@ -173,8 +184,8 @@ def test_scores_of_empty_repeated_and_null_rows(spark):
     assert [(r.n_words, r.log_score) for r in only_empty] == [(0, None)] * 3
 
 
-def test_sorted_arrays_pack_and_unpack():
+def test_arrays_pack_and_unpack():
     import numpy as np
-    a = np.unique(np.random.default_rng(0).integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2))
-    assert (unpack_sorted(pack_sorted(a)) == a).all()
-    assert len(unpack_sorted(pack_sorted(a[:0]))) == 0
+    a = np.random.default_rng(0).integers(0, 1 << 63, 5000).astype(np.uint64)
+    assert (unpack(pack(a), np.uint64) == a).all()
+    assert len(unpack(pack(a[:0]), np.uint64)) == 0
