@@ -13,7 +13,10 @@ difference are discarded, and the survivors are verified bit by bit.
 
 A small group compares its members in place.  A large one is walked from member to
 member against those not yet reached, so a dense cluster of many thousand copies
-costs a few passes and gives a spanning forest instead of all its pairs.
+costs a few passes and gives a spanning forest instead of all its pairs.  A meeting
+place of more than ``HOT_PLACE`` members is dealt again by choices of finer blocks:
+two members within ``max_bits`` agree on one of those choices too, so its pairs are
+split over many tasks and none is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +39,9 @@ MAX_BITS = 4
 N_PIVOTS = 32
 #: Groups up to this size compare neighbours in place, larger ones are walked.
 SMALL_GROUP = 48
+#: Larger meeting places are dealt again, by so many blocks more.
+HOT_PLACE = 1 << 14
+FINER_BLOCKS = 3
 SEED = 42
 
 
@@ -78,14 +84,16 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def block_masks(n_classes: int, max_bits: int) -> list[int]:
-    """Bit masks of all choices of ``blocks - max_bits`` blocks, as signed integers.
-
-    The fewest blocks for which unrelated fingerprints seldom share a choice.
-    """
+def n_blocks(n_classes: int, max_bits: int) -> int:
+    """The fewest blocks for which unrelated fingerprints seldom share a choice of ``blocks - max_bits``."""
     blocks = max_bits + 1
     while blocks < 16 and n_classes > 2 ** (64 * (blocks - max_bits) // blocks):
         blocks += 1
+    return blocks
+
+
+def block_masks(blocks: int, max_bits: int) -> list[int]:
+    """Bit masks of all choices of ``blocks - max_bits`` blocks, as signed integers."""
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     part = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges, edges[1:])]
     masks = [sum(choice) for choice in combinations(part, blocks - max_bits)]
@@ -138,23 +146,39 @@ def _walk(fp, table, max_bits):
     return out
 
 
-def links(classes: DataFrame, max_bits: int = MAX_BITS, n_classes: int | None = None) -> DataFrame:
+def meeting_places(classes: DataFrame, blocks: int, max_bits: int, hot_place: int = HOT_PLACE) -> DataFrame:
+    """``(fp, place)``: every fingerprint in each place where it may meet a partner.
+
+    A place is the hash of a choice of blocks and the bits there; a place above
+    ``hot_place`` members is replaced by its parts under choices of finer blocks.
+    """
+
+    def choices(n: int):
+        return F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("bigint")))
+                         for i, m in enumerate(block_masks(n, max_bits))])
+
+    dealt = classes.select("fp", F.explode(choices(blocks)).alias("place"))
+    hot = dealt.groupBy("place").count().where(F.col("count") > hot_place).select("place", F.lit(True).alias("hot"))
+    seen = dealt.join(hot, "place", "left")
+    finer = seen.where("hot").select("fp", "place", F.explode(choices(blocks + FINER_BLOCKS)).alias("part"))
+    return seen.where("hot IS NULL").select("fp", "place").unionByName(
+        finer.select("fp", F.xxhash64("place", "part").alias("place")))
+
+
+def links(classes: DataFrame, max_bits: int = MAX_BITS, n_classes: int | None = None, hot_place: int = HOT_PLACE) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints that connect all within ``max_bits``.
 
     ``classes`` holds a distinct ``fp``.  Not every pair of a dense cluster is
     emitted, but every pair within ``max_bits`` is connected by emitted links.
     """
     n = classes.count() if n_classes is None else n_classes
-    masks = block_masks(n, max_bits)
-    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("bigint")) for m in masks])
-    dealt = classes.select("fp", F.posexplode(keys).alias("choice", "key")) \
-        .repartition("choice", "key").sortWithinPartitions("choice", "key")
+    dealt = meeting_places(classes, n_blocks(n, max_bits), max_bits, hot_place) \
+        .repartition("place").sortWithinPartitions("place")
     refs = pivots()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(fp, choice, key):
-            new = np.concatenate(([True], (choice[1:] != choice[:-1]) | (key[1:] != key[:-1])))
-            group = np.cumsum(new) - 1
+        def linked(fp, place):
+            group = np.cumsum(np.concatenate(([True], place[1:] != place[:-1]))) - 1
             size = np.bincount(group)[group]
             out = []
             small = (size > 1) & (size <= SMALL_GROUP)
@@ -168,21 +192,26 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, n_classes: int | None =
             b = np.concatenate([x for _, x in out]) if out else np.empty(0, np.uint64)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-        held = None  # the last group of a batch may go on in the next
+        held: list = []  # the last place of a batch may go on in the next
         for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now)]
-            fp, choice, key = now
-            changes = np.flatnonzero((choice[1:] != choice[:-1]) | (key[1:] != key[:-1]))
-            last = changes[-1] + 1 if len(changes) else 0
-            held = [x[last:] for x in now]
-            if last:
-                yield linked(fp[:last].view(np.uint64), choice[:last], key[:last])
-        if held is not None and len(held[0]):
-            yield linked(held[0].view(np.uint64), held[1], held[2])
-
-    return dealt.select("fp", "choice", "key").mapInArrow(meet, "a long, b long")
+            fp, place = (batch.column(i).to_numpy() for i in range(2))
+            if not len(fp):
+                continue
+            changes = np.flatnonzero(place[1:] != place[:-1]) + 1
+            if held and held[-1][1][-1] != place[0]:
+                changes = np.concatenate(([0], changes))
+            if len(changes):
+                held.append((fp[:changes[-1]], place[:changes[-1]]))
+                fps, places = (np.concatenate(x) for x in zip(*held))
+                held = []
+                yield linked(fps.view(np.uint64), places)
+            last = changes[-1] if len(changes) else 0
+            held.append((fp[last:], place[last:]))
+        if held:
+            fps, places = (np.concatenate(x) for x in zip(*held))
+            yield linked(fps.view(np.uint64), places)
+
+    return dealt.select("fp", "place").mapInArrow(meet, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from netpulse.llm.components import connected_components
 from netpulse.llm.exact_dedup import drop_exact_duplicates, exact_duplicates, heavy_groups, misra_gries, text_digests
-from netpulse.llm.simhash import block_masks, drop_near_duplicates, fingerprint, links, near_duplicates
+from netpulse.llm.simhash import block_masks, drop_near_duplicates, fingerprint, links, meeting_places, n_blocks, near_duplicates
 
 
 def exact_brute(texts):
@@ -69,10 +69,36 @@ def test_fingerprint_equals_the_jvm_hash(spark):
     assert fingerprint(text.encode()) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in jvm) > 2)
 
 
+def test_hot_meeting_place_is_dealt_again_and_loses_no_link(spark):
+    rng = np.random.default_rng(5)
+    # one place for all under the first choice: equal low bits; a few of them are near others
+    fps = (rng.integers(0, 1 << 63, 3000, dtype=np.uint64) << np.uint64(13)) | np.uint64(77)
+    near = fps[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
+    fps = np.unique(np.concatenate([fps, near])).view(np.int64)
+    frame = spark.createDataFrame([(int(f),) for f in fps], "fp long")
+    largest = {hot: meeting_places(frame, 5, 4, hot).groupBy("place").count().agg(F.max("count")).first()[0] for hot in (10**6, 100)}
+    assert largest[10**6] >= 3000 and largest[100] < 100
+    u = fps.view(np.uint64)
+    pairs = {(a, b) for i, a in enumerate(u) for b in u[i + 1:][np.bitwise_count(u[i + 1:] ^ a) <= 4]}
+    want = {frozenset(p) for p in pairs}
+    got = {frozenset((r.a % 2**64, r.b % 2**64)) for r in links(frame, 4, 1000, hot_place=100).collect()}
+    assert got <= want and len(want) >= 250
+    root = {int(x): int(x) for x in u}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in got:
+        root[find(a)] = find(b)
+    assert all(find(int(a)) == find(int(b)) for a, b in pairs)
+
+
 def test_block_masks_cover_every_error_pattern():
     rng = random.Random(3)
     for n in (10, 10_000, 10**7, 10**10):
-        masks = [m & (1 << 64) - 1 for m in block_masks(n, 4)]
+        masks = [m & (1 << 64) - 1 for m in block_masks(n_blocks(n, 4), 4)]
         for _ in range(200):
             flips = sum(1 << b for b in rng.sample(range(64), 4))
             assert any(flips & m == 0 for m in masks)
