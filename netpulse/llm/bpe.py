@@ -15,20 +15,63 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Regex
+from tokenizers.pre_tokenizers import Split
 
 from .common import pick
 
 #: The pre-token pattern of byte-level BPE (a fixed value of the format).
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Words held per worker; beyond it the cache starts anew, which costs time only.
+#: Words and their characters held per worker; beyond either the cache starts anew, which costs time only.
 CACHE_WORDS = 250_000
+CACHE_CHARS = 1 << 24
+
+
+@lru_cache(maxsize=1)
+def character_classes() -> tuple[str, str, str]:
+    """Letters and numbers as the tokenizer library knows them, and the characters the pattern matcher here sees otherwise.
+
+    Each is the inside of a character class.  The two hold tables of different Unicode versions.
+    """
+    text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+    def spans(members: np.ndarray) -> str:
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], members.astype(np.int8), [0]))))
+        return "".join(f"\\U{ord(text[lo]):08X}-\\U{ord(text[hi - 1]):08X}" for lo, hi in edges.reshape(-1, 2))
+
+    def marked(found) -> np.ndarray:
+        members = np.zeros(len(text), bool)
+        for lo, hi in found:
+            members[lo:hi] = True
+        return members
+
+    odd, classes = np.zeros(len(text), bool), []
+    for name in (r"[\p{L}]+", r"[\p{N}]+"):
+        theirs = marked(span for _, span in Split(Regex(name), "removed", invert=True).pre_tokenize_str(text))
+        odd |= theirs != marked(m.span() for m in regex.finditer(name, text))
+        classes.append(spans(theirs))
+    return classes[0], classes[1], spans(odd)
+
+
+class Cutter:
+    """The pre-tokens of a text by a pattern over ``\\p{L}`` and ``\\p{N}``, with the library's own classes where they matter."""
+
+    def __init__(self, pattern: str, classes: tuple[str, str, str]):
+        letters, numbers, odd = classes
+        self._plain = regex.compile(pattern).findall
+        self._exact = regex.compile(pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers)).findall
+        self._odd = regex.compile(f"[{odd}]").search if odd else lambda text: None
+
+    def findall(self, text: str) -> list[str]:
+        return self._plain(text) if text.isascii() or not self._odd(text) else self._exact(text)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -119,7 +162,7 @@ def merge_by_pair_index(symbols: np.ndarray, starts: np.ndarray, table: PairTabl
 class ByteBpe:
     """Encoder and decoder of a byte-level BPE tokenizer file (``.json``)."""
 
-    def __init__(self, file: bytes):
+    def __init__(self, file: bytes, classes: tuple[str, str, str] | None = None):
         spec = json.loads(file)
         model, added = spec["model"], spec.get("added_tokens", [])
         pre = spec.get("pre_tokenizer") or {}
@@ -141,7 +184,8 @@ class ByteBpe:
         self.special = {t["content"]: t["id"] for t in added}
         self._cut = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) \
             if self.special else None
-        self._pattern = regex.compile(PATTERN)
+        self._pattern = Cutter(PATTERN, classes or character_classes())
+        self._held = 0
         self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes | None] = {}
 
@@ -196,6 +240,7 @@ class ByteBpe:
         for x, parts in cut.items():
             self._pieces[x] = word(parts[0]) if len(parts) == 1 else b"".join(map(word, parts))
         self._pieces.update(dict.fromkeys(odd))
+        self._held += sum(map(len, fresh)) + sum(map(len, words))
 
     @staticmethod
     def _is_odd(segment: str, odd: set[str]) -> bool:
@@ -212,8 +257,8 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; special strings inside a text become their ids."""
-        if len(self._pieces) > CACHE_WORDS or len(self._words) > CACHE_WORDS:
-            self._pieces, self._words = {}, {}
+        if max(len(self._pieces), len(self._words)) > CACHE_WORDS or self._held > CACHE_CHARS:
+            self.forget()
         self._learn([s for t in texts for s in self._segments(t)])
         out = []
         for t in texts:
@@ -225,8 +270,8 @@ class ByteBpe:
         return out
 
     def forget(self) -> None:
-        """Empty the caches, which count words and not their length."""
-        self._pieces, self._words = {}, {}
+        """Empty the caches."""
+        self._pieces, self._words, self._held = {}, {}, 0
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.id_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -235,12 +280,12 @@ class ByteBpe:
 _LOADED: dict[bytes, ByteBpe] = {}
 
 
-def loaded(file: bytes) -> ByteBpe:
+def loaded(file: bytes, classes: tuple[str, str, str] | None = None) -> ByteBpe:
     """The tokenizer of a file's content, built once per Python worker."""
     key = hashlib.sha256(file).digest()
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = ByteBpe(file)
+        _LOADED[key] = ByteBpe(file, classes)
     return _LOADED[key]
 
 
@@ -270,13 +315,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, text_col: str = "text", id
     their ids.  Null counts as empty and gives no ids; whole texts of any length are
     encoded; repeated rows give repeated results; an empty table an empty result.
     """
-    file = tokenizer_file(tokenizer)
+    file, classes = tokenizer_file(tokenizer), character_classes()
     source = pick(docs, doc_id=id_col, text=text_col)
     schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType),
                            T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = loaded(file)
+        model = loaded(file, classes)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             for lo, hi in portions(texts):

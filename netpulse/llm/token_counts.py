@@ -4,15 +4,15 @@ Pre-tokens not met before are held as one ragged numpy array of symbols.  In eac
 round every sequence finds its own lowest-ranked pair, all sequences merge theirs
 at the same time (every occurrence, from the left), and the array is compacted;
 only pairs beside a merge are ranked anew.  A sequence without a mergeable pair
-leaves, and its surviving symbols are its count.  Counts are held per word in a
-bounded cache.
+leaves, and its surviving symbols are its count.  A sequence of more than
+``LONG_SEQUENCE`` bytes would need a round for nearly every merge; it goes to the
+codec's pair index.  Counts are held per word in a bounded cache.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +20,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers.normalizers import NFC, Lowercase, Sequence
 
-from .bpe import PairTable, byte_alphabet, portions, tokenizer_file
+from .bpe import Cutter, PairTable, byte_alphabet, character_classes, merge_by_pair_index, portions, tokenizer_file
 from .common import pick
 
+#: Words and their characters held per worker; beyond either the cache starts anew, which costs time only.
 CACHE_WORDS = 400_000
+CACHE_CHARS = 1 << 24
+LONG_SEQUENCE = 1 << 12
 #: Separators that Python strips as space but the tokenizer's pattern keeps as symbols.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 WHITE_SPACE = regex.compile(r"[\t-\r\x20\x85\xa0  -     　]+")
@@ -72,7 +76,7 @@ def surviving_symbols(symbols: np.ndarray, sizes: np.ndarray, table: PairTable)
 class WordBpe:
     """Token counter of a lower-casing BPE tokenizer file with word ends (``.json``)."""
 
-    def __init__(self, file: bytes):
+    def __init__(self, file: bytes, classes: tuple[str, str, str] | None = None):
         spec = json.loads(file)
         model, added = spec["model"], spec.get("added_tokens", [])
         steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
@@ -89,8 +93,11 @@ class WordBpe:
         self.inner = np.array([vocab[c] for c in letters], np.int64)
         self.final = np.array([vocab[c + end] for c in letters], np.int64)
         # white space is never part of a token, so the pattern may see one piece at a time
-        self._find = regex.compile(cutter["pattern"]["Regex"].replace(r"\s", WHITE_SPACE.pattern[1:-2])).findall
+        pattern = cutter["pattern"]["Regex"].replace(r"\s", WHITE_SPACE.pattern[1:-2])
+        self._find = Cutter(pattern, classes or character_classes()).findall
+        self._lower = Sequence([NFC(), Lowercase()]).normalize_str  # the library's tables of letters
         self._special = regex.compile("|".join(regex.escape(t["content"]) for t in added)) if added else None
+        self._held = 0
         self._words: dict[str, int] = {}
         self._pieces: dict[str, int] = {}
 
@@ -107,8 +114,8 @@ class WordBpe:
                 if part.isalpha():
                     words.append(part)
                     continue
-            else:  # lower-case each character on its own, whatever stands around it
-                part = "".join([c.lower() for c in unicodedata.normalize("NFC", part)])
+            else:
+                part = self._lower(part)
             words += self._find(part)
         return marks, words
 
@@ -121,7 +128,15 @@ class WordBpe:
             data = np.frombuffer(b"".join(raw), np.uint8)
             symbols, last = self.inner[data], np.cumsum(sizes) - 1
             symbols[last] = self.final[data[last]]
-            self._words.update(zip(new, surviving_symbols(symbols, sizes, self.table).tolist()))
+            long = sizes > LONG_SEQUENCE
+            of_long = np.repeat(long, sizes)
+            left = np.empty(len(new), np.int64)
+            left[~long] = surviving_symbols(symbols[~of_long], sizes[~long], self.table)
+            if long.any():
+                _, left[long] = merge_by_pair_index(symbols[of_long], np.cumsum(sizes[long]) - sizes[long], self.table)
+            self._words.update(zip(new, left.tolist()))
+            self._held += sum(map(len, new))
+        self._held += sum(map(len, cut))
         for x, (marks, words) in cut.items():
             self._pieces[x] = marks + sum([self._words[w] for w in words])
 
@@ -131,8 +146,8 @@ class WordBpe:
 
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text."""
-        if len(self._pieces) > CACHE_WORDS or len(self._words) > CACHE_WORDS:
-            self._pieces, self._words = {}, {}
+        if max(len(self._pieces), len(self._words)) > CACHE_WORDS or self._held > CACHE_CHARS:
+            self._pieces, self._words, self._held = {}, {}, 0
         met: set[str] = set()
         for t in texts:
             met.update(self._split(t))
@@ -144,12 +159,12 @@ class WordBpe:
 _LOADED: dict[bytes, WordBpe] = {}
 
 
-def loaded(file: bytes) -> WordBpe:
+def loaded(file: bytes, classes: tuple[str, str, str] | None = None) -> WordBpe:
     """The counter of a file's content, built once per Python worker."""
     key = hashlib.sha256(file).digest()
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = WordBpe(file)
+        _LOADED[key] = WordBpe(file, classes)
     return _LOADED[key]
 
 
@@ -162,13 +177,13 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, text_col: s
     tokens.  Whole texts of any length are counted; repeated rows give repeated
     results; an empty table gives an empty result.
     """
-    file = tokenizer_file(tokenizer)
+    file, classes = tokenizer_file(tokenizer), character_classes()
     source = pick(docs, doc_id=id_col, text=text_col)
     schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = loaded(file)
+        model = loaded(file, classes)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             for lo, hi in portions(texts):

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from netpulse.llm import token_counts
+from netpulse.llm import bpe, token_counts
 from netpulse.llm.bpe import ByteBpe, encode_documents, tokenizer_file
 from netpulse.llm.packing import best_fit_plan, encoder, pack_documents
 from netpulse.llm.queries import op3_bpe_codec
@@ -43,6 +44,41 @@ def test_counter_equals_the_library(texts):
     assert WORD_OWN.count(texts) == [len(WORD_LIB.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_every_code_point_equals_the_library():
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    texts = ["".join(f"x{chr(c)}W 1{chr(c)}2 {chr(c)}'s" for c in points[lo:lo + 4000]) for lo in range(0, len(points), 4000)]
+    for lo in range(0, len(texts), 40):
+        part = texts[lo:lo + 40]
+        want = BYTE_LIB.encode_batch(part, add_special_tokens=False)
+        assert all(np.frombuffer(ids, "<u4").tolist() == w.ids for ids, w in zip(BYTE_OWN.encode(part), want))
+        assert WORD_OWN.count(part) == [len(w.ids) for w in WORD_LIB.encode_batch(part, add_special_tokens=False)]
+
+
+def test_characters_that_unicode_versions_see_differently():
+    texts = ["\ua7dcW", "\ua7cb", "\U00018f08\u8067", "a\U0003d000b 1\U000191bf2", "\U0003d000"]
+    assert WORD_OWN.count(texts) == [len(WORD_LIB.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in BYTE_OWN.encode(texts)] == [ids_of(t) for t in texts]
+
+
+def test_an_unbroken_run_of_a_million_letters():
+    text = "".join(random.Random(4).choices("etaoinshrdlu", k=1 << 20))
+    began = time.monotonic()
+    assert WORD_OWN.count([text, "b" + text[:5000]]) == [len(e.ids) for e in WORD_LIB.encode_batch([text, "b" + text[:5000]])]
+    assert np.frombuffer(BYTE_OWN.encode([text])[0], "<u4").tolist() == ids_of(text)
+    assert time.monotonic() - began < 60
+
+
+def test_caches_are_bounded_in_characters(monkeypatch):
+    own, codec = WordBpe(tokenizer_file(WORD)), ByteBpe(tokenizer_file(BYTE))
+    monkeypatch.setattr(token_counts, "CACHE_CHARS", 100)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 100)
+    for i in range(20):
+        t = f"{'abc' * 20}{i} word"
+        assert own.count([t]) == [len(WORD_LIB.encode(t).ids)]
+        assert np.frombuffer(codec.encode([t])[0], "<u4").tolist() == ids_of(t)
+        assert own._held < 300 and codec._held < 300
+
+
 def test_compiled_encoder_of_packing_equals_the_library():
     e = encoder(tokenizer_file(BYTE))
     for t in ODD_TEXTS:
