@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 
+#: Rows per bitmap, 4 KB of a bit each (a fixed value of the bitmap functions), and bitmaps that may be broadcast: 64 MB.
+MARK_ROWS = 1 << 15
+BROADCAST_MARKS = (64 << 20) // (MARK_ROWS // 8)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
@@ -57,21 +61,33 @@ def keep_rows(docs: DataFrame, decide: Callable[[DataFrame, str], DataFrame]) ->
 
     ``decide`` takes the rows with their key in a further column, and that column's
     name; it returns the keys that stay, in a single column.  The key of a table's row
-    is its place, file and index; the rows of any other frame are numbered and written
-    first.  So decisions and rows share the keys whatever is computed anew, and neither
+    is its place, file and index; the rows of any other frame are written first.
+    So decisions and rows share the keys whatever is computed anew, and neither
     repeated nor null ids bring another row back.
+
+    The keys that stay become bitmaps, one per file and ``MARK_ROWS`` rows, written
+    once.  Up to ``BROADCAST_MARKS`` of them, a bit per row, are broadcast, and the rows
+    with their texts cross no shuffle; beyond, rows and bitmaps are joined by a shuffle.
     """
     key = "__row"
     while key in map(str.lower, docs.columns):
         key += "_"
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    if _is_file_scan(docs):
-        rows = docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index")).toDF(*names, key)
-    else:
-        rows = written(docs.toDF(*names).withColumn(key, F.monotonically_increasing_id()), "rows")
-    wanted = decide(rows.toDF(*docs.columns, key), key).toDF("__wanted")
-    kept = rows.join(wanted, F.col(key) == F.col("__wanted"), "left_semi")
-    return kept.drop(key).toDF(*docs.columns)
+    stored = docs if _is_file_scan(docs) else written(docs.toDF(*names), "rows")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")]
+    rows = stored.select("*", F.struct(*place)).toDF(*docs.columns, key)
+    # a row's number within its file, from 1 as the bitmap functions count
+    kept = decide(rows, key).toDF("kept").select("kept.file", (F.col("kept.at") + 1).alias("number"))
+    marks = written(kept.groupBy("file", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("marks")), "marks")
+    if marks.count() <= BROADCAST_MARKS:
+        marks = F.broadcast(marks)
+    number = (F.col("_metadata.row_index") + 1).alias("number")
+    found = stored.select("*", place[0], number).toDF(*names, "file", "number") \
+        .withColumn("bucket", F.bitmap_bucket_number("number")).join(marks, ["file", "bucket"])
+    byte = F.conv(F.hex(F.expr("substring(marks, cast(bitmap_bit_position(number) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return found.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(number) % 8 as int))")) != 0) \
+        .select(*names).toDF(*docs.columns)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

@@ -9,7 +9,7 @@ from helpers_llm import ODD_TEXTS, WORD, documents, rule_counts
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from netpulse.llm import quality, rules
+from netpulse.llm import common, quality, rules
 from netpulse.llm.common import _is_file_scan, pick, read_table
 from netpulse.llm.exact_dedup import drop_exact_duplicates
 from netpulse.llm.quality import MAX_TRAINING_ROWS, classify_quality, drop_low_quality, fit_logistic
@@ -321,3 +321,25 @@ def test_filters_of_rows_without_any_id(spark, tmp_path, stored):
         got = drop(docs)
         assert got.columns == docs.columns
         assert sorted(r.text.lower() for r in got.collect()) == ["another one", "same text"]
+
+
+@pytest.mark.parametrize("marks", [0, 1 << 14])
+def test_verdicts_reach_their_rows_by_bitmaps(spark, tmp_path, monkeypatch, marks):
+    """Several files, a file of more rows than a bitmap holds, and files of which no row or every row stays."""
+    monkeypatch.setattr(common, "BROADCAST_MARKS", marks)
+    n, path = 2 * common.MARK_ROWS + 777, str(tmp_path / "docs")
+    for part, (lo, size) in enumerate([(0, n), (n, 50), (n + 50, 60), (n + 110, 1)]):
+        spark.range(lo, lo + size, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")) \
+            .write.mode("append" if part else "overwrite").parquet(path)
+    docs = spark.read.parquet(path)
+    stays = F.expr(f"doc_id < {n} AND doc_id % 3 = 0 OR doc_id IN (7, 32766, 32767, 32768, {n - 2}) OR doc_id BETWEEN {n + 50} AND {n + 109}")
+    width = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        kept = common.keep_rows(docs, lambda rows, key: rows.where(stays).select(key))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", width)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.where(stays).collect()))
+    assert ("Exchange hashpartitioning" in plan) == (marks == 0), plan
+    assert common.keep_rows(docs, lambda rows, key: rows.limit(0).select(key)).count() == 0
