@@ -25,6 +25,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # batches to Python are bounded in bytes too: 10,000 long rows would not fit
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # keyed stream state (one entry per source) lives off-heap in RocksDB
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
