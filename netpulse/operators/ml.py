@@ -61,7 +61,8 @@ def regression_pipeline(prev_col: str = "prev_unq_dst_ip", label: str = "unq_dst
 
     ``key_encoding="onehot"`` (the reference's model) gives one feature per
     source (unseen sources: all zeros); the trees bin every row over all of
-    them, so the cost grows with the number of sources.  ``"index"`` passes the
+    them, so the cost grows with the number of sources unless ``bound_key_index``
+    bounds them.  ``"index"`` passes the
     frequency index as one numeric feature - for millions of sources.
     """
     assembler_in = [prev_col, *NUMERIC_FEATURES]
@@ -110,6 +111,19 @@ def fit_key_index(df: DataFrame, key: str = "src_ip") -> DataFrame:
     return index_by_frequency(df, key, "ip_num").select(key, "ip_num")
 
 
+def bound_key_index(index: DataFrame, max_keys: int | None) -> tuple[DataFrame, int]:
+    """The index and its number of places, cut to the ``max_keys`` most frequent keys.
+
+    The keys beyond, like unseen ones, share place ``max_keys`` in ``encode_key``: no
+    row is lost, and the look-up table, the one-hot width and the statistics of a
+    tree's node are bounded by ``max_keys + 1`` however many sources there are.
+    """
+    n_keys = index.count()
+    if max_keys is None or n_keys <= max_keys:
+        return index, n_keys
+    return index.where(F.col("ip_num") < max_keys), max_keys
+
+
 def encode_key(df: DataFrame, index: DataFrame, n_keys: int, key: str = "src_ip") -> DataFrame:
     """Attach ``ip_num`` (a double, as MLlib encoders expect); unseen keys get ``n_keys``."""
     from .joins import bounded_broadcast
@@ -125,7 +139,9 @@ def complete_feature_rows(logs_with_lag: DataFrame, prev_col: str = "prev_unq_ds
 
 
 def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None, seed: int = 42,
-                    max_iter: int = 20, key_encoding: str = "onehot") -> tuple[KeyedRegressionModel, DataFrame]:
+                    max_iter: int = 20, key_encoding: str = "onehot",
+                    max_keys: int | None = None) -> tuple[KeyedRegressionModel, DataFrame]:
+    """Model and predictions of the rows from ``cutoff`` on; one-hot keys beyond the ``max_keys`` most frequent share a feature."""
     # every estimator stage and boosting round re-reads the features: write the
     # model's columns once, as they leave the lag window, instead of recomputing it
     spark = logs.sparkSession
@@ -135,8 +151,8 @@ def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None,
     lagged.select(*[c for c in used if c in lagged.columns]).write.parquet(path)
     feats = spark.read.parquet(path)
     train, test = time_split(feats, cutoff)
-    index = fit_key_index(train)  # checkpointed by the dense numbering
-    n_keys = index.count()
+    # checkpointed by the dense numbering
+    index, n_keys = bound_key_index(fit_key_index(train), max_keys if key_encoding == "onehot" else None)
     pipeline = regression_pipeline(seed=seed, max_iter=max_iter, key_encoding=key_encoding) \
         .fit(encode_key(train, index, n_keys))
     model = KeyedRegressionModel(index, n_keys, pipeline)

@@ -11,7 +11,7 @@ import math
 from ..operators.forecast import MEAN_ROUNDING, ORIGIN_HOUR, ROUNDING
 from ..schema import METRICS
 from .queries import (CUTOFF, HORIZON, LONG_HORIZON, MALFORMED_EVERY, NEW_TRAINING_DATE, OLD_TRAINING_DATE, RANGE_END,
-                      RANGE_START, SALT, SPLIT_CUTOFF, TAIL_N)
+                      MAX_ONEHOT_KEYS, RANGE_START, SALT, SPLIT_CUTOFF, TAIL_N)
 
 Z95 = "1.959963984540054"
 
@@ -222,6 +222,7 @@ SELECT CASE WHEN event_id % {MALFORMED_EVERY} = 0 THEN NULL ELSE src_ip END AS s
 FROM logs GROUP BY 1""",
     "csv_typed_roundtrip": _with(LOGS) + TYPED_SECONDS,
     "rows_to_json": _with(LOGS) + TYPED_SECONDS,
+    "json_documents": _with(LOGS) + TYPED_SECONDS,
     "series_range": _with(LOGS, LONG) + f"""
 SELECT ip, data_type, ds, value FROM series
 WHERE data_type = 'unq_dst_ip' AND ds BETWEEN TIMESTAMP '{RANGE_START}' AND TIMESTAMP '{RANGE_END}'""",
@@ -291,6 +292,11 @@ FROM fc WHERE y IS NOT NULL AND greatest(y - yhat_upper, yhat_lower - y) > 1e-9
     "encoded_features": _with(LOGS) + """
 , idx AS (SELECT src_ip, CAST(row_number() OVER (ORDER BY count(*) DESC, src_ip) - 1 AS DOUBLE) AS ip_num FROM logs GROUP BY src_ip),
 lagged AS (SELECT *, lag(unq_dst_ip) OVER (PARTITION BY src_ip ORDER BY "timestamp", event_id) AS prev_unq_dst_ip FROM logs)
+SELECT event_id, src_ip, ip_num, prev_unq_dst_ip FROM lagged JOIN idx USING (src_ip) WHERE prev_unq_dst_ip IS NOT NULL""",
+    "encoded_features_bounded": _with(LOGS) + f"""
+, idx AS (SELECT src_ip, CAST(least(row_number() OVER (ORDER BY count(*) DESC, src_ip) - 1, {MAX_ONEHOT_KEYS}) AS DOUBLE) AS ip_num
+          FROM logs GROUP BY src_ip),
+lagged AS (SELECT *, lag(unq_dst_ip) OVER (PARTITION BY src_ip ORDER BY "timestamp", event_id) AS prev_unq_dst_ip FROM logs)
 SELECT event_id, src_ip, ip_num, prev_unq_dst_ip FROM lagged JOIN idx USING (src_ip) WHERE prev_unq_dst_ip IS NOT NULL""",
     "trend_fit": _with(LOGS, _train(), _trend()) + "SELECT * FROM params",
     "seasonal_index": _with(LOGS, _train()) + """

@@ -25,7 +25,7 @@ from ..schema import FORECAST_SCHEMA, LOG_SCHEMA, LOG_STREAM_SCHEMA, METRICS, TI
 from ..session import configure, scratch_path
 from ..sinks import files as sinks
 from ..sinks import history, keyed
-from ..sources.files import read_json_lines, read_typed_csv
+from ..sources.files import read_json_documents, read_json_lines, read_typed_csv
 from ..sources.series import range_scan, write_series
 from ..sources.stream import RECORD_SCHEMA, read_log_stream
 from ..sources.tables import (customer_allowlist, customer_registry, logs_from_events, payload_from_logs, read_logs,
@@ -39,6 +39,7 @@ CUTOFF = "2024-01-20 00:00:00"          # old / new boundary (merge, dump, reten
 OLD_TRAINING_DATE = "2024-01-20"
 NEW_TRAINING_DATE = "2024-01-31"
 SPLIT_CUTOFF = "2024-01-23 00:00:00"    # train / test boundary of the regression
+MAX_ONEHOT_KEYS = 32                    # keys with a place of their own in the bounded encoding
 RANGE_START, RANGE_END = "2024-01-05 00:00:00", "2024-01-25 00:00:00"
 SALT = "netpulse"
 MALFORMED_EVERY = 50
@@ -105,6 +106,13 @@ def q_csv_typed_roundtrip(spark, sf_dir):
     return read_typed_csv(spark, path, schema).select(*LOG_COLS)
 
 
+def q_json_documents(spark, sf_dir):
+    """Typed logs as pretty-printed documents over many lines, read back."""
+    schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("event_id", T.LongType())])
+    path = sinks.write_json_documents(_logs(spark, sf_dir).select(*schema.fieldNames()), scratch_path(spark, "documents"))
+    return read_json_documents(spark, path, schema).select(*LOG_COLS)
+
+
 def q_rows_to_json(spark, sf_dir):
     logs = _logs(spark, sf_dir)
     wire = decode_payload(payload_from_logs(logs))  # key + string fields
@@ -478,6 +486,14 @@ def q_encoded_features(spark, sf_dir):
     return rows.select("event_id", "src_ip", "ip_num", "prev_unq_dst_ip")
 
 
+def q_encoded_features_bounded(spark, sf_dir):
+    """As ``encoded_features``, with places for the most frequent keys only; all others share the next one."""
+    lagged = ml.add_lag_feature(_logs(spark, sf_dir))
+    index, n_keys = ml.bound_key_index(ml.fit_key_index(lagged), MAX_ONEHOT_KEYS)
+    rows = ml.encode_key(ml.complete_feature_rows(lagged), index, n_keys)
+    return rows.select("event_id", "src_ip", "ip_num", "prev_unq_dst_ip")
+
+
 def q_stable_split(spark, sf_dir):
     return _logs(spark, sf_dir).select("event_id", ml.split_label("timestamp", SPLIT_CUTOFF).alias("split"))
 

@@ -3,6 +3,9 @@ it reads from."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,30 @@ def rows_to_json(df: DataFrame, path: str, ts_format: str = TIMESTAMP_FORMAT) ->
     return path
 
 
+def write_json_documents(df: DataFrame, path: str, docs_per_file: int = 50_000, ts_format: str = TIMESTAMP_FORMAT) -> str:
+    """Each row as one pretty-printed JSON document, about ``docs_per_file`` of them in the array that makes up a file.
+
+    A file of many-line JSON is read by one task, so the rows are dealt evenly over as
+    many files as that bound asks for, whatever keys they hold.
+    """
+    files = max(1, -(-df.count() // docs_per_file))
+    pretty = {"pretty": "true", "timestampFormat": ts_format, "timestampNTZFormat": ts_format, "ignoreNullFields": "false"}
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "[\n"
+        for b in batches:
+            docs = []
+            for doc in b.column(0).to_pylist():
+                docs.append(lead + doc)
+                lead = ","
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead != "," else "]"])], names=["value"])
+
+    docs = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), pretty).alias("value"))
+    docs.repartition(files).mapInArrow(bracketed, "value string").write.mode("errorifexists").text(path)
+    return path
+
+
 def json_records(df: DataFrame, key: str | None = None) -> DataFrame:
     """``(key, value)`` records: the row as a JSON object (topic payload)."""
     value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))

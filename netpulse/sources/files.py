@@ -21,9 +21,10 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType = LOG_SC
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType,
-                        multiline: bool = True) -> DataFrame:
-    """One JSON document per file; documents may be pretty-printed over many lines."""
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+                        multiline: bool = True, ts_format: str = TIMESTAMP_FORMAT) -> DataFrame:
+    """One JSON document, or an array of them, per file; documents may be pretty-printed over many lines."""
+    return (spark.read.schema(schema).option("multiLine", multiline).option("timestampFormat", ts_format)
+            .option("timestampNTZFormat", ts_format).json(path))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType,

@@ -12,6 +12,7 @@ from netpulse.functions.payload import decode_payload, tolerant_number
 from netpulse.operators import ml
 from netpulse.schema import LOG_STREAM_SCHEMA
 from netpulse.session import scratch_path
+from netpulse.sinks import files as sinks
 from netpulse.sources.files import read_json_documents, read_typed_csv
 from netpulse.sources.stream import read_log_stream
 from netpulse.sources.tables import payload_from_logs, read_logs
@@ -247,3 +248,39 @@ def test_lag_deals_raw_rows_once(spark):
     below = [lines[i + 1] for i, ln in enumerate(lines) if ln.startswith("Exchange hashpartitioning")]
     raw = [ln for ln in below if "Aggregate" not in ln and "_prev" not in ln and "_last" not in ln]
     assert len(raw) == 1, below
+
+
+def test_json_documents_are_pretty_arrays_of_bounded_size(spark):
+    rows = read_logs(spark, SF_SMALL).select("src_ip", F.date_trunc("second", "timestamp").cast("timestamp_ntz").alias("timestamp"),
+                                             "unq_dst_ip", "event_id") \
+        .withColumn("src_ip", F.when(F.col("event_id") % 5 != 0, F.concat("src_ip", F.lit('"\n[ü,'))))
+    for df in (rows, rows.limit(0)):
+        path = sinks.write_json_documents(df, scratch_path(spark, "docs"), docs_per_file=100)
+        files = [f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]
+        assert len(files) == max(1, -(-df.count() // 100))
+        for f in files:
+            with open(f"{path.replace('file:', '')}/{f}") as text:
+                assert 0 <= len(json.load(text)) <= 120
+        back = read_json_documents(spark, path, rows.schema)
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+
+def test_bounded_keys_share_a_place_and_lose_no_row(spark, tmp_path):
+    logs = read_logs(spark, SF_SMALL)
+    train, test = ml.time_split(ml.add_lag_feature(logs), "2024-01-23 00:00:00")
+    index = ml.fit_key_index(train)
+    n = index.count()
+    assert n > 5 and ml.bound_key_index(index, n)[1] == ml.bound_key_index(index, None)[1] == n
+    cut, places = ml.bound_key_index(index, 5)
+    full = {r.event_id: r.ip_num for r in ml.encode_key(test, index, n).collect()}
+    ours = {r.event_id: r.ip_num for r in ml.encode_key(test, cut, places).collect()}
+    assert places == 5 == cut.count() and ours == {e: min(x, 5) for e, x in full.items()}
+    path = f"file:{tmp_path}/model"
+    model, pred = ml.fit_and_predict(logs, "2024-01-23 00:00:00", model_path=path, max_iter=3, max_keys=5)
+    assert pred.select("features").first().features.size == 6 + 1 + len(ml.NUMERIC_FEATURES)
+    assert pred.count() == test.dropna(subset=["prev_unq_dst_ip", *ml.NUMERIC_FEATURES]).count()
+    again = {r.event_id: r.prediction for r in ml.KeyedRegressionModel.load(spark, path).transform(test).collect()}
+    assert again == {r.event_id: r.prediction for r in pred.collect()}
+    # keys that share the place and agree in all other features have equal predictions
+    alike = pred.where("ip_num = 5").groupBy("features").agg(F.countDistinct("prediction").alias("n"))
+    assert alike.where("n > 1").count() == 0
