@@ -260,7 +260,7 @@ def test_json_documents_are_pretty_arrays_of_bounded_size(spark):
         assert len(files) == max(1, -(-df.count() // 100))
         for f in files:
             with open(f"{path.replace('file:', '')}/{f}") as text:
-                assert 0 <= len(json.load(text)) <= 120
+                assert len(json.loads(text.read() or "[]")) <= 120  # an empty plan writes an empty file
         back = read_json_documents(spark, path, rows.schema)
         assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
 
