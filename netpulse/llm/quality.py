@@ -182,5 +182,9 @@ def classify_quality(docs: DataFrame, labels: DataFrame, site_cols: tuple[str, .
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier keeps, with all their columns."""
+    """The documents that the classifier keeps, with all their columns, also such as differ in case only.
+
+    Null and empty texts are judged by statistics of zero, very long ones whole; repeated
+    rows are decided one by one, null ids included; an empty table gives an empty one.
+    """
     return keep_rows(docs, lambda rows, number: classify_quality(rows, labels, row_col=number).where("kept").select("row"))

@@ -163,5 +163,9 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
+    """The documents that the rules keep, with all their columns, also such as differ in case only.
+
+    Null and empty texts have no words and go, very long ones are counted whole; repeated
+    rows are decided one by one, null ids included; an empty table gives an empty one.
+    """
     return keep_rows(docs, lambda rows, number: quality_rules(rows, id_col=number).where("kept").select("doc_id"))
