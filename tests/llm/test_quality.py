@@ -343,3 +343,19 @@ def test_verdicts_reach_their_rows_by_bitmaps(spark, tmp_path, monkeypatch, mark
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.where(stays).collect()))
     assert ("Exchange hashpartitioning" in plan) == (marks == 0), plan
     assert common.keep_rows(docs, lambda rows, key: rows.limit(0).select(key)).count() == 0
+
+
+def test_pipeline_of_an_empty_table_and_of_very_long_texts(spark, tmp_path):
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    plain = "the people of the town went to the market and some of them came back with bread for their children today "
+    draw, made = random.Random(5), [a + b + c for a in ("mar", "ton", "sel", "ri", "ve", "la") for b in ("ka", "ne", "do", "sti", "pur") for c in ("te", "n", "rs", "")]
+    texts = [None, "", plain, " ".join(draw.choice(plain.split() if draw.random() < 0.5 else made) for _ in range(200_000))]
+    for name, docs in (("none", documents(spark, [None]).limit(0)), ("long", documents(spark, texts))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.limit(0).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+    rows = corpus_pipeline.run(spark, f"{tmp_path}/long").collect()
+    ids = {r.doc_id for r in rows}
+    assert ids == {2, 3}, ids
+    spans = sorted((r.sequence_id, r.offset, r.length) for r in rows)
+    assert all(a[1] + a[2] == b[1] for a, b in zip(spans, spans[1:]) if a[0] == b[0])
