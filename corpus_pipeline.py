@@ -3,6 +3,10 @@
 Stages, each over all that its predecessor kept and written before the next one:
 the quality classifier and the quality rules drop the documents they reject,
 exact and near duplicates keep one document of each group, and the rest is packed.
+
+Every stage reads whole texts of any length, takes a null text as an empty one, decides repeated
+rows and rows with null ids one by one and turns an empty table into an empty one; all but the
+last pass further columns on, whatever their names.
 """
 
 from __future__ import annotations
