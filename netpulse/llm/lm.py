@@ -1,12 +1,18 @@
 """Stupid-backoff scores from n-gram count tables that are partitioned by hash.
 
 Documents are gathered once into blocks of word ids, written as a table.  Every block
-explodes into its distinct n-grams, a row each with the count inside the block, so an
-n-gram that occurs everywhere crosses the shuffle once per block and not once per use.
-The rows are dealt by hash; the sum per hash is the count table, and it is joined back
-to the n-gram rows.  An n-gram that no other block holds needs no answer, its own count
-is the total; the others return to their block, which scores each word and sums the
-logarithms per document.
+finds its distinct n-grams with their counts inside the block, so an n-gram that occurs
+everywhere crosses the shuffle once per block and not once per use.  They are dealt by
+hash; the sum per hash is the count table, and it answers each block how often its
+n-grams occur elsewhere.  The block then scores each word and sums the logarithms per
+document.  Two forms of this exchange give the same counts:
+
+* ``"arrays"``: a row holds the n-grams that a block has in one range of hashes, sorted,
+  as differences, and the answer is an array in the same order: some 6 bytes an n-gram.
+  Orders from three on wait for the answers to the shorter ones: an n-gram with a part
+  that no other block holds occurs in no other block and does not travel.
+* ``"rows"``: a row per n-gram, summed by ``groupBy`` and joined back: some 12 bytes
+  an n-gram, and as many again for each one that several blocks share.
 
 N-grams are told apart by 64-bit hashes of their words.
 """
@@ -32,9 +38,11 @@ ORDER = 3
 BACKOFF = 0.4
 #: An n-gram of two words or more counts as seen from so many occurrences in the corpus.
 MIN_COUNT = 1
-#: Words per block (a longer document is a block of its own) and n-gram rows per hash partition, about.
+#: Words per block (a longer document is a block of its own) and n-grams per hash partition or range, about.
 BLOCK_WORDS = 1 << 21
 PART_NGRAMS = 1 << 21
+#: Words of a full block per row of arrays, at least about: so many times fewer rows than n-grams.
+ROW_NGRAMS = 256
 ROWS_PER_BATCH = 1 << 16
 SEED = 42
 
@@ -52,6 +60,15 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, -1).T).view(dtype).ravel()
 
 
+def pack_sorted(a: np.ndarray) -> bytes:
+    """Sorted unsigned 64-bit numbers as their differences."""
+    return pack(np.diff(a, prepend=np.uint64(0)))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
+
+
 def ngram_hashes(words: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the n-grams that lie inside a document, and the positions of their first words."""
     if order > 1:
@@ -146,6 +163,105 @@ def counts_elsewhere(ngrams: DataFrame, parts: int) -> DataFrame:
     return dealt.join(shared.hint("shuffle_hash"), "hash").select("block", "hash", (F.col("total") - F.col("own")).alias("others"))
 
 
+def hash_ranges(n_words: int, block_words: int, part_ngrams: int, row_ngrams: int, width: int) -> int:
+    """Leading bits of a hash that name its range: ``part_ngrams`` n-grams of an order a range, but no rows too small.
+
+    The rows, one per order, block and range, are at most one per ``row_ngrams`` n-grams of
+    full blocks, so they grow no faster than the corpus; beyond that the ranges get longer.
+    """
+    wanted = max(n_words // part_ngrams, width // 2).bit_length()
+    return min(wanted, max(block_words // row_ngrams, 1).bit_length() - 1)
+
+
+def block_counts(flat: np.ndarray, lengths: np.ndarray, order: int, answers: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each order: sorted hashes, own counts, which of them ask the other blocks, and the corpus count at each position.
+
+    An n-gram of three words or more asks only if other blocks hold both shorter ones in
+    it: where they do not, it occurs nowhere else.  ``answers`` has for each order the
+    counts elsewhere of those that ask; the first order without gets no corpus counts.
+    """
+    shared = np.zeros(0, bool)
+    for n in range(1, order + 1):
+        hashes, at = ngram_hashes(flat, lengths, n)
+        found, entry, own = np.unique(hashes, return_inverse=True, return_counts=True)
+        asks = np.ones(len(found), bool)
+        if n > 2:
+            asks[entry] = shared[at] & shared[at + 1]  # the same at every place of an n-gram
+        if n > len(answers):
+            yield found, own, asks, None
+            return
+        others = np.zeros(len(found), np.int64)
+        others[asks] = answers[n - 1]
+        shared = np.zeros(len(flat), bool)
+        shared[at] = others[entry] > 0
+        seen = np.zeros(len(flat))
+        seen[at] = (own + others)[entry]
+        yield found, own, asks, seen
+
+
+ASKED = pa.schema([("n", pa.int32()), ("range", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("own", pa.binary())])
+
+
+def _asked(block: int, n: int, found: np.ndarray, own: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Distinct n-grams of a block, a row per range of hashes (their top ``bits``)."""
+    part = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(cuts[1:], len(part))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(cuts), n, np.int32)), pa.array(part[cuts]), pa.array(np.full(len(cuts), block, np.int64)),
+         pa.array([pack_sorted(found[lo:hi]) for lo, hi in zip(cuts, ends)], pa.binary()),
+         pa.array([pack(own[lo:hi].astype(np.uint64)) for lo, hi in zip(cuts, ends)], pa.binary())], schema=ASKED)
+
+
+def ngram_arrays(placed: DataFrame, order: int, bits: int) -> DataFrame:
+    """``(n, range, block, hashes, own)``: all distinct n-grams of a block in a range of hashes, sorted, and their counts there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, block in enumerate(b.column("block").to_pylist()):
+                flat, lengths = _open(b, row)
+                for n in range(1, order + 1):
+                    found, own = np.unique(ngram_hashes(flat, lengths, n)[0], return_counts=True)
+                    yield _asked(block, n, found, own, bits)
+
+    return placed.mapInArrow(run, "n int, range long, block long, hashes binary, own binary")
+
+
+def longer_arrays(placed: DataFrame, replies: DataFrame, n: int, bits: int) -> DataFrame:
+    """The same of the n-grams of one order that other blocks may hold, by the ``replies`` to all shorter ones."""
+
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        *_, (found, own, asks, _) = block_counts(*_open(block), n, _by_order(answers, n - 1))
+        return pa.Table.from_batches([_asked(block.column("block")[0].as_py(), n, found[asks], own[asks], bits)])
+
+    return placed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        run, "n int, range long, block long, hashes binary, own binary")
+
+
+def arrays_elsewhere(arrays: DataFrame) -> DataFrame:
+    """``(block, n, range, others)``: how often each n-gram of a row of ``arrays`` occurs in all other blocks, in its order."""
+
+    def count_range(rows: pa.Table) -> pa.Table:
+        asked = [unpack_sorted(h) for h in rows.column("hashes").to_pylist()]
+        own = np.concatenate([unpack(c, np.uint64) for c in rows.column("own").to_pylist()])
+        _, entry = np.unique(np.concatenate(asked), return_inverse=True)
+        others = np.bincount(entry, weights=own).astype(np.uint64)[entry] - own
+        ends = np.cumsum([len(a) for a in asked])
+        return pa.table({"block": rows.column("block"), "n": rows.column("n"), "range": rows.column("range"),
+                         "others": pa.array([pack(others[hi - len(a):hi]) for a, hi in zip(asked, ends)], pa.binary())})
+
+    return arrays.groupBy("n", "range").applyInArrow(count_range, "block long, n int, range long, others binary")
+
+
+def _by_order(replies: pa.Table, order: int) -> list[np.ndarray]:
+    """The answers that came back to a block, per order in the order of the hashes."""
+    replies = replies.sort_by([("n", "ascending"), ("range", "ascending")])
+    parts: list[list[np.ndarray]] = [[np.empty(0, np.uint64)] for _ in range(order)]
+    for n, data in zip(replies.column("n").to_pylist(), replies.column("others").to_pylist()):
+        parts[n - 1].append(unpack(data, np.uint64))
+    return [np.concatenate(p).astype(np.int64) for p in parts]
+
+
 def counts_by_position(flat: np.ndarray, lengths: np.ndarray, order: int, hashes: np.ndarray,
                        others: np.ndarray) -> list[np.ndarray]:
     """For each order, the corpus count of the n-gram that starts at each position; 0 where none does."""
@@ -179,7 +295,7 @@ def backoff_scores(levels: list[np.ndarray], lengths: np.ndarray, n_corpus: int,
 
 def stupid_backoff(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", order: int = ORDER,
                    backoff: float = BACKOFF, min_count: int = MIN_COUNT, block_words: int = BLOCK_WORDS,
-                   part_ngrams: int = PART_NGRAMS) -> DataFrame:
+                   part_ngrams: int = PART_NGRAMS, exchange: str = "arrays", row_ngrams: int = ROW_NGRAMS) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_backed_off, log_score``.
 
     Words are the runs between ASCII white space, A-Z lower-cased.  Counts come from
@@ -190,20 +306,33 @@ def stupid_backoff(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     null without words; ``n_backed_off`` counts the words that gave up some context
     that was there (none at a ``min_count`` of 1, as the documents are the corpus).
     Null counts as empty.  Repeated rows count as often as they occur; an empty table
-    gives an empty result.
+    gives an empty result.  ``exchange`` is the form in which n-grams meet, see above.
     """
+    if exchange not in ("arrays", "rows"):
+        raise ValueError(f"unknown exchange {exchange!r}")
     source = pick(docs, doc_id=id_col, text=text_col)
     placed = written(blocks(source, block_words), "blocks")
     n_corpus = placed.agg(F.sum("n_words")).first()[0] or 0
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    others = counts_elsewhere(ngram_rows(placed, order), max(n_corpus * order // part_ngrams, width))
+    if exchange == "rows":
+        others = counts_elsewhere(ngram_rows(placed, order), max(n_corpus * order // part_ngrams, width))
+    else:
+        bits = hash_ranges(n_corpus, block_words, part_ngrams, row_ngrams, width)
+        others = arrays_elsewhere(ngram_arrays(placed, min(order, 2), bits))
+        placed = placed.repartition("block")  # dealt once for all steps that need the blocks again
+        for n in range(3, order + 1):  # each order asks by the answers to the shorter ones
+            others = written(others, "answers")
+            others = others.unionByName(arrays_elsewhere(longer_arrays(placed, others, n, bits)))
     schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()),
                            T.StructField("n_backed_off", T.LongType()), T.StructField("log_score", T.DoubleType())])
 
     def score(block: pa.Table, replies: pa.Table) -> pa.Table:
         flat, lengths = _open(block)
-        levels = counts_by_position(flat, lengths, order, replies.column("hash").to_numpy().view(np.uint64),
-                                    replies.column("others").to_numpy())
+        if exchange == "rows":
+            levels = counts_by_position(flat, lengths, order, replies.column("hash").to_numpy().view(np.uint64),
+                                        replies.column("others").to_numpy())
+        else:
+            levels = [seen for _, _, _, seen in block_counts(flat, lengths, order, _by_order(replies, order))]
         log_s, context = backoff_scores(levels, lengths, n_corpus, backoff, min_count)
         starts = np.cumsum(lengths) - lengths
         place = np.arange(len(flat)) - np.repeat(starts, lengths)

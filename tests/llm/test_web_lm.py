@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -184,6 +185,45 @@ def test_scores_of_empty_repeated_and_null_rows(spark):
     assert [(r.n_words, r.log_score) for r in only_empty] == [(0, None)] * 3
 
 
+@pytest.mark.parametrize("exchange,order,block_words,part_ngrams,row_ngrams", [
+    ("rows", 3, 40, 16, 1), ("arrays", 3, 40, 16, 1), ("arrays", 4, 7, 64, 2), ("arrays", 2, 40, 1, 1)])
+def test_both_exchanges_match_brute_force(spark, exchange, order, block_words, part_ngrams, row_ngrams):
+    found = stupid_backoff(documents(spark, TEXTS).repartition(3), order=order, block_words=block_words, part_ngrams=part_ngrams,
+                           exchange=exchange, row_ngrams=row_ngrams)
+    got = {r.doc_id: r for r in found.collect()}
+    for i, (n, given_up, mean) in enumerate(brute_scores(TEXTS, order)):
+        assert (got[i].n_words, got[i].n_backed_off) == (n, given_up)
+        assert got[i].log_score is None if mean is None else math.isclose(got[i].log_score, mean, abs_tol=2e-6)
+
+
+def test_ngrams_cross_the_shuffle_in_few_rows_and_bytes(spark):
+    """Distinct n-grams of one block take under 7 bytes each, in rows that stay long as the corpus grows."""
+    from netpulse.llm.lm import arrays_elsewhere, hash_ranges, ngram_arrays
+    rnd = random.Random(1)
+    texts = [" ".join(str(rnd.randrange(10**9)) for _ in range(1000)) for _ in range(40)]
+    placed = blocks(documents(spark, texts).select("doc_id", "text").coalesce(1)).cache()
+    n = 3 * 40_000 - 3 * 40  # no n-gram twice
+    arrays = ngram_arrays(placed, 3, 3)
+    rows = arrays.collect()
+    assert sorted((r.n, r.range) for r in rows) == [(i, j) for i in (1, 2, 3) for j in range(8)]
+    assert sum(len(r.hashes) + len(r.own) for r in rows) < 7 * n
+    assert sum(len(r.others) for r in arrays_elsewhere(arrays).collect()) < n // 20  # nothing is shared
+    placed.unpersist()
+    bits = [hash_ranges(c, 1 << 21, 1 << 21, 256, 16) for c in (10**6, 10**9, 10**13, 10**15)]
+    assert bits == [4, 9, 13, 13]  # 2 ** 13 ranges leave a full block 256 words a row
+
+
+def test_longer_ngrams_travel_only_where_their_parts_are_shared(spark):
+    from netpulse.llm.lm import arrays_elsewhere, longer_arrays, ngram_arrays
+    placed = blocks(documents(spark, ["a b c d e", "a b c x y"]).select("doc_id", "text").coalesce(1), 5).cache()
+    assert placed.count() == 2
+    replies = arrays_elsewhere(ngram_arrays(placed, 2, 0))
+    rows = longer_arrays(placed, replies, 3, 0).collect()
+    # only "a b c" of both blocks: "c d", "c x" and what follows them are in one block alone
+    assert [len(unpack(r.hashes, "uint64")) for r in rows] == [1, 1] and len({r.hashes for r in rows}) == 1
+    placed.unpersist()
+
+
 def test_arrays_pack_and_unpack():
     import numpy as np
     a = np.random.default_rng(0).integers(0, 1 << 63, 5000).astype(np.uint64)
