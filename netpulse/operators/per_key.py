@@ -4,9 +4,10 @@
   by construction (an hourly series has one row per hour and source).
 * ``per_key_batches``: a function of the key's rows as a stream of Arrow batches; a group
   of any size, in one task, in the memory of a batch.
-* ``per_key_fold``: a mergeable summary.  Every partition folds its own rows of a key into
-  a state, and only states travel, so a key that holds a third of all rows is spread over
-  all tasks that hold its rows.
+* ``per_key_fold``: a mergeable summary.  Every partition folds its own rows of a frequent
+  key into a state, and only states of it travel, so a key that holds a third of all rows
+  is spread over all tasks that hold its rows.  Rows of rare keys travel as they are and
+  are folded where all rows of their key meet.
 
 The built-in forecast does not use them; it fits from per-key sums.
 """
@@ -18,12 +19,15 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any, Tuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: States a task folds side by side before it sends them on and starts anew.
 MAX_STATES = 100_000
+#: Rows of a key in a batch from which they are folded at once; a state of fewer rows would cost more than the rows.
+FOLD_ROWS = 32
 
 
 def per_key(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame],
@@ -71,39 +75,98 @@ def _key_value(v, kind: T.DataType):
     return int(v) if isinstance(kind, T.IntegralType) else v
 
 
+def _rare(pdf: pd.DataFrame, keys: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Places of the rows of keys that are rare in a batch, and of the rows of each other key."""
+    group = pdf.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+    counts = np.bincount(group, minlength=1)
+    often = counts >= min(FOLD_ROWS, max(2, len(pdf) // 16))
+    if not often.any():
+        return np.arange(len(pdf)), []
+    turn = np.argsort(group, kind="stable")
+    ends = np.cumsum(counts)
+    return np.flatnonzero(~often[group]), [turn[ends[g] - counts[g]:ends[g]] for g in np.flatnonzero(often)]
+
+
+def _together(frames: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The frames as one, unless that would change the type of a column."""
+    kinds = {(tuple(f.columns), tuple(f.dtypes)) for f in frames}
+    if len(kinds) == 1:
+        yield pd.concat(frames, ignore_index=True)
+    else:
+        yield from frames
+
+
 def per_key_fold(df: DataFrame, keys: list[str], fold: Fold, schema: T.StructType | str) -> DataFrame:
     """One ``fold.finish`` frame per key, folded where the rows are and merged per key.
 
-    What crosses the shuffle is a state per key and input partition (and per
-    ``MAX_STATES`` keys that a partition meets at once).  A null key is a key.
+    What crosses the shuffle of a key is a state per input partition (and per ``MAX_STATES``
+    keys that a partition meets at once), and the rows of those batches that hold fewer than
+    ``FOLD_ROWS`` of it.  So a key with few rows per partition costs one ``add`` per batch
+    where its rows meet, and not one per row.  A null key is a key.
     """
     kinds = [df.schema[k].dataType for k in keys]
-    partial = T.StructType([*[T.StructField(f"key{i}", kind) for i, kind in enumerate(kinds)], T.StructField("state", T.BinaryType())])
-
-    def send(states: dict) -> pd.DataFrame:
-        rows = [(*k, pickle.dumps(s)) for k, s in states.items()]
-        return pd.DataFrame({name: pd.Series([r[i] for r in rows], dtype=object) for i, name in enumerate(partial.names)})
+    names = [f"key{i}" for i in range(len(keys))]
+    values = [c for c in df.columns if c not in keys]
+    held = [f"value{i}" for i in range(len(values))]
+    partial = T.StructType([*[T.StructField(n, kind) for n, kind in zip(names, kinds, strict=True)],
+                            *[T.StructField(h, df.schema[c].dataType) for h, c in zip(held, values, strict=True)],
+                            T.StructField("state", T.BinaryType())])
+    columns = dict(zip([*keys, *values], [*names, *held], strict=True))
+    back = {n: c for c, n in columns.items()}
+    order = list(df.columns)
+
+    def key_of(key) -> tuple:
+        return tuple(_key_value(v, kind) for v, kind in zip(key, kinds, strict=True))
+
+    def send(states: dict, some: pd.DataFrame) -> pd.DataFrame:
+        # the values beside a state are those of any row: nulls would turn whole numbers to fractions where rows meet
+        out = some.iloc[[0] * len(states)].reset_index(drop=True).rename(columns=columns)
+        for i, name in enumerate(names):
+            out[name] = pd.Series([k[i] for k in states], dtype=object)
+        return out.assign(state=pd.Series([pickle.dumps(s) for s in states.values()], dtype=object))
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict = {}
+        last = None
         for pdf in batches:
-            for key, part in pdf.groupby(keys, dropna=False, sort=False):
-                at = tuple(_key_value(v, kind) for v, kind in zip(key, kinds, strict=True))
-                states[at] = fold.add(states[at] if at in states else fold.start(), part)
+            if not len(pdf):
+                continue
+            last = pdf
+            rare, often = _rare(pdf, keys)
+            for at in often:
+                part = pdf.iloc[at]
+                key = key_of(part[k].iloc[0] for k in keys)
+                states[key] = fold.add(states[key] if key in states else fold.start(), part)
+            if len(rare):
+                yield pdf.iloc[rare].rename(columns=columns).assign(state=pd.Series([None] * len(rare), dtype=object, index=rare))
             if len(states) > MAX_STATES:
-                yield send(states)
+                yield send(states, pdf)
                 states = {}
         if states:
-            yield send(states)
+            yield send(states, last)
 
-    def combine(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state, empty = None, True
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state, empty = None, None, True  # the key whose rows may go on in the next batch
         for pdf in batches:
-            for s in map(pickle.loads, pdf["state"]):
-                state, empty = (s if empty else fold.merge(state, s)), False
-        yield fold.finish(tuple(_key_value(v, kind) for v, kind in zip(key, kinds, strict=True)), state)
-
-    return per_key_batches(df.mapInPandas(summarise, partial), partial.names[:-1], combine, schema)
+            done = []
+            for at, part in pdf.groupby(names, dropna=False, sort=False):
+                at = key_of(at)
+                if key != at:
+                    if key is not None:
+                        done.append(fold.finish(key, state))
+                    key, state, empty = at, None, True
+                new = [pickle.loads(s) for s in part["state"] if s is not None]
+                rows = part[part["state"].isnull()]
+                if len(rows):
+                    new.append(fold.add(fold.start(), rows.rename(columns=back)[order]))
+                for s in new:
+                    state, empty = (s if empty else fold.merge(state, s)), False
+            yield from _together(done) if done else ()
+        if key is not None:
+            yield fold.finish(key, state)
+
+    dealt = df.mapInPandas(summarise, partial).repartition(*names).sortWithinPartitions(*names)
+    return dealt.mapInPandas(combine, schema)
 
 
 SUMMARY_SCHEMA = T.StructType([

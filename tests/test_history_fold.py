@@ -114,3 +114,18 @@ def test_only_states_of_a_hot_key_meet(spark):
                 finish=lambda key, s: pd.DataFrame({"k": [key[0]], "rows": [s[0]], "states": [s[1]]}))
     rows = spark.range(0, 1_000_000, 1, 9).select(F.lit(7).cast("long").alias("k"), "id")
     assert [tuple(r) for r in per_key_fold(rows, ["k"], fold, "k long, rows long, states long").collect()] == [(7, 1_000_000, 9)]
+
+
+def test_rows_of_rare_keys_are_added_together(spark):
+    """Of 3,000 keys with 4 rows each, one add per key, not one per row; frequent keys are folded where they are."""
+    fold = Fold(start=lambda: [0, 0, 0], add=lambda s, pdf: [s[0] + len(pdf), s[1] + 1, s[2] + int(pdf["id"].sum())],
+                merge=lambda a, b: [x + y for x, y in zip(a, b)],
+                finish=lambda key, s: pd.DataFrame({"k": pd.Series([key[0]], dtype=object), "rows": [s[0]], "adds": [s[1]], "s": [s[2]]}))
+    big = 1 << 60  # a whole number that a fraction cannot hold
+    rows = spark.range(0, 12_000, 1, 4).select((F.col("id") + big).alias("id"), F.when(F.col("id") % 3000 != 7, F.col("id") % 3000).alias("k"))
+    rows = rows.unionByName(spark.range(0, 50_000, 1, 2).select("id", F.lit(9).cast("long").alias("k")))
+    got = {r.k: r for r in per_key_fold(rows, ["k"], fold, "k long, rows long, adds long, s long").collect()}
+    want = {r.k: r for r in rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("id") % big).alias("s")).collect()}
+    assert {k: r.rows for k, r in got.items()} == {k: r.n for k, r in want.items()} and len(got) == 3000
+    assert sum(r.adds for r in got.values()) < 3000 + 200  # 12,000 and more with an add per row of a rare key
+    assert all((r.s - r.rows * big if k != 9 else r.s - 4 * big) == want[k].s for k, r in got.items())
