@@ -321,7 +321,7 @@ def stupid_backoff(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
         others = arrays_elsewhere(ngram_arrays(placed, min(order, 2), bits))
         placed = placed.repartition("block")  # dealt once for all steps that need the blocks again
         for n in range(3, order + 1):  # each order asks by the answers to the shorter ones
-            others = written(others, "answers")
+            others = written(others, "answers", free=True)  # the arrays they answer are not read again
             others = others.unionByName(arrays_elsewhere(longer_arrays(placed, others, n, bits)))
     schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()),
                            T.StructField("n_backed_off", T.LongType()), T.StructField("log_score", T.DoubleType())])

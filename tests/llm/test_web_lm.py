@@ -224,6 +224,21 @@ def test_longer_ngrams_travel_only_where_their_parts_are_shared(spark):
     placed.unpersist()
 
 
+def test_answered_arrays_leave_no_shuffle_files(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+    from netpulse.llm.common import FREE_SHUFFLES
+    docs, before, setting = documents(spark, TEXTS).repartition(3), shuffles(), spark.conf.get(FREE_SHUFFLES)
+    scores = stupid_backoff(docs, block_words=40, part_ngrams=16)
+    # what is left are the dealt documents and the sum of the words: the n-gram arrays are gone
+    assert len(shuffles() - before) <= 2
+    assert spark.conf.get(FREE_SHUFFLES) == setting
+    assert scores.count() == scores.count() == len(TEXTS)
+
+
 def test_arrays_pack_and_unpack():
     import numpy as np
     a = np.random.default_rng(0).integers(0, 1 << 63, 5000).astype(np.uint64)
