@@ -2,15 +2,22 @@
 
 The key index is a distributed table (frequency order, unseen keys kept), not
 a string indexer whose label list lives on the driver.
+
+MLlib's trees count every row over every feature.  With many keys they are given
+the few one-hot features that win a split somewhere, and sums per node and key
+show that no other would have won: the same model, at a cost of rows, not rows x keys.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import dense_index
@@ -20,6 +27,11 @@ from .windows import lag_by_key
 
 # Numeric inputs of the feature vector, after the one-hot key and the lag: every metric but the label, in field order.
 NUMERIC_FEATURES = [m for m in METRICS if m != "unq_dst_ip"]
+#: Up to so many one-hot features the trees are given all of them at once.
+WHOLE_KEYS = 256
+#: Keys that one node may add to the features in a round, and relative difference below which two gains count as equal.
+KEYS_PER_NODE = 8
+EQUAL_GAINS = 1e-9
 
 
 def add_lag_feature(logs: DataFrame, metric: str = "unq_dst_ip", key: str = "src_ip",
@@ -61,9 +73,8 @@ def regression_pipeline(prev_col: str = "prev_unq_dst_ip", label: str = "unq_dst
 
     ``key_encoding="onehot"`` (the reference's model) gives one feature per
     source (unseen sources: all zeros); the trees bin every row over all of
-    them, so the cost grows with the number of sources unless ``bound_key_index``
-    bounds them.  ``"index"`` passes the
-    frequency index as one numeric feature - for millions of sources.
+    them, see ``fit_pipeline`` for many sources.  ``"index"`` passes the
+    frequency index as one numeric feature.
     """
     assembler_in = [prev_col, *NUMERIC_FEATURES]
     stages = []
@@ -79,6 +90,138 @@ def regression_pipeline(prev_col: str = "prev_unq_dst_ip", label: str = "unq_dst
     return Pipeline(stages=stages)
 
 
+def tree_nodes(model: GBTRegressionModel) -> list[list[dict]]:
+    """The nodes of each tree in pre-order, with the places of the nodes above (``path``) and below (``children``).
+
+    An inner node has its ``feature``, a leaf its number among the leaves and its ``value``.
+    """
+    trees = []
+    for tree in model.trees:
+        nodes, path, n_leaves = [], [], 0
+        for line in tree.toDebugString.splitlines()[1:]:
+            text = line.strip()
+            if not text or text.startswith("Else"):
+                continue
+            depth = len(line) - len(line.lstrip())
+            path = [(d, at) for d, at in path if d < depth]
+            node = {"path": [at for _, at in path], "children": []}
+            if path:
+                nodes[path[-1][1]]["children"].append(len(nodes))
+            if text.startswith("If"):
+                path.append((depth, len(nodes)))
+                node["feature"] = int(re.match(r"If \(feature (\d+) ", text)[1])
+            else:
+                node |= {"leaf": n_leaves, "value": float(text.removeprefix("Predict:"))}
+                n_leaves += 1
+            nodes.append(node)
+        trees.append(nodes)
+    return trees
+
+
+def _sums_by_leaf(model: GBTRegressionModel, trees: list[list[dict]], rows: DataFrame, label: str) -> DataFrame:
+    """``(tree, leaf, key, n, s, q)``: rows, sum and sum of squares of what a tree was fitted to, per leaf and key."""
+    at = model.copy().setLeafCol("leaves").transform(rows).select(
+        F.col("ip_num").cast("long").alias("key"), F.col(label).cast("double").alias("left0"), vector_to_array("leaves").alias("leaves"))
+    fitted = []
+    for t, nodes in enumerate(trees):
+        leaf = F.col("leaves")[t].cast("int")
+        # the first tree fits the label, a later one the negative gradient of the squared loss
+        fitted.append(F.struct(F.lit(t).alias("tree"), leaf.alias("leaf"), ((2 if t else 1) * F.col(f"left{t}")).alias("y")))
+        values = F.array(*[F.lit(model.treeWeights[t] * n["value"]) for n in nodes if "leaf" in n])
+        at = at.withColumn(f"left{t + 1}", F.col(f"left{t}") - values[leaf])
+    return at.select("key", F.inline(F.array(*fitted))).groupBy("tree", "leaf", "key") \
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q"))
+
+
+def missed_keys(model: GBTRegressionModel, rows: DataFrame, label: str, given: list[int]) -> set[int]:
+    """Keys whose one-hot feature would win a node of ``model``, which was fitted without it.
+
+    ``given`` are the places of the model's features in the whole vector, where a key's
+    place is its index.  Sums per tree, leaf and key come from one pass over the rows;
+    those of a node are the sums of its leaves.  A key wins against a smaller gain and
+    against an equal one of a later place, as in a fit on the whole vector; gains within
+    rounding count as none.  If there are any, those next to winning come
+    along, as many as ``given``: so the rounds double what they try.
+    """
+    spark, trees = rows.sparkSession, tree_nodes(model)
+    by_leaf = _sums_by_leaf(model, trees, rows, label).persist()
+    try:
+        of_leaf = {(r.tree, r.leaf): (r.n, r.s, r.q) for r in by_leaf.groupBy("tree", "leaf").agg(
+            F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).collect()}
+        paths, nodes_now = [], []
+        for t, nodes in enumerate(trees):
+            n, s = [0] * len(nodes), [0.0] * len(nodes)
+            for at, node in enumerate(nodes):
+                if "leaf" in node:
+                    leaf_n, leaf_s, _ = of_leaf.get((t, node["leaf"]), (0, 0.0, 0.0))
+                    for up in [*node["path"], at]:
+                        n[up] += leaf_n
+                        s[up] += leaf_s
+                        if len(nodes[up]["path"]) < model.getOrDefault("maxDepth"):
+                            paths.append((t, node["leaf"], up))
+            for at, node in enumerate(nodes):
+                if n[at] > 1:
+                    below = [s[c] * s[c] / n[c] for c in node["children"] if n[c]]
+                    gain = max(sum(below) - s[at] * s[at] / n[at], 0.0) if below else 0.0
+                    nodes_now.append((t, at, n[at], s[at], gain, given[node["feature"]] if "feature" in node else -1))
+        if not nodes_now:
+            return set()
+        scale = sum(q for (t, _), (_, _, q) in of_leaf.items() if t == 0) / sum(n for (t, _), (n, _, _) in of_leaf.items() if t == 0)
+        above = F.broadcast(spark.createDataFrame(paths, "tree int, leaf int, node int"))
+        now = F.broadcast(spark.createDataFrame(nodes_now, "tree int, node int, all_n long, all_s double, gain double, place long"))
+        rest_n, rest_s = F.col("all_n") - F.col("n"), F.col("all_s") - F.col("s")
+        whole = F.col("all_s") * F.col("all_s") / F.col("all_n")
+        found = by_leaf.where(~F.col("key").isin(given)).join(above, ["tree", "leaf"]).groupBy("tree", "node", "key") \
+            .agg(F.sum("n").alias("n"), F.sum("s").alias("s")).join(now, ["tree", "node"]).where("n < all_n") \
+            .withColumn("won", F.col("s") * F.col("s") / F.col("n") + rest_s * rest_s / rest_n - whole) \
+            .withColumn("near", EQUAL_GAINS * (F.col("gain") + whole / 1000 + F.lit(EQUAL_GAINS * scale) * F.col("all_n")))
+        more = F.col("won") - F.col("gain")
+        wins = (F.col("won") > F.col("near")) & ((more > F.col("near")) | ((more >= -F.col("near")) & (F.col("key") < F.col("place"))))
+        best = Window.partitionBy("tree", "node").orderBy(F.col("won").desc(), F.col("key"))
+        winners = found.where(wins).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= KEYS_PER_NODE)
+        missed = {r.key for r in winners.select("key").distinct().collect()}
+        if missed:
+            close = found.groupBy("key").agg(F.max(more).alias("more")).orderBy(F.col("more").desc(), "key").limit(len(given))
+            missed |= {r.key for r in close.collect()}
+        return missed
+    finally:
+        by_leaf.unpersist()
+
+
+def fit_pipeline(pipeline: Pipeline, train: DataFrame, whole_keys: int = WHOLE_KEYS) -> PipelineModel:
+    """``pipeline.fit(train)`` whose trees do not count every row over every key.
+
+    Beyond ``whole_keys`` one-hot features the trees start from the numeric ones.  The
+    keys that would have won a node are added and the trees fitted again, until there
+    is none.  A round settles at least the first node that missed a key, so in the end
+    the trees are those of the whole vector, up to splits whose gain is rounding; a
+    slice of the vector feeds them.  The features at least double with each round:
+    if nearly all keys win somewhere, the rounds cost about twice the fit on all.
+    """
+    *before, gbt = pipeline.getStages()
+    made = Pipeline(stages=before).fit(train)
+    rows = made.transform(train)
+    first = rows.select("features").first()
+    width = first.features.size if first else 0
+    n_keys = width - 1 - len(NUMERIC_FEATURES) if isinstance(before[0], OneHotEncoder) else 0
+    if n_keys <= whole_keys:
+        return PipelineModel([*made.stages, gbt.fit(rows)])
+    rows = rows.select("ip_num", gbt.getLabelCol(), "features").persist()
+    keys: set[int] = set()
+    try:
+        while True:
+            given = [*sorted(keys), *range(n_keys, width)]
+            slicer = VectorSlicer(inputCol="features", outputCol="tree_features", indices=given)
+            sliced = slicer.transform(rows)
+            model = gbt.copy({gbt.featuresCol: "tree_features"}).fit(sliced)
+            missed = missed_keys(model, sliced, gbt.getLabelCol(), given)
+            if not missed:
+                return PipelineModel([*made.stages, slicer, model])
+            keys |= missed
+    finally:
+        rows.unpersist()
+
+
 class KeyedRegressionModel:
     """Key index table + fitted pipeline.
 
@@ -153,8 +296,8 @@ def fit_and_predict(logs: DataFrame, cutoff: str, model_path: str | None = None,
     train, test = time_split(feats, cutoff)
     # checkpointed by the dense numbering
     index, n_keys = bound_key_index(fit_key_index(train), max_keys if key_encoding == "onehot" else None)
-    pipeline = regression_pipeline(seed=seed, max_iter=max_iter, key_encoding=key_encoding) \
-        .fit(encode_key(train, index, n_keys))
+    pipeline = fit_pipeline(regression_pipeline(seed=seed, max_iter=max_iter, key_encoding=key_encoding),
+                            encode_key(train, index, n_keys))
     model = KeyedRegressionModel(index, n_keys, pipeline)
     if model_path:
         model.save(model_path)

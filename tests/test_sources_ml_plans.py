@@ -284,3 +284,38 @@ def test_bounded_keys_share_a_place_and_lose_no_row(spark, tmp_path):
     # keys that share the place and agree in all other features have equal predictions
     alike = pred.where("ip_num = 5").groupBy("features").agg(F.countDistinct("prediction").alias("n"))
     assert alike.where("n > 1").count() == 0
+
+
+def test_trees_on_the_keys_that_win_are_those_of_the_whole_vector(spark, monkeypatch):
+    """Sources with levels of their own, and one without any: the slice gives the predictions of all one-hot features."""
+    rows = [(i, str(i % 40), f"2024-01-{1 + i // 40:02d} 00:00:00", (i * 7919 % 11) + 90 * (i % 40 in (3, 17)) + 40 * (i % 40 == 29))
+            + tuple((i * p) % 101 for p in (3, 5, 7, 11, 13, 17, 19, 23)) for i in range(1200)]
+    cols = ", ".join(f"{m} int" for m in ml.NUMERIC_FEATURES)
+    logs = spark.createDataFrame(rows, f"event_id long, src_ip string, timestamp string, unq_dst_ip int, {cols}") \
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).repartition(3, "event_id")
+    train, test = ml.time_split(ml.add_lag_feature(logs), "2024-01-23 00:00:00")
+    index = ml.fit_key_index(train)
+    train, test = ml.encode_key(train, index, 40), ml.encode_key(test, index, 40)
+    calls, found = [], ml.missed_keys
+    monkeypatch.setattr(ml, "missed_keys", lambda *a: calls.append(len(a[3])) or found(*a))
+    whole = ml.fit_pipeline(ml.regression_pipeline(max_iter=4), train, whole_keys=40)
+    assert not calls
+    ours = ml.fit_pipeline(ml.regression_pipeline(max_iter=4), train, whole_keys=0)
+    assert calls[0] == 1 + len(ml.NUMERIC_FEATURES) < calls[-1] <= 40 + calls[0]
+    a = {r.event_id: r.prediction for r in whole.transform(test).collect()}
+    b = {r.event_id: r.prediction for r in ours.transform(test).collect()}
+    assert a.keys() == b.keys() and len(a) > 200 and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    assert any(n.get("feature", 40) < 40 for nodes in ml.tree_nodes(whole.stages[-1]) for n in nodes)  # keys do win
+
+
+def test_many_sources_leave_the_trees_few_features(spark):
+    """More sources than are given to the trees at once, none of which tells more than the numeric fields."""
+    rows = [(i, str(i % 300), f"2024-01-{1 + i // 300:02d} 00:00:00", i % 5) + (i % 5,) * 8 for i in range(7500)]
+    cols = ", ".join(f"{m} int" for m in ml.NUMERIC_FEATURES)
+    logs = spark.createDataFrame(rows, f"event_id long, src_ip string, timestamp string, unq_dst_ip int, {cols}") \
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    model, pred = ml.fit_and_predict(logs, "2024-01-23 00:00:00", max_iter=2)
+    assert model.pipeline.stages[-1].numFeatures == 1 + len(ml.NUMERIC_FEATURES)
+    got = pred.select("ip_vec", "features", "unq_dst_ip", "prediction").collect()
+    assert len(got) == 900 and {r.ip_vec.size for r in got} == {300} and {r.features.size for r in got} == {309}
+    assert all(abs(r.unq_dst_ip - r.prediction) < 1e-9 for r in got)
